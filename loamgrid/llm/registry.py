@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamgrid.llm import exact_dedup, mixing, quality
+from loamgrid.llm import exact_dedup, mixing, pii, quality
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_mix_sources": mixing.op1_mix_sources,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op8_quality_rules": quality.op8_quality_rules,
+        "op9_personal_data": pii.op9_personal_data,
     }
 
 
