@@ -198,7 +198,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     score = lambda s: F.aggregate(s["features"], F.lit(odds[""]), lambda a, f: a + F.coalesce(F.element_at(lookup, f), F.lit(0.0)))
     added = F.filter("spans", lambda s: s["kind"].isin(*LOOSE_KINDS) & (score(s) > 0))
     show = lambda a: F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    by_kind = F.concat(*[F.array_sort(F.filter("added", lambda s, k=k: s["kind"] == k)) for k in LOOSE_KINDS])
+    of_kind = lambda k: F.array_sort(F.filter("added", lambda s: s["kind"] == k))
+    by_kind = F.concat(*map(of_kind, LOOSE_KINDS))
     out = voted.withColumn("added", F.transform(added, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     out = out.withColumn("base", show(F.concat(*BASE_KINDS))).withColumn("more", show(by_kind))
     return out.select(
