@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamgrid.llm import exact_dedup, mixing, pii, quality
+from loamgrid.llm import exact_dedup, mixing, pii, quality, simhash
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op8_quality_rules": quality.op8_quality_rules,
         "op9_personal_data": pii.op9_personal_data,
+        "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
 
 
