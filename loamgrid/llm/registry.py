@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from loamgrid.llm import exact_dedup, mixing, packing, pii, quality, simhash
+from loamgrid.llm import exact_dedup, language, mixing, packing, pii, quality, simhash
 
 
 def queries() -> dict:
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op6_language_id": language.op6_language_id,
         "op7_packing": packing.op7_packing,
         "op8_quality_rules": quality.op8_quality_rules,
         "op9_personal_data": pii.op9_personal_data,
