@@ -133,6 +133,18 @@ def words_taken(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it as a whole document.
+
+    Rows of equal id count as copies of one document: each comes as often as the most taken of them.
+    """
+    mix = fair_mix(docs, id_col, source_col, text_col, whole_documents=True).filter("taken > 0")
+    per_row = mix.groupBy("row_key", id_col).agg(F.count(F.lit(1)).alias("passes"))
+    times = per_row.groupBy(F.col(id_col).alias("_id")).agg(F.max("passes").alias("_passes"))
+    taken = docs.join(times, docs[id_col].eqNullSafe(times["_id"]))
+    return taken.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_passes")))).select(*docs.columns)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words_taken(fair_mix(read_documents(spark, sf_dir)))
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from loamgrid.llm import exact_dedup, language, mixing, packing, pii, quality, simhash
+from loamgrid.llm import exact_dedup, language, licenses, mixing, packing, pii, quality, secrets, simhash, substring_dedup
 
 
 def queries() -> dict:
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
+        "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+        "op3_secret_scan": secrets.op3_secret_scan,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op5_license_scan": licenses.op5_license_scan,
         "op6_language_id": language.op6_language_id,
         "op7_packing": packing.op7_packing,
         "op8_quality_rules": quality.op8_quality_rules,
