@@ -37,7 +37,7 @@ NOTICES = {
     "reserved": ("all rights reserved",),
     "public-domain": ("released into the public domain", "dedicated to the public domain"),
 }
-ERROR_CHARS = 10
+ERROR_CHARS = 15
 #: Lower-cases A-Z and turns every ASCII byte that is no word character into a space.
 WORDS = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
