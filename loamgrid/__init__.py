@@ -1,0 +1 @@
+"""Land-cover change and ecosystem-service analytics as Spark jobs."""
