@@ -76,7 +76,7 @@ def fair_mix(
     share: float = 1.5,
     max_passes: int = 2,
     seed: int = 42,
-    rows_per_slice: int = 20_000,
+    rows_per_slice: int = 2_000,
     whole_documents: bool = False,
 ) -> DataFrame:
     """One row per document and pass that the mix takes (and pass 0 of every document).
