@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +88,22 @@ def word_count(text: Column) -> Column:
 def prefix_bits(n_rows: int, rows_per_slice: int) -> int:
     """Bits b such that 2**b slices hold about ``rows_per_slice`` rows each."""
     return max(0, (max(n_rows, 1) // rows_per_slice).bit_length())
+
+
+def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: list[tuple], fn, id_out: str = "id") -> DataFrame:
+    """Apply ``fn`` to the texts of each Arrow batch, and carry the ids past it untouched (nulls and 64 bits stay exact).
+
+    ``fn(texts)`` returns ``(rows, values)``: for each output row the number of its text (None: one row per text, in
+    order), and a list of values per column. ``columns``: name, Spark type and Arrow type.
+    """
+    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    names, types = [id_out, *[c[0] for c in columns]], [c[2] for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, values = fn(batch.column(1).to_pylist())
+            ids = batch.column(0) if rows is None else batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(v, t) for v, t in zip(values, types, strict=True)]], names)
+
+    kind = slim.schema["_id"].dataType.simpleString()
+    return slim.mapInArrow(run, ", ".join([f"`{id_out}` {kind}", *[f"`{n}` {t}" for n, t, _ in columns]]))

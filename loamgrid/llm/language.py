@@ -18,12 +18,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamgrid.llm.common import read_documents
+from loamgrid.llm.common import map_texts, read_documents
 
 #: Bounds of the labelled sample: documents per language, characters of one document, characters per language.
 SAMPLE_DOCS = 48
@@ -204,27 +204,20 @@ def labelled_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
 def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``lang_pred, score``. Only the text and the samples are used."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            langs, scores = classify_in_chunks(pdf["text"].tolist(), samples)
-            yield pd.DataFrame({"id": pdf["id"], "lang_pred": langs, "score": scores})
-
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = slim.mapInPandas(run, f"id {slim.schema['id'].dataType.simpleString()}, lang_pred string, score double")
-    return found.withColumnRenamed("id", id_col)
+    columns = [("lang_pred", "string", pa.string()), ("score", "double", pa.float64())]
+    return map_texts(docs, id_col, text_col, columns, lambda texts: (None, classify_in_chunks(texts, samples)), id_col)
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows, with all their columns, whose text has a language; null texts and texts without letters go."""
     samples = labelled_samples(docs, id_col, text_col, lang_col)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            langs, _ = classify_in_chunks(pdf[text_col].tolist(), samples)
-            keep = [lang != UNKNOWN for lang in langs]
-            yield pdf[keep]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, _ = classify_in_chunks(batch.column(text_col).to_pylist(), samples)
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs]))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

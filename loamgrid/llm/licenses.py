@@ -11,16 +11,15 @@ Null text is empty; repeated rows give repeated results; an empty table gives an
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import read_documents
+from loamgrid.llm.common import map_texts, read_documents
 
 #: Label by phrase, found exactly.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -132,21 +131,19 @@ def scan_text(text: str | None) -> dict:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, places and labels, and ``notices``, the verified spans in the normalised text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pd.DataFrame([scan_text(t) for t in pdf["text"]], columns=list(scan_text("")))
-            out = out.astype({"first_word": "Int64", "last_word": "Int64"})
-            out.insert(0, "id", pdf["id"].to_numpy())
-            yield out
-
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
-    found = slim.mapInPandas(
-        run,
-        f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-        "notices array<struct<label:string,start:int,end:int,edits:int,similarity:double>>",
-    )
-    return found.withColumnRenamed("id", id_col)
+    span = pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32()), ("similarity", pa.float64())])
+    columns = [
+        *[(c, "long", pa.int64()) for c in ("n_words", "n_base", "first_word", "last_word")],
+        *[(c, "string", pa.string()) for c in ("base_labels", "labels")],
+        ("score", "double", pa.float64()),
+        ("notices", "array<struct<label:string,start:int,end:int,edits:int,similarity:double>>", pa.list_(span)),
+    ]
+
+    def run(texts: list[str | None]):
+        found = [scan_text(t) for t in texts]
+        return None, [[f[c[0]] for f in found] for c in columns]
+
+    return map_texts(docs, id_col, text_col, columns, run, id_col)
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,15 +15,14 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import read_documents
+from loamgrid.llm.common import map_texts, read_documents
 
 WINDOW = 1024
 END_ID = 0
@@ -66,20 +65,19 @@ def crc(ids: np.ndarray) -> int:
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, window: int, end_id: int) -> DataFrame:
     """Per document its full windows (digest only) and its remainder, with ids as little-endian uint32."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(texts: list[str | None]):
         encode = encoder(vocabulary)
-        for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["id"], pdf["text"], strict=True):
-                ids = np.append(encode(text or ""), np.uint32(end_id))
-                for start in range(0, len(ids), window):
-                    part = ids[start : start + window]
-                    rows.append((doc, start, len(part), crc(part), len(ids), None if len(part) == window else part.astype("<u4").tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+        rows, out = [], []
+        for i, text in enumerate(texts):
+            ids = np.append(encode(text or ""), np.uint32(end_id))
+            for start in range(0, len(ids), window):
+                part = ids[start : start + window]
+                rows.append(i)
+                out.append((start, len(part), crc(part), len(ids), None if len(part) == window else part.astype("<u4").tobytes()))
+        return rows, list(zip(*out, strict=True)) if out else [[]] * 5
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInPandas(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    columns = [*[(c, "long", pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens")], ("ids", "binary", pa.binary())]
+    return map_texts(docs, id_col, text_col, columns, run)
 
 
 def fill(counts: dict[int, int], capacity: int) -> list[int]:
@@ -174,28 +172,30 @@ def pack(
     kind = pieces.schema["id"].dataType.simpleString()
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("id", "doc_tokens"), F.lit(groups)))
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        base = int(key[0]) << 32
-        pdf = pdf.sort_values(["id", "start", "ids_crc32"], na_position="last", kind="stable").reset_index(drop=True)
-        whole = pdf["length"] == window
-        full = pdf[whole].drop(columns="part")
-        full = full.assign(sequence_id=base + np.arange(len(full)), offset=0)
-        rest = pdf[~whole].reset_index(drop=True)
-        ids = [np.frombuffer(x, "<u4") for x in rest["ids"]]
-        rows = []
-        for seq, window_pieces in enumerate(pack_lengths(rest["length"].tolist(), window), base + len(full)):
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        base = int(key[0].as_py()) << 32
+        group = group.sort_by([(c, "ascending") for c in ("id", "start", "ids_crc32")])
+        lengths, starts = group["length"].to_pylist(), group["start"].to_pylist()
+        full = [i for i, n in enumerate(lengths) if n == window]
+        rest = [i for i, n in enumerate(lengths) if n != window]
+        ids = {i: np.frombuffer(group["ids"][i].as_py(), "<u4") for i in rest}
+        digests = group["ids_crc32"].to_pylist()
+        rows, out = list(full), [(starts[i], window, digests[i], base + k, 0, None) for k, i in enumerate(full)]
+        for seq, pieces in enumerate(pack_lengths([lengths[i] for i in rest], window), base + len(full)):
             offset = 0
-            for item, a, b in window_pieces:
-                part = ids[item][a:b]
-                rows.append((item, a, b - a, crc(part), seq, offset, part.tobytes()))
+            for item, a, b in pieces:
+                part = ids[rest[item]][a:b]
+                rows.append(rest[item])
+                out.append((starts[rest[item]] + a, b - a, crc(part), seq, offset, part.tobytes()))
                 offset += b - a
-        cut = pd.DataFrame(rows, columns=["row", "from", "length", "ids_crc32", "sequence_id", "offset", "ids"])
-        of = rest.iloc[cut["row"].to_numpy(np.int64)].reset_index(drop=True)
-        cut = cut.assign(id=of["id"], start=of["start"] + cut["from"], doc_tokens=of["doc_tokens"])
-        names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-        return pd.concat([full[names], cut[names]], ignore_index=True) if len(full) and len(cut) else (full if len(full) else cut)[names]
+        start, length, digest, seq, offset, tokens = zip(*out, strict=True)
+        of = group.take(pa.array(rows, pa.int64()))
+        long = lambda v: pa.array(v, pa.int64())
+        return pa.Table.from_arrays([of["id"], long(start), long(length), long(digest), of["doc_tokens"], long(seq), long(offset), pa.array(tokens, pa.binary())], names)
 
-    packed = dealt.groupBy("part").applyInPandas(run, PIECES.format(id=kind))
+    packed = dealt.groupBy("part").applyInArrow(run, PIECES.format(id=kind))
     return packed.withColumnRenamed("id", id_col)
 
 

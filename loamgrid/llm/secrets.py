@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import read_documents
+from loamgrid.llm.common import map_texts, read_documents
 
 KINDS = ("assign", "access", "hex")
 MODEL_KIND = "model"
@@ -40,7 +41,7 @@ MIXED = re.compile(r"(?=[^A-Za-z]*[A-Za-z])(?=[^0-9]*[0-9])")
 #: Characters 127 and up share a symbol.
 SYMBOLS = 128
 #: Least mean log-likelihood ratio per transition of a secret.
-THRESHOLD = 1.2
+THRESHOLD = 1.1
 #: Pseudo-counts of a transition; for random strings between the characters of CANDIDATE only.
 PRIOR = 0.5
 
@@ -116,19 +117,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id and ``found``, an array of spans ``kind, start, end, value`` (base spans first)."""
     ratios = log_ratios(transition_counts(docs, text_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = []
-            for text in pdf["text"]:
-                base = base_spans(text or "")
-                spans = base + model_spans(text or "", base, ratios, threshold)
-                found.append([{"kind": k, "start": s, "end": e, "value": v} for k, s, e, v in spans])
-            yield pd.DataFrame({"id": pdf["id"], "found": found})
-
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
-    found = slim.mapInPandas(run, f"id {kind}, found array<struct<kind:string,start:int,end:int,value:string>>")
-    return found.withColumnRenamed("id", id_col)
+    def run(texts: list[str | None]):
+        found = []
+        for text in texts:
+            base = base_spans(text or "")
+            spans = base + model_spans(text or "", base, ratios, threshold)
+            found.append([{"kind": k, "start": s, "end": e, "value": v} for k, s, e, v in spans])
+        return None, [found]
+
+    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
+    columns = [("found", "array<struct<kind:string,start:int,end:int,value:string>>", pa.list_(span))]
+    return map_texts(docs, id_col, text_col, columns, run, id_col)
 
 
 def digest(spans: list[tuple]) -> str:

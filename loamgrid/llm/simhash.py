@@ -22,11 +22,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import attach_group, read_documents, staged
+from loamgrid.llm.common import attach_group, map_texts, read_documents, staged
 from loamgrid.llm.graph import connected_components
 
 SHINGLE_WORDS = 4
@@ -71,13 +72,10 @@ def simhash(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, fp`` (the fingerprint's bits as a signed long)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.fromiter((simhash(shingle_hashes(t)) for t in pdf["text"]), np.uint64, len(pdf))
-            yield pd.DataFrame({"id": pdf["id"], "fp": fps.view(np.int64)})
+    def run(texts: list[str | None]):
+        return None, [np.fromiter((simhash(shingle_hashes(t)) for t in texts), np.uint64, len(texts)).view(np.int64)]
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInPandas(run, f"id {slim.schema['id'].dataType.simpleString()}, fp long")
+    return map_texts(docs, id_col, text_col, [("fp", "long", pa.int64())], run)
 
 
 def block_masks(n_fingerprints: int, radius: int = RADIUS) -> list[int]:

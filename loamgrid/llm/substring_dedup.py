@@ -13,14 +13,13 @@ last; repeated rows of one id share its occurrences and lose nothing to each oth
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import attach_group, read_documents, staged
+from loamgrid.llm.common import attach_group, map_texts, read_documents, staged
 
 MIN_WORDS = 8
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -29,6 +28,7 @@ SENTENCE_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
 
 def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, int]]:
     """``(start, end, words, digest high, digest low)`` of each unit."""
+    text = text or ""
     out = []
 
     def add(a: int, b: int) -> int:
@@ -39,7 +39,7 @@ def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, in
         return len(words)
 
     at = 0
-    for line in (text or "").split("\n"):
+    for line in text.split("\n"):
         end = at + len(line)
         if add(at, end) >= 2 * min_words:
             cuts = [at, *(at + m.end() for m in SENTENCE_END.finditer(line)), end]
@@ -53,17 +53,16 @@ def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, in
 def unit_table(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """``id, row, start, end, words, high, low``; every row of ``docs`` also gives one marker row without digest."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["id"], pdf["text"], strict=True):
-                rows.append((doc, -1, len(text or ""), len((text or "").encode("utf-8", "surrogatepass").split()), None, None))
-                rows += [(doc, *u) for u in units_of(text, min_words)]
-            yield pd.DataFrame(rows, columns=["id", "start", "end", "words", "high", "low"]).astype({"high": "Int64", "low": "Int64"})
-
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInPandas(run, f"id {kind}, start long, end long, words long, high long, low long")
+    def run(texts: list[str | None]):
+        rows, units = [], []
+        for i, text in enumerate(texts):
+            own = [(-1, len(text or ""), len((text or "").encode("utf-8", "surrogatepass").split()), None, None), *units_of(text, min_words)]
+            rows += [i] * len(own)
+            units += own
+        return rows, list(zip(*units, strict=True)) if units else [[]] * 5
+
+    columns = [(c, "long", pa.int64()) for c in ("start", "end", "words", "high", "low")]
+    return map_texts(docs, id_col, text_col, columns, run)
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
