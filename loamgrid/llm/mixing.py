@@ -104,8 +104,10 @@ def fair_mix(
         piece = F.greatest(F.lit(0).cast("long"), F.least("size", room))
     passes = passes.withColumn("piece", piece).filter((F.col("piece") > 0) | (F.col("pass_no") == 0))
     passes = passes.withColumn("finish", F.coalesce((start + F.col("piece")) / F.nullif(F.col("target"), F.lit(0.0)), F.lit(0.0)))
-    ranges = 1 << min(12, slices + 2)
-    passes = passes.withColumn("range", F.floor(F.least(F.col("finish"), F.lit(1.0)) * ranges))
+    ranges = 1 << min(16, slices + 2)
+    by_finish = F.floor(F.least(F.col("finish"), F.lit(1.0)) * ranges)
+    # documents that the mix does not take add nothing to any total: they are dealt over all ranges
+    passes = passes.withColumn("range", F.when(F.col("piece") > 0, by_finish).otherwise(F.pmod("u", F.lit(ranges))))
     passes = passes.withColumn("one", F.lit(0))
     order = ["finish", F.col("source").asc_nulls_last(), "u", "id", "row_key", "pass_no"]
     placed = _running(passes, ["one"], "range", order, "piece", "place")
