@@ -13,30 +13,35 @@ from loamgrid.operators.cells import stack_layers
 
 #: Slices of a global ranking; within a slice a window runs, over the slices a prefix of their sums.
 RANK_SLICES = 200
+#: Rows of one slice of a hash order.
+SLICE_ROWS = 100_000
 
 
 def average_ranks(rows: DataFrame, value: str, out: str = "rank") -> DataFrame:
-    """Add the average rank of ``value`` (ties share the mean rank; values count as tied if equal to 12 decimals).
+    """Add the average rank of ``value`` (ties share the mean rank; values count as tied if equal to 12 decimals)."""
+    tied = rows.withColumn("_v", F.round(F.col(value).cast("double"), 12))
+    counts = tied.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).filter("_v IS NOT NULL")
+    return tied.join(_ranks_of_counts(counts, [], rank_cuts(counts, "_v"), out), "_v", "left").drop("_v")
 
-    Distinct values are counted first and cut into slices of about equal size, so no window sees the whole table.
-    """
-    tie = F.round(F.col(value).cast("double"), 12)
-    counts = rows.groupBy(tie.alias("_v")).agg(F.count(F.lit(1)).alias("_n")).filter("_v IS NOT NULL")
+
+def rank_cuts(rows: DataFrame, value: str) -> list[float]:
+    """At most RANK_SLICES numbers that cut the values into slices of about equal size."""
     grid = [i / RANK_SLICES for i in range(1, RANK_SLICES)]
-    cuts = sorted(set(counts.agg(F.percentile_approx("_v", grid, 10_000)).first()[0] or []))  # at most RANK_SLICES numbers
-    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("_v"))) if cuts else F.lit(0)
-    counts = counts.withColumn("_slice", place)
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
-    sums = counts.groupBy("_slice").agg(F.sum("_n").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
-    within = Window.partitionBy("_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.join(F.broadcast(sums.select("_slice", "_base")), "_slice")
-    ranks = counts.select("_v", (F.col("_base") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + (F.col("_n") + 1) / 2).alias(out))
-    return rows.withColumn("_v", tie).join(ranks, "_v", "left").drop("_v")
+    return sorted(set(rows.agg(F.percentile_approx(value, grid, 10_000)).first()[0] or []))
 
 
-def _group_ranks(value: str, by: list[str]) -> Column:
-    same = Window.partitionBy(*by, value)
-    return F.rank().over(Window.partitionBy(*by).orderBy(value)) + (F.count(F.lit(1)).over(same) - 1) / 2
+def _ranks_of_counts(counts: DataFrame, by: list[str], cuts: list[float], out: str) -> DataFrame:
+    """``by, _v, out``: the average rank of each value within ``by``, from ``by, _v, _n`` with one row per distinct value.
+
+    A window runs inside each slice and a prefix over the sums of the slices, so no window sees a whole table or replica.
+    """
+    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("_v"))) if cuts else F.lit(0)
+    counts = counts.withColumn("_slice", place)
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    sums = counts.groupBy(*by, "_slice").agg(F.sum("_n").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    within = Window.partitionBy(*by, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.join(sums.drop("_s"), [*by, "_slice"])
+    return counts.select(*by, "_v", (F.col("_base") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + (F.col("_n") + 1) / 2).alias(out))
 
 
 def spearman(units: DataFrame, fields: list[str]) -> DataFrame:
@@ -55,13 +60,25 @@ def _replicas(rows: DataFrame, first: int, last: int) -> DataFrame:
     return rows.withColumn("replica", F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 
+def _numbered(rows: DataFrame, by: list[str], unit: str, seed: int, n_rows: int) -> DataFrame:
+    """Add ``_i``, numbers from 1 within ``by`` in the order of a hash of ``by``, unit and seed.
+
+    The leading bits of the hash make slices of about SLICE_ROWS rows; windows see one slice or one row per slice.
+    """
+    bits = (n_rows // SLICE_ROWS).bit_length()
+    rows = rows.withColumn("_h", F.xxhash64(F.col(unit), *by, F.lit(seed)))
+    rows = rows.withColumn("_slice", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_h", unit))
+    return rows.join(sums.drop("_s"), [*by, "_slice"]).withColumn("_i", F.col("_base") + place).drop("_h", "_slice", "_base")
+
+
 def permuted(rows: DataFrame, unit: str, fixed: list[str], moved: str, first: int, last: int, seed: int) -> DataFrame:
-    """For each replica the rows with ``moved`` dealt anew: the shuffle is the order of a hash of unit, replica and seed."""
-    r = _replicas(rows.select(unit, *fixed, moved), first, last)
-    key = F.xxhash64(F.col(unit), F.col("replica"), F.lit(seed))
-    by = Window.partitionBy("replica")
-    left = r.select("replica", *fixed, F.row_number().over(by.orderBy(unit)).alias("_i"))
-    right = r.select("replica", moved, F.row_number().over(by.orderBy(key, unit)).alias("_i"))
+    """For each replica the rows with ``moved`` dealt anew: the row that is n-th in a fixed order gets the value that is n-th in the replica's order."""
+    n = rows.count()
+    left = _replicas(_numbered(rows.select(unit, *fixed), [], unit, seed + 1, n).select("_i", *fixed), first, last)
+    right = _numbered(_replicas(rows.select(unit, moved), first, last), ["replica"], unit, seed, n).select("replica", "_i", moved)
     return left.join(right, ["replica", "_i"]).drop("_i")
 
 
@@ -80,15 +97,29 @@ def permutation_test(ranked: DataFrame, unit: str, a: str, b: str, permutations:
     return hits.select("n", "observed", F.when((F.col("n") >= 3) & ~F.isnan("observed"), p).alias("p_value"))
 
 
+def resampled(rows: DataFrame, unit: str, n_rows: int, resamples: int, seed: int) -> DataFrame:
+    """``replica``, the columns of ``rows`` and ``_w``: how often each replica of ``n_rows`` draws with replacement took the row."""
+    numbered = _numbered(rows, [], unit, seed, n_rows)
+    slot = F.xxhash64(F.col("_i"), F.col("replica"), F.lit(seed))
+    draws = _replicas(numbered.select("_i"), 0, resamples - 1).select("replica", (F.pmod(slot, F.lit(n_rows)) + 1).alias("_i"))
+    return draws.groupBy("replica", "_i").agg(F.count(F.lit(1)).alias("_w")).join(numbered, "_i").drop("_i")
+
+
 def bootstrap_interval(units: DataFrame, unit: str, a: str, b: str, resamples: int = 999, seed: int = 42, level: float = 0.95) -> DataFrame:
-    """Percentile interval of Spearman's rho over resamples with replacement, re-ranked each; bounds at index int(q * (m - 1))."""
-    rows = units.select(unit, a, b)
+    """Percentile interval of Spearman's rho over resamples with replacement, re-ranked each; bounds at index int(q * (m - 1)).
+
+    Units with a null in either column are left out.
+    """
+    rows = units.select(unit, F.col(a).cast("double").alias("va"), F.col(b).cast("double").alias("vb")).filter("va IS NOT NULL AND vb IS NOT NULL")
     n = rows.count()
-    r = _replicas(rows, 0, resamples - 1).withColumn("_i", F.row_number().over(Window.partitionBy("replica").orderBy(unit)) - 1)
-    draw = r.select("replica", F.pmod(F.xxhash64(F.col("_i"), F.col("replica"), F.lit(seed)), F.lit(n)).cast("int").alias("_i"))
-    drawn = draw.join(r.select("replica", "_i", a, b), ["replica", "_i"])
-    ranked = drawn.select("replica", _group_ranks(a, ["replica"]).alias("ra"), _group_ranks(b, ["replica"]).alias("rb"))
-    rho = ranked.groupBy("replica").agg(F.corr("ra", "rb").alias("rho")).filter(F.col("rho").isNotNull() & ~F.isnan("rho"))
+    drawn = resampled(rows, unit, n, resamples, seed)
+    for v in ("va", "vb"):
+        counts = drawn.groupBy("replica", F.col(v).alias("_v")).agg(F.sum("_w").alias("_n"))
+        ranks = _ranks_of_counts(counts, ["replica"], rank_cuts(rows, v), f"r{v}").withColumnRenamed("_v", v)
+        drawn = drawn.join(ranks, ["replica", v])
+    da, db, w = F.col("rva") - (n + 1) / 2, F.col("rvb") - (n + 1) / 2, F.col("_w")  # the mean rank of n draws is known
+    spread = F.sqrt(F.sum(w * da * da) * F.sum(w * db * db))
+    rho = drawn.groupBy("replica").agg((F.sum(w * da * db) / F.nullif(spread, F.lit(0.0))).alias("rho")).filter("rho IS NOT NULL")
     s = rho.agg(F.array_sort(F.collect_list("rho")).alias("s"))  # one number per resample
     at = lambda q: F.get("s", F.floor(F.lit(q) * (F.size("s") - 1)).cast("int"))
     return s.select(F.size("s").alias("resamples"), at((1 - level) / 2).alias("low"), at((1 + level) / 2).alias("high"))

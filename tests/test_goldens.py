@@ -1,6 +1,7 @@
 """Hand-worked results on small cell tables, units and samples."""
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -177,6 +178,28 @@ def test_permutation_and_bootstrap(spark):
     assert b["low"] < rho < b["high"] and b["high"] - b["low"] < 0.5
 
 
+def test_replicas_are_permutations_and_resamples(spark, monkeypatch):
+    monkeypatch.setattr(ST, "SLICE_ROWS", 4)  # several slices on a small table
+    u = spark.createDataFrame([(i, float(i % 7), float(i * i % 11)) for i in range(60)], "u long, x double, y double")
+    got = defaultdict(list)
+    for r in ST.permuted(u, "u", ["x"], "y", 0, 4, 3).collect():
+        got[r["replica"]].append((r["x"], r["y"]))
+    assert sorted(got) == list(range(5)) and len({tuple(sorted(v)) for v in got.values()}) == 5
+    for v in got.values():
+        assert sorted(x for x, _ in v) == sorted(float(i % 7) for i in range(60)) and sorted(y for _, y in v) == sorted(float(i * i % 11) for i in range(60))
+
+    def ranks(v):
+        return np.array([np.sum(v < x) + (np.sum(v == x) + 1) / 2 for x in v])
+
+    draws = defaultdict(list)
+    for r in ST.resampled(u.select("u", F.col("x").alias("va"), F.col("y").alias("vb")), "u", 60, 21, 42).collect():
+        draws[r["replica"]] += [(r["va"], r["vb"])] * r["_w"]
+    assert all(len(v) == 60 for v in draws.values())
+    rho = sorted(np.corrcoef(*[ranks(c) for c in np.array(v).T])[0, 1] for v in draws.values())
+    b = ST.bootstrap_interval(u, "u", "x", "y", 21).first()
+    assert b["resamples"] == 21 and math.isclose(b["low"], rho[0], abs_tol=1e-9) and math.isclose(b["high"], rho[19], abs_tol=1e-9)
+
+
 def test_maximum_likelihood_matches_numpy(spark):
     rng = np.random.default_rng(5)
     data = [(c, rng.normal(c, 1 + c / 2, 2).tolist()) for c in (0, 1, 2) for _ in range(30)] + [(9, [0.0, 0.0])]
