@@ -7,7 +7,8 @@ If even the closest multiset leaves slack, the next longest remainder is cut to
 padding; its tokens are split so that what lacks a full window ends at powers of two where that needs few pieces.
 
 Null text is empty (one end id). Repeated rows are packed each; rows tie-break on id and content. An empty table gives
-an empty result; other columns are ignored. Ids come from the byte-level BPE vocabulary file given as a parameter.
+an empty result; other columns are ignored. Ids come from the byte-level BPE vocabulary file given as a parameter; strings
+of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations

@@ -231,9 +231,15 @@ def test_packing(docs, empty):
             at += r.length
         assert at <= 256
     assert sum(r.length for r in got) == sum(n * k for (_, n, _), k in want.items())
-    one = [r for r in got if r.doc_id == 10]
-    ids = np.array([*tok.encode(rows()[10][1], add_special_tokens=False).ids, 0], np.uint32)
-    assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in one) and sum(r.length for r in one) == len(ids)
+    repeated = Counter(x[0] for x in rows())
+    for doc_id, text, *_ in (x for x in rows() if repeated[x[0]] == 1):
+        own = [r for r in got if r.doc_id == doc_id]
+        ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], np.uint32)
+        assert sum(r.length for r in own) == len(ids) and {r.doc_tokens for r in own} == {len(ids)}
+        assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in own)
+    encode = packing.encoder(packing.vocabulary_path())
+    for text in ("a <|endoftext|> b", "\u00a0\u2003x \U0001f600", "It's  12345\t\tnaïve\r\n", "\x00\x1f" + "z" * 5000):
+        assert encode(text).tolist() == tok.encode(text, add_special_tokens=False).ids
     assert packing.pack(empty).count() == 0
 
 
