@@ -40,7 +40,8 @@ def _ranks_of_counts(counts: DataFrame, by: list[str], cuts: list[float], out: s
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
     sums = counts.groupBy(*by, "_slice").agg(F.sum("_n").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
     within = Window.partitionBy(*by, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.join(sums.drop("_s"), [*by, "_slice"])
+    sums = sums.drop("_s") if by else F.broadcast(sums.drop("_s"))  # without groups at most RANK_SLICES rows
+    counts = counts.join(sums, [*by, "_slice"])
     return counts.select(*by, "_v", (F.col("_base") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + (F.col("_n") + 1) / 2).alias(out))
 
 
