@@ -11,12 +11,18 @@ The number of blocks follows the number of fingerprints, so that buckets of unre
 fingerprints (a dense group of near copies) is split into tiles, every pair of which meets in a task of its own: bounded
 memory, no pair lost.
 
+``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Such pairs differ in a seventh of
+their bits, too many for a key on bit blocks, so fingerprints of 512 bits over the set of shingles meet on bands of min-hashes, and
+references are fingerprints of the bucket itself, as random ones lie equally far from everything. A pair that survives is a link if its
+fingerprints differ in no more bits than two standard deviations over what the similarity implies.
+
 Null and empty texts have fingerprint zero and are linked like any other. A null id never becomes a component id unless
 the component has no other; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,7 +43,10 @@ TILE = 4096
 SMALL = 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Reference fingerprints from a fixed seed.
-PIVOTS = np.random.default_rng(20).integers(0, 2**64, 16, dtype=np.uint64)
+PIVOTS = np.random.default_rng(20).integers(0, 2**64, (16, 1), dtype=np.uint64)
+#: Links by similarity: bits of a fingerprint, and min-hash keys by rows. Of pairs at 0.8, (1 - 0.8**4)**16 = 0.0002 share no key.
+WIDE_BITS, BANDS, BAND_ROWS = 512, 16, 4
+_ODD = np.random.default_rng(21).integers(0, 2**63, WIDE_BITS // 64 + BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Tables of oversized buckets of at most this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_BUCKETS = 20_000
 
@@ -88,8 +97,13 @@ def block_masks(n_fingerprints: int, radius: int = RADIUS) -> list[int]:
     return [sum(c) for c in combinations(block, blocks - radius)]
 
 
-def pivot_table(fps: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints, one row of 64-bit words each."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
+
+
+def pivot_table(fps: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return distances(fps[:, None, :], pivots[None, :, :])
 
 
 def linked_pairs(fps: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
@@ -97,7 +111,7 @@ def linked_pairs(fps: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarra
     left = np.arange(len(a))
     for p in range(table.shape[1]):
         left = left[np.abs(table[a[left], p] - table[b[left], p]) <= radius]
-    return left[np.bitwise_count(fps[a[left]] ^ fps[b[left]]) <= radius]
+    return left[distances(fps[a[left]], fps[b[left]]) <= radius]
 
 
 def walk(fps: np.ndarray, table: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -116,32 +130,40 @@ def walk(fps: np.ndarray, table: np.ndarray, radius: int) -> list[tuple[int, int
 
 
 def bucket_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges inside each run of equal ``group`` numbers."""
+    """Row numbers of the edges inside each run of equal ``group`` numbers."""
+    wide = fps.shape[1] > 1
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
-    us, vs = [], []
+    us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist():
-        rows = starts[sizes == size][:, None]
+        members = (starts[sizes == size][:, None] + np.arange(size)).ravel()
+        own = fps[members]
+        first = np.arange(0, len(members), size)
         i, j = np.triu_indices(size, 1)
-        a, b = (rows + i).ravel(), (rows + j).ravel()
-        used, inverse = np.unique(np.concatenate((a, b)), return_inverse=True)
-        hit = linked_pairs(fps[used], pivot_table(fps[used]), inverse[: len(a)], inverse[len(a) :], radius)
-        us.append(a[hit])
-        vs.append(b[hit])
+        a, b = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
+        table = distances(own, own[np.repeat(first, size)])[:, None] if wide else pivot_table(own, PIVOTS)
+        hit = linked_pairs(own, table, a, b, radius)
+        us.append(members[a[hit]])
+        vs.append(members[b[hit]])
     for k in np.flatnonzero(sizes > SMALL).tolist():
         own = fps[starts[k] : starts[k] + sizes[k]]
-        found = np.array(walk(own, pivot_table(own), radius), np.int64).reshape(-1, 2) + starts[k]
+        pivots = own[:: -(-len(own) // len(PIVOTS))] if wide else PIVOTS
+        found = np.array(walk(own, pivot_table(own, pivots), radius), np.int64).reshape(-1, 2) + starts[k]
         us.append(found[:, 0])
         vs.append(found[:, 1])
-    u, v = np.concatenate([*us, np.empty(0, np.int64)]), np.concatenate([*vs, np.empty(0, np.int64)])
-    return fps[u], fps[v]
+    return np.concatenate(us), np.concatenate(vs)
 
 
 def near_edges(distinct: DataFrame, n_fingerprints: int, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges ``u, v`` (fingerprints as longs) that connect all fingerprints within ``radius`` bits of each other."""
     masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(n_fingerprints, radius)]
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]))
-    keyed = distinct.select("fp", keys.alias("k")).select("fp", "k.*")
+    return bucketed_edges(distinct.select("fp", keys.alias("k")).select("k.*", "fp"), radius, tile)
+
+
+def bucketed_edges(keyed: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+    """Edges ``u, v`` inside the buckets of ``table, key, fp`` and, where a fingerprint is no long, its ``node``."""
+    columns = keyed.columns
     large = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile)
     large = staged(large.select(F.col("table").alias("_t"), F.col("key").alias("_k"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "buckets")
     side = F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large
@@ -149,7 +171,7 @@ def near_edges(distinct: DataFrame, n_fingerprints: int, radius: int = RADIUS, t
     tiles = F.coalesce("tiles", F.lit(1))
     keyed = keyed.withColumn("own", F.pmod(F.xxhash64("fp"), tiles).cast("int"))
     keyed = keyed.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    keyed = keyed.select("table", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp")
+    keyed = keyed.select("table", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), *columns[2:])
     dealt = keyed.repartition("table", "key", "a", "b").sortWithinPartitions("table", "key", "a", "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,35 +193,87 @@ def near_edges(distinct: DataFrame, n_fingerprints: int, radius: int = RADIUS, t
         for c in ("table", "key", "a", "b"):
             x = pdf[c].to_numpy()
             new[1:] |= x[1:] != x[:-1]
-        u, v = bucket_edges(np.cumsum(new), pdf["fp"].to_numpy().view(np.uint64), radius)
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+        if "node" in pdf:
+            node, fps = pdf["node"].to_numpy(), np.frombuffer(b"".join(pdf["fp"]), "<u8").reshape(len(pdf), -1)
+        else:
+            node = pdf["fp"].to_numpy()
+            fps = node.view(np.uint64)[:, None]
+        u, v = bucket_edges(np.cumsum(new), fps, radius)
+        return pd.DataFrame({"u": node[u], "v": node[v]})
 
     return dealt.mapInPandas(run, "u long, v long")
 
 
+def with_components(rows: DataFrame, distinct: DataFrame, edges: DataFrame, node: str, total: int) -> DataFrame:
+    """Add ``component_id`` to ``rows``; ``distinct`` has each ``node`` once, with its ``min_id`` and number ``n`` of rows."""
+    roots = connected_components(edges).select(F.col("node").alias("_node"), "root")
+    linked = distinct.join(roots, distinct[node] == F.col("_node")).select("_node", "root", "min_id")
+    smallest = linked.groupBy("root").agg(F.min("min_id").alias("smallest")).withColumnRenamed("root", "_r")
+    linked = linked.join(smallest, F.col("root") == F.col("_r")).select("_node", "smallest")
+    groups = distinct.join(linked, F.col(node) == F.col("_node"), "left").select(node, "n", F.coalesce("smallest", "min_id").alias("component_id"))
+    return attach_group(rows, staged(groups, "groups"), [node], "n", ["component_id"], F.col("id"), total)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id``."""
+    """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id``. Fingerprints within ``radius`` bits link."""
     rows = staged(fingerprints(docs, id_col, text_col), "fingerprints")
     distinct = staged(rows.groupBy("fp").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n")), "distinct")
     total, n = (distinct.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first())
-    roots = connected_components(near_edges(distinct, n, radius, tile))
-    linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "root", "min_id")
-    smallest = linked.groupBy("root").agg(F.min("min_id").alias("smallest")).withColumnRenamed("root", "_r")
-    linked = linked.join(smallest, F.col("root") == F.col("_r")).select(F.col("fp").alias("_fp"), "smallest")
-    groups = distinct.join(linked, F.col("fp") == F.col("_fp"), "left").select("fp", "n", F.coalesce("smallest", "min_id").alias("component_id"))
-    groups = staged(groups, "groups")
-    out = attach_group(rows, groups, ["fp"], "n", ["component_id"], F.col("id"), total)
+    out = with_components(rows, distinct, near_edges(distinct, n, radius, tile), "fp", total)
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all columns: of each component the one with the smallest id (one row of it)."""
-    found = near_duplicates(docs, id_col, text_col)
+def mixed(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """One further hash of each hash per multiplier."""
+    x = (hashes ^ (hashes >> np.uint64(32)))[:, None] * odd
+    return x ^ (x >> np.uint64(29))
+
+
+def signature(text: str | None, shingle_words: int) -> tuple[bytes, list[int]]:
+    """The wide fingerprint of the set of shingles, and a key per band of min-hashes; all zero if there are no words."""
+    hashes = np.unique(shingle_hashes(text, shingle_words))
+    words = WIDE_BITS // 64
+    set_bits, least = np.zeros(WIDE_BITS, np.int64), np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
+    for part in range(0, len(hashes), 1024):
+        own = mixed(hashes[part : part + 1024], _ODD)
+        bits = np.unpackbits(np.ascontiguousarray(own[:, :words]).astype("<u8", copy=False).view(np.uint8), bitorder="little")
+        set_bits += bits.reshape(-1, WIDE_BITS).sum(axis=0, dtype=np.uint16)
+        least = np.minimum(least, own[:, words:].min(axis=0))
+    fp = np.packbits(set_bits * 2 > len(hashes), bitorder="little").tobytes()
+    bands = least.astype("<u8").reshape(BANDS, BAND_ROWS)
+    return fp, [xxhash.xxh64_intdigest(b.tobytes()) - (1 << 63) for b in bands]
+
+
+def similarity_radius(similarity: float, spread: float = 2.0) -> int:
+    """Bits in which pairs at ``similarity`` differ at most: sets have a cosine of 2s / (1 + s) or more, and a bit differs with probability angle / pi."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(WIDE_BITS * p + spread * math.sqrt(WIDE_BITS * p * (1 - p)))
+
+
+def similar_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle_words: int = 5, tile: int = TILE
+) -> DataFrame:
+    """One row per input row: id, ``component_id``, the smallest id reachable over links of ``similarity`` or more."""
+
+    def run(texts: list[str | None]):
+        return None, list(zip(*[signature(t, shingle_words) for t in texts], strict=True)) or [[], []]
+
+    columns = [("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64()))]
+    rows = staged(map_texts(docs, id_col, text_col, columns, run).withColumn("node", F.xxhash64("fp", "bands")), "signatures")
+    distinct = rows.groupBy("node", "fp", "bands").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n"))
+    distinct = staged(distinct, "distinct")
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    keyed = distinct.select(F.posexplode("bands").alias("table", "key"), "fp", "node")
+    out = with_components(rows.select("id", "node"), distinct, bucketed_edges(keyed, similarity_radius(similarity), tile), "node", total)
+    return out.select(F.col("id").alias(id_col), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
+    """The documents that stay, with all columns: of each component of similar documents the one with the smallest id (one row of it)."""
+    found = similar_documents(docs, id_col, text_col, similarity)
     ids = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
     return docs.join(ids, docs[id_col].eqNullSafe(ids["_keep"]), "left_semi").dropDuplicates([id_col])
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir))
-
-

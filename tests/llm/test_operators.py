@@ -330,6 +330,75 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def brute_similar(texts):
+    """Component of each id when all pairs are compared that share a min-hash band."""
+    own = {d: simhash.signature(t, 5) for d, t in texts}
+    fps = {d: np.frombuffer(fp, "<u8") for d, (fp, _) in own.items()}
+    comp = {d: d for d in own}
+    met = defaultdict(set)
+    for d, (_, bands) in own.items():
+        for band in enumerate(bands):
+            met[band].add(d)
+
+    def find(d):
+        while comp[d] != d:
+            d = comp[d]
+        return d
+
+    for ds in met.values():
+        for a in ds:
+            for b in ds:
+                if a < b and np.bitwise_count(fps[a] ^ fps[b]).sum() <= simhash.similarity_radius(0.8):
+                    p, q = find(a), find(b)
+                    comp[max(p, q)] = min(p, q)
+    return {d: find(d) for d in comp}
+
+
+def test_similar_documents(spark, docs, empty):
+    got = simhash.similar_documents(docs).collect()
+    want = brute_similar([(10**9 if x[0] is None else x[0], x[1]) for x in rows()])
+    assert Counter((10**9 if r.doc_id is None else r.doc_id, r.component_id) for r in got) == Counter((d, want[d]) for d in (10**9 if x[0] is None else x[0] for x in rows()))
+    assert simhash.similar_documents(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+    r = random.Random(12)  # three dense groups of edited copies, each over several tiles, among unrelated texts
+    texts = []
+    for g in range(3):
+        base = prose(40 + g, 150).split()
+        for _ in range(40):
+            t = list(base)
+            for _ in range(r.randint(0, 2)):
+                t[r.randrange(len(t))] = f"edit{r.randrange(99)}"
+            texts.append(" ".join(t))
+    texts += [prose(700 + i, 60) for i in range(60)]
+    table = list(enumerate(texts))
+    r.shuffle(table)
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    for tile in (8, 4096):
+        assert {x.doc_id: x.component_id for x in simhash.similar_documents(df, tile=tile).collect()} == brute_similar(table)
+
+
+def test_similar_pairs_are_linked(spark):
+    """Pairs of five-word shingle sets at 0.8 or more lie in one component; components hold no unrelated text."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    comp = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    sets = {r.doc_id: set(simhash.shingle_hashes(r.text, 5).tolist()) for r in docs.collect()}
+    sharing, common = defaultdict(list), Counter()
+    for d, s in sets.items():
+        for x in s:
+            sharing[x].append(d)
+    for ds in sharing.values():
+        common.update((a, b) for a in ds for b in ds if a < b)
+    alike = {k: n / (len(sets[k[0]]) + len(sets[k[1]]) - n) for k, n in common.items()}
+    near = [k for k, j in alike.items() if j >= 0.8]
+    assert len(near) > 20 and np.mean([comp[a] == comp[b] for a, b in near]) > 0.97
+    best = Counter()
+    for (a, b), j in alike.items():
+        if comp[a] == comp[b]:
+            best[a], best[b] = max(best[a], j), max(best[b], j)
+    sizes = Counter(comp.values())
+    assert all(best[d] >= 0.55 or not sets[d] for d, c in comp.items() if sizes[c] > 1)
+
+
 def test_dense_bucket_components(spark):
     """A chain of fingerprints, each near the next only, in tiles of a few: one component; far ones stay alone."""
     from loamgrid.llm.graph import connected_components
@@ -366,7 +435,8 @@ def test_pipeline(spark):
     exact = stage["exact_dedup"](spark, kept, SF)
     assert exact.count() == len({re.sub(r"[\x20\x09-\x0D]+", " ", r.text) for r in kept.collect()})
     near = stage["simhash_near_dedup"](spark, exact, SF)
-    assert {r.doc_id for r in near.collect()} == {r.component_id for r in simhash.near_duplicates(exact).collect()}
+    components = brute_similar([(r.doc_id, r.text) for r in exact.collect()])
+    assert {r.doc_id for r in near.collect()} == set(components.values()) and near.count() < exact.count()
     mixed = stage["mix_sources"](spark, near, SF)
     assert all(s.columns == docs.columns for s in (kept, exact, near, mixed))
     packed = corpus_pipeline.run(spark, SF)
