@@ -1,7 +1,9 @@
-"""Removing passages that repeat across documents, by line and sentence hashing.
+"""Removing passages that repeat across documents, by line, sentence and chunk hashing.
 
-Units are the lines of a text and, in lines of several sentences, its sentences, so that a passage set into other
-text is found too. A unit of ``min_words`` words or more is normalised (A-Z lower-cased, white space squeezed) and hashed to 128 bits; digests are grouped
+Units are the lines of a text and the sentences of each line. A line or sentence of under ``min_words`` words is joined with
+those after it, and with those before it, until there are as many, so that verse, lists, code, hard-wrapped text and short sentences
+count when their neighbours repeat too. Passages that keep neither line nor sentence ends are found by chunks: runs of ``min_words`` words or more between
+places chosen by a hash of two words, which fall alike wherever the passage stands. A unit is normalised (A-Z lower-cased, white space squeezed) and hashed to 128 bits; digests are grouped
 globally, the occurrence with the smallest (doc id, position) stays, and the others are removed. Positions in the
 original text (code points) are kept for every removed unit.
 
@@ -13,7 +15,10 @@ last; repeated rows of one id share its occurrences and lose nothing to each oth
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -23,30 +28,64 @@ from loamgrid.llm.common import attach_group, map_texts, read_documents, staged
 
 MIN_WORDS = 8
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+WORD_SPAN = re.compile(r"[^\x20\x09-\x0D]+")
+#: Chunks begin at one word pair in 2**CUT_BITS.
+CUT_BITS = 3
+PAIR = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 SENTENCE_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
 
 
 def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, int]]:
-    """``(start, end, words, digest high, digest low)`` of each unit."""
+    """``(start, end, words, digest high, digest low)`` of each unit; occurrences of one digest do not overlap."""
     text = text or ""
-    out = []
-
-    def add(a: int, b: int) -> int:
-        words = text[a:b].encode("utf-8", "surrogatepass").translate(LOWER).split()
-        if len(words) >= min_words:
-            d = xxhash.xxh128_intdigest(b" ".join(words), 7)
-            out.append((a, b, len(words), (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)))
-        return len(words)
-
-    at = 0
+    spans = [m.span() for m in WORD_SPAN.finditer(text)]
+    if len(spans) < min_words:
+        return []
+    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+    starts = [a for a, _ in spans]
+    units, pieces = {}, []  # character range: word range; pieces as (start, end, first word, word after the last)
+    at = i = 0
     for line in text.split("\n"):
         end = at + len(line)
-        if add(at, end) >= 2 * min_words:
-            cuts = [at, *(at + m.end() for m in SENTENCE_END.finditer(line)), end]
-            if len(cuts) > 2:
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    add(a, b)
+        j = bisect_left(starts, end, i)
+        if j - i >= min_words:
+            units[at, end] = (i, j)
+        cuts = [at, *(at + m.end() for m in SENTENCE_END.finditer(line)), end]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            k = bisect_left(starts, b, i)
+            if k > i:
+                pieces.append((a, b, i, k))
+            i = k
         at = end + 1
+
+    for n, (a, b, i, j) in enumerate(pieces):
+        if j - i >= min_words:
+            units[a, b] = (i, j)
+            continue
+        m = n  # a short piece counts together with those after it, and with those before it
+        while m + 1 < len(pieces) and pieces[m][3] - i < min_words:
+            m += 1
+        if pieces[m][3] - i >= min_words:
+            units[a, pieces[m][1]] = (i, pieces[m][3])
+        m = n
+        while m and j - pieces[m][2] < min_words:
+            m -= 1
+        if j - pieces[m][2] >= min_words:
+            units[pieces[m][0], b] = (pieces[m][2], j)
+
+    h = np.fromiter(map(crc32, words), np.uint64, len(words))
+    pair = (h[:-1] * PAIR[0] ^ h[1:]) * PAIR[1]
+    cut = np.flatnonzero(pair >> np.uint64(64 - CUT_BITS) == 0)  # places that depend on two words only
+    to = np.searchsorted(cut, cut + min_words)
+    for i, j in zip(cut[to < len(cut)].tolist(), cut[to[to < len(cut)]].tolist(), strict=True):
+        units.setdefault((starts[i], starts[j]), (i, j))
+
+    out, ends = [], {}
+    for (a, b), (i, j) in sorted(units.items(), key=lambda u: (u[0][0], -u[0][1])):
+        d = xxhash.xxh128_intdigest(b" ".join(words[i:j]), 7)
+        if ends.get(d, 0) <= a:
+            ends[d] = b
+            out.append((a, b, j - i, (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)))
     return out
 
 

@@ -108,6 +108,23 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeats_without_long_lines_or_sentences_go(spark):
+    """A passage of short lines, of short sentences, without sentence ends inside a line, wrapped anew; short lines of a kept text stay."""
+    w = prose(31, 60).split()
+    verse = "\n".join(" ".join(w[i : i + 5]) for i in range(0, 60, 5))
+    short = " ".join(" ".join(w[i : i + 4]) + "." for i in range(0, 60, 4))
+    plain, wrapped = " ".join(w[::-1]), "\n".join(" ".join(w[::-1][i : i + 7]) for i in range(0, 60, 7))
+    middle = "eight words stand in this one sentence here. Two more."
+    texts = [verse, "x\n" + verse + "\ny", short, "Other words first. " + short + " Then others.", plain, prose(32, 30) + " " + plain + " " + prose(33, 30), wrapped, middle, middle.split(". ")[0] + ". New end.", "a b c d\n" * 6]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(df).collect()}
+    left = lambda d: "".join(c for i, c in enumerate(texts[d]) if not any(s.start <= i < s.end for s in got[d].removed))
+    assert left(1).split() == ["x", "y"] and left(3).split() == "Other words first. Then others.".split()
+    assert all(len(left(d).split()) - extra < 30 for d, extra in ((5, 60), (6, 0)))
+    assert left(8) == "New end." and left(9).split() == "a b c d a b c d".split()
+    assert all(not got[d].removed for d in (0, 2, 4, 7))
+
+
 def test_secrets(docs, empty):
     got = defaultdict(list)
     for r in secrets.find_secrets(docs).collect():
