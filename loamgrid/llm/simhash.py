@@ -11,10 +11,10 @@ The number of blocks follows the number of fingerprints, so that buckets of unre
 fingerprints (a dense group of near copies) is split into tiles, every pair of which meets in a task of its own: bounded
 memory, no pair lost.
 
-``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Such pairs differ in a seventh of
-their bits, too many for a key on bit blocks, so fingerprints of 512 bits over the set of shingles meet on bands of min-hashes, and
-references are fingerprints of the bucket itself, as random ones lie equally far from everything. A pair that survives is a link if its
-fingerprints differ in no more bits than two standard deviations over what the similarity implies.
+``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Documents that share a band of
+min-hashes, directly or through others, form a cluster; inside it a pair is a link if its 512-bit fingerprints lie within the radius, or if its shared shingles, counted exactly, reach the similarity. Only
+pairs of large sets far beyond the radius are not counted. A pair at the similarity is missed only if no chain of shared bands joins it; pairs
+a little below it may be linked by their fingerprints.
 
 Null and empty texts have fingerprint zero and are linked like any other. A null id never becomes a component id unless
 the component has no other; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
@@ -46,6 +46,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, (16, 1), dtype=np.uint64)
 #: Links by similarity: bits of a fingerprint, and min-hash keys by rows. Of pairs at 0.8, (1 - 0.8**4)**16 = 0.0002 share no key.
 WIDE_BITS, BANDS, BAND_ROWS = 512, 16, 4
+#: Sets of fewer shingles are compared without a look at the fingerprints, whose majority bits are uneven in small sets.
+LARGE_SET = 64
 _ODD = np.random.default_rng(21).integers(0, 2**63, WIDE_BITS // 64 + BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Tables of oversized buckets of at most this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_BUCKETS = 20_000
@@ -131,7 +133,6 @@ def walk(fps: np.ndarray, table: np.ndarray, radius: int) -> list[tuple[int, int
 
 def bucket_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of the edges inside each run of equal ``group`` numbers."""
-    wide = fps.shape[1] > 1
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
     us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -141,14 +142,13 @@ def bucket_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.nd
         first = np.arange(0, len(members), size)
         i, j = np.triu_indices(size, 1)
         a, b = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
-        table = distances(own, own[np.repeat(first, size)])[:, None] if wide else pivot_table(own, PIVOTS)
+        table = pivot_table(own, PIVOTS)
         hit = linked_pairs(own, table, a, b, radius)
         us.append(members[a[hit]])
         vs.append(members[b[hit]])
     for k in np.flatnonzero(sizes > SMALL).tolist():
         own = fps[starts[k] : starts[k] + sizes[k]]
-        pivots = own[:: -(-len(own) // len(PIVOTS))] if wide else PIVOTS
-        found = np.array(walk(own, pivot_table(own, pivots), radius), np.int64).reshape(-1, 2) + starts[k]
+        found = np.array(walk(own, pivot_table(own, PIVOTS), radius), np.int64).reshape(-1, 2) + starts[k]
         us.append(found[:, 0])
         vs.append(found[:, 1])
     return np.concatenate(us), np.concatenate(vs)
@@ -162,7 +162,7 @@ def near_edges(distinct: DataFrame, n_fingerprints: int, radius: int = RADIUS, t
 
 
 def bucketed_edges(keyed: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """Edges ``u, v`` inside the buckets of ``table, key, fp`` and, where a fingerprint is no long, its ``node``."""
+    """Edges ``u, v`` inside the buckets of ``table, key, fp``."""
     columns = keyed.columns
     large = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile)
     large = staged(large.select(F.col("table").alias("_t"), F.col("key").alias("_k"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "buckets")
@@ -193,11 +193,8 @@ def bucketed_edges(keyed: DataFrame, radius: int, tile: int = TILE) -> DataFrame
         for c in ("table", "key", "a", "b"):
             x = pdf[c].to_numpy()
             new[1:] |= x[1:] != x[:-1]
-        if "node" in pdf:
-            node, fps = pdf["node"].to_numpy(), np.frombuffer(b"".join(pdf["fp"]), "<u8").reshape(len(pdf), -1)
-        else:
-            node = pdf["fp"].to_numpy()
-            fps = node.view(np.uint64)[:, None]
+        node = pdf["fp"].to_numpy()
+        fps = node.view(np.uint64)[:, None]
         u, v = bucket_edges(np.cumsum(new), fps, radius)
         return pd.DataFrame({"u": node[u], "v": node[v]})
 
@@ -250,24 +247,109 @@ def similarity_radius(similarity: float, spread: float = 2.0) -> int:
     return math.floor(WIDE_BITS * p + spread * math.sqrt(WIDE_BITS * p * (1 - p)))
 
 
+def signatures(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
+    """Per row ``id``, ``node`` (of the set of shingles), ``fp``, ``bands``, ``n_shingles`` and ``shingles``."""
+
+    def run(texts: list[str | None]):
+        rows = []
+        for t in texts:
+            own = np.unique(shingle_hashes(t, shingle_words)).astype("<u8").tobytes()
+            rows.append((xxhash.xxh64_intdigest(own, 23) - (1 << 63), *signature(t, shingle_words), len(own) // 8, own))
+        return None, list(zip(*rows, strict=True)) or [[]] * 5
+
+    columns = [("node", "long", pa.int64()), ("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("n_shingles", "long", pa.int64()), ("shingles", "binary", pa.binary())]
+    return staged(map_texts(docs, id_col, text_col, columns, run), "signatures")
+
+
+def similar_edges(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
+    """Edges ``u, v`` that connect all nodes that are links (see ``walk_sets``), among those that bands connect.
+
+    ``distinct``: ``node, fp, bands, n_shingles, shingles``. Nodes that share bands, directly or through others, form a cluster. A
+    set goes once to its cluster; a cluster above ``tile`` sets (or 512 shingles a set) is split into tiles, every pair of which meets.
+    """
+    keyed = distinct.select("node", F.posexplode("bands").alias("table", "band"))
+    heads = staged(keyed.groupBy("table", "band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "heads")
+    total = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    met = attach_group(keyed, heads, ["band", "table"], "n", ["head"], F.col("node"), total)
+    clusters = connected_components(met.filter("head IS NOT NULL").select(F.col("node").alias("u"), F.col("head").alias("v")))
+    clusters = clusters.select(F.col("node").alias("_node"), F.col("root").alias("cluster"))
+    sets = staged(distinct.join(clusters, F.col("node") == F.col("_node")).select("cluster", "node", "fp", "n_shingles", "shingles"), "sets")
+    large = sets.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n_shingles") / (512 * tile))).cast("int").alias("tiles"))
+    large = staged(large.filter("tiles > 1").withColumnRenamed("cluster", "_c"), "clusters")
+    side = F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large
+    sets = sets.join(side, F.col("cluster") == F.col("_c"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    sets = sets.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    sets = sets.select("cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "fp", "shingles")
+    dealt = sets.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held = None, []
+        for pdf in batches:
+            for k, part in pdf.groupby(["cluster", "a", "b"], sort=False):
+                if k != place and held:
+                    yield edges_of(pd.concat(held))
+                    held = []
+                place = k
+                held.append(part)
+        if held:
+            yield edges_of(pd.concat(held))
+
+    def edges_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        node = pdf["node"].to_numpy()
+        found = walk_sets(np.frombuffer(b"".join(pdf["fp"]), "<u8").reshape(len(pdf), -1), [np.frombuffer(x, "<u8") for x in pdf["shingles"]], similarity)
+        return pd.DataFrame({"u": node[[x for x, _ in found]], "v": node[[y for _, y in found]]}, dtype=np.int64)
+
+    return dealt.mapInPandas(run, "u long, v long")
+
+
+def walk_sets(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges that connect each component of sets. A link is a pair within the radius of the fingerprints, or one whose shared shingles reach ``similarity``."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(len(codes) + 1, bool)
+    near, far = similarity_radius(similarity), similarity_radius(similarity, 9.0)
+    edges, unseen = [], np.arange(len(sets))
+    while len(unseen) > 1:
+        frontier, unseen = [unseen[0]], unseen[1:]
+        while frontier and len(unseen):
+            x = frontier.pop()
+            own = codes[bounds[x] : bounds[x + 1]]
+            may = np.minimum(sizes[unseen], sizes[x]) >= similarity * np.maximum(sizes[unseen], sizes[x])
+            apart = distances(fps[unseen], fps[x])
+            may &= (np.minimum(sizes[unseen], sizes[x]) < LARGE_SET) | (apart <= far)
+            may |= apart <= near
+            mark[own] = True
+            hit = [k for k in np.flatnonzero(may).tolist() if apart[k] <= near or reaches(int(mark[codes[bounds[unseen[k]] : bounds[unseen[k] + 1]]].sum()), int(sizes[unseen[k]] + sizes[x]), similarity)]
+            mark[own] = False
+            if hit:
+                edges += [(y, x) for y in unseen[hit].tolist()]
+                frontier += unseen[hit].tolist()
+                unseen = np.delete(unseen, hit)
+    return edges
+
+
+def reaches(shared: int, both: int, similarity: float) -> bool:
+    return shared >= similarity * (both - shared) - 1e-9
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle_words: int = 5, tile: int = TILE
 ) -> DataFrame:
     """One row per input row: id, ``component_id``, the smallest id reachable over links of ``similarity`` or more."""
-
-    def run(texts: list[str | None]):
-        return None, list(zip(*[signature(t, shingle_words) for t in texts], strict=True)) or [[], []]
-
-    columns = [("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64()))]
-    rows = staged(map_texts(docs, id_col, text_col, columns, run).withColumn("node", F.xxhash64("fp", "bands")), "signatures")
-    distinct = rows.groupBy("node", "fp", "bands").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n"))
+    rows = signatures(docs, id_col, text_col, shingle_words)
+    distinct = rows.groupBy("node").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n"))
     distinct = staged(distinct, "distinct")
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    keyed = distinct.select(F.posexplode("bands").alias("table", "key"), "fp", "node")
-    out = with_components(rows.select("id", "node"), distinct, bucketed_edges(keyed, similarity_radius(similarity), tile), "node", total)
+    out = with_components(rows.select("id", "node"), distinct, similar_edges(one_each(rows), similarity, tile), "node", total)
     return out.select(F.col("id").alias(id_col), "component_id")
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row per node, whose sets are equal."""
+    return rows.select("node", "fp", "bands", "n_shingles", "shingles").dropDuplicates(["node"])
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """The documents that stay, with all columns: of each component of similar documents the one with the smallest id (one row of it)."""
     found = similar_documents(docs, id_col, text_col, similarity)

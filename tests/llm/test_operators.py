@@ -416,6 +416,17 @@ def test_similar_pairs_are_linked(spark):
     assert all(best[d] >= 0.55 or not sets[d] for d, c in comp.items() if sizes[c] > 1)
 
 
+def test_short_similar_texts_are_linked(spark):
+    """Four of five shingles (0.8) link, although the fingerprints of most such pairs lie further apart than the radius."""
+    table = []
+    for i in range(200):
+        w = [f"w{i}x{k}" for k in range(9)]
+        table += [(2 * i, " ".join(w[:8])), (2 * i + 1, " ".join(w))]
+    comp = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert np.mean([comp[i] == comp[i + 1] for i in range(0, 400, 2)]) > 0.99
+    assert all(c in (d, d - 1) for d, c in comp.items())
+
+
 def test_dense_bucket_components(spark):
     """A chain of fingerprints, each near the next only, in tiles of a few: one component; far ones stay alone."""
     from loamgrid.llm.graph import connected_components
