@@ -350,11 +350,20 @@ def one_each(rows: DataFrame) -> DataFrame:
     return rows.select("node", "fp", "bands", "n_shingles", "shingles").dropDuplicates(["node"])
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
-    """The documents that stay, with all columns: of each component of similar documents the one with the smallest id (one row of it)."""
-    found = similar_documents(docs, id_col, text_col, similarity)
-    ids = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_keep"]), "left_semi").dropDuplicates([id_col])
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle_words: int = 5) -> DataFrame:
+    """The documents that stay, with all columns: of each component of similar documents the row with the smallest id (null last).
+
+    Rows are told apart by id and text, so different texts under one id, or without id, stand for themselves; rows alike in both are one.
+    """
+    key, sha = F.xxhash64(id_col, text_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    who = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), key.alias("key"), sha.alias("sha"))
+    rows = signatures(docs.select(who.alias("_who"), F.col(text_col).alias("_text")), "_who", "_text", shingle_words)
+    roots = connected_components(similar_edges(one_each(rows), similarity)).select(F.col("node").alias("_node"), "root")
+    firsts = rows.groupBy("node").agg(F.min("id").alias("first")).join(roots, F.col("node") == F.col("_node"), "left")
+    keep = firsts.groupBy(F.coalesce("root", "node").alias("c")).agg(F.min("first").alias("first")).select(F.col("first.key").alias("_k"), F.col("first.sha").alias("_s"))
+    own = docs.withColumns({"_key": key, "_sha": sha})
+    own = own.join(keep, (F.col("_key") == F.col("_k")) & (F.col("_sha") == F.col("_s")), "left_semi")
+    return own.dropDuplicates(["_key", "_sha"]).drop("_key", "_sha")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

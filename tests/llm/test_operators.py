@@ -427,6 +427,14 @@ def test_short_similar_texts_are_linked(spark):
     assert all(c in (d, d - 1) for d, c in comp.items())
 
 
+def test_keep_one_tells_rows_apart_by_text(spark):
+    """Different texts without id, or under one id, all stay; of copies one does, with an id if any has."""
+    texts = [prose(900 + i, 40) for i in range(8)]
+    table = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:6]] + [(9, texts[6]), (None, texts[6]), (8, texts[6].upper()), (None, texts[7]), (None, texts[7]), (None, texts[0])]
+    got = Counter(map(tuple, simhash.keep_one(spark.createDataFrame(table, "doc_id long, text string")).collect()))
+    assert got == Counter([*table[:6], (8, texts[6].upper()), (None, texts[7])])
+
+
 def test_dense_bucket_components(spark):
     """A chain of fingerprints, each near the next only, in tiles of a few: one component; far ones stay alone."""
     from loamgrid.llm.graph import connected_components
