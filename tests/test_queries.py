@@ -33,3 +33,13 @@ def test_query(spark, duck, name):
         assert rows == want
     else:
         assert rows
+
+
+def test_replicas_and_pairs_are_whole(spark):
+    """999 replicas, as in the reference, and every pair of service fields."""
+    run = lambda name: registry.queries()[name](spark, SF).collect()
+    pairs = {("carbon", "water"), ("carbon", "habitat"), ("water", "habitat")}
+    permuted, resampled = run("f10_permutation_test"), run("f11_e11_bootstrap_interval")
+    assert {(r.field_a, r.field_b) for r in permuted} == pairs == {(r.field_a, r.field_b) for r in resampled}
+    assert all(round(r.p_value * 1000, 3).is_integer() for r in [*permuted, *run("f14_factor_permutation")])
+    assert all(990 < r.resamples <= 999 for r in resampled)
