@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,10 @@ HOT_GROUPS = 4096
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents table; where it has fewer partitions than the session has cores (a small table in one file), dealt over all cores."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,7 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+#: Staged paths that still exist, in order of writing.
+_staged: list[str] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    if path in _staged:
+        _staged.remove(path)
     try:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -45,11 +55,36 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+    return staged_at(df, name)[0]
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``staged``, with the path, for ``remove`` once nothing reads it any more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/loamgrid-{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    atexit.register(remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def only_last_stays(spark: SparkSession) -> Iterator[None]:
+    """Of the tables staged inside, all but the last one are removed at the end: its writing was their last use."""
+    before = set(_staged)
+    yield
+    for path in [p for p in _staged if p not in before][:-1]:
+        remove(spark, path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with as many underscores in front as set it apart from the columns of ``df`` (whatever their case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def attach_group(

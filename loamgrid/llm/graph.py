@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import staged
+from loamgrid.llm.common import remove, staged_at
 
 
 def _with_smallest(pairs: DataFrame) -> DataFrame:
@@ -33,12 +33,16 @@ def _digest(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges`` (long columns ``u``, ``v``); the root is the smallest node reachable.
 
-    Each round is written to the shared folder, so lineage stays short and a lost executor costs one round at most.
+    Null ends are left out; repeated edges, loops and an empty table are fine. Each round is written to the shared folder, and the one before
+    it is removed: lineage stays short and a lost executor costs one round at most.
     """
-    edges = staged(edges.filter("u <> v").distinct(), "edges")
+    spark = edges.sparkSession
+    edges, path = staged_at(edges.filter("u <> v").distinct(), "edges")
     before = _digest(edges)
     while before[0]:
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        last = path
+        edges, path = staged_at(_small_star(_large_star(edges)), "edges")
+        remove(spark, last)
         now = _digest(edges)
         if now == before:
             break
