@@ -17,8 +17,7 @@ empty; repeated rows are repeats of the first; an empty table gives an empty res
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
+import struct
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -33,8 +32,7 @@ from loamgrid.llm.common import attach_group, map_texts, read_documents, staged
 MIN_WORDS = 8
 MIN_RUN_WORDS = 20
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-WORD_SPAN = re.compile(r"[^\x20\x09-\x0D]+")
-SENTENCE_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
+HALVES = struct.Struct("<qq")
 #: A chunk begins where the hash of two words is the smallest within so many places before and after: every 11th place on average.
 CUT_REACH = 5
 PAIR = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -55,38 +53,49 @@ def chunk_places(words: list[bytes]) -> list[int]:
     return np.flatnonzero(least).tolist()
 
 
-def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, int, int]]:
-    """``(start, end, first word, word after the last, digest high, digest low)`` of each unit; occurrences of one digest do not overlap."""
-    text = text or ""
-    spans = [m.span() for m in WORD_SPAN.finditer(text)]
-    if len(spans) < min_words:
-        return []
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    starts = [a for a, _ in spans]
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points at which the words ``[^\\x20\\x09-\\x0D]+`` start and end."""
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = (points == 0x20) | ((points >= 0x09) & (points <= 0x0D))
+    return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+
+
+def word_ranges(lines: list[list[bytes]], words: list[bytes], min_words: int) -> list[tuple[int, int]]:
+    """Word ranges of the units: lines, their sentences, chunks; longest first where several begin."""
     ranges = set()
-    at = i = 0
-    for line in text.split("\n"):
-        end = at + len(line)
-        j = bisect_left(starts, end, i)
+    i = 0
+    for line in lines:
+        j = i + len(line)
         if j - i >= min_words:
             ranges.add((i, j))
-            for m in SENTENCE_END.finditer(line):
-                k = bisect_left(starts, at + m.end(), i)
-                if k - i >= min_words:
-                    ranges.add((i, k))
-                i = k
-            if j - i >= min_words:
-                ranges.add((i, j))
-        i, at = j, end + 1
+            at = i
+            for k, word in enumerate(line, i + 1):
+                if word[-1] in b".!?":
+                    if k - at >= min_words:
+                        ranges.add((at, k))
+                    at = k
+            if j - at >= min_words:
+                ranges.add((at, j))
+        i = j
     cuts = chunk_places(words)
     ranges.update(zip(cuts, cuts[1:], strict=False))
+    return sorted(ranges, key=lambda r: (r[0], -r[1]))
 
+
+def units_of(text: str | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, int, int]]:
+    """``(start, end, first word, word after the last, digest high, digest low)`` of each unit; occurrences of one digest do not overlap."""
+    text = text or ""
+    lines = [line.split() for line in text.encode("utf-8", "surrogatepass").translate(LOWER).split(b"\n")]
+    words = [w for line in lines for w in line]
+    if len(words) < min_words:
+        return []
+    starts, stops = (x.tolist() for x in word_places(text))
     out, ends = [], {}
-    for i, j in sorted(ranges, key=lambda r: (r[0], -r[1])):
-        d = xxhash.xxh128_intdigest(b" ".join(words[i:j]), 7)
+    for i, j in word_ranges(lines, words, min_words):
+        d = xxhash.xxh128_digest(b" ".join(words[i:j]), 7)
         if ends.get(d, 0) <= i:
             ends[d] = j
-            out.append((starts[i], spans[j - 1][1], i, j, (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)))
+            out.append((starts[i], stops[j - 1], i, j, *HALVES.unpack(d)))
     return out
 
 
