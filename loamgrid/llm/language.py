@@ -2,18 +2,20 @@
 
 Each language has a bounded sample of labelled text and its suffix automaton. A text is parsed greedily into the longest phrases
 that occur in a language's sample; the language that needs the fewest phrases, each weighed by the bits that point into
-its sample, per character, wins. The walk over the automaton, with a return to its root where a phrase ends, is itself one
+its sample, per byte, wins. The walk over the automaton, with a return to its root where a phrase ends, is itself one
 transition table with phrase counts on its edges, so thousands of text segments take a step at once in numpy.
 
-Texts are lower-cased, runs of non-letters become one space, and whole texts are parsed in segments of ``SEGMENT``
-characters. A null text or one without letters is ``und`` with score 0, as is every text if nothing is labelled. Ties
+Texts are lower-cased, runs of non-letters become one space, and whole texts, as UTF-8 so that every script fits an alphabet of bytes, are parsed in segments of
+``SEGMENT`` bytes. A null text or one without letters is ``und`` with score 0, as is every text if nothing is labelled. Ties
 go to the first language by name; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
+
+What is learned is bounded: the ``MAX_LANGUAGES`` most frequent labels, ``SAMPLE_DOCS`` documents and ``SAMPLE_BYTES`` bytes of each (fewer if
+there are many languages), so neither the driver nor a worker's tables grow with the input or with a column of faulty labels.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,16 +27,17 @@ from pyspark.sql.window import Window
 
 from loamgrid.llm.common import map_texts, read_documents
 
-#: Bounds of the labelled sample: documents per language, characters of one document, characters per language.
+#: Bounds of the labelled sample: languages (the most frequent labels), documents per language, bytes per language, bytes of all languages.
+MAX_LANGUAGES = 256
 SAMPLE_DOCS = 48
-DOC_CHARS = 2_000
-SAMPLE_CHARS = 32_000
-#: Letters of a language's automaton; rarer ones count as unknown.
-ALPHABET = 127
+SAMPLE_BYTES = 32_000
+TOTAL_BYTES = 512_000
 SEGMENT = 512
-#: Characters parsed at once in a task.
-CHUNK_CHARS = 2_000_000
+#: Bytes parsed at once in a task.
+CHUNK_BYTES = 2_000_000
 UNKNOWN = "und"
+#: A text is close to no learned language if it needs more bits a byte than this.
+MAX_COST = math.inf
 _COUNT_SHIFT = 28
 
 
@@ -44,18 +47,21 @@ def _letters() -> np.ndarray:
 
 
 def normalise(text: str | None) -> np.ndarray:
-    """Code points of the lower-cased text with one space for each run of non-letters; empty if it has no letter."""
+    """UTF-8 of the lower-cased text with one space for each run of non-letters; empty if it has no letter."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
     if not len(points):
-        return points
+        return np.empty(0, np.uint8)
     letter = _letters()[np.minimum(points, 0xFFFF)]
     for i in np.flatnonzero(points > 0xFFFF).tolist():
         letter[i] = chr(points[i]).isalpha()
     if not letter.any():
-        return points[:0]
+        return np.empty(0, np.uint8)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # the first non-letter of a run stands for it
-    return np.where(letter, points, 32)[keep]
+    kept = np.where(letter, points, 32).astype("<u4")[keep]
+    if kept.max() < 0x80:
+        return kept.astype(np.uint8)
+    return np.frombuffer(kept.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
 
 
 class Automaton:
@@ -63,19 +69,16 @@ class Automaton:
 
     def __init__(self, sample: str):
         points = normalise(sample)
-        common = [c for c, _ in sorted(Counter(points.tolist()).items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]]
-        self.symbols = np.zeros(1 << 16, np.uint8)  # 0: unknown
-        for i, c in enumerate(common, 1):
-            if c < 1 << 16:
-                self.symbols[c] = i
-        self.width = len(common) + 1
+        self.symbols = np.zeros(256, np.uint8)  # 0: a byte that the sample has not
+        seen = np.unique(points)
+        self.symbols[seen] = np.arange(1, len(seen) + 1)
+        self.width = len(seen) + 1
         nxt = self._suffix_automaton(self.encode(points).tolist())
-        table = np.zeros((len(nxt), self.width), np.int32)
         root = np.zeros(self.width, np.int32)
         for c, s in nxt[0].items():
             root[c] = s
         # a missing edge ends the phrase and starts the next with this symbol; an unknown symbol is a phrase of its own
-        table[:] = np.where(root > 0, root | (1 << _COUNT_SHIFT), 2 << _COUNT_SHIFT)
+        table = np.tile(np.where(root > 0, root | (1 << _COUNT_SHIFT), 2 << _COUNT_SHIFT).astype(np.int32), (len(nxt), 1))
         table[0] = np.where(root > 0, root, 1 << _COUNT_SHIFT)
         for s, edges in enumerate(nxt):
             for c, t in edges.items():
@@ -87,9 +90,6 @@ class Automaton:
     def _suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
         nxt, link, length, last = [{}], [-1], [0], 0
         for c in symbols:
-            if c == 0:
-                last = 0
-                continue
             cur = len(nxt)
             nxt.append({})
             link.append(0)
@@ -115,7 +115,7 @@ class Automaton:
         return nxt
 
     def encode(self, points: np.ndarray) -> np.ndarray:
-        return np.where(points < 1 << 16, self.symbols[np.minimum(points, 0xFFFF)], 0).astype(np.uint8)
+        return self.symbols[points]
 
     def phrases(self, segments: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each segment. ``segments[t]`` has symbol t of all segments, ordered by falling length; ``active[t]`` have one."""
@@ -135,13 +135,14 @@ def automata(samples: tuple[tuple[str, str], ...]) -> list[tuple[str, Automaton]
     return [(lang, Automaton(text)) for lang, text in samples]
 
 
-def classify(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float]]:
+def classify(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float], list[float]]:
+    """Language, score (how much cheaper it is than the second best) and bits a byte of each text."""
     models = automata(samples)
     points = [normalise(t) for t in texts]
     lengths = np.array([len(p) for p in points], np.int64)
-    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    langs, scores, bits = [UNKNOWN] * len(texts), [0.0] * len(texts), [math.inf] * len(texts)
     if not models or not lengths.any():
-        return langs, scores
+        return langs, scores, bits
     parts = -(-lengths // SEGMENT)
     owner = np.repeat(np.arange(len(texts)), parts)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -155,8 +156,7 @@ def classify(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> t
     for _, model in models:
         symbols = model.encode(padded)
         segments = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(symbols, SEGMENT)[at[order]].T)
-        counts = np.zeros(len(texts), np.int64)
-        np.add.at(counts, owner[order], model.phrases(segments, active))
+        counts = np.bincount(owner[order], weights=model.phrases(segments, active), minlength=len(texts))
         costs.append(counts * model.bits / np.maximum(lengths, 1))
     costs = np.array(costs)
     best = costs.argmin(axis=0)
@@ -164,22 +164,21 @@ def classify(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> t
         langs[i] = models[best[i]][0]
         second = min((costs[k, i] for k in range(len(models)) if k != best[i]), default=math.inf)
         scores[i] = float(1 - costs[best[i], i] / second) if second else 0.0
-    return langs, scores
+        bits[i] = float(costs[best[i], i])
+    return langs, scores, bits
 
 
-def classify_in_chunks(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float]]:
-    """``classify`` on runs of rows of about CHUNK_CHARS characters: bounded memory in a task."""
-    langs: list[str] = []
-    scores: list[float] = []
+def classify_in_chunks(texts: list[str | None], samples: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float], list[float]]:
+    """``classify`` on runs of rows of about CHUNK_BYTES characters: bounded memory in a task."""
+    out: tuple[list, list, list] = ([], [], [])
     start = size = 0
     for i, text in enumerate(texts):
         size += len(text or "")
-        if size >= CHUNK_CHARS or i + 1 == len(texts):
-            found = classify(texts[start : i + 1], samples)
-            langs += found[0]
-            scores += found[1]
+        if size >= CHUNK_BYTES or i + 1 == len(texts):
+            for all_rows, found in zip(out, classify(texts[start : i + 1], samples), strict=True):
+                all_rows += found
             start, size = i + 1, 0
-    return langs, scores
+    return out
 
 
 def held_out(id_col: str):
@@ -187,35 +186,59 @@ def held_out(id_col: str):
 
 
 def labelled_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[tuple[str, str], ...]:
-    """At most SAMPLE_CHARS characters per labelled language, from its first SAMPLE_DOCS documents in a hash order."""
-    rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    rows = rows.withColumn("u", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    first = Window.partitionBy("lang").orderBy("u", "id")
-    picked = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_DOCS).select(F.col("id").alias("_id"), "lang", "n")
-    text = docs.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("_lang"), F.substring(F.col(text_col), 1, DOC_CHARS).alias("text"))
-    # SAMPLE_DOCS rows a language: bounded
-    found = text.join(F.broadcast(picked), text["id"].eqNullSafe(picked["_id"]) & (text["_lang"] == picked["lang"]))
-    by_lang: dict[str, list] = {}
-    for r in found.select("lang", "n", "text").dropDuplicates(["lang", "n"]).orderBy("lang", "n").collect():
-        by_lang.setdefault(r["lang"], []).append(r["text"] or "")
-    return tuple((lang, "\n".join(texts)[:SAMPLE_CHARS]) for lang, texts in sorted(by_lang.items()))
+    """Text per language: whole documents in a hash order, as many as fit the bounds.
+
+    Documents longer than a language's bound come last; only where one of them is all there is, its text is cut.
+    """
+    rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull())
+    counted = rows.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)  # the bound on labels
+    langs = [r["lang"] for r in counted.collect()]
+    bound = min(SAMPLE_BYTES, TOTAL_BYTES // max(1, len(langs)))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
+    ranked = rows.filter(F.col(lang_col).isin(langs)).select(
+        F.col(lang_col).alias("lang"), (F.octet_length(F.coalesce(text_col, F.lit(""))) > bound).alias("long"), F.md5(name).alias("u"), F.xxhash64(text_col).alias("hash")
+    )
+    first = Window.partitionBy("lang").orderBy("long", "u", "hash")
+    picked = ranked.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_DOCS)
+    picked = picked.select(F.col("lang").alias("_lang"), F.col("u").alias("_u"), F.col("hash").alias("_hash"), "n")
+    text = rows.select(F.col(lang_col).alias("lang"), F.md5(name).alias("u"), F.xxhash64(text_col).alias("hash"), F.substring(F.col(text_col), 1, bound).alias("text"))
+    # SAMPLE_DOCS rows of MAX_LANGUAGES languages at most
+    found = text.join(F.broadcast(picked), (F.col("lang") == F.col("_lang")) & (F.col("u") == F.col("_u")) & (F.col("hash") == F.col("_hash")))
+    by_lang: dict[str, str] = {}
+    for r in found.select("lang", "n", "text").dropDuplicates(["lang", "n"]).orderBy("lang", "n").toLocalIterator():
+        own, more = by_lang.get(r["lang"], ""), (r["text"] or "").encode("utf-8", "surrogatepass")[:bound].decode("utf-8", "ignore")
+        if not own or len(f"{own}{more}".encode()) < bound:
+            by_lang[r["lang"]] = f"{own}\n{more}" if own else more
+    return tuple(sorted(by_lang.items()))
 
 
 def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``lang_pred, score``. Only the text and the samples are used."""
 
     columns = [("lang_pred", "string", pa.string()), ("score", "double", pa.float64())]
-    return map_texts(docs, id_col, text_col, columns, lambda texts: (None, classify_in_chunks(texts, samples)), id_col)
+    return map_texts(docs, id_col, text_col, columns, lambda texts: (None, list(classify_in_chunks(texts, samples)[:2])), id_col)
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows, with all their columns, whose text has a language; null texts and texts without letters go."""
+def keep_identified(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: list[str] | None = None, max_cost: float = MAX_COST
+) -> DataFrame:
+    """The rows, with all their columns, whose text is in one of ``languages`` (None: any learned one); ``lang_col`` holds the language found.
+
+    A text is rejected if it is null or has no letters, if its language is another, or if it needs more than ``max_cost`` bits a byte even there.
+    Where nothing is labelled there is no language to tell: rows with letters stay as they are.
+    """
     samples = labelled_samples(docs, id_col, text_col, lang_col)
+    place = docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = classify_in_chunks(batch.column(text_col).to_pylist(), samples)
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs]))
+            texts = batch.column(text_col).to_pylist()
+            if not samples:
+                yield batch.filter(pa.array([bool(len(normalise(t))) for t in texts], pa.bool_()))
+                continue
+            langs, _, bits = classify_in_chunks(texts, samples)
+            named = batch.set_column(place, batch.schema.field(place), pa.array(langs, batch.schema.field(place).type))
+            yield named.filter(pa.array([x != UNKNOWN and (languages is None or x in languages) and b <= max_cost for x, b in zip(langs, bits, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
