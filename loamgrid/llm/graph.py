@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import remove, staged_at
+from loamgrid.llm.common import attach_group, remove, staged_at
 
 
-def _with_smallest(pairs: DataFrame) -> DataFrame:
-    """Add ``m``, the smallest of ``u`` and its ``v``s. A join, not a window: AQE can split the rows of a hot ``u``."""
-    smallest = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).withColumnRenamed("u", "_u")
-    return pairs.join(smallest, F.col("u") == F.col("_u")).drop("_u")
+def _with_smallest(pairs: DataFrame, most: int) -> DataFrame:
+    """Add ``m``, the smallest of ``u`` and its ``v``s, to at most ``most`` pairs. The rows of a hot ``u`` are dealt out by their ``v``."""
+    smallest = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return attach_group(pairs, smallest, ["u"], "n", ["m"], F.col("v"), most)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_smallest(both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    marked = _with_smallest(down)
+    marked = _with_smallest(down, n)
     own = marked.select("u", F.col("m").alias("v"))
     return own.unionByName(marked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -41,7 +41,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _digest(edges)
     while before[0]:
         last = path
-        edges, path = staged_at(_small_star(_large_star(edges)), "edges")
+        edges, path = staged_at(_small_star(_large_star(edges, before[0]), 2 * before[0]), "edges")
         remove(spark, last)
         now = _digest(edges)
         if now == before:

@@ -5,7 +5,8 @@ of its k + 1 parts at least one occurs unchanged: one Aho-Corasick pass finds al
 the regex library's bounded-error matching verifies the edits there. A notice's label is added if it is found.
 Three base phrases are found word for word.
 
-Null text is empty; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
+Null text is empty; repeated rows give repeated results; an empty table gives an empty result; a text of any length is scanned whole, in time that
+follows its length and hits; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -64,32 +65,28 @@ def _search():
 
 
 def fuzzy_notices(body: str) -> list[tuple[str, int, int, int, float]]:
-    """``(label, start, end, edits, similarity)`` of each notice found in a normalised text; of overlapping finds the most similar, then the longest."""
+    """``(label, start, end, edits, similarity)`` of each notice found in a normalised text; of overlapping finds the most similar, then the longest.
+
+    Every hit of a part has a window of its own, as long as the notice with its edits on both sides, so a window holds one notice and the work follows the hits.
+    """
     automaton, notices = _search()
-    windows: dict[int, list[list[int]]] = {}
+    windows = set()
     for end, (size, uses) in automaton.iter(body):
         for i, offset in uses:
             _, length, k, _ = notices[i]
-            a = max(0, end + 1 - size - offset - k)
-            b = end + 1 - size - offset + length + k
-            own = windows.setdefault(i, [])
-            if own and a <= own[-1][1]:
-                own[-1][0], own[-1][1] = min(own[-1][0], a), max(own[-1][1], b)
-            else:
-                own.append([a, b])
-    out = []
-    for i, own in windows.items():
-        label, length, k, pattern = notices[i]
-        for a, b in own:
-            at = a
-            while m := pattern.search(body, at, min(b, len(body))):
-                out.append((label, m.start(), m.end(), sum(m.fuzzy_counts), 1 - sum(m.fuzzy_counts) / length))
-                at = max(m.end(), at + 1)
-    best: list[tuple[str, int, int, int, float]] = []
-    for f in sorted(out, key=lambda x: (-x[4], x[1] - x[2], x[1], x[0])):
-        if not any(f[1] < g[2] and g[1] < f[2] for g in best):
-            best.append(f)
-    return sorted(best, key=lambda x: x[1])
+            a = end + 1 - size - offset
+            windows.add((i, max(0, a - k), min(len(body), a + length + k)))
+    found = set()
+    for i, a, b in windows:
+        label, length, _, pattern = notices[i]
+        if m := pattern.search(body, a, b):
+            found.add((label, m.start(), m.end(), sum(m.fuzzy_counts), 1 - sum(m.fuzzy_counts) / length))
+    best: list[tuple[str, int, int, int, float]] = []  # disjoint, by start
+    for f in sorted(found, key=lambda x: (-x[4], x[1] - x[2], x[1], x[0])):
+        at = bisect_right(best, f[1], key=lambda x: x[1])
+        if (at == 0 or best[at - 1][2] <= f[1]) and (at == len(best) or best[at][1] >= f[2]):
+            best.insert(at, f)
+    return best
 
 
 def base_places(words: list[bytes], body: bytes) -> list[tuple[int, str]]:

@@ -1,13 +1,13 @@
 """Packing documents into fixed windows by minimum bin slack.
 
-A document's tokens (its ids and an end id) are cut into full windows and a remainder. The remainders are dealt into
-groups of a few thousand; in each, a window takes the longest remainder left and then the multiset of remaining lengths that comes closest to
+A document's tokens (its ids and an end id) are cut into full windows, which are sequences as they are, and a remainder. Remainders are written with a
+number each and dealt by it into groups of a few thousand, so rows that are alike spread like any others; in each group, a window takes the longest remainder left and then the multiset of remaining lengths that comes closest to
 its capacity, found by bitset subset-sum dynamic programming over the lengths' counts and read off by backtracking.
 If even the closest multiset leaves slack, the next longest remainder is cut to fill it, so that only the last window of a group can have
 padding; its tokens are split so that what lacks a full window ends at powers of two where that needs few pieces.
 
-Null text is empty (one end id). Repeated rows are packed each; rows tie-break on id and content. An empty table gives
-an empty result; other columns are ignored. Ids come from the byte-level BPE vocabulary file given as a parameter; strings
+Null text is empty (one end id). Repeated rows, and rows of equal or null id, are packed each on their own; a text of any length is cut into its windows in one
+task. An empty table gives an empty result; other columns, whatever their names, are ignored. Ids come from the byte-level BPE vocabulary file given as a parameter; strings
 of special tokens in a text are ordinary text.
 """
 
@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import map_texts, read_documents
+from loamgrid.llm.common import map_texts, read_documents, staged
 
 WINDOW = 1024
 END_ID = 0
+#: Remainders of a group.
 GROUP_DOCS = 2048
 PIECES = "id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -168,35 +169,37 @@ def pack(
     group_docs: int = GROUP_DOCS,
 ) -> DataFrame:
     """One row per piece: id, ``start, length, ids_crc32, doc_tokens, sequence_id, offset`` and, for remainders, ``ids``."""
-    pieces = token_pieces(docs, id_col, text_col, vocabulary or vocabulary_path(), window, end_id)
-    groups = max(1, -(-docs.count() // group_docs))
+    pieces = staged(token_pieces(docs, id_col, text_col, vocabulary or vocabulary_path(), window, end_id), "pieces")
     kind = pieces.schema["id"].dataType.simpleString()
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("id", "doc_tokens"), F.lit(groups)))
+    # odd sequence ids: full windows by number; even ones: windows of a group
+    numbered = pieces.withColumn("number", F.monotonically_increasing_id())
+    full = numbered.filter(F.col("length") == window)
+    full = full.select("id", "start", "length", "ids_crc32", "doc_tokens", (F.col("number") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(None).cast("binary").alias("ids"))
+    rest = numbered.filter(F.col("length") != window)
+    groups = max(1, -(-rest.count() // group_docs))
+    dealt = rest.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(groups)))
 
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         base = int(key[0].as_py()) << 32
-        group = group.sort_by([(c, "ascending") for c in ("id", "start", "ids_crc32")])
-        lengths, starts = group["length"].to_pylist(), group["start"].to_pylist()
-        full = [i for i, n in enumerate(lengths) if n == window]
-        rest = [i for i, n in enumerate(lengths) if n != window]
-        ids = {i: np.frombuffer(group["ids"][i].as_py(), "<u4") for i in rest}
-        digests = group["ids_crc32"].to_pylist()
-        rows, out = list(full), [(starts[i], window, digests[i], base + k, 0, None) for k, i in enumerate(full)]
-        for seq, pieces in enumerate(pack_lengths([lengths[i] for i in rest], window), base + len(full)):
+        group = group.sort_by("number")
+        starts = group["start"].to_pylist()
+        ids = [np.frombuffer(x, "<u4") for x in group["ids"].to_pylist()]
+        rows, out = [], []
+        for seq, pieces in enumerate(pack_lengths(group["length"].to_pylist(), window), base):
             offset = 0
             for item, a, b in pieces:
-                part = ids[rest[item]][a:b]
-                rows.append(rest[item])
-                out.append((starts[rest[item]] + a, b - a, crc(part), seq, offset, part.tobytes()))
+                part = ids[item][a:b]
+                rows.append(item)
+                out.append((starts[item] + a, b - a, crc(part), 2 * seq, offset, part.tobytes()))
                 offset += b - a
         start, length, digest, seq, offset, tokens = zip(*out, strict=True)
         of = group.take(pa.array(rows, pa.int64()))
         long = lambda v: pa.array(v, pa.int64())
         return pa.Table.from_arrays([of["id"], long(start), long(length), long(digest), of["doc_tokens"], long(seq), long(offset), pa.array(tokens, pa.binary())], names)
 
-    packed = dealt.groupBy("part").applyInArrow(run, PIECES.format(id=kind))
+    packed = dealt.groupBy("part").applyInArrow(run, PIECES.format(id=kind)).unionByName(full)
     return packed.withColumnRenamed("id", id_col)
 
 

@@ -10,7 +10,8 @@ Base spans always stay.
 
 Positions are code points. The pieces between matches (``split``) and the matches (``regexp_extract_all``) of one
 pattern alternate, so their lengths give all positions without a Python function.
-Null text counts as empty; repeated rows give repeated results; empty tables give empty results; other columns are ignored.
+Null text counts as empty; repeated rows give repeated results; empty tables give empty results; a text of any length is searched whole; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ YES_WORDS = r"(?i)(e-?mail|contact|write to|phone|tel|call|fax|card|account|iban
 NO_WORDS = r"(?i)(version|section|chapter|figure|page|isbn|order|item|total|number of|no\.)[^A-Za-z]*$"
 LABELERS = ("pattern", "gazetteer", "context", "checksum", "digits")
 CONTEXT_CHARS = 24
+#: Matches whose positions are added up in one array.
+BLOCK = 256
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string,left:string,right:string>"
 
@@ -55,19 +58,34 @@ def _matches(kind: str, text: Column, pattern: str, needs: str | None) -> Column
 
 
 def _spans(kind: str, text: str, matches: str, pattern: str) -> Column:
-    """Array of spans of one pattern; the text is split only where it has matches."""
+    """Array of spans of one pattern; the text is split only where it has matches.
+
+    The end of a match is the running total of the lengths of gaps and matches; arrays grow by copying, so totals run over blocks of
+    ``BLOCK`` matches and over the blocks' sums.
+    """
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    running = lambda items, start: f"""aggregate({items}, named_struct('at', {start}, 'out', cast(array() as array<int>)),
+      (a, x) -> named_struct('at', a.at + x, 'out', concat(a.out, array(a.at + x))), a -> a.out)"""
     return F.expr(f"""
       if(size({matches}) = 0, cast(array() as array<{_SPAN}>),
-        aggregate(
-          flatten(transform(array(split({text}, '{quoted}', -1)),
-            gaps -> transform({matches}, (m, i) -> struct(get(gaps, i) as gap, m as value, get(gaps, i + 1) as next)))),
-          named_struct('at', 0, 'out', cast(array() as array<{_SPAN}>)),
-          (a, x) -> named_struct(
-            'at', a.at + length(x.gap) + length(x.value),
-            'out', concat(a.out, array(named_struct('kind', '{kind}', 'start', a.at + length(x.gap), 'end', a.at + length(x.gap) + length(x.value),
-                     'value', x.value, 'left', right(x.gap, {CONTEXT_CHARS}), 'right', left(x.next, 1))))),
-          a -> a.out))""")
+        flatten(transform(
+          transform(
+            transform(
+            transform(
+              transform(array(split({text}, '{quoted}', -1)), gaps -> struct(gaps, transform({matches}, (m, i) -> length(get(gaps, i)) + length(m)) as steps)),
+              g -> struct(g.gaps, transform(sequence(0, (size(g.steps) - 1) div {BLOCK}), k -> slice(g.steps, k * {BLOCK} + 1, {BLOCK})) as blocks)),
+            g -> struct(g.gaps, g.blocks, {running("transform(g.blocks, b -> aggregate(b, 0, (z, x) -> z + x))", "0")} as upto)),
+            g -> struct(g.gaps, flatten(transform(g.blocks, (b, k) -> {running("b", "if(k = 0, 0, get(g.upto, k - 1))")})) as ends)),
+          g -> transform({matches}, (m, i) -> named_struct('kind', '{kind}', 'start', get(g.ends, i) - length(m), 'end', get(g.ends, i),
+                 'value', m, 'left', right(get(g.gaps, i), {CONTEXT_CHARS}), 'right', left(get(g.gaps, i + 1), 1))))))""")
+
+
+def _overlaps(span: str, others: str) -> str:
+    """SQL condition: ``span`` overlaps one of ``others``, disjoint and in order. Halving finds the last that starts before its end."""
+    return f"""(size({others}) > 0 and aggregate(sequence(0, cast(ceil(log2(size({others}) + 1)) as int)), named_struct('lo', 0, 'hi', size({others})),
+      (r, _) -> if(r.lo >= r.hi, r, if(get({others}, shiftright(r.lo + r.hi, 1)).start < {span}.end,
+        named_struct('lo', shiftright(r.lo + r.hi, 1) + 1, 'hi', r.hi), named_struct('lo', r.lo, 'hi', shiftright(r.lo + r.hi, 1)))),
+      r -> coalesce(get({others}, r.lo - 1).end > {span}.start, false)))"""
 
 
 def digits_of(value: str) -> str:
@@ -101,9 +119,8 @@ def candidate_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         out = out.withColumn(kind, _spans(kind, "t", f"m_{kind}", pattern))
     out = out.withColumn("loose", _spans("loose", "t", "m_loose", loose))
     out = out.select("id", *[F.expr(f"filter({k}, s -> {HOLDS[k]})").alias(k) for k in BASE_KINDS], "loose")
-    base = "concat(email, ip, card, phone)"
     kind = "case " + " ".join(f"when rlike(s.value, '{'^(?:' + p.replace(chr(92), chr(92) * 2) + ')$'}') then '{k}'" for k, p in LOOSE.items()) + " else 'number' end"
-    clear = f"filter(loose, s -> not exists({base}, b -> b.start < s.end and s.start < b.end))"
+    clear = f"filter(loose, s -> not ({' or '.join(_overlaps('s', k) for k in BASE_KINDS)}))"
     named = f"transform({clear}, s -> named_struct('kind', {kind}, 'start', s.start, 'end', s.end, 'value', s.value, 'left', s.left, 'right', s.right))"
     return out.withColumn("loose", F.expr(named))
 

@@ -6,7 +6,7 @@ spans (with letters and digits) against everything else. A token is a further se
 two models is high enough per character. Transition counts are added up per task, so the model's size does not depend on the input.
 
 Null text is empty; repeated rows give repeated results; an empty table gives an empty result (the models are then
-uniform); other columns are ignored. Positions are code points.
+uniform); a text of any length is scanned whole, in time linear in its length and spans; other columns, whatever their names, are ignored. Positions are code points.
 """
 
 from __future__ import annotations
@@ -106,9 +106,14 @@ def score(token: str, ratios: np.ndarray) -> float:
 
 
 def model_spans(text: str, base: list, ratios: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[str, int, int, str]]:
+    """Candidates that overlap no base span (``base`` comes by start) and score ``threshold`` or more."""
     out = []
+    i = reached = 0  # base spans that start before the candidate's end, and the largest end among them
     for m in CANDIDATE.finditer(text):
-        if MIXED.match(m[0]) and not any(s < m.end() and m.start() < e for _, s, e, _ in base) and score(m[0], ratios) >= threshold:
+        while i < len(base) and base[i][1] < m.end():
+            reached = max(reached, base[i][2])
+            i += 1
+        if reached <= m.start() and MIXED.match(m[0]) and score(m[0], ratios) >= threshold:
             out.append((MODEL_KIND, m.start(), m.end(), m[0]))
     return out
 

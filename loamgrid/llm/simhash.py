@@ -12,12 +12,12 @@ fingerprints (a dense group of near copies) is split into tiles, every pair of w
 memory, no pair lost.
 
 ``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Documents that share a band of
-min-hashes, directly or through others, form a cluster; inside it a pair is a link if its 512-bit fingerprints lie within the radius, or if its shared shingles, counted exactly, reach the similarity. Only
-pairs of large sets far beyond the radius are not counted. A pair at the similarity is missed only if no chain of shared bands joins it; pairs
-a little below it may be linked by their fingerprints.
+min-hashes, directly or through others, form a cluster; inside it pivot tables of 512-bit fingerprints discard pairs of large sets, and shared shingles, counted exactly,
+decide on the rest: no pair below the similarity is a link, and one at it is missed only if no chain of shared bands joins it (2 of 10,000 share none).
 
 Null and empty texts have fingerprint zero and are linked like any other. A null id never becomes a component id unless
-the component has no other; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
+the component has no other; repeated rows give repeated results; a text of any length is shingled whole, in parts of bounded memory; an empty table gives an empty result; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import attach_group, map_texts, read_documents, staged
+from loamgrid.llm.common import attach_group, fresh, map_texts, read_documents, staged
 from loamgrid.llm.graph import connected_components
 
 SHINGLE_WORDS = 4
@@ -44,10 +44,13 @@ SMALL = 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Reference fingerprints from a fixed seed.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, (16, 1), dtype=np.uint64)
+WIDE_PIVOTS = np.random.default_rng(22).integers(0, 2**64, (16, 8), dtype=np.uint64)
 #: Links by similarity: bits of a fingerprint, and min-hash keys by rows. Of pairs at 0.8, (1 - 0.8**4)**16 = 0.0002 share no key.
 WIDE_BITS, BANDS, BAND_ROWS = 512, 16, 4
 #: Sets of fewer shingles are compared without a look at the fingerprints, whose majority bits are uneven in small sets.
 LARGE_SET = 64
+#: Pairs further apart than at the similarity by so many standard deviations are discarded without a count.
+DISCARD_SPREAD = 9.0
 _ODD = np.random.default_rng(21).integers(0, 2**63, WIDE_BITS // 64 + BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Tables of oversized buckets of at most this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_BUCKETS = 20_000
@@ -204,9 +207,9 @@ def bucketed_edges(keyed: DataFrame, radius: int, tile: int = TILE) -> DataFrame
 def with_components(rows: DataFrame, distinct: DataFrame, edges: DataFrame, node: str, total: int) -> DataFrame:
     """Add ``component_id`` to ``rows``; ``distinct`` has each ``node`` once, with its ``min_id`` and number ``n`` of rows."""
     roots = connected_components(edges).select(F.col("node").alias("_node"), "root")
-    linked = distinct.join(roots, distinct[node] == F.col("_node")).select("_node", "root", "min_id")
-    smallest = linked.groupBy("root").agg(F.min("min_id").alias("smallest")).withColumnRenamed("root", "_r")
-    linked = linked.join(smallest, F.col("root") == F.col("_r")).select("_node", "smallest")
+    linked = staged(distinct.join(roots, distinct[node] == F.col("_node")).select("_node", "root", "min_id"), "linked")
+    smallest = linked.groupBy("root").agg(F.min("min_id").alias("smallest"), F.count(F.lit(1)).alias("members"))
+    linked = attach_group(linked, smallest, ["root"], "members", ["smallest"], F.col("_node"), linked.count()).select("_node", "smallest")
     groups = distinct.join(linked, F.col(node) == F.col("_node"), "left").select(node, "n", F.coalesce("smallest", "min_id").alias("component_id"))
     return attach_group(rows, staged(groups, "groups"), [node], "n", ["component_id"], F.col("id"), total)
 
@@ -226,9 +229,8 @@ def mixed(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def signature(text: str | None, shingle_words: int) -> tuple[bytes, list[int]]:
-    """The wide fingerprint of the set of shingles, and a key per band of min-hashes; all zero if there are no words."""
-    hashes = np.unique(shingle_hashes(text, shingle_words))
+def signature(hashes: np.ndarray) -> tuple[bytes, list[int]]:
+    """The wide fingerprint of a set of shingle hashes, and a key per band of min-hashes; all zero if there are none."""
     words = WIDE_BITS // 64
     set_bits, least = np.zeros(WIDE_BITS, np.int64), np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
     for part in range(0, len(hashes), 1024):
@@ -241,8 +243,8 @@ def signature(text: str | None, shingle_words: int) -> tuple[bytes, list[int]]:
     return fp, [xxhash.xxh64_intdigest(b.tobytes()) - (1 << 63) for b in bands]
 
 
-def similarity_radius(similarity: float, spread: float = 2.0) -> int:
-    """Bits in which pairs at ``similarity`` differ at most: sets have a cosine of 2s / (1 + s) or more, and a bit differs with probability angle / pi."""
+def similarity_radius(similarity: float, spread: float = DISCARD_SPREAD) -> int:
+    """Bits in which pairs at ``similarity`` differ at most, but for ``spread`` standard deviations: sets have a cosine of 2s / (1 + s) or more, and a bit differs with probability angle / pi."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.floor(WIDE_BITS * p + spread * math.sqrt(WIDE_BITS * p * (1 - p)))
 
@@ -253,8 +255,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle_words: int)
     def run(texts: list[str | None]):
         rows = []
         for t in texts:
-            own = np.unique(shingle_hashes(t, shingle_words)).astype("<u8").tobytes()
-            rows.append((xxhash.xxh64_intdigest(own, 23) - (1 << 63), *signature(t, shingle_words), len(own) // 8, own))
+            hashes = np.unique(shingle_hashes(t, shingle_words))
+            own = hashes.astype("<u8").tobytes()
+            rows.append((xxhash.xxh64_intdigest(own, 23) - (1 << 63), *signature(hashes), len(hashes), own))
         return None, list(zip(*rows, strict=True)) or [[]] * 5
 
     columns = [("node", "long", pa.int64()), ("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("n_shingles", "long", pa.int64()), ("shingles", "binary", pa.binary())]
@@ -262,7 +265,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle_words: int)
 
 
 def similar_edges(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
-    """Edges ``u, v`` that connect all nodes that are links (see ``walk_sets``), among those that bands connect.
+    """Edges ``u, v`` that connect all nodes whose sets are links (see ``walk_sets``), among those that bands connect.
 
     ``distinct``: ``node, fp, bands, n_shingles, shingles``. Nodes that share bands, directly or through others, form a cluster. A
     set goes once to its cluster; a cluster above ``tile`` sets (or 512 shingles a set) is split into tiles, every pair of which meets.
@@ -303,25 +306,31 @@ def similar_edges(distinct: DataFrame, similarity: float, tile: int = TILE) -> D
 
 
 def walk_sets(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Edges that connect each component of sets. A link is a pair within the radius of the fingerprints, or one whose shared shingles reach ``similarity``."""
+    """Edges that connect each component of sets, whose links are the pairs that share shingles enough for ``similarity``.
+
+    Pairs of sets too different in size are no links. Of large sets, whose fingerprints are even, the pivot tables discard pairs that differ in more bits than
+    ``DISCARD_SPREAD`` standard deviations allow at the similarity, then the bits do. What survives is verified by counting shared shingles.
+    """
     sizes = np.array([len(x) for x in sets], np.int64)
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
     mark = np.zeros(len(codes) + 1, bool)
-    near, far = similarity_radius(similarity), similarity_radius(similarity, 9.0)
+    table, far = pivot_table(fps, WIDE_PIVOTS), similarity_radius(similarity)
     edges, unseen = [], np.arange(len(sets))
     while len(unseen) > 1:
         frontier, unseen = [unseen[0]], unseen[1:]
         while frontier and len(unseen):
             x = frontier.pop()
-            own = codes[bounds[x] : bounds[x + 1]]
-            may = np.minimum(sizes[unseen], sizes[x]) >= similarity * np.maximum(sizes[unseen], sizes[x])
-            apart = distances(fps[unseen], fps[x])
-            may &= (np.minimum(sizes[unseen], sizes[x]) < LARGE_SET) | (apart <= far)
-            may |= apart <= near
-            mark[own] = True
-            hit = [k for k in np.flatnonzero(may).tolist() if apart[k] <= near or reaches(int(mark[codes[bounds[unseen[k]] : bounds[unseen[k] + 1]]].sum()), int(sizes[unseen[k]] + sizes[x]), similarity)]
-            mark[own] = False
+            least, most = np.minimum(sizes[unseen], sizes[x]), np.maximum(sizes[unseen], sizes[x])
+            may = np.flatnonzero(least >= similarity * most - 1e-9)
+            large = least[may] >= LARGE_SET
+            apart = np.zeros(len(may), bool)
+            apart[large] = (np.abs(table[unseen[may[large]]] - table[x]) > far).any(axis=1)
+            large &= ~apart
+            apart[large] = distances(fps[unseen[may[large]]], fps[x]) > far
+            mark[codes[bounds[x] : bounds[x + 1]]] = True
+            hit = [k for k in may[~apart].tolist() if reaches(int(mark[codes[bounds[unseen[k]] : bounds[unseen[k] + 1]]].sum()), int(sizes[unseen[k]] + sizes[x]), similarity)]
+            mark[codes[bounds[x] : bounds[x + 1]]] = False
             if hit:
                 edges += [(y, x) for y in unseen[hit].tolist()]
                 frontier += unseen[hit].tolist()
@@ -355,15 +364,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Rows are told apart by id and text, so different texts under one id, or without id, stand for themselves; rows alike in both are one.
     """
-    key, sha = F.xxhash64(id_col, text_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    who = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), key.alias("key"), sha.alias("sha"))
-    rows = signatures(docs.select(who.alias("_who"), F.col(text_col).alias("_text")), "_who", "_text", shingle_words)
+    who, text, key, sha, keep_key, keep_sha = fresh(docs, "_who", "_text", "_key", "_sha", "_k", "_s")
+    digest, body = F.xxhash64(id_col, text_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    person = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), digest.alias("key"), body.alias("sha"))
+    rows = signatures(docs.select(person.alias(who), F.col(text_col).alias(text)), who, text, shingle_words)
     roots = connected_components(similar_edges(one_each(rows), similarity)).select(F.col("node").alias("_node"), "root")
     firsts = rows.groupBy("node").agg(F.min("id").alias("first")).join(roots, F.col("node") == F.col("_node"), "left")
-    keep = firsts.groupBy(F.coalesce("root", "node").alias("c")).agg(F.min("first").alias("first")).select(F.col("first.key").alias("_k"), F.col("first.sha").alias("_s"))
-    own = docs.withColumns({"_key": key, "_sha": sha})
-    own = own.join(keep, (F.col("_key") == F.col("_k")) & (F.col("_sha") == F.col("_s")), "left_semi")
-    return own.dropDuplicates(["_key", "_sha"]).drop("_key", "_sha")
+    keep = firsts.groupBy(F.coalesce("root", "node").alias("c")).agg(F.min("first").alias("first")).select(F.col("first.key").alias(keep_key), F.col("first.sha").alias(keep_sha))
+    own = docs.withColumns({key: digest, sha: body})
+    own = own.join(keep, (F.col(key) == F.col(keep_key)) & (F.col(sha) == F.col(keep_sha)), "left_semi")
+    return own.dropDuplicates([key, sha]).drop(key, sha)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
