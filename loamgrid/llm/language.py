@@ -36,8 +36,8 @@ SEGMENT = 512
 #: Bytes parsed at once in a task.
 CHUNK_BYTES = 2_000_000
 UNKNOWN = "und"
-#: A text is close to no learned language if it needs more bits a byte than this.
-MAX_COST = math.inf
+#: A text is close to no learned language if it needs more bits a byte than bytes have.
+MAX_COST = 8.0
 _COUNT_SHIFT = 28
 
 
