@@ -83,45 +83,59 @@ def clear_by_class(scene_class: Column, dropped: list[int]) -> Column:
     return ~scene_class.isin(*dropped)
 
 
-#: Fixed sensor aliases (letters and digits only, lower case) and their bands, resolution and resampling.
+#: Sensor names (lower case, underscores as spaces, runs of spaces squeezed) and the profile each stands for.
 SENSOR_ALIASES = {
-    "landsat8": "landsat_8", "l8": "landsat_8", "landsat5": "landsat_5", "l5": "landsat_5", "sentinel2": "sentinel_2", "s2": "sentinel_2",
+    "landsat5": "landsat_5_tm", "landsat 5": "landsat_5_tm", "landsat 5 tm": "landsat_5_tm",
+    "landsat8": "landsat_8_oli", "landsat 8": "landsat_8_oli", "landsat 8 oli": "landsat_8_oli",
+    "sentinel2": "sentinel_2_msi", "sentinel 2": "sentinel_2_msi", "sentinel-2": "sentinel_2_msi", "sentinel 2 msi": "sentinel_2_msi", "sentinel-2 msi": "sentinel_2_msi",
 }
+#: Profile, source bands in canonical order, native and grid resolution, resampling of reflectance and of classes, and the step to the grid.
 SENSOR_PROFILES = [
-    ("landsat_5", ["SR_B1", "SR_B2", "SR_B3", "SR_B4", "SR_B5", "SR_B7"], 30, "majority"),
-    ("landsat_8", ["SR_B2", "SR_B3", "SR_B4", "SR_B5", "SR_B6", "SR_B7"], 30, "majority"),
-    ("sentinel_2", ["B2", "B3", "B4", "B8", "B11", "B12"], 10, "majority"),
+    ("landsat_5_tm", ["SR_B1", "SR_B2", "SR_B3", "SR_B4", "SR_B5", "SR_B7"], 30, 30, "bilinear", "nearest", "not_required"),
+    ("landsat_8_oli", ["SR_B2", "SR_B3", "SR_B4", "SR_B5", "SR_B6", "SR_B7"], 30, 30, "bilinear", "nearest", "not_required"),
+    ("sentinel_2_msi", ["B2", "B3", "B4", "B8", "B11", "B12"], 10, 30, "bilinear", "nearest", "majority_10m_to_30m"),
 ]
+_PROFILE_TYPE = "profile string, bands array<string>, resolution_m int, grid_m int, continuous_resampling string, classified_resampling string, to_grid string"
 
 
 def sensor_key(name: Column) -> Column:
-    """Lower case, letters and digits only, aliases resolved; null if unknown."""
-    plain = F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9]", "")
+    """The profile that a sensor name stands for; null if unknown."""
+    plain = F.trim(F.regexp_replace(F.lower(name), r"[\s_]+", " "))
     return F.create_map(*[F.lit(x) for kv in SENSOR_ALIASES.items() for x in kv])[plain]
 
 
 def sensor_profiles(scenes: DataFrame, sensor_col: str = "sensor") -> DataFrame:
     """Add the profile of each scene's sensor and ``rejected`` for unknown ones."""
-    profiles = scenes.sparkSession.createDataFrame(SENSOR_PROFILES, "profile string, bands array<string>, resolution_m int, resampling string")
+    profiles = scenes.sparkSession.createDataFrame(SENSOR_PROFILES, _PROFILE_TYPE)
     out = scenes.withColumn("_key", sensor_key(F.col(sensor_col)))
     out = out.join(F.broadcast(profiles), F.col("_key") == F.col("profile"), "left").drop("_key")  # three rows
     return out.withColumn("rejected", F.col("profile").isNull())
 
 
-CATEGORICAL_DRIVERS = ["landuse", "land_use", "lulc", "soil", "geology", "lithology"]
-RESAMPLING = {"circular": ["nearest"], "categorical": ["nearest", "majority"], "continuous": ["bilinear", "cubic", "nearest"]}
+#: Names of categorical drivers, and the resampling that each type of driver allows, its default first.
+CATEGORICAL_DRIVERS = ["soil", "soil_type", "geology", "lithology", "landform", "zoning", "protected_area", "administrative_zone", "ecological_redline"]
+RESAMPLING = {"categorical": ["majority", "nearest"], "continuous": ["bilinear", "cubic"], "circular": ["nearest"]}
+
+
+def _by_kind(values: dict) -> Column:
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v))])
 
 
 def driver_type(name: Column) -> Column:
-    """Aspect is circular; listed names and names in ``_class`` or ``_type`` are categorical; the rest is continuous."""
+    """Aspect is circular; listed names and names that end in ``_class`` or ``_type`` are categorical; the rest is continuous."""
     n = F.lower(F.trim(name))
     listed = n.isin(*CATEGORICAL_DRIVERS) | n.endswith("_class") | n.endswith("_type")
-    return F.when(n.contains("aspect"), "circular").when(listed, "categorical").otherwise("continuous")
+    return F.when(n == "aspect", "circular").when(listed, "categorical").otherwise("continuous")
+
+
+def default_resampling(kind: Column) -> Column:
+    return _by_kind({k: v[0] for k, v in RESAMPLING.items()})[kind]
 
 
 def resampling_allowed(kind: Column, method: Column) -> Column:
-    allowed = F.create_map(*[x for k, v in RESAMPLING.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    return F.coalesce(F.array_contains(allowed[kind], F.lower(F.trim(method))), F.lit(False))
+    """The method, or without one the type's default, is allowed for the type; an unknown type allows none."""
+    used = F.lower(F.coalesce(F.nullif(method, F.lit("")), default_resampling(kind)))
+    return F.coalesce(F.array_contains(_by_kind(RESAMPLING)[kind], used), F.lit(False))
 
 
 def low_confidence(confidence: Column, threshold: float, nodata: int = 255) -> Column:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import with_cell_index
-
-KEY = ["row", "col"]
+from loamgrid.operators.blocks import KEY, nearest
 
 
 def stack_layers(layers: dict[str, DataFrame], key: list[str] = KEY) -> DataFrame:
@@ -75,34 +72,15 @@ def code_coverage(used: DataFrame, table: DataFrame, used_col: str = "value", ta
     return missing.unionByName(t.join(u, "code", "left_anti").withColumn("status", F.lit("extra")))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, radius: float, columns: list[str]) -> DataFrame:
-    """Pairs of a left and a right cell at most ``radius`` cells apart, with ``d2``, the squared distance.
-
-    Tiles are as wide as the radius, so a partner lies in one of 3 x 3 tiles; the right side is repeated, and an equi-join on the tile does the rest.
-    """
-    size = max(1, math.ceil(radius))
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    tile = lambda c: F.floor(F.col(c) / size)
-    r = right.select(*[F.col(c).alias(f"r_{c}") for c in [*KEY, *columns]])
-    r = r.withColumn("_i", F.explode(near)).withColumn("_j", F.explode(near))
-    r = r.withColumn("_ti", tile("r_row") + F.col("_i")).withColumn("_tj", tile("r_col") + F.col("_j")).drop("_i", "_j")
-    lhs = left.withColumn("_ti", tile("row")).withColumn("_tj", tile("col"))
-    dr, dc = F.col("row") - F.col("r_row"), F.col("col") - F.col("r_col")
-    out = lhs.join(r, ["_ti", "_tj"]).withColumn("d2", dr * dr + dc * dc)
-    return out.filter(F.col("d2") <= radius * radius).drop("_ti", "_tj")
-
-
 def nearest_fill(scope: DataFrame, observed: DataFrame, max_distance: float, pixel: float) -> DataFrame:
     """Cells of the scope with their own value, or else the nearest observed one within ``max_distance``.
 
     Ties go to the first sample in row-major order. ``filled`` tells borrowed values; cells that get none are left out.
     """
-    obs = observed.select(*KEY, "value")
+    obs = observed.select(*KEY, F.col("value").cast("double").alias("value"))
     own = scope.select(*KEY).join(obs, KEY).withColumn("filled", F.lit(False))
     open_cells = scope.select(*KEY).join(obs.select(*KEY), KEY, "left_anti")
-    pairs = near_pairs(open_cells, obs, max_distance / pixel, ["value"])
-    got = pairs.groupBy(*KEY).agg(F.min_by("r_value", F.struct("d2", "r_row", "r_col")).alias("value"))
-    return own.unionByName(got.withColumn("filled", F.lit(True)))
+    return own.unionByName(nearest(open_cells, obs, max_distance / pixel).withColumn("filled", F.lit(True)))
 
 
 def polygon_edges(features: DataFrame, id_col: str = "feature_id") -> DataFrame:
@@ -117,18 +95,25 @@ def polygon_edges(features: DataFrame, id_col: str = "feature_id") -> DataFrame:
 def cells_in_polygons(cells: DataFrame, features: DataFrame, x: Column, y: Column, band: float) -> DataFrame:
     """``feature_id`` and the cells whose centre lies inside by the even-odd rule (holes are rings).
 
-    A horizontal ray crosses an edge only inside the edge's height, so edges are dealt to bands of height ``band`` and
-    joined to the cells of the band by key. Upper ends are open: a border shared by two polygons assigns each cell once.
+    A ray to the right crosses an edge only inside the edge's height, so the edges of a feature are gathered by bands of height ``band``, and each band
+    is laid over the square tiles between its outermost edges. Cells join on their tile, in x and y, and count crossings in the array that comes with it:
+    nothing is shuffled after the join. Upper ends are open: a border shared by two polygons assigns each cell once.
     """
     edges = polygon_edges(features).filter("y1 <> y2")
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    spans = F.explode(F.sequence(F.floor(low / band), F.floor(high / band)))
-    edges = edges.withColumn("_band", spans)
-    placed = cells.withColumn("_x", x).withColumn("_y", y).withColumn("_band", F.floor(y / band))
-    at = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    crosses = ((F.col("y1") <= F.col("_y")) != (F.col("y2") <= F.col("_y"))) & (F.col("_x") < at)
-    hits = placed.join(edges, "_band").filter(crosses)
-    return hits.groupBy("feature_id", *cells.columns).count().filter("count % 2 = 1").drop("count")
+    edges = edges.withColumn("_band", F.explode(F.sequence(F.floor(low / band), F.floor(high / band))))
+    bands = edges.groupBy("feature_id", "_band").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"), F.floor(F.min(F.least("x1", "x2")) / band).alias("_from"), F.floor(F.max(F.greatest("x1", "x2")) / band).alias("_to")
+    )
+    tiles = bands.withColumn("_tile", F.explode(F.sequence("_from", "_to"))).select("feature_id", "_band", "_tile", "_edges")
+    placed = cells.withColumn("_x", x).withColumn("_y", y).withColumn("_band", F.floor(y / band)).withColumn("_tile", F.floor(x / band))
+
+    def crosses(e: Column) -> Column:
+        at = e["x1"] + (F.col("_y") - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
+        return ((e["y1"] <= F.col("_y")) != (e["y2"] <= F.col("_y"))) & (F.col("_x") < at)
+
+    met = placed.join(tiles, ["_band", "_tile"])
+    return met.filter(F.size(F.filter("_edges", crosses)) % 2 == 1).select("feature_id", *cells.columns)
 
 
 def geometry_key(kind: Column, coordinates: Column) -> Column:
@@ -144,3 +129,25 @@ def geometry_overlaps(train: DataFrame, check: DataFrame, key: str = "geometry_k
 def points_in_training(points: DataFrame, features: DataFrame, band: float) -> DataFrame:
     """Validation points (``x, y``) that fall in a training polygon, each once per polygon."""
     return cells_in_polygons(points, features, F.col("x"), F.col("y"), band)
+
+
+def polygons_that_meet(left: DataFrame, right: DataFrame, band: float) -> DataFrame:
+    """``left_id, right_id`` of polygons that share a point: edges that cross or touch, or one with a corner inside the other.
+
+    Edges and corners meet on square tiles of width ``band``; only edges in one tile are held against each other.
+    """
+    cut = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / band), F.floor(F.greatest(a, b) / band)))
+    tiled = lambda f: polygon_edges(f).withColumn("_i", cut("y1", "y2")).withColumn("_j", cut("x1", "x2"))
+    p = tiled(left).withColumnRenamed("feature_id", "left_id")
+    q = tiled(right).select(F.col("feature_id").alias("right_id"), *[F.col(c).alias(f"q{c}") for c in ("x1", "y1", "x2", "y2")], "_i", "_j")
+    side = lambda ax, ay, bx, by, cx, cy: (F.col(bx) - F.col(ax)) * (F.col(cy) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(cx) - F.col(ax))
+    one = side("x1", "y1", "x2", "y2", "qx1", "qy1") * side("x1", "y1", "x2", "y2", "qx2", "qy2")
+    two = side("qx1", "qy1", "qx2", "qy2", "x1", "y1") * side("qx1", "qy1", "qx2", "qy2", "x2", "y2")
+    apart = F.lit(False)
+    for c in "xy":  # boxes that do not meet rule out edges on one line
+        apart = apart | (F.greatest(f"{c}1", f"{c}2") < F.least(f"q{c}1", f"q{c}2")) | (F.greatest(f"q{c}1", f"q{c}2") < F.least(f"{c}1", f"{c}2"))
+    touching = p.join(q, ["_i", "_j"]).filter((one <= 0) & (two <= 0) & ~apart).select("left_id", "right_id")
+    corner = lambda f, name: f.select(F.col("feature_id").alias(name), F.explode("rings").alias("r")).select(name, F.explode("r").alias("p")).select(name, "p.x", "p.y")
+    inner = points_in_training(corner(left, "left_id"), right, band).select("left_id", F.col("feature_id").alias("right_id"))
+    outer = points_in_training(corner(right, "right_id"), left, band).select(F.col("feature_id").alias("left_id"), "right_id")
+    return touching.unionByName(inner).unionByName(outer).distinct()

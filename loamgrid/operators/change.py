@@ -35,12 +35,15 @@ def transition_matrix(before: DataFrame, after: DataFrame, classes: DataFrame, c
 
 
 def period_transitions(cells: DataFrame, classes: DataFrame, cell_ha: float, key=("row", "col")) -> DataFrame:
-    """Transitions of all consecutive years in one job: each year's cells join those of the next year there is."""
+    """Transitions of all consecutive years in one job: each cell's value beside its value in the next year that any cell has.
+
+    One window over the cell's own years takes the place of a self-join; cells that miss the next year drop out.
+    """
     years = cells.select("year").distinct()
-    periods = years.withColumn("to_year", F.lead("year").over(Window.orderBy("year"))).filter("to_year IS NOT NULL")
-    before = cells.join(F.broadcast(periods), "year").select(F.col("year").alias("from_year"), "to_year", *key, F.col("value").alias("source_code"))
-    after = cells.select(F.col("year").alias("to_year"), *key, F.col("value").alias("target_code"))
-    both = before.join(after, ["to_year", *key])
+    periods = years.withColumn("to_year", F.lead("year").over(Window.orderBy("year"))).filter("to_year IS NOT NULL")  # one row per year
+    own = Window.partitionBy(*key).orderBy("year")
+    pairs = cells.select(F.col("year").alias("from_year"), F.lead("year").over(own).alias("_next"), F.col("value").alias("source_code"), F.lead("value").over(own).alias("target_code"))
+    both = pairs.join(F.broadcast(periods), (F.col("from_year") == F.col("year")) & (F.col("_next") == F.col("to_year")))
     counts = both.groupBy("from_year", "to_year", "source_code", "target_code").agg(F.count(F.lit(1)).alias("pixel_count"))
     out = _named(counts.withColumn("area_ha", F.col("pixel_count") * cell_ha), classes)
     return out.select("from_year", "to_year", "source_code", "source", "target_code", "target", "pixel_count", "area_ha")
@@ -63,12 +66,12 @@ def node_totals(transitions: DataFrame, classes: DataFrame) -> DataFrame:
     return classes.join(sums, "code", "left").fillna(0.0, ["outgoing_ha", "incoming_ha"])
 
 
-def confusion(samples: DataFrame) -> DataFrame:
-    """``reference, prediction, n``; rows with a null or blank label are left out."""
+def confusion(samples: DataFrame, by: list[str] = []) -> DataFrame:
+    """``by, reference, prediction, n``; rows with a null or blank label are left out."""
     ok = F.col("reference").isNotNull() & F.col("prediction").isNotNull()
     text = lambda c: F.trim(F.col(c).cast("string"))
-    rows = samples.filter(ok).select(text("reference").alias("reference"), text("prediction").alias("prediction"))
-    return rows.filter("reference <> '' AND prediction <> ''").groupBy("reference", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    rows = samples.filter(ok).select(*by, text("reference").alias("reference"), text("prediction").alias("prediction"))
+    return rows.filter("reference <> '' AND prediction <> ''").groupBy(*by, "reference", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_wide(counts: DataFrame, labels: list[str]) -> DataFrame:
@@ -76,7 +79,7 @@ def confusion_wide(counts: DataFrame, labels: list[str]) -> DataFrame:
     return counts.groupBy("reference").pivot("prediction", labels).agg(F.sum("n")).fillna(0)
 
 
-def class_metrics(counts: DataFrame) -> DataFrame:
+def class_metrics(counts: DataFrame, by: list[str] = []) -> DataFrame:
     """Precision, recall, F1, IoU and support per label of reference or prediction; 0 / 0 is 0."""
     sides = F.explode(
         F.array(
@@ -84,18 +87,18 @@ def class_metrics(counts: DataFrame) -> DataFrame:
             F.struct(F.col("prediction").alias("label"), F.lit(0).cast("long").alias("ref"), F.col("n").alias("pred"), F.lit(0).cast("long").alias("tp")),
         )
     )
-    t = counts.select(sides.alias("s")).groupBy("s.label").agg(F.sum("s.ref").alias("support"), F.sum("s.pred").alias("predicted"), F.sum("s.tp").alias("tp"))
+    t = counts.select(*by, sides.alias("s")).groupBy(*by, "s.label").agg(F.sum("s.ref").alias("support"), F.sum("s.pred").alias("predicted"), F.sum("s.tp").alias("tp"))
     div = lambda a, b: F.coalesce(a / F.nullif(b.cast("double"), F.lit(0.0)), F.lit(0.0))
     t = t.withColumn("precision", div(F.col("tp"), F.col("predicted"))).withColumn("recall", div(F.col("tp"), F.col("support")))
     t = t.withColumn("f1", div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
     t = t.withColumn("iou", div(F.col("tp"), F.col("support") + F.col("predicted") - F.col("tp")))
-    return t.select("label", "precision", "recall", "f1", "iou", "support", "tp")
+    return t.select(*by, "label", "precision", "recall", "f1", "iou", "support", "tp")
 
 
-def accuracy_report(counts: DataFrame) -> DataFrame:
+def accuracy_report(counts: DataFrame, by: list[str] = []) -> DataFrame:
     """Overall accuracy, macro F1 and macro IoU over the union of labels."""
-    m = class_metrics(counts)
-    return m.agg(
+    m = class_metrics(counts, by)
+    return m.groupBy(*by).agg(
         F.sum("support").alias("n"),
         (F.sum("tp") / F.nullif(F.sum("support").cast("double"), F.lit(0.0))).alias("overall_accuracy"),
         F.avg("f1").alias("macro_f1"),
@@ -119,6 +122,12 @@ def figure_of_merit(stack: DataFrame, by: list[str] = []) -> DataFrame:
     return stack.groupBy(*by).agg(*_merit("baseline", "observed", "predicted"))
 
 
+def backcast_report(stack: DataFrame, by: list[str]) -> DataFrame:
+    """Figure of merit of each backcast beside the accuracy of the predicted layer against the observed one, on the same cells."""
+    samples = stack.select(*by, F.col("observed").alias("reference"), F.col("predicted").alias("prediction"))
+    return figure_of_merit(stack, by).join(accuracy_report(confusion(samples, by), by), by)
+
+
 def seed_spread(per_seed: DataFrame) -> DataFrame:
     """Mean and, with two seeds or more, population deviation of the seeds' figures of merit."""
     n = F.count(F.lit(1))

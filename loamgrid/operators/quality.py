@@ -40,23 +40,94 @@ def carbon_table_violations(table: DataFrame) -> DataFrame:
     return _rows(table, rules, F.col("lucode")).unionByName(_repeated(table, ["lucode"], F.col("lucode"), "unique_code")).unionByName(empty)
 
 
-def layer_violations(profiles: DataFrame, grids: DataFrame, master: str, known_codes: list[int]) -> DataFrame:
-    """Preflight of layers: profile (``zonal.layer_profile``) and grid dimension against the rules and the master grid.
+#: Requirements of a layer: a null, or a column that the table lacks, asks for nothing.
+LAYER_REQUIREMENTS = {
+    "require_metre": "boolean", "require_nodata": "boolean", "expected_cell": "double", "allowed_codes": "array<double>", "least_bands": "int", "expected_bands": "int",
+    "expected_band_names": "array<string>", "expected_range": "array<double>", "expected_sensor": "string", "must_align": "boolean",
+}
+#: What is known of a layer beside its profile.
+LAYER_FACTS = {
+    "kind": "string", "crs": "string", "projected": "boolean", "unit": "string", "width": "long", "height": "long", "nodata": "double", "integer_type": "boolean", "bands": "int",
+    "band_names": "array<string>", "sensor": "string", **{c: "double" for c in "abcdef"},
+}
+METRES = ["metre", "meter", "metres", "meters", "m"]
+
+
+def _isclose(x: Column, y: Column, rel: float, absolute: Column | float) -> Column:
+    return F.abs(x - y) <= F.greatest(F.lit(rel) * F.greatest(F.abs(x), F.abs(y)), absolute if isinstance(absolute, Column) else F.lit(absolute))
+
+
+def layer_violations(profiles: DataFrame, layers: DataFrame, master: str | None = None, datums: tuple[str | None, str | None] | None = None) -> DataFrame:
+    """``subject, rule, severity`` of the preflight of layers.
 
-    ``grids``: layer_id, kind (lulc, depth or other), crs, unit, width, height, a..f, nodata, datum.
+    ``profiles``: ``zonal.layer_profile`` by ``layer_id``. ``layers``: layer_id with LAYER_FACTS and LAYER_REQUIREMENTS. ``kind``: lulc, continuous,
+    subsidence_depth or other. Layers that must align are held against ``master``; ``datums``: of the elevation model and of the water level, for volumes.
+    A profile without its list of codes (too many to list) is a violation of a land-cover layer, not a pass.
     """
-    m = grids.filter(F.col("layer_id") == master).select(*[F.col(c).alias(f"m_{c}") for c in ("crs", "width", "height", "a", "e", "c", "f", "datum")])
-    t = grids.join(F.broadcast(m), F.lit(True), "left").join(profiles, "layer_id", "left")  # one master row
-    lulc, codes = F.col("kind") == "lulc", F.coalesce("codes", F.array().cast("array<double>"))
-    near = lambda c: F.abs(F.col(c) - F.col(f"m_{c}")) <= 1e-10 * F.abs(F.col(f"m_{c}")) + 1e-8 * F.abs(F.col("m_a"))
+    types = LAYER_FACTS | LAYER_REQUIREMENTS
+    own = {c.lower() for c in layers.columns}
+    t = layers.withColumns({c: F.col(c).cast(k) if c in own else F.lit(None).cast(k) for c, k in types.items()}).select("layer_id", *types)
+    same = ["crs", "width", "height", *"abcdef"]
+    m = t.filter(F.col("layer_id") == F.lit(master)).select(*[F.col(c).alias(f"m_{c}") for c in same])  # one row
+    t = t.join(F.broadcast(m), F.lit(True), "left").join(profiles, "layer_id", "left")
+    asked = lambda c: F.coalesce(F.col(c), F.lit(False))
+    unless = lambda c, ok: F.col(c).isNull() | F.coalesce(ok, F.lit(False))
+    is_a = lambda kind: F.coalesce(F.col("kind") == kind, F.lit(False))
+    cell = F.greatest(*[F.abs(F.col(p + c)) for p in ("", "m_") for c in "ae"], F.lit(1.0))
+    slack = F.greatest(F.lit(1e-9), cell * 1e-8)
+    aligned = F.col("crs").eqNullSafe(F.col("m_crs")) & (F.col("width") == F.col("m_width")) & (F.col("height") == F.col("m_height"))
+    for c in "abcdef":
+        aligned = aligned & _isclose(F.col(c), F.col(f"m_{c}"), 1e-10, slack)
+    names = lambda c: F.transform(c, F.lower)
+    low, high = F.get("expected_range", F.lit(0)), F.get("expected_range", F.lit(1))
+    lulc, codes = is_a("lulc"), F.col("codes")
     rules = {
-        "crs": F.col("crs").isNotNull() & F.col("crs").eqNullSafe(F.col("m_crs")), "metre": F.col("unit") == "metre", "size": (F.col("width") > 0) & (F.col("height") > 0),
-        "nodata_set": F.col("nodata").isNotNull(), "non_finite": F.coalesce("non_finite", F.lit(0)) == 0, "values": F.col("min").isNotNull(),
-        "integer_codes": ~lulc | F.forall(codes, lambda x: x == F.floor(x)), "known_codes": ~lulc | F.forall(codes, lambda x: x.isin(*map(float, known_codes))),
-        "nodata_is_class": ~lulc | ~F.coalesce(F.col("nodata").isin(*map(float, known_codes)), F.lit(False)), "negative_depth": (F.col("kind") != "depth") | (F.col("min") >= 0),
-        "aligned": (F.col("width") == F.col("m_width")) & (F.col("height") == F.col("m_height")) & near("a") & near("e") & near("c") & near("f"), "datum": F.col("datum").eqNullSafe(F.col("m_datum")),
+        "crs": F.col("crs").isNotNull() & (F.col("crs") != ""), "size": (F.col("width") > 0) & (F.col("height") > 0),
+        "metre": ~asked("require_metre") | (asked("projected") & F.lower("unit").isin(*METRES)), "nodata_set": ~asked("require_nodata") | F.col("nodata").isNotNull(),
+        "cell_size": unless("expected_cell", (F.col("expected_cell") > 0) & _isclose(F.abs("a"), F.col("expected_cell"), 1e-8, 1e-8) & _isclose(F.abs("e"), F.col("expected_cell"), 1e-8, 1e-8)),
+        "non_finite": ~is_a("continuous") | (F.coalesce("non_finite", F.lit(0)) == 0), "integer_codes": ~lulc | (F.coalesce("integer_type", F.lit(True)) & (F.coalesce("fractional", F.lit(0)) == 0)),
+        "codes_listed": ~lulc | codes.isNotNull() | F.col("min").isNull(), "known_codes": ~lulc | codes.isNull() | unless("allowed_codes", F.size(F.array_except(codes, "allowed_codes")) == 0),
+        "nodata_is_class": ~lulc | ~F.coalesce(F.array_contains("allowed_codes", F.col("nodata")), F.lit(False)),
+        "least_bands": unless("least_bands", F.coalesce("bands", F.lit(0)) >= F.col("least_bands")), "band_count": unless("expected_bands", F.coalesce("bands", F.lit(0)) == F.col("expected_bands")),
+        "band_names": unless("expected_band_names", F.coalesce(F.size("band_names") <= 0, F.lit(True)) | (names("expected_band_names") == names("band_names"))),
+        "range_given": unless("expected_range", (F.size("expected_range") == 2) & finite(low) & finite(high) & (low < high)),
+        "value_range": F.col("expected_range").isNull() | F.col("min").isNull() | ~(low < high) | F.coalesce((F.col("min") >= low) & (F.col("max") <= high), F.lit(False)),
+        "sensor": F.col("expected_sensor").isNull() | F.col("sensor").isNull() | (F.lower("expected_sensor") == F.lower("sensor")),
+        "depth_known": ~is_a("subsidence_depth") | F.col("min").isNotNull(), "negative_depth": ~is_a("subsidence_depth") | F.coalesce(F.col("min") >= -1e-9, F.lit(True)),
+        "aligned": ~asked("must_align") | F.coalesce(aligned, F.lit(False)),
     }
-    return _rows(t, rules, F.col("layer_id"))
+    out = _rows(t, rules, F.col("layer_id")).withColumn("severity", F.lit("error"))
+    untagged = t.filter("expected_sensor IS NOT NULL AND sensor IS NULL").select(F.col("layer_id").alias("subject"), F.lit("sensor_tag").alias("rule"), F.lit("warning").alias("severity"))
+    out = out.unionByName(untagged)
+    whole = []
+    if master is not None and m.isEmpty():
+        whole.append((master, "master", "error"))
+    if datums is not None:
+        dem, water = ((x or "").strip().lower() for x in datums)
+        whole += [("table", "datum_declared", "error")] if not dem or not water else [("table", "datum", "error")] if dem != water else []
+    return out.unionByName(layers.sparkSession.createDataFrame(whole, "subject string, rule string, severity string"))
+
+
+def finite_coordinates(coordinates: Column) -> Column:
+    """The JSON text of nested coordinates has numbers only, all finite, and no empty list."""
+    number = r"-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?"
+    flat = F.regexp_replace(F.regexp_replace(coordinates, r"\s+", ""), number, "n")
+    overflow = F.exists(F.regexp_extract_all(coordinates, F.lit(number), F.lit(0)), lambda x: ~finite(x.try_cast("double")))
+    return F.coalesce(flat.rlike(r"^\[[\[\]n,]*\]$") & ~flat.rlike(r"\[\]|,,|\[,|,\]") & ~overflow, F.lit(False))
+
+
+def vector_violations(features: DataFrame, require_crs: bool = True, types: list[str] = []) -> DataFrame:
+    """``subject, rule, n`` of vector features ``geom_type, coordinates`` (JSON text)``, crs``: none at all, no CRS, other types, coordinates that are no finite numbers."""
+    broken = F.array_compact(
+        F.array(
+            F.when(F.lit(require_crs) & F.coalesce(F.col("crs") == "", F.lit(True)), "crs"),
+            F.when(~finite_coordinates(F.col("coordinates")), "coordinates"),
+            F.when(F.lit(bool(types)) & ~F.coalesce(F.col("geom_type").isin(*types), F.lit(False)), "geometry_type") if types else F.lit(None).cast("string"),
+        )
+    )
+    found = features.select(F.explode(broken).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    empty = features.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit("features").alias("rule"), "n")
+    return found.unionByName(empty).select(F.lit("vector").alias("subject"), "rule", "n")
 
 
 def threat_violations(threats: DataFrame, sensitivity: DataFrame, used: DataFrame) -> DataFrame:
@@ -91,19 +162,53 @@ def biophysical_violations(table: DataFrame, z: float) -> DataFrame:
     return out.unionByName(_rows(table, rules, F.col("lucode")))
 
 
-def sample_violations(samples: DataFrame, expected: list[str], least: int, most_ratio: float) -> DataFrame:
-    """Training samples (class, role): blank class, too few per class, missing classes, under two classes, imbalance, other roles."""
-    blank = samples.filter(F.col("class").isNull() | (F.trim(F.col("class").cast("string")) == "")).select(F.lit("sample").alias("subject"), F.lit("blank_class").alias("rule"))
-    named = samples.filter(F.col("class").isNotNull() & (F.trim(F.col("class").cast("string")) != "")).withColumn("class", F.trim(F.col("class").cast("string")))
-    counts = named.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    few = counts.filter(F.col("n") < least).select(F.col("class").alias("subject"), F.lit("few_samples").alias("rule"))
-    want = samples.sparkSession.createDataFrame([(c,) for c in expected], "class string")
-    gone = want.join(counts, "class", "left_anti").select(F.col("class").alias("subject"), F.lit("missing_class").alias("rule"))
-    whole = counts.agg(F.count(F.lit(1)).alias("k"), (F.max("n") / F.min("n")).alias("ratio"))
-    one = whole.filter("k < 2").select(F.lit("table").alias("subject"), F.lit("two_classes").alias("rule"))
-    uneven = whole.filter(F.col("ratio") > most_ratio).select(F.lit("table").alias("subject"), F.lit("imbalance").alias("rule"))
-    roles = samples.groupBy("role").count().filter("role <> 'training'").select(F.col("role").alias("subject"), F.lit("role").alias("rule"))
-    return reduce(DataFrame.unionByName, [blank, few, gone, one, uneven, roles])
+def sample_violations(
+    samples: DataFrame, expected: list[str] = [], least: int = 30, most_ratio: float = 10.0, training: str = "training", validation: str = "validation", training_only: bool = False
+) -> DataFrame:
+    """``subject, rule, severity, n`` of samples ``class``, with ``role``, ``crs``, ``geometry`` (JSON text or null) and ``pixels`` (text) where they have them.
+
+    Errors: no samples, blank classes, expected classes that are missing, under two classes, a geometry table without CRS or with features that have no geometry,
+    validation geometries that equal training ones, other roles where only training is allowed. Warnings: classes with fewer than ``least`` samples,
+    imbalance above ``most_ratio``, pixel counts that are no numbers, no CRS beside samples without geometry, no samples of one of the two roles.
+    """
+    have = {c.lower() for c in samples.columns}
+    if "class" not in have:
+        return samples.sparkSession.createDataFrame([("table", "class_field", "error", 1)], "subject string, rule string, severity string, n long")
+    text = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in have else F.lit(None).cast("string")
+    t = samples.select(text("class").alias("class"), text("role").alias("role"), text("crs").alias("crs"), text("geometry").alias("geometry"), F.col("pixels").cast("string").alias("pixels") if "pixels" in have else F.lit("0").alias("pixels"))
+    vector = "geometry" in have
+    row = lambda df, subject, rule, severity, n: df.select(subject.cast("string").alias("subject"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), n.cast("long").alias("n"))
+    table, one = F.lit("table"), F.lit(1)
+    labelled = F.col("class").isNotNull()
+    n = lambda ok: F.count(F.when(ok, 1))
+    facts = t.agg(
+        F.count(F.lit(1)).alias("rows"), n(~labelled).alias("blank"), n(F.col("crs").isNotNull()).alias("crs"), n(F.col("geometry").isNull()).alias("shapeless"),
+        n(labelled & ~F.coalesce(finite(F.col("pixels").try_cast("double")), F.lit(False))).alias("odd"),
+        n(labelled & (F.col("role") == training)).alias("train"), n(labelled & (F.col("role") == validation)).alias("check"),
+    )
+    counts = t.filter(labelled).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    spread = counts.agg(F.count(F.lit(1)).alias("k"), (F.max("n") / F.min("n")).alias("ratio"))
+    want = samples.sparkSession.createDataFrame([(c.strip(),) for c in expected], "class string")
+    parts = [
+        row(facts.filter("rows = 0"), table, "no_samples", "error", one), row(facts.filter("blank > 0"), table, "blank_class", "error", F.col("blank")),
+        row(facts.filter("rows > blank AND odd > 0"), table, "pixel_count", "warning", F.col("odd")), row(spread.filter("k < 2"), table, "two_classes", "error", F.col("k")),
+        row(spread.filter(F.col("ratio") > most_ratio), table, "imbalance", "warning", one), row(counts.filter(F.col("n") < least), F.col("class"), "few_samples", "warning", F.col("n")),
+        row(want.join(counts, "class", "left_anti"), F.col("class"), "missing_class", "error", one), row(facts.filter("crs = 0"), table, "crs", "error" if vector else "warning", one),
+    ]
+    if vector:
+        parts.append(row(facts.filter("shapeless > 0"), table, "geometry", "error", F.col("shapeless")))
+    if "role" not in have:
+        parts.append(row(facts, table, "role_field", "warning", one))
+    else:
+        parts += [row(facts.filter("train = 0"), table, "no_training", "error" if training_only else "warning", one), row(facts.filter("`check` = 0"), table, "no_validation", "warning", one)]
+        shapes = t.filter(labelled & F.col("geometry").isNotNull())
+        trained = shapes.filter(F.col("role") == training).select("geometry").distinct()
+        both = shapes.filter(F.col("role") == validation).join(trained, "geometry", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(row(both.filter("n > 0"), table, "overlap", "error", F.col("n")))
+        if training_only:
+            others = t.filter(labelled & (F.col("role") != training)).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(row(others, F.col("role"), "other_role", "error", F.col("n")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def validation_violations(samples: DataFrame, labels: list[str], least: int) -> DataFrame:
@@ -113,32 +218,100 @@ def validation_violations(samples: DataFrame, labels: list[str], least: int) ->
     return _rows(n, rules, F.col("label"))
 
 
-#: Sections of the evidence gate: field, comparison and limit that each report has to meet.
-EVIDENCE_RULES = {
-    "lulc": [("overall_accuracy", ">=", 0.85)],
-    "plus": [("figure_of_merit", ">", 0.0)],
-    "invest": [("relative_difference", "<=", 0.001)],
-    "ecosystem": [("consistency_ratio", "<=", 0.1)],
-    "subsidence_water": [("composite_t_c", ">=", 0.0)],
-}
+#: Sections of the evidence, in their order, and what is read of each report.
+EVIDENCE_SECTIONS = ("lulc", "plus", "invest", "ecosystem", "subsidence_water")
+_CLASS = "struct<precision: double, recall: double, f1: double, iou: double>"
+_RUN = "status: string, outputs: array<string>, units: map<string, string>"
+EVIDENCE_SCHEMA = (
+    f"metrics struct<oa: double, f1: double, iou: double, classes: map<string, {_CLASS}>>, oa double, f1 double, iou double, classes map<string, {_CLASS}>, fom double, seed_metrics array<struct<fom: double>>, "
+    "carbon struct<workflow_total_t_c: double, independent_total_t_c: double, relative_tolerance: double>, workflow_total_t_c double, independent_total_t_c double, relative_tolerance double, "
+    f"models map<string, struct<{_RUN}, scenarios: map<string, struct<{_RUN}>>>>, normalised_ranges map<string, array<double>>, method string, ahp_consistency_ratio double, "
+    "sensitivity struct<available: boolean, maximum_rank_shift: double>, mode string, water_code long, water_cell_count double, water_area_m2 double, water_volume_m3 double, subsidence_water_composite_carbon_t_c double"
+)
+
+
+def _unit(c: Column) -> Column:
+    return F.coalesce(finite(c) & c.between(0, 1), F.lit(False))
+
+
+def _not_negative(c: Column) -> Column:
+    return F.coalesce(finite(c) & (c >= 0), F.lit(False))
+
+
+def _every(mapped: Column, ok) -> Column:
+    """A map that is there, is not empty and whose values all hold."""
+    values = F.map_values(mapped)
+    return F.coalesce((F.size(values) > 0) & F.forall(values, lambda v: F.coalesce(ok(v), F.lit(False))), F.lit(False))
+
+
+def _run_holds(run: Column) -> Column:
+    stated = lambda u: (F.trim(u) != "") & (F.lower(F.trim(u)) != "undeclared")
+    outputs = (F.size(run["outputs"]) > 0) & F.forall(run["outputs"], lambda x: F.coalesce(x != "", F.lit(False)))
+    return F.coalesce((run["status"] == "completed") & outputs, F.lit(False)) & _every(run["units"], stated)
+
+
+def evidence_checks(reports: DataFrame) -> DataFrame:
+    """``project, section, check, level`` of evidence ``project, section, body`` (JSON text): level 0 holds, 1 is pending, 2 fails.
+
+    lulc: accuracy, F1, IoU and those of every class are finite and within 0..1. plus: figure of merit and every class likewise, and two seeds or more, each
+    with its figure (too few are pending, unless something else fails). invest: both totals (else pending) within the tolerance, 0.001 unless given; every other model's runs completed, with outputs and
+    declared units. ecosystem: ranges [min, max] within 0..1, an AHP ratio of at most 0.1 under that method, a sensitivity summary. subsidence_water: what its mode asks for.
+    """
+    e = F.from_json("body", EVIDENCE_SCHEMA)
+    t = reports.withColumn("e", e).withColumn("absent", F.col("body").isNull() | F.regexp_replace("body", r"\s", "").isin("", "{}"))
+    at = lambda f: F.col(f"e.{f}")
+    wrapped = at("metrics").isNotNull()
+    lulc = lambda f: F.when(wrapped, at(f"metrics.{f}")).otherwise(at(f))
+    four = lambda v: _unit(v["precision"]) & _unit(v["recall"]) & _unit(v["f1"]) & _unit(v["iou"])
+    in_carbon = at("carbon").isNotNull()
+    invest = lambda f: F.when(in_carbon, at(f"carbon.{f}")).otherwise(at(f))
+    told, own, bound = invest("workflow_total_t_c"), invest("independent_total_t_c"), F.coalesce(invest("relative_tolerance"), F.lit(0.001))
+    totals = F.coalesce(finite(told) & finite(own), F.lit(False))
+    close = (bound >= 0) & (F.abs(told - own) / F.greatest(F.abs(own), F.lit(1e-12)) <= bound)
+    runs = lambda m: F.when(m["scenarios"].isNotNull(), _every(m["scenarios"], _run_holds)).otherwise(_run_holds(m))
+    models = at("models").isNull() | F.forall(F.map_entries(at("models")), lambda x: (x["key"] == "carbon") | runs(x["value"]))
+    ranges = _every(at("normalised_ranges"), lambda r: (F.size(r) == 2) & F.forall(r, _unit) & (F.get(r, F.lit(0)) <= F.get(r, F.lit(1))))
+    ratio = F.coalesce(at("method") != "ahp", F.lit(True)) | F.coalesce(finite(at("ahp_consistency_ratio")) & (at("ahp_consistency_ratio") <= 0.1), F.lit(False))
+    seeds, mode = at("seed_metrics"), at("mode")
+    few = F.coalesce(F.size(seeds) < 2, F.lit(True))
+    volume = _not_negative(at("water_volume_m3"))
+    water = (
+        F.when(mode == "classify_only", F.coalesce(at("water_code") >= 1, F.lit(False)) & _not_negative(at("water_cell_count")) & _not_negative(at("water_area_m2")))
+        .when(mode == "estimate_volume", volume).when(mode == "composite_subsidence_water_carbon", volume & _not_negative(at("subsidence_water_composite_carbon_t_c"))).otherwise(False)
+    )
+    rule = lambda name, ok, pending=False: F.struct(F.lit(name).alias("check"), F.when(ok, 0).otherwise(1 if pending else 2).alias("level"))
+    present = rule("evidence", ~F.col("absent"), True)
+    checks = {
+        "lulc": [rule("accuracy", _unit(lulc("oa"))), rule("f1", _unit(lulc("f1"))), rule("iou", _unit(lulc("iou"))), rule("classes", _every(lulc("classes"), four))],
+        "plus": [present, rule("figure_of_merit", F.col("absent") | _unit(at("fom"))), rule("classes", F.col("absent") | _every(at("classes"), lambda v: _unit(v["f1"]) & _unit(v["iou"]))), rule("seeds", ~few, True), rule("seed_figures", few | F.forall(seeds, lambda x: _unit(x["fom"])))],
+        "invest": [present, rule("totals", totals, True), rule("tolerance", ~totals | F.coalesce(close, F.lit(False))), rule("models", ~totals | F.coalesce(models, F.lit(False)))],
+        "ecosystem": [present, rule("ranges", F.col("absent") | ranges), rule("consistency", F.col("absent") | ratio), rule("sensitivity", F.col("absent") | (F.coalesce(at("sensitivity.available"), F.lit(False)) & _not_negative(at("sensitivity.maximum_rank_shift"))))],
+        "subsidence_water": [present, rule("mode", F.col("absent") | F.coalesce(water, F.lit(False)))],
+    }
+    picked = F.when(F.lit(False), F.array(present))
+    for name, rules in checks.items():
+        picked = picked.when(F.col("section") == name, F.array(*rules))
+    return t.select("project", "section", F.explode(picked).alias("r")).select("project", "section", "r.check", "r.level")
+
+
+def _status(level: Column) -> Column:
+    return F.element_at(F.array(F.lit("completed"), F.lit("pending_validation"), F.lit("failed")), level + 1)
 
 
-def evidence_gate(reports: DataFrame, rules: dict = EVIDENCE_RULES) -> DataFrame:
-    """``project, section, status``; failed outranks pending_validation, which outranks completed.
+def evidence_gate(reports: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """``project, section, status, broken`` (checks that do not hold) and ``gate``, the project's status; failed outranks pending_validation, which outranks completed.
 
-    ``reports``: project, section, metrics MAP<STRING, DOUBLE>. A section without a report or a value is pending.
+    ``required``: sections that every project has to report; by default those that it does report.
     """
-    flat = [(s, f, op, lim) for s, fs in rules.items() for f, op, lim in fs]
-    spark = reports.sparkSession
-    want = spark.createDataFrame(flat, "section string, field string, op string, bound double")
-    need = reports.select("project").distinct().join(F.broadcast(want), F.lit(True))  # a row per rule
-    got = reports.select("project", "section", F.explode("metrics").alias("field", "value"))
-    j = need.join(got, ["project", "section", "field"], "left")
-    holds = F.when(F.col("op") == ">=", F.col("value") >= F.col("bound")).when(F.col("op") == "<=", F.col("value") <= F.col("bound")).otherwise(F.col("value") > F.col("bound"))
-    level = F.when(~F.coalesce(finite(F.col("value")), F.lit(False)), 1).when(holds, 0).otherwise(2)
-    out = j.groupBy("project", "section").agg(F.max(level).alias("_l"))
-    status = F.element_at(F.array(F.lit("completed"), F.lit("pending_validation"), F.lit("failed")), F.col("_l") + 1)
-    return out.select("project", "section", status.alias("status"))
+    if required:
+        names = reports.sparkSession.createDataFrame([(s,) for s in required], "section string")
+        need = reports.select("project").distinct().join(F.broadcast(names), F.lit(True))  # five sections at most
+        reports = need.join(reports.select("project", "section", "body"), ["project", "section"], "left")
+    checks = evidence_checks(reports)
+    bad = F.array_sort(F.collect_set(F.when(F.col("level") > 0, F.col("check"))))
+    out = checks.groupBy("project", "section").agg(F.max("level").alias("level"), bad.alias("broken"))
+    gate = F.max("level").over(Window.partitionBy("project"))
+    return out.select("project", "section", _status(F.col("level")).alias("status"), "broken", _status(gate).alias("gate"))
 
 
 def period_violations(periods: DataFrame) -> DataFrame:

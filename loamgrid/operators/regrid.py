@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import finite, with_cell_index
-from loamgrid.operators.cells import KEY, near_pairs, nearest_fill
+from loamgrid.operators.blocks import weighted
+from loamgrid.operators.cells import KEY, nearest_fill
 
 
 def points_to_grid(points: DataFrame, grid: dict[str, float]) -> DataFrame:
@@ -20,14 +21,8 @@ def points_to_grid(points: DataFrame, grid: dict[str, float]) -> DataFrame:
 
 
 def inverse_distance(targets: DataFrame, samples: DataFrame, radius: float, neighbours: int = 12, power: float = 2.0) -> DataFrame:
-    """Inverse-distance weighting of the nearest ``neighbours`` samples within ``radius`` cells; a sample on the cell decides alone."""
-    pairs = near_pairs(targets.select(*KEY), samples, radius, ["value"])
-    nearest = Window.partitionBy(*KEY).orderBy("d2", "r_row", "r_col")
-    top = pairs.withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= neighbours)
-    w = F.pow("d2", F.lit(-power / 2))
-    on = F.max(F.when(F.col("d2") == 0, F.col("r_value")))
-    off = F.sum(F.when(F.col("d2") > 0, F.col("r_value") * w)) / F.sum(F.when(F.col("d2") > 0, w))
-    return top.groupBy(*KEY).agg(F.coalesce(on, off).alias("value"))
+    """Inverse-distance weighting of the nearest ``neighbours`` samples within ``radius`` cells (ties in row-major order); a sample on the cell decides alone."""
+    return weighted(targets, samples, radius, neighbours, power)
 
 
 def majority_regrid(cells: DataFrame, ratio: float, by: list[str] = []) -> DataFrame:
@@ -67,42 +62,35 @@ def continuous_regrid(cells: DataFrame, targets: DataFrame, ratio: float, method
     return out.filter(F.abs("_w") > least_weight).select(*KEY, (F.col("_s") / F.col("_w")).alias("value"))
 
 
-def distance_to_sources(cells: DataFrame, pixel: float) -> DataFrame:
+def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 64) -> DataFrame:
     """Exact Euclidean distance of every cell to the nearest cell with ``is_source``; null if there is none.
 
-    First the nearest source in the same column (two window passes), then per row the lower envelope of the parabolas
-    that these distances span, in time linear in the row's length.
+    First the nearest source in the same column (two window passes), then along the rows the least of squared gap plus squared column distance: arrays of
+    ``rows_at_once`` rows take one column distance after another, until none can lower any cell of theirs.
     """
     up = Window.partitionBy("col").orderBy("row")
     down = Window.partitionBy("col").orderBy(F.col("row").desc())
     at = F.when(F.col("is_source"), F.col("row"))
     gap = cells.withColumn("_a", F.last(at, ignorenulls=True).over(up)).withColumn("_b", F.last(at, ignorenulls=True).over(down))
-    gap = gap.select(*KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("double").alias("gap"))
-
-    def envelope(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("col")
-        cols = pdf["col"].to_numpy(float)
-        have = pdf["gap"].notna().to_numpy()
-        xs, fs = cols[have], pdf["gap"].to_numpy(float)[have] ** 2
-        if not len(xs):
-            return pdf[KEY].assign(distance=np.nan)
-        hull, starts = [0], [-np.inf]
-        for q in range(1, len(xs)):
-            while True:
-                p = hull[-1]
-                s = ((fs[q] + xs[q] ** 2) - (fs[p] + xs[p] ** 2)) / (2 * (xs[q] - xs[p]))
-                if s > starts[-1] or len(hull) == 1:
-                    break
-                hull.pop()
-                starts.pop()
-            hull.append(q)
-            starts.append(s)
-        own = np.array(hull)[np.searchsorted(starts[1:], cols, side="right")]
-        return pdf[KEY].assign(distance=np.sqrt((cols - xs[own]) ** 2 + fs[own]) * pixel)
+    gap = gap.select(*KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("double").alias("gap"), F.floor(F.col("row") / rows_at_once).alias("_rows"))
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        r, c = r - r.min(), c - c.min()
+        width = int(c.max()) + 1
+        gaps = np.full((int(r.max()) + 1, width), np.inf)
+        gaps[r, c] = np.where(pdf["gap"].isna(), np.inf, pdf["gap"].to_numpy()) ** 2
+        best = gaps.copy()
+        for k in range(1, width):
+            if k * k >= best.max():
+                break
+            np.minimum(best[:, k:], gaps[:, :-k] + k * k, out=best[:, k:])
+            np.minimum(best[:, :-k], gaps[:, k:] + k * k, out=best[:, :-k])
+        return pdf[KEY].assign(distance=np.sqrt(best[r, c]) * pixel)
 
     kinds = ", ".join(f"{c} {gap.schema[c].dataType.simpleString()}" for c in KEY)
-    out = gap.groupBy("row").applyInPandas(envelope, f"{kinds}, distance double")
-    return out.withColumn("distance", F.nanvl("distance", F.lit(None).cast("double")))
+    out = gap.groupBy("_rows").applyInPandas(sweep, f"{kinds}, distance double")
+    return out.withColumn("distance", F.when(F.col("distance") < float("inf"), F.col("distance")))
 
 
 def slope_aspect(dem: DataFrame, cell: float) -> DataFrame:

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from loamgrid.functions.scalars import finite
+from loamgrid.operators.ranking import ordinal
 
 #: Fixed random-index table of the consistency ratio, for orders 1 to 10.
 RANDOM_INDEX = [0.0, 0.0, 0.58, 0.9, 1.12, 1.24, 1.32, 1.41, 1.45, 1.49]
 
 
 def criterion_bounds(units: DataFrame, fields: list[str]) -> dict[str, tuple[float, float]]:
-    """Minimum and maximum of every criterion from one aggregate (one row)."""
-    row = units.agg(*[F.min(f).alias(f"lo_{f}") for f in fields], *[F.max(f).alias(f"hi_{f}") for f in fields]).first()
-    return {f: (row[f"lo_{f}"], row[f"hi_{f}"]) for f in fields}
+    """Minimum and maximum of every criterion from one aggregate (one row); values that are null or not finite are an error with their counts."""
+    bad = lambda f: F.count(F.when(~F.coalesce(finite(F.col(f)), F.lit(False)), 1))
+    row = units.agg(F.count(F.lit(1)).alias("rows"), *[x.alias(f"{k}_{f}") for f in fields for k, x in (("lo", F.min(f)), ("hi", F.max(f)), ("bad", bad(f)))]).first()
+    if not row["rows"]:
+        raise ValueError("criteria table has no rows")
+    wrong = {f: row[f"bad_{f}"] for f in fields if row[f"bad_{f}"]}
+    if wrong:
+        raise ValueError(f"criteria with values that are no finite numbers: {wrong}")
+    return {f: (float(row[f"lo_{f}"]), float(row[f"hi_{f}"])) for f in fields}
 
 
 def normalised(value: Column, low: float, high: float, direction: str) -> Column:
     """Benefit (v - lo) / (hi - lo), cost (hi - v) / (hi - lo), not yet clipped; a constant criterion is 0.5."""
-    if low == high:
+    if math.isclose(low, high):
         return F.lit(0.5)
     if direction not in ("benefit", "cost"):
         raise ValueError(f"direction {direction}")
@@ -28,23 +38,41 @@ def normalised(value: Column, low: float, high: float, direction: str) -> Column
 
 
 def score_units(units: DataFrame, criteria: list[dict], bounds: dict | None = None) -> DataFrame:
-    """Add ``norm_<field>`` for every criterion, ``clipped`` (how many were out of fixed bounds) and ``score``.
+    """Add ``value_<field>``, ``norm_<field>`` and ``clipped_<field>`` (out of fixed bounds) for every criterion, ``clipped`` (how many were) and ``score``.
 
-    ``criteria``: field, direction, weight. Weights are normalised to sum 1.
+    ``criteria``: field, direction, weight. Weights are normalised to sum 1. ``bounds``: fixed ones by field, finite and in order; other fields take those of the units.
     """
     fields = [c["field"] for c in criteria]
-    bounds = bounds or criterion_bounds(units, fields)
-    total = sum(c["weight"] for c in criteria)
+    total = float(sum(c["weight"] for c in criteria))
+    if any(not math.isfinite(c["weight"]) or c["weight"] < 0 for c in criteria) or total <= 0:
+        raise ValueError("weights must be finite, not negative and not all zero")
+    for f, (low, high) in (bounds or {}).items():
+        if not (math.isfinite(low) and math.isfinite(high) and low < high):
+            raise ValueError(f"bounds of {f} must be finite and in order")
+    limits = criterion_bounds(units, fields) | {f: (float(a), float(b)) for f, (a, b) in (bounds or {}).items()}
     out, clipped, score = units, F.lit(0), F.lit(0.0)
     for c in criteria:
-        raw = normalised(F.col(c["field"]), *map(float, bounds[c["field"]]), c["direction"])
+        f = c["field"]
+        raw = normalised(F.col(f), *limits[f], c.get("direction", "benefit"))
         clip = F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw))
-        out = out.withColumn(f"norm_{c['field']}", clip)
-        clipped = clipped + F.when(raw != clip, 1).otherwise(0)
-        score = score + F.col(f"norm_{c['field']}") * (c["weight"] / total)
+        out = out.withColumn(f"value_{f}", F.col(f).cast("double")).withColumn(f"norm_{f}", clip).withColumn(f"clipped_{f}", raw != clip)
+        clipped = clipped + F.col(f"clipped_{f}").cast("int")
+        score = score + F.col(f"norm_{f}") * (c["weight"] / total)
     return out.withColumn("clipped", clipped).withColumn("score", score)
 
 
+def score_by_ahp(units: DataFrame, criteria: list[dict], entries: DataFrame, panel, threshold: float = 0.1) -> DataFrame:
+    """``score_units`` with the weights of one panel's judgement matrix (criterion i is row i); a faulty or inconsistent matrix is an error."""
+    own = entries.filter(F.col("panel_id") == panel)
+    problems = [r["problem"] for r in ahp_problems(own).limit(10).collect()]
+    rows = [] if problems else ahp_weights(own, threshold).orderBy("i").collect()  # one row per criterion, ten at most
+    if problems or len(rows) != len(criteria):
+        raise ValueError(f"judgement matrix: {problems or 'not as many rows as criteria'}")
+    if not rows[0]["consistent"]:
+        raise ValueError(f"consistency ratio {rows[0]['cr']:.4f} exceeds {threshold}")
+    return score_units(units, [c | {"weight": r["weight"]} for c, r in zip(criteria, rows, strict=True)])
+
+
 def ahp_problems(entries: DataFrame, tolerance: float = 1e-4) -> DataFrame:
     """``panel_id, problem`` of matrices ``panel_id, i, j, v`` that are not square, positive, reciprocal or have no unit diagonal."""
     n = entries.groupBy("panel_id").agg((F.max(F.greatest("i", "j")) + 1).alias("n"), F.count(F.lit(1)).alias("cells"))
@@ -82,8 +110,8 @@ def ahp_weights(entries: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 
 def ordinal_ranks(scores: DataFrame, by: list[str] = ["variant"]) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(F.col("score").desc(), "unit_id")
-    return scores.withColumn("rank", F.row_number().over(w))
+    """Add ``rank`` within ``by``: score from the top, then unit; by slices, so no variant is ranked in one task."""
+    return ordinal(scores, by, "score", ["unit_id"], "rank", descending=True)
 
 
 def weight_sensitivity(scored: DataFrame, criteria: list[dict], delta: float) -> DataFrame:
@@ -138,5 +166,5 @@ def calibrate(candidates: DataFrame, observed: float, by: list[str] = []) -> Dat
     """Absolute error of every candidate; the smallest (first row on ties) is ``selected``. ``candidates``: line, modeled."""
     out = candidates.withColumn("abs_error", F.abs(F.col("modeled") - observed))
     best = out.groupBy(*by).agg(F.min(F.struct("abs_error", "line")).alias("_b"))
-    out = out.join(F.broadcast(best), by, "left") if by else out.join(F.broadcast(best), F.lit(True))
+    out = out.join(best, by, "left") if by else out.join(F.broadcast(best), F.lit(True))  # without groups one row
     return out.withColumn("selected", (F.col("abs_error") == F.col("_b.abs_error")) & (F.col("line") == F.col("_b.line"))).drop("_b")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamgrid.functions.scalars import finite
-from loamgrid.operators.cells import near_pairs
+from loamgrid.operators.blocks import mean_decay
 
 POOLS = ["c_above", "c_below", "c_soil", "c_dead"]
 DECAY_RATE = 2.99
@@ -54,11 +55,9 @@ def habitat_quality(cells: DataFrame, threat_cells: DataFrame, threats: DataFram
     total = sum(r["weight"] for r in rows)
     parts = None
     for r in rows:
-        reach = r["max_dist"] / pixel
-        pairs = near_pairs(cells, threat_cells.filter(F.col("threat") == r["threat"]), reach, [])
-        d = F.sqrt("d2") / reach
-        decay = 1 - d if r["decay"] == "linear" else F.exp(-DECAY_RATE * d)
-        part = pairs.groupBy("row", "col").agg((F.avg(decay) * (r["weight"] / total)).alias("influence")).withColumn("threat", F.lit(r["threat"]))
+        decay = (lambda d: 1 - d) if r["decay"] == "linear" else (lambda d: np.exp(-DECAY_RATE * d))
+        part = mean_decay(cells, threat_cells.filter(F.col("threat") == r["threat"]), r["max_dist"] / pixel, decay)
+        part = part.select("row", "col", (F.col("influence") * (r["weight"] / total)).alias("influence"), F.lit(r["threat"]).alias("threat"))
         parts = part if parts is None else parts.unionByName(part)
     s = F.broadcast(sensitivity)  # classes times threats
     per = cells.join(parts, ["row", "col"]).join(s, ["lulc", "threat"])

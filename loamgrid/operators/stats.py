@@ -10,9 +10,8 @@ from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import centre_x, centre_y, finite, systematic
 from loamgrid.operators.cells import stack_layers
+from loamgrid.operators.ranking import cuts, ordinal, quantiles, slice_of, smallest_from
 
-#: Slices of a global ranking; within a slice a window runs, over the slices a prefix of their sums.
-RANK_SLICES = 200
 #: Rows of one slice of a hash order.
 SLICE_ROWS = 100_000
 
@@ -21,22 +20,15 @@ def average_ranks(rows: DataFrame, value: str, out: str = "rank") -> DataFrame:
     """Add the average rank of ``value`` (ties share the mean rank; values count as tied if equal to 12 decimals)."""
     tied = rows.withColumn("_v", F.round(F.col(value).cast("double"), 12))
     counts = tied.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).filter("_v IS NOT NULL")
-    return tied.join(_ranks_of_counts(counts, [], rank_cuts(counts, "_v"), out), "_v", "left").drop("_v")
+    return tied.join(_ranks_of_counts(counts, [], cuts(counts, "_v"), out), "_v", "left").drop("_v")
 
 
-def rank_cuts(rows: DataFrame, value: str) -> list[float]:
-    """At most RANK_SLICES numbers that cut the values into slices of about equal size."""
-    grid = [i / RANK_SLICES for i in range(1, RANK_SLICES)]
-    return sorted(set(rows.agg(F.percentile_approx(value, grid, 10_000)).first()[0] or []))
-
-
-def _ranks_of_counts(counts: DataFrame, by: list[str], cuts: list[float], out: str) -> DataFrame:
+def _ranks_of_counts(counts: DataFrame, by: list[str], edges: list[float], out: str) -> DataFrame:
     """``by, _v, out``: the average rank of each value within ``by``, from ``by, _v, _n`` with one row per distinct value.
 
     A window runs inside each slice and a prefix over the sums of the slices, so no window sees a whole table or replica.
     """
-    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("_v"))) if cuts else F.lit(0)
-    counts = counts.withColumn("_slice", place)
+    counts = counts.withColumn("_slice", slice_of(F.col("_v"), edges))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
     sums = counts.groupBy(*by, "_slice").agg(F.sum("_n").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
     within = Window.partitionBy(*by, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,7 +108,7 @@ def bootstrap_interval(units: DataFrame, unit: str, a: str, b: str, resamples: i
     drawn = resampled(rows, unit, n, resamples, seed)
     for v in ("va", "vb"):
         counts = drawn.groupBy("replica", F.col(v).alias("_v")).agg(F.sum("_w").alias("_n"))
-        ranks = _ranks_of_counts(counts, ["replica"], rank_cuts(rows, v), f"r{v}").withColumnRenamed("_v", v)
+        ranks = _ranks_of_counts(counts, ["replica"], cuts(rows, v), f"r{v}").withColumnRenamed("_v", v)
         drawn = drawn.join(ranks, ["replica", v])
     da, db, w = F.col("rva") - (n + 1) / 2, F.col("rvb") - (n + 1) / 2, F.col("_w")  # the mean rank of n draws is known
     spread = F.sqrt(F.sum(w * da * da) * F.sum(w * db * db))
@@ -127,20 +119,24 @@ def bootstrap_interval(units: DataFrame, unit: str, a: str, b: str, resamples: i
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "p_value", by: list[str] = []) -> DataFrame:
-    """Adjusted p: the running minimum from the largest p of p * m / rank. One row per test, so a plain window does."""
-    m = F.count(p).over(Window.partitionBy(*by))
-    up = Window.partitionBy(*by).orderBy(p, *[c for c in tests.columns if c != p])
-    ranked = tests.withColumn("_k", F.row_number().over(up)).withColumn("_q", F.col(p) * m / F.col("_k"))
-    down = Window.partitionBy(*by).orderBy(F.col("_k").desc())
-    return ranked.withColumn("adjusted", F.least(F.lit(1.0), F.min("_q").over(down))).drop("_k", "_q")
+    """Adjusted p: the running minimum from the largest p of p * m / rank; tests without a p have none."""
+    some = tests.filter(F.col(p).isNotNull())
+    m = some.groupBy(*by).agg(F.count(F.lit(1)).alias("_m"))
+    m = m.select(*[F.col(c).alias(f"_of_{c}") for c in by], "_m")
+    ranked = ordinal(some, by, p, [c for c in tests.columns if c != p], "_k")
+    on = F.lit(True)
+    for c in by:
+        on = on & ranked[c].eqNullSafe(m[f"_of_{c}"])
+    ranked = ranked.join(m if by else F.broadcast(m), on).select(*tests.columns, "_k", (F.col(p) * F.col("_m") / F.col("_k")).alias("_q"))
+    out = smallest_from(ranked, by, "_k", "_q", "_least").withColumn("adjusted", F.least(F.lit(1.0), F.col("_least"))).select(*tests.columns, "adjusted")
+    return out.unionByName(tests.filter(F.col(p).isNull()), allowMissingColumns=True)
 
 
 def quantile_edges(rows: DataFrame, value: str, bins: int) -> list[float] | None:
     """Unique linear quantiles, or None if there are no more than ``bins`` distinct values."""
     if rows.select(value).distinct().limit(bins + 1).count() <= bins:
         return None
-    grid = [i / bins for i in range(bins + 1)]
-    return sorted(set(rows.agg(F.percentile(value, F.array(*map(F.lit, grid)))).first()[0]))
+    return sorted(set(quantiles(rows, value, [i / bins for i in range(bins + 1)])))
 
 
 def bin_label(value: Column, edges: list[float] | None) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import finite, relative_change, valid
+from loamgrid.operators.ranking import medians, quantiles
 
 RULES = ("sum", "mean", "depth_mm_to_m3")
 #: Distinct codes of a layer that a profile lists at most; more are only counted.
@@ -71,21 +72,31 @@ def scenario_services(layers: DataFrame, services: list[str], rules: dict[str, s
 
 
 def zone_class_statistics(cells: DataFrame, by: list[str], cell_ha: float, digits: int = 6) -> DataFrame:
-    """Valid pixels, area, mean, median, min and max of the positive values of each zone and class; empty zones have nulls."""
+    """Valid pixels, area, mean, median, min and max of the positive values of each zone and class; empty zones have nulls.
+
+    Cells of one zone and value are counted first; all figures come from these counts, the median by running counts over slices, so no zone is whole in one task.
+    """
     v = F.when(finite(F.col("value")) & (F.col("value") > 0), F.col("value"))
-    n = F.count(v)
-    return cells.groupBy(*by).agg(
-        n.alias("valid_pixels"), F.round(n * cell_ha, digits).alias("area_ha"), F.round(F.avg(v), digits).alias("mean"),
-        F.round(F.median(v), digits).alias("median"), F.round(F.min(v), digits).alias("min"), F.round(F.max(v), digits).alias("max"),
+    counts = cells.groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0))
+    out = counts.groupBy(*by).agg(
+        n.alias("valid_pixels"), F.round(n * cell_ha, digits).alias("area_ha"), F.round(F.sum(F.col("_v") * F.col("_n")) / F.nullif(n, F.lit(0)), digits).alias("mean"),
+        F.round(F.min("_v"), digits).alias("min"), F.round(F.max("_v"), digits).alias("max"),
     )
+    middle = medians(counts.filter("_v IS NOT NULL"), by, "_median")
+    same = [out[c].eqNullSafe(middle[c]) for c in by]
+    joined = out.join(middle, same, "left") if by else out.join(F.broadcast(middle), F.lit(True), "left")
+    return joined.select(*[out[c] for c in by], "valid_pixels", "area_ha", "mean", F.round("_median", digits).alias("median"), "min", "max")
 
 
 def colour_range(cells: DataFrame) -> DataFrame:
     """Percentiles 2 and 98 of the finite values; minimum and maximum if they coincide."""
     v = F.col("value")
-    out = cells.filter(finite(v)).agg(F.percentile(v, F.array(F.lit(0.02), F.lit(0.98))).alias("p"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    flat = F.col("p")[0] >= F.col("p")[1]
-    return out.select(F.when(flat, F.col("lo")).otherwise(F.col("p")[0]).alias("low"), F.when(flat, F.col("hi")).otherwise(F.col("p")[1]).alias("high"))
+    rows = cells.filter(finite(v))
+    low, high = quantiles(rows, "value", [0.02, 0.98]) or [None, None]
+    bounds = rows.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    flat = F.lit(low) >= F.lit(high)
+    return bounds.select(F.when(flat, F.col("lo")).otherwise(F.lit(low)).cast("double").alias("low"), F.when(flat, F.col("hi")).otherwise(F.lit(high)).cast("double").alias("high"))
 
 
 def distinct_codes(cells: DataFrame) -> DataFrame:
@@ -93,12 +104,12 @@ def distinct_codes(cells: DataFrame) -> DataFrame:
 
 
 def layer_profile(cells: DataFrame, by: list[str], cap: int = CODE_CAP) -> DataFrame:
-    """Min, max, non-finite count, number of distinct values and, if at most ``cap``, the values themselves."""
+    """Min, max, non-finite and fractional counts, number of distinct values and, if at most ``cap``, the values themselves (else null)."""
     v = F.col("value")
     ok = finite(v)
     stats = cells.groupBy(*by).agg(
         F.min(F.when(ok, v)).alias("min"), F.max(F.when(ok, v)).alias("max"),
-        F.sum(F.when(v.isNotNull() & ~ok, 1).otherwise(0)).alias("non_finite"),
+        F.sum(F.when(v.isNotNull() & ~ok, 1).otherwise(0)).alias("non_finite"), F.sum(F.when(ok & (v != F.floor(v)), 1).otherwise(0)).alias("fractional"),
     )
     values = cells.filter(ok).select(*by, "value").distinct()
     counts = values.groupBy(*by).agg(F.count(F.lit(1)).alias("distinct"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,10 @@ CELL_M2 = 900.0
 #: Grid whose cells are 10 part keys by 5 supplier keys, for points x = supplier, y = part counted down from the top.
 GRID = {"a": 5.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -10.0, "f": 1000.0, "width": 10, "height": 100}
 
+#: The grid of that kind that spans the line items: ``w`` columns, and ``h`` rows down from ``top``, in rows above zero (key 0 lies below its row).
+EXTENT_SQL = "gr AS (SELECT max(l_suppkey) // 5 + 1 AS w, max(l_partkey) // 10 + 1 AS top, max(l_partkey) // 10 + 2 AS h FROM lineitem)"
+PLACED_SQL = """pt AS (SELECT floor(l_suppkey / 5)::BIGINT AS "col", floor((l_partkey - top * 10) / -10.0)::BIGINT AS "row", l_quantity AS v, year(l_shipdate) AS year, w, h FROM lineitem, gr)"""
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -36,6 +43,35 @@ def dated_cells(spark: SparkSession, sf: str, value: str = "1 + sum(l_linenumber
     return table(spark, sf, "lineitem").groupBy(*keys).agg(F.expr(value).alias("value"))
 
 
+def dated_stack(spark: SparkSession, sf: str, layers: dict[str, str]) -> DataFrame:
+    """Several layers of dated cells from one scan and one shuffle: ``year, row, col`` and a column per layer."""
+    keys = [F.year("l_shipdate").alias("year"), F.expr("l_partkey div 10").alias("row"), F.expr("l_suppkey div 5").alias("col")]
+    return table(spark, sf, "lineitem").groupBy(*keys).agg(*[F.expr(v).alias(k) for k, v in layers.items()])
+
+
+def extent(spark: SparkSession, sf: str, share: int = 1) -> dict[str, float]:
+    """The grid that spans the line items, or its upper left part: one ``share``-th of its columns and rows."""
+    top = table(spark, sf, "lineitem").agg(F.expr("max(l_suppkey) div 5 + 1").alias("w"), F.expr("max(l_partkey) div 10 + 1").alias("h")).first()
+    return GRID | {"f": top["h"] * 10.0, "width": top["w"] // share, "height": (top["h"] + 1) // share}
+
+
+def stable(c, digits: int = 6):
+    """Rounding that a last-bit difference of a sum cannot turn at a tie: ties lie off the edge."""
+    return F.floor(c * 10.0**digits + 0.5001) / 10.0**digits
+
+
+def stable_sql(expression: str, digits: int = 6) -> str:
+    return f"floor(({expression}) * 1e{digits} + 0.5001::DOUBLE) / 1e{digits}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for files that a query writes and reads again: under ``spark.checkpoint.dir``, or a temporary one where that is unset and the session is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(root or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/loamgrid-{name}-{uuid.uuid4().hex}"
+
+
 def cells_sql(name: str = "cells", value: str = "(1 + sum(l_linenumber) % 7)::BIGINT") -> str:
     return f'{name} AS (SELECT year(l_shipdate) AS year, l_partkey // 10 AS "row", l_suppkey // 5 AS "col", {value} AS value FROM lineitem GROUP BY ALL)'
 

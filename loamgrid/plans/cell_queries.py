@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from loamgrid.functions import scalars as S
 from loamgrid.operators import cells as C
 from loamgrid.operators import change as CH
+from loamgrid.operators import classify as K
 from loamgrid.operators import regrid as R
 from loamgrid.operators import zonal as Z
 from loamgrid.plans.bindings import (
-    CELL_HA, CELL_M2, GRID, INDEX, PIXELS_SQL, POLYGON_TEST, PRICE, QUANTITY, cells_sql, dated_cells, pixels, points, polygons, query, table, UNITS_SQL, units, values, year_of,
+    CELL_HA, CELL_M2, EXTENT_SQL, GRID, INDEX, PIXELS_SQL, PLACED_SQL, POLYGON_TEST, PRICE, QUANTITY, cells_sql, dated_cells, dated_stack, extent, pixels, points, polygons, query, stable, stable_sql, table, UNITS_SQL, units, values, year_of,
 )
 
 W = "WITH "
@@ -70,12 +71,16 @@ def _(spark, sf):
     return pixels(spark, sf).select("vec_id", *[F.round(c, 6).alias(k) for k, c in S.spectral_indices(*b).items()])
 
 
-@query("b11_sensor_profiles", """WITH s AS (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Landsat-8' WHEN 1 THEN ' Sentinel 2' WHEN 2 THEN 'L5' ELSE 'GF-1' END AS sensor FROM supplier)
-SELECT s_suppkey, sensor, CASE s_suppkey % 4 WHEN 0 THEN 'landsat_8' WHEN 1 THEN 'sentinel_2' WHEN 2 THEN 'landsat_5' END AS profile, CASE s_suppkey % 4 WHEN 0 THEN 30 WHEN 1 THEN 10 WHEN 2 THEN 30 END AS resolution_m, s_suppkey % 4 = 3 AS rejected FROM s""")
+SENSORS = ["Landsat-8", " Sentinel-2 MSI", "LANDSAT_5", "L8", "landsat  8 OLI", "sentinel2"]
+
+
+@query("b11_sensor_profiles", """WITH s AS (SELECT s_suppkey, s_suppkey % 6 AS k, ['Landsat-8', ' Sentinel-2 MSI', 'LANDSAT_5', 'L8', 'landsat  8 OLI', 'sentinel2'][s_suppkey % 6 + 1] AS sensor FROM supplier)
+SELECT s_suppkey, sensor, CASE WHEN k IN (1, 5) THEN 'sentinel_2_msi' WHEN k = 2 THEN 'landsat_5_tm' WHEN k = 4 THEN 'landsat_8_oli' END AS profile, CASE WHEN k IN (1, 5) THEN 10 WHEN k IN (2, 4) THEN 30 END AS resolution_m,
+  CASE WHEN k NOT IN (0, 3) THEN 'nearest' END AS classified_resampling, CASE WHEN k IN (1, 5) THEN 'majority_10m_to_30m' WHEN k IN (2, 4) THEN 'not_required' END AS to_grid, k IN (0, 3) AS rejected FROM s""")
 def _(spark, sf):
-    name = F.element_at(F.array(*map(F.lit, ["Landsat-8", " Sentinel 2", "L5", "GF-1"])), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, SENSORS)), (F.col("s_suppkey") % 6 + 1).cast("int"))
     out = S.sensor_profiles(table(spark, sf, "supplier").select("s_suppkey", name.alias("sensor")))
-    return out.select("s_suppkey", "sensor", "profile", "resolution_m", "rejected")
+    return out.select("s_suppkey", "sensor", "profile", "resolution_m", "classified_resampling", "to_grid", "rejected")
 
 
 @query("b12_cloud_mask", "SELECT l_returnflag, count(*) AS n, count(CASE WHEN (l_quantity::BIGINT & 24) = 0 THEN 1 END) AS clear_bits, count(CASE WHEN l_linenumber NOT IN (3, 5) THEN 1 END) AS clear_classes FROM lineitem GROUP BY ALL")
@@ -84,11 +89,16 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bits, 1)).alias("clear_bits"), F.count(F.when(scene, 1)).alias("clear_classes"))
 
 
-@query("b13_driver_types", """WITH d AS (SELECT CASE p_partkey % 4 WHEN 0 THEN 'Aspect' WHEN 1 THEN 'slope' WHEN 2 THEN 'soil' ELSE 'road_class' END AS name, CASE WHEN p_size % 2 = 0 THEN 'bilinear' ELSE 'nearest' END AS method FROM part)
-SELECT name, CASE name WHEN 'Aspect' THEN 'circular' WHEN 'slope' THEN 'continuous' ELSE 'categorical' END AS kind, method, method = 'nearest' OR name = 'slope' AS allowed, count(*) AS n FROM d GROUP BY ALL""")
+DRIVERS = [" Aspect", "slope", "soil", "road_class", "landform", "lulc", "aspect_class", "zoning"]
+
+
+@query("b13_driver_types", """WITH d AS (SELECT p_partkey % 8 AS k, [' Aspect', 'slope', 'soil', 'road_class', 'landform', 'lulc', 'aspect_class', 'zoning'][p_partkey % 8 + 1] AS name, CASE p_size % 4 WHEN 0 THEN 'bilinear' WHEN 1 THEN 'nearest' WHEN 2 THEN 'Majority' END AS method FROM part),
+t AS (SELECT name, method, CASE WHEN k = 0 THEN 'circular' WHEN k IN (1, 5) THEN 'continuous' ELSE 'categorical' END AS kind FROM d)
+SELECT name, kind, method, CASE WHEN method IS NULL THEN true WHEN kind = 'circular' THEN method = 'nearest' WHEN kind = 'continuous' THEN method = 'bilinear' ELSE method IN ('nearest', 'Majority') END AS allowed, count(*) AS n FROM t GROUP BY ALL""")
 def _(spark, sf):
-    name = F.element_at(F.array(*map(F.lit, ["Aspect", "slope", "soil", "road_class"])), (F.col("p_partkey") % 4 + 1).cast("int"))
-    d = table(spark, sf, "part").select(name.alias("name"), F.when(F.col("p_size") % 2 == 0, "bilinear").otherwise("nearest").alias("method"))
+    name = F.element_at(F.array(*map(F.lit, DRIVERS)), (F.col("p_partkey") % 8 + 1).cast("int"))
+    size = F.col("p_size") % 4
+    d = table(spark, sf, "part").select(name.alias("name"), F.when(size == 0, "bilinear").when(size == 1, "nearest").when(size == 2, "Majority").alias("method"))
     d = d.withColumn("kind", S.driver_type(F.col("name"))).withColumn("allowed", S.resampling_allowed(F.col("kind"), F.col("method")))
     return d.groupBy("name", "kind", "method", "allowed").agg(F.count(F.lit(1)).alias("n"))
 
@@ -103,8 +113,7 @@ DEPTH_SQL = cells_sql("dem", PRICE) + ", " + cells_sql("sub", QUANTITY) + """, d
 
 
 def depth_cells(spark, sf):
-    dem, sub = dated_cells(spark, sf, PRICE), dated_cells(spark, sf, QUANTITY)
-    stack = C.stack_layers({"dem": dem, "sub": sub}, ["year", "row", "col"])
+    stack = dated_stack(spark, sf, {"dem": PRICE, "sub": QUANTITY})
     return stack.select("year", "row", "col", S.water_depth(F.col("dem") / 1000, F.col("sub") / 10, F.lit(34.0)).alias("depth"))
 
 
@@ -134,10 +143,10 @@ def _(spark, sf):
     return C.grid_mismatches(year_grids(spark, sf), "1996")
 
 
-@query("c3_points_in_grid", W + cells_sql() + """, p AS (SELECT floor(l_suppkey / 5)::BIGINT AS "col", floor((l_partkey - 1000) / -10.0)::BIGINT AS "row" FROM lineitem), one AS (FROM cells WHERE year = 1997)
-SELECT "row" BETWEEN 0 AND 99 AND "col" BETWEEN 0 AND 9 AS inside, CASE WHEN "row" BETWEEN 0 AND 99 AND "col" BETWEEN 0 AND 9 THEN value END AS value, count(*) AS n FROM p LEFT JOIN one USING ("row", "col") GROUP BY ALL""")
+@query("c3_points_in_grid", W + cells_sql() + ", " + EXTENT_SQL + ", " + PLACED_SQL + """, one AS (FROM cells WHERE cells.year = 1997), q AS (SELECT "row", "col", "row" BETWEEN 0 AND h // 2 - 1 AND "col" BETWEEN 0 AND w // 2 - 1 AS inside FROM pt)
+SELECT inside, CASE WHEN inside THEN value END AS value, count(*) AS n FROM q LEFT JOIN one USING ("row", "col") GROUP BY ALL""")
 def _(spark, sf):
-    out = C.sample_at_points(points(spark, sf).drop("value"), year_of(dated_cells(spark, sf), 1997), GRID)
+    out = C.sample_at_points(points(spark, sf).drop("value"), year_of(dated_cells(spark, sf), 1997), extent(spark, sf, 2))
     return out.groupBy("inside", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -158,16 +167,15 @@ def _(spark, sf):
     return C.code_coverage(dated_cells(spark, sf), pools)
 
 
-FILL_SQL = cells_sql() + """, o AS (SELECT "row", "col", value FROM cells WHERE year = 1998 AND ("row" + "col") % 4 = 0), sc AS (SELECT DISTINCT "row", "col" FROM cells WHERE year = 1997),
+FILL_SQL = cells_sql() + """, o AS (SELECT "row", "col", value FROM cells WHERE year = 1998), sc AS (SELECT DISTINCT "row", "col" FROM cells WHERE year = 1997),
 pr AS (SELECT s."row", s."col", o.value, (s."row" - o."row") ** 2 + (s."col" - o."col") ** 2 AS d2, o."row" AS orow, o."col" AS ocol FROM sc s JOIN o ON abs(s."row" - o."row") <= 2 AND abs(s."col" - o."col") <= 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY "row", "col" ORDER BY d2, orow, ocol) AS i FROM pr WHERE d2 <= 4)"""
 
 
-@query("c8_nearest_fill", W + FILL_SQL + """ SELECT "row", "col", value, d2 > 0 AS filled FROM k WHERE i = 1""")
+@query("c8_nearest_fill", W + FILL_SQL + """ SELECT "row", "col", value::DOUBLE AS value, d2 > 0 AS filled FROM k WHERE i = 1""")
 def _(spark, sf):
     cells = dated_cells(spark, sf)
-    observed = year_of(cells, 1998).filter("(row + col) % 4 = 0")
-    return C.nearest_fill(year_of(cells, 1997), observed, 60.0, 30.0)
+    return C.nearest_fill(year_of(cells, 1997), year_of(cells, 1998), 60.0, 30.0)
 
 
 @query("c9_polygon_mask", W + cells_sql() + f""" SELECT n_nationkey AS feature_id, c."row", c."col", c.value FROM cells c JOIN nation ON {POLYGON_TEST} WHERE c.year = 1997""")
@@ -176,12 +184,33 @@ def _(spark, sf):
     return C.cells_in_polygons(cells, polygons(spark, sf), F.col("col") + 0.5, F.col("row") + 0.5, 32.0).select("feature_id", "row", "col", "value")
 
 
-@query("c10_sample_overlap", "WITH g AS (SELECT event_id, user_id % 50 AS x, length(event_type) AS y FROM events) SELECT event_id FROM g WHERE event_id % 3 = 0 AND (x, y) IN (SELECT (x, y) FROM g WHERE event_id % 3 = 1)")
+@query("c10_sample_overlap", "WITH g AS (SELECT event_id, user_id % 50 AS x, length(event_type) AS y FROM events) SELECT event_id FROM g WHERE event_id % 2 = 0 AND (x, y) IN (SELECT (x, y) FROM g WHERE event_id % 2 = 1)")
 def _(spark, sf):
+    """Every event is a training or a validation point."""
     e = table(spark, sf, "events")
     key = C.geometry_key(F.lit("Point"), F.array(F.col("user_id") % 50, F.length("event_type").cast("long")))
     g = e.select("event_id", key.alias("geometry_key"))
-    return C.geometry_overlaps(g.filter("event_id % 3 = 1"), g.filter("event_id % 3 = 0")).select("event_id")
+    return C.geometry_overlaps(g.filter("event_id % 2 = 1"), g.filter("event_id % 2 = 0")).select("event_id")
+
+
+#: A square per supplier: its lower left corner and width.
+SQUARE = ("s_suppkey % 97 * 3.0", "s_suppkey % 89 * 3.0", "1.0 + s_nationkey % 3")
+
+
+@query("c10_polygon_overlap", f"""WITH q AS (SELECT s_suppkey AS id, {SQUARE[0]} AS x, {SQUARE[1]} AS y, {SQUARE[2]} AS d FROM supplier)
+SELECT a.id AS left_id, b.id AS right_id FROM q a JOIN q b ON a.id % 2 = 0 AND b.id % 2 = 1 AND a.x <= b.x + b.d AND b.x <= a.x + a.d AND a.y <= b.y + b.d AND b.y <= a.y + a.d""")
+def _(spark, sf):
+    """Training squares (even suppliers) against validation squares (odd ones)."""
+    x, y, d = (F.expr(e).cast("double") for e in SQUARE)
+    p = lambda u, v: F.struct((x + u).alias("x"), (y + v).alias("y"))
+    f = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("feature_id"), F.array(F.array(p(F.lit(0.0), F.lit(0.0)), p(d, F.lit(0.0)), p(d, d), p(F.lit(0.0), d))).alias("rings"))
+    return C.polygons_that_meet(f.filter("feature_id % 2 = 0"), f.filter("feature_id % 2 = 1"), 8.0)
+
+
+@query("c10_points_in_training", W + cells_sql() + f""" SELECT n_nationkey AS feature_id, count(*) AS points FROM cells c JOIN nation ON {POLYGON_TEST} GROUP BY ALL""")
+def _(spark, sf):
+    pts = dated_cells(spark, sf).select((F.col("col") + 0.5).alias("x"), (F.col("row") + 0.5).alias("y"))
+    return C.points_in_training(pts, polygons(spark, sf), 32.0).groupBy("feature_id").agg(F.count(F.lit(1)).alias("points"))
 
 
 DENSE_SQL = """g AS (SELECT r AS "row", c AS "col" FROM range((SELECT max(l_partkey // 10) + 1 FROM lineitem)) a(r), range((SELECT max(l_suppkey // 5) + 1 FROM lineitem)) b(c))"""
@@ -270,16 +299,24 @@ fm AS (SELECT seed, count(CASE WHEN o <> p AND q <> p AND o = q THEN 1 END) AS h
 fo AS (SELECT seed, hits, changed, CASE WHEN changed = 0 THEN 1.0 ELSE hits / changed END AS fom FROM fm)"""
 
 
-def merit(spark, sf):
+def backcasts(spark, sf):
     cells = dated_cells(spark, sf)
     base = C.stack_layers({"baseline": year_of(cells, 1995), "observed": year_of(cells, 1996)})
     seeds = cells.filter("year IN (1997, 1998, 1999)").select("row", "col", F.col("year").alias("seed"), F.col("value").alias("predicted"))
-    return CH.figure_of_merit(base.join(seeds, ["row", "col"]), ["seed"])
+    return base.join(seeds, ["row", "col"])
 
 
-@query("d7_figure_of_merit", W + FOM_SQL + " SELECT seed, hits, changed, round(fom, 6) AS figure_of_merit FROM fo")
+def merit(spark, sf):
+    return CH.figure_of_merit(backcasts(spark, sf), ["seed"])
+
+
+@query("d7_figure_of_merit", W + FOM_SQL + """, cf AS (SELECT seed, o, q, count(*) AS n FROM st GROUP BY ALL), lb AS (SELECT seed, o AS label FROM cf UNION SELECT seed, q FROM cf),
+k AS (SELECT lb.seed, label, coalesce(sum(n) FILTER (o = label AND q = label), 0) AS tp, coalesce(sum(n) FILTER (o = label), 0) AS s0, coalesce(sum(n) FILTER (q = label), 0) AS p0 FROM lb JOIN cf ON lb.seed = cf.seed GROUP BY ALL),
+ac AS (SELECT seed, sum(tp) / sum(s0) AS oa, avg(2 * tp / (s0 + p0)) AS f1 FROM k GROUP BY seed)
+SELECT seed, hits, changed, round(fom, 6) AS figure_of_merit, round(oa, 6) AS overall_accuracy, round(f1, 6) AS macro_f1 FROM fo JOIN ac USING (seed)""")
 def _(spark, sf):
-    return merit(spark, sf).withColumn("figure_of_merit", F.round("figure_of_merit", 6))
+    out = CH.backcast_report(backcasts(spark, sf), ["seed"]).select("seed", "hits", "changed", "figure_of_merit", "overall_accuracy", "macro_f1")
+    return out.withColumns({c: F.round(c, 6) for c in ("figure_of_merit", "overall_accuracy", "macro_f1")})
 
 
 @query("d8_seed_spread", W + FOM_SQL + " SELECT count(*) AS seeds, round(avg(fom), 6) AS mean_fom, round(stddev_pop(fom), 6) AS std_fom FROM fo")
@@ -304,11 +341,11 @@ def _(spark, sf):
     return out.withColumns({c: F.round(c, d) for c, d in (("total", 2), ("raw_sum", 2), ("mean", 4), ("min", 4), ("max", 4))})
 
 
-@query("d11_scenario_totals", W + cells_sql(value=INDEX) + " SELECT year, round(avg(value), 6) AS total FROM cells GROUP BY ALL")
+@query("d11_scenario_totals", W + cells_sql(value=INDEX) + f" SELECT year, {stable_sql('avg(value)')} AS total FROM cells GROUP BY ALL")
 def _(spark, sf):
     cells = dated_cells(spark, sf, INDEX)
     out = Z.require_values(Z.raster_statistics(cells, ["year"], "mean", CELL_M2), cells.select("year").distinct(), ["year"])
-    return out.select("year", F.round("total", 6).alias("total"))
+    return out.select("year", stable(F.col("total")).alias("total"))
 
 
 @query("d12_grid_units", W + cells_sql(value=PRICE) + """ SELECT year, "row" // 8 AS unit_row, "col" // 8 AS unit_col, round(sum(value), 2) AS total, printf('r%05d_c%05d', "row" // 8, "col" // 8) AS unit_id FROM cells GROUP BY ALL""")
@@ -316,22 +353,23 @@ def _(spark, sf):
     return Z.grid_units(dated_cells(spark, sf, PRICE), 8, "sum", CELL_M2, ["year"]).withColumn("total", F.round("total", 2))
 
 
-@query("d13_scenario_services", W + cells_sql("p", PRICE) + ", " + cells_sql("i", INDEX) + """, u AS (SELECT 'Y' || year AS scenario, printf('r%05d_c%05d', "row" // 8, "col" // 8) AS unit_id, sum(value) AS carbon FROM p GROUP BY ALL), v AS (SELECT 'Y' || year AS scenario, printf('r%05d_c%05d', "row" // 8, "col" // 8) AS unit_id, avg(value) AS habitat FROM i WHERE "row" % 3 = 0 GROUP BY ALL)
-SELECT scenario, unit_id, round(carbon, 2) AS carbon, round(habitat, 6) AS habitat FROM u JOIN v USING (scenario, unit_id)""")
+@query("d13_scenario_services", W + cells_sql("p", PRICE) + ", " + cells_sql("i", INDEX) + f""", u AS (SELECT 'Y' || year AS scenario, printf('r%05d_c%05d', "row" // 8, "col" // 8) AS unit_id, sum(value) AS carbon FROM p GROUP BY ALL), v AS (SELECT 'Y' || year AS scenario, printf('r%05d_c%05d', "row" // 8, "col" // 8) AS unit_id, avg(value) AS habitat FROM i GROUP BY ALL)
+SELECT scenario, unit_id, round(carbon, 2) AS carbon, {stable_sql('habitat')} AS habitat FROM u JOIN v USING (scenario, unit_id)""")
 def _(spark, sf):
-    layer = lambda name, v: dated_cells(spark, sf, v).select(F.concat(F.lit(" y"), "year").alias("scenario"), F.lit(name).alias("service"), "row", "col", "value")
-    both = layer("carbon", PRICE).unionByName(layer("habitat", INDEX).filter("row % 3 = 0"))
-    out = Z.scenario_services(both, ["carbon", "habitat"], {"habitat": "mean"}, 8, CELL_M2)
-    return out.withColumns({"carbon": F.round("carbon", 2), "habitat": F.round("habitat", 6)})
+    both = dated_stack(spark, sf, {"carbon": PRICE, "habitat": INDEX})
+    layers = F.explode(F.array(*[F.struct(F.lit(n).alias("service"), F.col(n).cast("double").alias("value")) for n in ("carbon", "habitat")]))
+    rows = both.select(F.concat(F.lit(" y"), "year").alias("scenario"), "row", "col", layers.alias("l")).select("scenario", "row", "col", "l.*")
+    out = Z.scenario_services(rows, ["carbon", "habitat"], {"habitat": "mean"}, 8, CELL_M2)
+    return out.withColumns({"carbon": F.round("carbon", 2), "habitat": stable(F.col("habitat"))})
 
 
-@query("d14_mine_class_zones", W + cells_sql() + ", " + cells_sql("v", INDEX) + f""" SELECT n_nationkey AS feature_id, year, c.value AS class, count(CASE WHEN v.value > 0 THEN 1 END) AS valid_pixels, round(count(CASE WHEN v.value > 0 THEN 1 END) * 0.09::DOUBLE, 6) AS area_ha, round(avg(CASE WHEN v.value > 0 THEN v.value END), 6) AS mean, round(median(CASE WHEN v.value > 0 THEN v.value END), 6) AS median, round(min(CASE WHEN v.value > 0 THEN v.value END), 6) AS "min", round(max(CASE WHEN v.value > 0 THEN v.value END), 6) AS "max"
+@query("d14_mine_class_zones", W + cells_sql() + ", " + cells_sql("v", INDEX) + f""" SELECT n_nationkey AS feature_id, year, c.value AS class, count(CASE WHEN v.value > 0 THEN 1 END) AS valid_pixels, round(count(CASE WHEN v.value > 0 THEN 1 END) * 0.09::DOUBLE, 6) AS area_ha, {stable_sql('avg(CASE WHEN v.value > 0 THEN v.value END)')} AS mean, {stable_sql('median(CASE WHEN v.value > 0 THEN v.value END)')} AS median, round(min(CASE WHEN v.value > 0 THEN v.value END), 6) AS "min", round(max(CASE WHEN v.value > 0 THEN v.value END), 6) AS "max"
 FROM cells c JOIN v USING (year, "row", "col") JOIN nation ON {POLYGON_TEST} GROUP BY ALL""")
 def _(spark, sf):
-    key = ["year", "row", "col"]
-    stack = C.stack_layers({"class": dated_cells(spark, sf), "value": dated_cells(spark, sf, INDEX)}, key)
+    stack = dated_stack(spark, sf, {"class": "1 + sum(l_linenumber) % 7", "value": INDEX})
     inside = C.cells_in_polygons(stack, polygons(spark, sf), F.col("col") + 0.5, F.col("row") + 0.5, 32.0)
-    return Z.zone_class_statistics(inside, ["feature_id", "year", "class"], CELL_HA)
+    out = Z.zone_class_statistics(inside, ["feature_id", "year", "class"], CELL_HA, 12)
+    return out.withColumns({"area_ha": F.round("area_ha", 6), "mean": stable(F.col("mean")), "median": stable(F.col("median")), "min": F.round("min", 6), "max": F.round("max", 6)})
 
 
 @query("d15_colour_range", W + cells_sql(value=PRICE) + " SELECT round(quantile_cont(value, 0.02), 4) AS low, round(quantile_cont(value, 0.98), 4) AS high FROM cells")
@@ -339,19 +377,18 @@ def _(spark, sf):
     return Z.colour_range(dated_cells(spark, sf, PRICE)).withColumns({c: F.round(c, 4) for c in ("low", "high")})
 
 
-@query("d16_point_to_grid", """WITH p AS (SELECT floor(l_suppkey / 5)::BIGINT AS "col", floor((l_partkey - 1000) / -10.0)::BIGINT AS "row", l_quantity AS v FROM lineitem) SELECT "row", "col", round(avg(v), 6) AS value, count(*) AS points FROM p WHERE "row" BETWEEN 0 AND 99 AND "col" BETWEEN 0 AND 9 GROUP BY ALL""")
+@query("d16_point_to_grid", W + EXTENT_SQL + ", " + PLACED_SQL + """ SELECT "row", "col", round(avg(v), 6) AS value, count(*) AS points FROM pt GROUP BY ALL""")
 def _(spark, sf):
-    return R.points_to_grid(points(spark, sf), GRID).withColumn("value", F.round("value", 6))
+    return R.points_to_grid(points(spark, sf), extent(spark, sf)).withColumn("value", F.round("value", 6))
 
 
-@query("d17_inverse_distance", W + cells_sql(value=PRICE) + """, o AS (SELECT "row", "col", value FROM cells WHERE year = 1998 AND ("row" + "col") % 3 = 0), t AS (SELECT "row", "col" FROM cells WHERE year = 1997),
+@query("d17_inverse_distance", W + cells_sql(value=PRICE) + """, o AS (SELECT "row", "col", value FROM cells WHERE year = 1998), t AS (SELECT "row", "col" FROM cells WHERE year = 1997),
 pr AS (SELECT t."row", t."col", o.value AS v, (t."row" - o."row") ** 2 + (t."col" - o."col") ** 2 AS d2, o."row" AS r2, o."col" AS c2 FROM t JOIN o ON abs(t."row" - o."row") <= 3 AND abs(t."col" - o."col") <= 3),
 k AS (SELECT *, row_number() OVER (PARTITION BY "row", "col" ORDER BY d2, r2, c2) AS i FROM pr WHERE d2 <= 9)
-SELECT "row", "col", round(coalesce(max(CASE WHEN d2 = 0 THEN v END), sum(CASE WHEN d2 > 0 THEN v / d2 END) / sum(CASE WHEN d2 > 0 THEN 1 / d2 END)), 5) AS value FROM k WHERE i <= 6 GROUP BY ALL""")
+SELECT "row", "col", round(coalesce(max(CASE WHEN d2 = 0 THEN v END), sum(CASE WHEN d2 > 0 THEN v / d2 END) / sum(CASE WHEN d2 > 0 THEN 1 / d2 END)), 3) AS value FROM k WHERE i <= 6 GROUP BY ALL""")
 def _(spark, sf):
     cells = dated_cells(spark, sf, PRICE)
-    out = R.inverse_distance(year_of(cells, 1997), year_of(cells, 1998).filter("(row + col) % 3 = 0"), 3.0, 6)
-    return out.withColumn("value", F.round("value", 5))
+    return R.inverse_distance(year_of(cells, 1997), year_of(cells, 1998), 3.0, 6).withColumn("value", F.round("value", 3))
 
 
 @query("d18_majority_regrid", W + cells_sql() + """, n AS (SELECT year, "row" // 3 AS "row", "col" // 3 AS "col", value, count(*) AS k FROM cells GROUP BY ALL) SELECT year, "row", "col", arg_max(value, k * 100 - value) AS value FROM n GROUP BY ALL""")
@@ -394,7 +431,7 @@ def _(spark, sf):
     return Z.distinct_codes(dated_cells(spark, sf))
 
 
-@query("d21_layer_profile", W + cells_sql() + ' SELECT year, min(value) AS "min", max(value) AS "max", 0::BIGINT AS non_finite, count(DISTINCT value) AS "distinct", array_to_string(list_sort(list(DISTINCT value)), \',\') AS codes FROM cells GROUP BY ALL')
+@query("d21_layer_profile", W + cells_sql() + ' SELECT year, min(value) AS "min", max(value) AS "max", 0::BIGINT AS non_finite, 0::BIGINT AS fractional, count(DISTINCT value) AS "distinct", array_to_string(list_sort(list(DISTINCT value)), \',\') AS codes FROM cells GROUP BY ALL')
 def _(spark, sf):
     return Z.layer_profile(dated_cells(spark, sf), ["year"]).withColumn("codes", F.array_join("codes", ","))
 
@@ -475,13 +512,21 @@ def _(spark, sf):
     return R.slope_aspect(dem, 30.0).withColumns({"slope": F.round("slope", 5), "aspect": F.round("aspect", 4)})
 
 
-@query("f25_depth_surface", """WITH p AS (SELECT floor(l_suppkey / 5)::BIGINT AS "col", floor((l_partkey - 1000) / -10.0)::BIGINT AS "row", l_quantity AS v FROM lineitem WHERE l_linenumber = 1), o AS (SELECT "row", "col", avg(v) AS value FROM p WHERE "row" BETWEEN 0 AND 99 AND "col" BETWEEN 0 AND 9 AND ("row" + "col") % 5 = 0 GROUP BY ALL),
-sc AS (SELECT DISTINCT floor(l_suppkey / 5)::BIGINT AS "col", floor((l_partkey - 1000) / -10.0)::BIGINT AS "row" FROM lineitem WHERE l_suppkey < 50 AND l_partkey <= 1000 AND l_partkey > 0),
-pr AS (SELECT s."row", s."col", o.value, (s."row" - o."row") ** 2 + (s."col" - o."col") ** 2 AS d2, o."row" AS r2, o."col" AS c2 FROM sc s JOIN o ON abs(s."row" - o."row") <= 2 AND abs(s."col" - o."col") <= 2), k AS (SELECT *, row_number() OVER (PARTITION BY "row", "col" ORDER BY d2, r2, c2) AS i FROM pr WHERE d2 <= 4)
+@query("f25_depth_surface", W + EXTENT_SQL + ", " + PLACED_SQL + ", " + DENSE_SQL + """, o AS (SELECT "row", "col", avg(v) AS value FROM pt WHERE year = 1998 GROUP BY ALL),
+pr AS (SELECT s."row", s."col", o.value, (s."row" - o."row") ** 2 + (s."col" - o."col") ** 2 AS d2, o."row" AS r2, o."col" AS c2 FROM g s JOIN o ON abs(s."row" - o."row") <= 2 AND abs(s."col" - o."col") <= 2), k AS (SELECT *, row_number() OVER (PARTITION BY "row", "col" ORDER BY d2, r2, c2) AS i FROM pr WHERE d2 <= 4)
 SELECT "row", "col", round(value, 6) AS value, d2 > 0 AS filled FROM k WHERE i = 1""")
 def _(spark, sf):
-    li = table(spark, sf, "lineitem")
-    as_points = lambda d: d.select(F.col("l_suppkey").cast("double").alias("x"), F.col("l_partkey").cast("double").alias("y"), F.col("l_quantity").alias("value"))
-    scope = S.with_cell_index(as_points(li.filter("l_suppkey < 50 AND l_partkey <= 1000 AND l_partkey > 0")), GRID).select("row", "col").distinct()
-    pts = S.with_cell_index(as_points(li.filter("l_linenumber = 1")), GRID).filter("(row + col) % 5 = 0").select("x", "y", "value")
-    return R.depth_surface(pts, GRID, scope, 10.0).withColumn("value", F.round("value", 6))
+    """The points of one year's survey, over all cells of the grid that the table spans."""
+    li = table(spark, sf, "lineitem").filter(F.year("l_shipdate") == 1998)
+    pts = li.select(F.col("l_suppkey").cast("double").alias("x"), F.col("l_partkey").cast("double").alias("y"), F.col("l_quantity").alias("value"))
+    return R.depth_surface(pts, extent(spark, sf), dense(spark, sf), 10.0).withColumn("value", F.round("value", 6))
+
+
+@query("f22_patch_grid", W + cells_sql() + """, l AS (SELECT year, max("row") + 1 AS h, max("col") + 1 AS w FROM cells GROUP BY year),
+pr AS (SELECT year, unnest(list_distinct(list_append(range(0, greatest(h - 16, 0) + 1, 12), greatest(h - 16, 0)))) AS patch_row FROM l), pc AS (SELECT year, unnest(list_distinct(list_append(range(0, greatest(w - 16, 0) + 1, 12), greatest(w - 16, 0)))) AS patch_col FROM l)
+SELECT pr.year, patch_row, patch_col, count(*) AS cells, sum("row" - patch_row)::BIGINT AS i, sum("col" - patch_col)::BIGINT AS j FROM pr JOIN pc ON pr.year = pc.year JOIN cells c ON c.year = pr.year AND "row" BETWEEN patch_row AND patch_row + 15 AND "col" BETWEEN patch_col AND patch_col + 15 GROUP BY ALL""")
+def _(spark, sf):
+    cells = dated_cells(spark, sf).withColumnRenamed("year", "layer_id")
+    layers = cells.groupBy("layer_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
+    out = K.cut_patches(cells, layers, 16, 12).groupBy(F.col("layer_id").alias("year"), "patch_row", "patch_col")
+    return out.agg(F.count(F.lit(1)).alias("cells"), F.sum("i").alias("i"), F.sum("j").alias("j"))

@@ -15,9 +15,10 @@ from loamgrid.operators import score as SC
 from loamgrid.operators import services as SV
 from loamgrid.operators import stats as ST
 from loamgrid.operators import zonal as Z
+from loamgrid.sources import tables as IO
 from loamgrid.plans.bindings import (
-    BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
-    biophysical, cells_sql, dated_cells, factor_samples, pixels, pools, query, table, units, values, year_of,
+    BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
+    biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, table, units, values, year_of,
 )
 from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, year_grids
 
@@ -41,11 +42,7 @@ x AS (SELECT c.year, p.value / 40 AS pr, e.value * 30 AS et0, kc, veg, least(5,
 y AS (SELECT year, CASE WHEN pr > 0 THEN pr * (1 - CASE WHEN veg = 1 THEN 1 + kc * et0 / pr - (1 + (kc * et0 / pr) ** w) ** (1 / w) ELSE least(kc * et0 / pr, 1) END) END AS mm FROM x)
 SELECT year, round(sum(mm) / 1000 * 900, 2) AS yield_m3, round(avg(mm), 4) AS mean_mm, count(mm) AS cells FROM y GROUP BY ALL""")
 def _(spark, sf):
-    key = ["year", "row", "col"]
-    c = dated_cells(spark, sf).withColumnRenamed("value", "lulc")
-    p = dated_cells(spark, sf, PRICE).select(*key, (F.col("value") / 40).alias("precip"))
-    e = dated_cells(spark, sf, QUANTITY).select(*key, (F.col("value") * 30).alias("et0"))
-    cells = c.join(p, key).join(e, key).withColumns({"rest_depth": F.lit(1500.0), "pawc": F.lit(0.15)})
+    cells = dated_stack(spark, sf, {"lulc": "1 + sum(l_linenumber) % 7", "precip": f"{PRICE} / 40", "et0": f"{QUANTITY} * 30"}).withColumns({"rest_depth": F.lit(1500.0), "pawc": F.lit(0.15)})
     return rounded(SV.water_yield(cells, biophysical(spark), ["year"], 12.0, CELL_M2), yield_m3=2, mean_mm=4)
 
 
@@ -279,13 +276,20 @@ def _(spark, sf):
 
 
 @query("q3_layer_preflight", W + cells_sql() + """, g AS (SELECT year::VARCHAR AS layer_id, max("col") + 1 AS w, max("row") + 1 AS h, list(DISTINCT value) AS codes FROM cells GROUP BY year), m AS (FROM g WHERE layer_id = '1996')
-SELECT g.layer_id AS subject, 'known_codes' AS rule FROM g WHERE list_contains(codes, 7) UNION ALL SELECT g.layer_id, 'aligned' FROM g, m WHERE g.w <> m.w OR g.h <> m.h OR g.layer_id = '1999' UNION ALL SELECT '1998', 'unit' WHERE false UNION ALL SELECT '2000', 'metre' FROM g WHERE layer_id = '2000' UNION ALL SELECT '1998', 'nodata_set' FROM g WHERE layer_id = '1998'""")
-def _(spark, sf):
-    grids = year_grids(spark, sf).withColumns({
-        "kind": F.lit("lulc"), "unit": F.when(F.col("layer_id") == "2000", "degree").otherwise("metre"), "nodata": F.when(F.col("layer_id") != "1998", 0.0), "datum": F.lit("H85"),
+SELECT layer_id AS subject, 'known_codes' AS rule, 'error' AS severity FROM g WHERE list_contains(codes, 7) UNION ALL SELECT g.layer_id, 'aligned', 'error' FROM g, m WHERE g.w <> m.w OR g.h <> m.h OR g.layer_id IN ('1999', '2001') UNION ALL SELECT layer_id, 'metre', 'error' FROM g WHERE layer_id = '2000'
+UNION ALL SELECT layer_id, 'nodata_set', 'error' FROM g WHERE layer_id = '1998' UNION ALL SELECT layer_id, 'value_range', 'error' FROM g WHERE list_max(codes) > 6 UNION ALL SELECT layer_id, 'sensor', 'error' FROM g WHERE layer_id = '1997' UNION ALL SELECT layer_id, 'sensor_tag', 'warning' FROM g WHERE layer_id = '1995'
+UNION ALL SELECT layer_id, 'band_count', 'error' FROM g WHERE layer_id = '1999' UNION ALL SELECT layer_id, 'band_names', 'error' FROM g WHERE layer_id = '2000' UNION ALL SELECT layer_id, 'cell_size', 'error' FROM g WHERE layer_id = '2001' UNION ALL SELECT 'table', 'datum', 'error'""")
+def _(spark, sf):
+    year = F.col("layer_id")
+    names = lambda *x: F.array(*map(F.lit, x))
+    layers = year_grids(spark, sf).withColumns({
+        "kind": F.lit("lulc"), "projected": F.lit(True), "unit": F.when(year == "2000", "degree").otherwise("Metre"), "nodata": F.when(year != "1998", 0.0), "require_metre": F.lit(True), "require_nodata": F.lit(True),
+        "allowed_codes": F.array(*[F.lit(float(c)) for c in CH.STANDARD_6]), "expected_range": F.array(F.lit(0.0), F.lit(6.0)), "expected_sensor": F.lit("Landsat 8 OLI"), "sensor": F.when(year == "1997", "TM").when(year != "1995", "landsat 8 oli"),
+        "expected_bands": F.lit(1), "bands": F.when(year == "1999", 2).otherwise(1), "expected_band_names": names("class"), "band_names": F.when(year == "2000", names("code")).when(year != "1996", names("CLASS")),
+        "expected_cell": F.lit(30.0), "a": F.when(year == "2001", 10.0).otherwise(30.0), "must_align": F.lit(True),
     })
     cells = dated_cells(spark, sf).select(F.col("year").cast("string").alias("layer_id"), F.col("value").cast("double").alias("value"))
-    return Q.layer_violations(Z.layer_profile(cells, ["layer_id"]), grids, "1996", list(CH.STANDARD_6))
+    return Q.layer_violations(Z.layer_profile(cells, ["layer_id"]), layers, "1996", ("H85", "H56"))
 
 
 @query("q4_habitat_tables", W + cells_sql() + """, t AS (SELECT n_name AS threat, n_nationkey % 4 * 100.0 AS reach, CASE n_nationkey % 3 WHEN 0 THEN 'linear' WHEN 1 THEN 'exponential' ELSE 'step' END AS decay FROM nation)
@@ -306,12 +310,19 @@ def _(spark, sf):
     return Q.biophysical_violations(t, 0.0).groupBy("subject", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("q7_sample_coverage", """WITH s AS (SELECT CASE WHEN vec_id % 50 = 1 THEN '' ELSE label::VARCHAR END AS c, CASE WHEN vec_id % 5 = 0 THEN 'validation' ELSE 'training' END AS role FROM embeddings WHERE label <> 3 AND (label <> 4 OR vec_id % 4 = 0)), k AS (SELECT c, count(*) AS n FROM s WHERE c <> '' GROUP BY c)
-SELECT 'sample' AS subject, 'blank_class' AS rule, count(*) AS n FROM s WHERE c = '' HAVING count(*) > 0 UNION ALL SELECT c, 'few_samples', 1 FROM k WHERE n < 30 UNION ALL SELECT '3', 'missing_class', 1 UNION ALL SELECT 'table', 'imbalance', 1 FROM k HAVING max(n) / min(n) > 2 UNION ALL SELECT 'validation', 'role', 1 FROM s WHERE role = 'validation' HAVING count(*) > 0""")
+@query("q7_sample_coverage", """WITH s AS (SELECT CASE WHEN vec_id % 50 = 1 THEN '' ELSE label::VARCHAR END AS c, CASE WHEN vec_id % 5 = 0 THEN 'validation' WHEN vec_id % 7 = 0 THEN 'test' ELSE 'training' END AS role, CASE WHEN vec_id % 11 > 0 THEN '[' || vec_id % 83 || ',' || label || ']' END AS g,
+  CASE WHEN vec_id % 13 = 0 THEN 'many' ELSE '9' END AS pixels FROM embeddings WHERE label <> 3 AND (label <> 4 OR vec_id % 4 = 0)), l AS (FROM s WHERE c <> ''), k AS (SELECT c, count(*) AS n FROM l GROUP BY c)
+SELECT 'table' AS subject, 'blank_class' AS rule, 'error' AS severity, count(*) AS n FROM s WHERE c = '' HAVING count(*) > 0 UNION ALL SELECT c, 'few_samples', 'warning', n FROM k WHERE n < 30 UNION ALL SELECT '3', 'missing_class', 'error', 1 UNION ALL SELECT 'table', 'imbalance', 'warning', 1 FROM k HAVING max(n) / min(n) > 2
+UNION ALL SELECT 'table', 'pixel_count', 'warning', count(*) FROM l WHERE pixels = 'many' HAVING count(*) > 0 UNION ALL SELECT 'table', 'geometry', 'error', count(*) FROM s WHERE g IS NULL HAVING count(*) > 0 UNION ALL SELECT 'table', 'crs', 'error', 1
+UNION ALL SELECT 'table', 'overlap', 'error', count(*) FROM l WHERE role = 'validation' AND g IN (SELECT g FROM l WHERE role = 'training' AND g IS NOT NULL) HAVING count(*) > 0 UNION ALL SELECT 'test', 'other_role', 'error', count(*) FROM l WHERE role = 'test' HAVING count(*) > 0 UNION ALL SELECT 'validation', 'other_role', 'error', count(*) FROM l WHERE role = 'validation' HAVING count(*) > 0""")
 def _(spark, sf):
+    k = F.col("vec_id")
     e = table(spark, sf, "embeddings").filter("label <> 3 AND (label <> 4 OR vec_id % 4 = 0)")
-    s = e.select(F.when(F.col("vec_id") % 50 == 1, "").otherwise(F.col("label").cast("string")).alias("class"), F.when(F.col("vec_id") % 5 == 0, "validation").otherwise("training").alias("role"))
-    return Q.sample_violations(s, [str(i) for i in range(10)], 30, 2.0).groupBy("subject", "rule").agg(F.count(F.lit(1)).alias("n"))
+    s = e.select(
+        F.when(k % 50 == 1, "").otherwise(F.col("label").cast("string")).alias("class"), F.when(k % 5 == 0, "validation").when(k % 7 == 0, "test").otherwise("training").alias("role"),
+        F.when(k % 11 > 0, F.to_json(F.array((k % 83).cast("long"), F.col("label").cast("long")))).alias("geometry"), F.lit(" ").alias("crs"), F.when(k % 13 == 0, "many").otherwise("9").alias("pixels"),
+    )
+    return Q.sample_violations(s, [str(i) for i in range(10)], 30, 2.0, training_only=True)
 
 
 @query("q8_validation_samples", "WITH s AS (SELECT event_type AS label, count(*) AS n, count(CASE WHEN user_id % 7 = 0 THEN 1 END) AS bad FROM events GROUP BY ALL) SELECT label AS subject, 'known_label' AS rule FROM s WHERE label NOT IN ('click', 'view') UNION ALL SELECT label, 'coordinates' FROM s WHERE bad > 0 UNION ALL SELECT label, 'enough' FROM s WHERE n < 2000")
@@ -320,15 +331,34 @@ def _(spark, sf):
     return Q.validation_violations(e, ["click", "view"], 2000)
 
 
-@query("q9_evidence_gate", """WITH p AS (SELECT n_name AS project, n_nationkey AS k FROM nation) SELECT project, 'lulc' AS section, CASE WHEN 0.8 + k / 200.0 >= 0.85 THEN 'completed' ELSE 'failed' END AS status FROM p UNION ALL SELECT project, 'plus', CASE WHEN k % 2 = 1 THEN 'pending_validation' WHEN k = 0 THEN 'failed' ELSE 'completed' END FROM p UNION ALL SELECT project, 'invest', 'pending_validation' FROM p UNION ALL SELECT project, 'ecosystem', CASE WHEN k / 100.0 <= 0.1 THEN 'completed' ELSE 'failed' END FROM p UNION ALL SELECT project, 'subsidence_water', 'completed' FROM p""")
+@query("q9_evidence_gate", """WITH p AS (SELECT n_name AS project, n_nationkey AS k FROM nation),
+s AS (SELECT project, k, 'lulc' AS section, CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN 2 ELSE 0 END AS level FROM p UNION ALL SELECT project, k, 'plus', CASE WHEN k > 20 THEN 2 WHEN k % 2 = 1 THEN 1 ELSE 0 END FROM p
+ UNION ALL SELECT project, k, 'invest', CASE WHEN k % 3 = 0 THEN 1 WHEN k % 3 = 1 THEN CASE WHEN k / 10000.0 / (1 + k / 10000.0) <= 0.001 THEN 0 ELSE 2 END WHEN k % 4 = 0 THEN 2 ELSE 0 END FROM p
+ UNION ALL SELECT project, k, 'ecosystem', CASE WHEN k > 10 THEN 2 ELSE 0 END FROM p UNION ALL SELECT project, k, 'subsidence_water', CASE k % 3 WHEN 0 THEN CASE WHEN k = 0 THEN 2 ELSE 0 END WHEN 1 THEN CASE WHEN k < 5 THEN 2 ELSE 0 END ELSE 2 END FROM p)
+SELECT project, section, ['completed', 'pending_validation', 'failed'][level + 1] AS status, ['completed', 'pending_validation', 'failed'][max(level) OVER (PARTITION BY project) + 1] AS gate FROM s""")
 def _(spark, sf):
-    n, k = table(spark, sf, "nation"), F.col("n_nationkey")
-    report = lambda s, f, v: n.select(F.col("n_name").alias("project"), F.lit(s).alias("section"), F.create_map(F.lit(f), v.cast("double")).alias("metrics"))
-    parts = [report("lulc", "overall_accuracy", 0.8 + k / 200), report("plus", "figure_of_merit", F.when(k % 2 == 0, k / 100)), report("ecosystem", "consistency_ratio", k / 100), report("subsidence_water", "composite_t_c", k)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return Q.evidence_gate(out)
+    return Q.evidence_gate(evidence(spark, sf)).drop("broken")
+
+
+def evidence(spark, sf):
+    """``project, section, body``: reports of every nation, as JSON text, faulty in different ways."""
+    k = F.col("n_nationkey")
+    say = lambda **x: F.to_json(F.struct(*[v.alias(n) for n, v in x.items()]))
+    one = lambda v: F.create_map(F.lit("1"), v)
+    lit = F.lit
+    scores = F.struct(lit(0.9).alias("precision"), lit(0.8).alias("recall"), lit(0.85).alias("f1"), F.when(k % 7 != 0, 0.7).alias("iou"))
+    metrics = F.struct((0.8 + k / 200).alias("oa"), lit(0.7).alias("f1"), F.when(k % 5 == 0, 1.2).otherwise(0.6).alias("iou"), one(scores).alias("classes"))
+    seed = lambda v: F.struct(v.alias("fom"))
+    run = F.struct(lit("completed").alias("status"), F.array(lit("yield.tif")).alias("outputs"), F.create_map(lit("yield"), F.when(k % 4 == 0, "undeclared").otherwise("mm")).alias("units"))
+    bodies = {
+        "lulc": say(metrics=metrics),
+        "plus": say(fom=k / 20, classes=one(F.struct(lit(0.5).alias("f1"), lit(0.4).alias("iou"))), seed_metrics=F.when(k % 2 == 0, F.array(seed(k / 30), seed(lit(0.2)))).otherwise(F.array(seed(lit(0.2))))),
+        "invest": F.when(k % 3 == 0, "{}").when(k % 3 == 1, say(workflow_total_t_c=lit(5120.0), independent_total_t_c=5120 * (1 + k / 10000))).otherwise(say(carbon=F.struct(lit(1.0).alias("workflow_total_t_c"), lit(1.0).alias("independent_total_t_c")), models=F.create_map(lit("water_yield"), run))),
+        "ecosystem": say(normalised_ranges=F.create_map(lit("carbon"), F.array(lit(0.0), lit(1.0))), method=lit("ahp"), ahp_consistency_ratio=k / 100, sensitivity=F.struct(lit(True).alias("available"), lit(1).alias("maximum_rank_shift"))),
+        "subsidence_water": F.when(k % 3 == 0, say(mode=lit("classify_only"), water_code=k, water_cell_count=lit(10), water_area_m2=lit(9000.0))).when(k % 3 == 1, say(mode=lit("estimate_volume"), water_volume_m3=k - 5)).otherwise(say(mode=lit("guess"))),
+    }
+    rows = F.explode(F.array(*[F.struct(lit(n).alias("section"), b.alias("body")) for n, b in bodies.items()]))
+    return table(spark, sf, "nation").select(F.col("n_name").alias("project"), rows.alias("r")).select("project", "r.*")
 
 
 @query("q11_temporal_contract", """WITH p AS (SELECT c_custkey % 100 AS project, c_custkey // 100 AS pos, 1890 + c_custkey * 7 % 300 AS yr, CASE WHEN c_custkey % 5 = 0 THEN 'v' || c_custkey % 15 END AS f FROM customer), l AS (SELECT *, lag(yr) OVER (PARTITION BY project ORDER BY pos) AS prev FROM p)
@@ -346,9 +376,74 @@ def _(spark, sf):
     return Q.rule_warnings(table(spark, sf, "nation").select(F.col("n_name").alias("project"), s.alias("service"), F.when(k % 2 == 0, "sum").otherwise("mean").alias("rule")))
 
 
-@query("a11_unit_geometry")
+@query("a11_unit_geometry", W + cells_sql(value=INDEX) + ", " + EXTENT_SQL + """, u AS (SELECT DISTINCT "row" // 8 AS r, "col" // 8 AS c FROM cells WHERE year = 1997),
+b AS (SELECT printf('r%05d_c%05d', r, c) AS unit_id, least(c * 8, w) * 5.0::DOUBLE AS x1, least(c * 8 + 8, w) * 5.0::DOUBLE AS x2, top * 10.0::DOUBLE - least(r * 8, h) * 10.0::DOUBLE AS y1, top * 10.0::DOUBLE - least(r * 8 + 8, h) * 10.0::DOUBLE AS y2 FROM u, gr)
+SELECT unit_id, '{"type":"Feature","properties":{"unit_id":"' || unit_id || '"},"geometry":{"type":"Polygon","coordinates":[[[' || x1 || ',' || y1 || '],[' || x2 || ',' || y1 || '],[' || x2 || ',' || y2 || '],[' || x1 || ',' || y2 || '],[' || x1 || ',' || y1 || ']]]}}' AS feature FROM b""")
 def _(spark, sf):
     cells = year_of(dated_cells(spark, sf, INDEX), 1997)
-    return Z.unit_geometry(Z.grid_units(cells, 8, "mean", CELL_M2), GRID, 8)
+    return Z.unit_geometry(Z.grid_units(cells, 8, "mean", CELL_M2), extent(spark, sf), 8)
+
 
+# files: each query writes what it reads
+
+
+@query("a1_a6_a9_csv_table", W + UNITS_SQL + " SELECT scenario, unit_id::VARCHAR AS unit_id, round(carbon, 2) AS carbon, round(habitat, 6) AS habitat FROM units")
+def _(spark, sf):
+    path = scratch(spark, "units")
+    IO.write_result(rounded(units(spark, sf), carbon=2, habitat=6), path, ["scenario", "unit_id", "carbon", "habitat"], ["scenario", "unit_id"])
+    return IO.read_csv(spark, path, ["scenario", "unit_id"], ["carbon", "habitat"])
+
+
+@query("a2_cell_table", W + cells_sql(value=INDEX) + """ SELECT year::VARCHAR AS layer_id, "row", "col", round(value, 6) AS value FROM cells WHERE year IN (1996, 1997) AND value <> 0""")
+def _(spark, sf):
+    path = scratch(spark, "cells")
+    cells = dated_cells(spark, sf, INDEX).select(F.col("year").cast("string").alias("layer_id"), "row", "col", "value")
+    IO.write_cells(cells, path)
+    return rounded(IO.read_cells(spark, path, ["1996", "1997"], 0.0).select(F.col("layer_id").cast("string").alias("layer_id"), "row", "col", "value"), value=6)
 
+
+@query("a3_depth_points", """WITH l AS (SELECT l_orderkey % 7 AS k, l_suppkey AS x, l_partkey AS y, l_quantity * 10 - 20 AS w FROM lineitem) SELECT CASE WHEN k = 1 THEN 'too few fields' WHEN k = 2 THEN 'not a number' WHEN w < 0 THEN 'negative depth' END AS reason, count(*) AS n, round(sum(CASE WHEN k > 2 AND w >= 0 THEN w / 1000 END), 3) AS depth FROM l WHERE k > 0 GROUP BY ALL""")
+def _(spark, sf):
+    path, k = scratch(spark, "points"), F.col("l_orderkey") % 7
+    w = (F.col("l_quantity") * 10 - 20).cast("string")
+    line = F.when(k == 0, F.concat(F.lit("  # "), w)).when(k == 1, F.concat_ws(", ", F.col("l_suppkey").cast("string"), w)).when(k == 2, F.concat_ws(" ", F.col("l_suppkey").cast("string"), F.lit("?"), w)).otherwise(F.concat_ws(" , ", "l_suppkey", "l_partkey", w))
+    table(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    good, bad = IO.read_depth_points(spark, path, flip=False)
+    both = good.select(F.lit(None).cast("string").alias("reason"), "value").unionByName(bad.select("reason", F.lit(None).cast("double").alias("value")))
+    return rounded(both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("depth")), depth=3)
+
+
+@query("a4_h5_vector_file", "SELECT n_name AS name, 'Point' AS geom_type, n_nationkey % 4 <> 0 AS finite, 'EPSG:32650' AS crs FROM nation")
+def _(spark, sf):
+    path, k = scratch(spark, "vector"), F.col("n_nationkey")
+    at = F.when(k % 4 == 0, F.concat(F.lit('[1e999,'), k.cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("["), k.cast("string"), F.lit(".5, -3]")))
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"name":"'), F.trim("n_name"), F.lit('"},"geometry":{"type":"Point","coordinates":'), at, F.lit("}}"))
+    one = table(spark, sf, "nation").agg(F.array_join(F.array_sort(F.collect_list(feature)), ",").alias("f"))  # one document is one row, by its format
+    one.select(F.concat(F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"EPSG:32650"}},"features":['), "f", F.lit("]}")).alias("value")).coalesce(1).write.text(path)
+    out = IO.read_geojson(spark, path)
+    return out.select(F.col("props.name").alias("name"), "geom_type", Q.finite_coordinates(F.col("coordinates")).alias("finite"), "crs")
+
+
+@query("a7_evidence_files", "SELECT n_name AS project, n_nationkey % 5 <> 0 AND n_nationkey % 7 <> 0 AS completed FROM nation")
+def _(spark, sf):
+    """Reports as files of a tree, assembled by pattern and put to the gate."""
+    path = scratch(spark, "evidence")
+    docs = evidence(spark, sf).filter("section = 'lulc'").select("project", F.col("body").alias("value"))
+    docs.repartition("project").write.partitionBy("project").text(path)
+    found = IO.assemble_evidence(spark, path, {"lulc": [r"\\.json$", r"part-[^/]*$"]}, per_folder=True)
+    project = F.regexp_extract(F.url_decode("folder"), "project=([^/]*)$", 1)
+    return Q.evidence_gate(found.select(project.alias("project"), "section", "body")).select("project", (F.col("status") == "completed").alias("completed"))
+
+
+@query("a12_a13_a15_manifest", "SELECT 2 AS files, true AS same_digest, count(DISTINCT s_suppkey) AS units, true AS digests FROM supplier")
+def _(spark, sf):
+    """A result, its sidecar, and the inventory and digest of the tree that holds both."""
+    path = scratch(spark, "tree")
+    n = table(spark, sf, "supplier").select("s_suppkey").distinct().count()
+    IO.write_result(table(spark, sf, "supplier").coalesce(1), f"{path}/result", ["s_suppkey", "s_acctbal"], ["s_suppkey"])
+    IO.write_sidecar(spark, f"{path}/sidecar", {"units": n, "rule": "sum"})
+    files = IO.file_inventory(spark, path).filter("path LIKE '%part-%'")
+    digests = [IO.directory_digest(files, path).first()["sha256"] for _ in range(2)]
+    side = spark.read.json(f"{path}/sidecar")
+    out = files.agg(F.count(F.lit(1)).cast("int").alias("files"), F.min(F.length("sha256") == 64).alias("digests"))
+    return out.join(F.broadcast(side.select(F.col("units"))), F.lit(True)).withColumn("same_digest", F.lit(digests[0] == digests[1]))

@@ -73,18 +73,24 @@ def read_roi_xml(spark: SparkSession, path: str) -> DataFrame:
     """``class, feature_id``: one sample per polygon of each region; regions without a name are numbered."""
     schema = "_name string, GeometryDef struct<Polygon:array<string>>"
     regions = spark.read.format("xml").option("rowTag", "Region").schema(schema).load(path)
-    numbered = regions.withColumn("_n", F.monotonically_increasing_id())
-    name = F.coalesce(F.nullif(F.trim("_name"), F.lit("")), F.concat(F.lit("region_"), (F.col("_n") + 1).cast("string")))
+    placed = regions.withColumn("_file", F.input_file_name()).withColumn("_n", F.monotonically_increasing_id()).withColumn("_named", F.nullif(F.trim("_name"), F.lit("")))
+    count = F.sum(F.when(F.col("_named").isNull(), 1)).over(Window.partitionBy("_file").orderBy("_n"))  # by the place in the file, however the file was split
+    numbered = placed.withColumn("_place", count)
+    name = F.coalesce("_named", F.concat(F.lit("unnamed_region_"), F.col("_place").cast("string")))
     return numbered.select(name.alias("class"), F.posexplode("GeometryDef.Polygon").alias("feature_id", "polygon")).drop("polygon")
 
 
-def assemble_evidence(spark: SparkSession, folder: str, patterns: dict[str, list[str]]) -> DataFrame:
-    """``section, file, body``: for each section the first file by pattern order, then by name."""
+def assemble_evidence(spark: SparkSession, folder: str, patterns: dict[str, list[str]], per_folder: bool = False) -> DataFrame:
+    """``folder, section, file, body``: for each section the first file by pattern order, then by name, of the whole tree or of each of its folders.
+
+    ``body`` goes to the evidence gate as it is.
+    """
     files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder).select(F.input_file_name().alias("file"), F.col("value").alias("body"))
+    files = files.withColumn("folder", F.regexp_replace("file", "/[^/]*$", "") if per_folder else F.lit(folder))
     rules = spark.createDataFrame([(s, i, p) for s, ps in patterns.items() for i, p in enumerate(ps)], "section string, priority int, pattern string")
     hits = files.join(F.broadcast(rules), F.expr("file rlike pattern"))
-    first = Window.partitionBy("section").orderBy("priority", "file")
-    return hits.withColumn("n", F.row_number().over(first)).filter("n = 1").select("section", "file", "body")
+    first = Window.partitionBy("folder", "section").orderBy("priority", "file")
+    return hits.withColumn("n", F.row_number().over(first)).filter("n = 1").select("folder", "section", "file", "body")
 
 
 def write_result(df: DataFrame, path: str, columns: list[str], order: list[str] = [], fmt: str = "csv") -> None:
@@ -107,6 +113,6 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 def directory_digest(inventory: DataFrame, root: str) -> DataFrame:
     """One digest of a tree from the ordered relative paths and digests of its files."""
-    rel = F.expr(f"substring(path, locate('{root}', path) + {len(root)})")
+    rel = F.col("path").substr(F.locate(root, F.col("path")) + len(root), F.length("path"))
     lines = F.array_sort(F.collect_list(F.concat_ws("\0", rel, "sha256")))
     return inventory.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("sha256"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))

@@ -7,10 +7,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loamgrid.functions import scalars as S
+from loamgrid.operators import blocks as BL
 from loamgrid.operators import cells as C
 from loamgrid.operators import change as CH
 from loamgrid.operators import classify as K
 from loamgrid.operators import quality as Q
+from loamgrid.operators import ranking as RK
 from loamgrid.operators import regrid as R
 from loamgrid.operators import score as SC
 from loamgrid.operators import services as SV
@@ -210,8 +213,142 @@ def test_maximum_likelihood_matches_numpy(spark):
     assert all(r["predicted"] == best(np.array(r["bands"])) for r in K.maximum_likelihood(df, df, 2).collect())
 
 
-def test_patch_starts_reach_the_edge():
-    assert K.patch_starts(10, 4, 3) == [0, 3, 6] and K.patch_starts(11, 4, 3) == [0, 3, 6, 7] and K.patch_starts(3, 4, 3) == [0]
+def test_patches_reach_the_edge_and_blend_back(spark):
+    layers = spark.createDataFrame([("a", 10, 3), ("b", 11, 4)], "layer_id string, height long, width long")
+    starts = defaultdict(set)
+    for r in K.patch_grid(layers, 4, 3).collect():
+        starts[r["layer_id"]].add((r["patch_row"], r["patch_col"]))
+    assert starts == {"a": {(0, 0), (3, 0), (6, 0)}, "b": {(0, 0), (3, 0), (6, 0), (7, 0)}}
+    one = spark.createDataFrame([("b", i, j, 1 + (i + j) % 2) for i in range(11) for j in range(4)], "layer_id string, row long, col long, class long")
+    cut = K.cut_patches(one, layers.filter("layer_id = 'b'"), 4, 3)
+    assert cut.count() == 4 * 16
+    back = {(r["row"], r["col"]): (r["class"], r["confidence"]) for r in K.blend_predictions(cut.withColumn("p", F.lit(0.75)), 4, 0.5).collect()}
+    assert set(back) == {(i, j) for i in range(11) for j in range(4)} and all(c == 1 + (i + j) % 2 and math.isclose(p, 0.75) for (i, j), (c, p) in back.items())
+
+
+def test_sensors_and_drivers(spark):
+    names = ["Landsat 8 OLI", "sentinel-2 msi", " LANDSAT_5 ", "landsat8", "Sentinel_2", "L8", "S2", "GF-1", "", None]
+    got = {r["sensor"]: (r["profile"], r["classified_resampling"], r["rejected"]) for r in S.sensor_profiles(spark.createDataFrame([(n,) for n in names], "sensor string")).collect()}
+    assert [got[n][0] for n in names] == ["landsat_8_oli", "sentinel_2_msi", "landsat_5_tm", "landsat_8_oli", "sentinel_2_msi"] + [None] * 5
+    assert all(got[n][1:] == ("nearest", False) for n in names[:5]) and all(got[n][2] for n in names[5:])
+    kinds = {"landform": "categorical", "zoning": "categorical", "protected_area": "categorical", "ecological_redline": "categorical", "lulc": "continuous", "landuse": "continuous", "Aspect ": "circular", "aspect_class": "categorical", "rock_type": "categorical", "slope": "continuous"}
+    d = spark.createDataFrame([(n, m) for n in kinds for m in (None, "nearest", "BILINEAR", "majority")], "name string, method string").withColumn("kind", S.driver_type(F.col("name")))
+    rows = d.withColumn("ok", S.resampling_allowed(F.col("kind"), F.col("method"))).collect()
+    assert all(r["kind"] == kinds[r["name"]] for r in rows)
+    assert all(r["ok"] == (r["method"] is None or r["method"].lower() in {"categorical": ("majority", "nearest"), "continuous": ("bilinear",), "circular": ("nearest",)}[r["kind"]]) for r in rows)
+
+
+def test_layer_preflight(spark):
+    """A layer with more codes than a profile lists is reported, whether they are whole numbers or not."""
+    many = spark.range(6000).select(F.lit("halves").alias("layer_id"), (F.col("id") + 0.5).alias("value")).unionByName(spark.range(6000).select(F.lit("whole"), F.col("id").cast("double")).toDF("layer_id", "value"))
+    few = spark.createDataFrame([("good", 1.0), ("good", 2.0), ("depth", -0.5), ("odd", 1.0), ("odd", 9.0)], "layer_id string, value double")
+    facts = "layer_id string, kind string, crs string, width long, height long, a double, b double, c double, d double, e double, f double, nodata double, must_align boolean, allowed_codes array<double>"
+    row = lambda name, kind, b=0.0, nodata=0.0: (name, kind, "EPSG:32650", 4, 4, 30.0, b, 0.0, 0.0, -30.0, 0.0, nodata, True, [1.0, 2.0])
+    layers = spark.createDataFrame([row("halves", "lulc"), row("whole", "lulc"), row("good", "lulc"), row("depth", "subsidence_depth"), row("odd", "lulc", 0.01, 2.0)], facts)
+    got = defaultdict(set)
+    for r in Q.layer_violations(Z.layer_profile(many.unionByName(few), ["layer_id"]), layers, "good", ("H85", " h85")).collect():
+        got[r["subject"]].add(r["rule"])
+    assert got == {"halves": {"integer_codes", "codes_listed"}, "whole": {"codes_listed"}, "depth": {"negative_depth"}, "odd": {"known_codes", "nodata_is_class", "aligned"}}
+    assert {r["rule"] for r in Q.layer_violations(Z.layer_profile(few, ["layer_id"]), layers, "none", ("H85", None)).filter("subject IN ('none', 'table')").collect()} == {"master", "datum_declared"}
+
+
+def test_evidence_gate(spark):
+    ok = '{"precision": 1, "recall": 0.5, "f1": 0.6, "iou": 0.5}'
+    seeds = '"classes": {"1": {"f1": 0.5, "iou": 0.5}}, "seed_metrics": '
+    bodies = [
+        ("lulc", "wrapped", '{"metrics": {"oa": 0.8, "f1": 0.7, "iou": 0.6, "classes": {"1": %s}}}' % ok, "completed"), ("lulc", "root", '{"oa": 0.8, "f1": 0.7, "iou": 0.6, "classes": {"1": %s}}' % ok, "completed"),
+        ("lulc", "no classes", '{"oa": 0.8, "f1": 0.7, "iou": 0.6}', "failed"), ("lulc", "a class without IoU", '{"oa": 0.8, "f1": 0.7, "iou": 0.6, "classes": {"1": {"precision": 1, "recall": 1, "f1": 1}}}', "failed"),
+        ("lulc", "above one", '{"oa": 1.8, "f1": 0.7, "iou": 0.6, "classes": {"1": %s}}' % ok, "failed"), ("lulc", "absent", "{}", "failed"),
+        ("plus", "two seeds", '{"fom": 0, %s [{"fom": 0.2}, {"fom": 0.3}]}' % seeds, "completed"), ("plus", "one seed", '{"fom": 0.2, %s [{"fom": 0.2}]}' % seeds, "pending_validation"), ("plus", "one seed and no figure", '{%s [{"fom": 0.2}]}' % seeds, "failed"),
+        ("plus", "a seed without figure", '{"fom": 0.2, %s [{"fom": 0.2}, {}]}' % seeds, "failed"), ("plus", "absent", None, "pending_validation"),
+        ("invest", "close", '{"workflow_total_t_c": 5120, "independent_total_t_c": 5121}', "completed"), ("invest", "far", '{"carbon": {"workflow_total_t_c": 5120, "independent_total_t_c": 5321}}', "failed"), ("invest", "one total", '{"workflow_total_t_c": 5120}', "pending_validation"),
+        ("invest", "model", '{"workflow_total_t_c": 1, "independent_total_t_c": 1, "models": {"awy": {"scenarios": {"ND": {"status": "completed", "outputs": ["a"], "units": {"y": "mm"}}}}}}', "completed"),
+        ("invest", "model without units", '{"workflow_total_t_c": 1, "independent_total_t_c": 1, "models": {"awy": {"status": "completed", "outputs": ["a"], "units": {"y": "Undeclared"}}}}', "failed"),
+        ("ecosystem", "good", '{"normalised_ranges": {"c": [0, 1]}, "method": "ahp", "ahp_consistency_ratio": 0.1, "sensitivity": {"available": true, "maximum_rank_shift": 0}}', "completed"),
+        ("ecosystem", "turned range", '{"normalised_ranges": {"c": [1, 0]}, "sensitivity": {"available": true, "maximum_rank_shift": 0}}', "failed"), ("ecosystem", "no sensitivity", '{"normalised_ranges": {"c": [0, 1]}}', "failed"),
+        ("subsidence_water", "classify", '{"mode": "classify_only", "water_code": 5, "water_cell_count": 3, "water_area_m2": 2700}', "completed"), ("subsidence_water", "no mode", '{"water_volume_m3": 1}', "failed"),
+        ("subsidence_water", "volume", '{"mode": "estimate_volume", "water_volume_m3": 0}', "completed"), ("subsidence_water", "carbon missing", '{"mode": "composite_subsidence_water_carbon", "water_volume_m3": 1}', "failed"),
+    ]
+    df = spark.createDataFrame([(f"{s}: {n}", s, b) for s, n, b, _ in bodies] + [("two", "lulc", bodies[0][2]), ("two", "plus", bodies[7][2])], "project string, section string, body string")
+    got = {(r["project"], r["section"]): r for r in Q.evidence_gate(df).collect()}
+    for s, n, _, want in bodies:
+        assert got[f"{s}: {n}", s]["status"] == want, n
+    assert got["two", "lulc"]["status"] == "completed" and got["two", "lulc"]["gate"] == "pending_validation"
+    need = {r["section"]: r["status"] for r in Q.evidence_gate(df.filter("project = 'two'"), ["lulc", "invest"]).collect()}
+    assert need == {"lulc": "completed", "invest": "pending_validation"}
+
+
+def test_slices_give_exact_ranks(spark, monkeypatch):
+    monkeypatch.setattr(RK, "RANK_SLICES", 7)
+    rng = np.random.default_rng(2)
+    v = rng.integers(0, 40, 400).astype(float)
+    df = spark.createDataFrame([(i, f"g{i % 3}" if i % 3 else None, float(x), float((i * 37 % 401 + 1) / 402)) for i, x in enumerate(v)], "u long, g string, v double, p double")
+    assert np.allclose(RK.quantiles(df, "v", [0, 0.02, 0.25, 0.5, 0.98, 1]), np.quantile(v, [0, 0.02, 0.25, 0.5, 0.98, 1]))
+    counts = df.groupBy("g", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    groups = {(f"g{k}" if k else None): np.arange(400) % 3 == k for k in range(3)}
+    assert {r["g"]: r["m"] for r in RK.medians(counts, ["g"], "m").collect()} == {g: np.median(v[m]) for g, m in groups.items()}
+    for r in RK.ordinal(df, ["g"], "v", ["u"], "place", descending=True).collect():
+        own = sorted((-v[i], i) for i in np.flatnonzero(groups[r["g"]]))
+        assert own[r["place"] - 1] == (-r["v"], r["u"])
+    p = np.array([(i * 37 % 401 + 1) / 402 for i in range(400)])
+    order = np.argsort(p)
+    q = np.minimum(1, np.minimum.accumulate((p[order] * 400 / np.arange(1, 401))[::-1])[::-1])
+    got = {r["u"]: r["adjusted"] for r in ST.benjamini_hochberg(df.select("u", F.col("p").alias("p_value"))).collect()}
+    assert all(math.isclose(got[int(i)], x) for i, x in zip(order, q, strict=True))
+
+
+def test_neighbours_across_tiles(spark, monkeypatch):
+    monkeypatch.setattr(BL, "TILE", 4)
+    rng = np.random.default_rng(4)
+    have = rng.random((17, 15)) < 0.2
+    val = rng.integers(1, 9, have.shape).astype(float)
+    sources = spark.createDataFrame([(int(i), int(j), float(val[i, j])) for i, j in np.argwhere(have)], "row long, col long, value double")
+    every = spark.createDataFrame([(i, j) for i in range(17) for j in range(15)], "row long, col long")
+    near = {(i, j): sorted(((i - r) ** 2 + (j - c) ** 2, r, c) for r, c in np.argwhere(have) if (i - r) ** 2 + (j - c) ** 2 <= 9) for i in range(17) for j in range(15)}
+    assert grid_of(BL.nearest(every, sources, 3.0)) == {k: val[n[0][1:]] for k, n in near.items() if n}
+    idw = lambda n: n[0][0] == 0 and val[n[0][1:]] or sum(val[r, c] / d for d, r, c in n) / sum(1 / d for d, _, _ in n)
+    got = grid_of(BL.weighted(every, sources, 3.0, 5, 2.0))
+    assert got.keys() == {k for k, n in near.items() if n} and all(math.isclose(x, idw(near[k][:5])) for k, x in got.items())
+    got = grid_of(BL.mean_decay(every, sources, 3.0, lambda d: 1 - d), "influence")
+    assert got.keys() == {k for k, n in near.items() if n} and all(math.isclose(x, np.mean([1 - math.sqrt(d) / 3 for d, _, _ in near[k]]), abs_tol=1e-9) for k, x in got.items())
+
+
+def test_polygons_that_meet(spark):
+    p = lambda *xy: [{"x": float(x), "y": float(y)} for x, y in xy]
+    square = lambda x, y, d: [p((x, y), (x + d, y), (x + d, y + d), (x, y + d))]
+    shape = "feature_id long, rings array<array<struct<x:double,y:double>>>"
+    left = spark.createDataFrame([(1, square(0, 0, 10)), (2, square(20, 20, 2))], shape)
+    right = spark.createDataFrame([(11, square(9, 9, 5)), (12, square(3, 3, 1)), (13, square(15, 0, 2)), (14, square(10, 4, 1)), (15, square(18, 18, 9)), (16, [p((-5, 5), (15, 6), (15, 7))])], shape)
+    assert {tuple(r) for r in C.polygons_that_meet(left, right, 4.0).collect()} == {(1, 11), (1, 12), (1, 14), (1, 16), (2, 15)}
+    got = {r["c"]: r["ok"] for r in spark.createDataFrame([("[1, 2.5]",), ("[[1e2,-3],[4,5]]",), ("[1e999, 2]",), ("[]",), ("[1,]",), ('["a", 1]',), ("null",), (None,), ("[[1,2],[]]",)], "c string").withColumn("ok", Q.finite_coordinates(F.col("c"))).collect()}
+    assert {k for k, ok in got.items() if ok} == {"[1, 2.5]", "[[1e2,-3],[4,5]]"}
+
+
+def test_criteria_are_checked(spark):
+    u = spark.createDataFrame([("A", 1.0, 2.0), ("B", 5.0, 9.0)], "unit_id string, c double, w double")
+    crit = [{"field": "c", "direction": "benefit", "weight": 1}, {"field": "w", "weight": 3}]
+    got = {r["unit_id"]: r for r in SC.score_units(u, crit, {"c": (0, 4)}).collect()}
+    assert got["B"]["norm_c"] == 1.0 and got["B"]["clipped_c"] and not got["B"]["clipped_w"] and got["B"]["clipped"] == 1 and got["A"]["value_c"] == 1.0 and math.isclose(got["A"]["score"], 0.0625)
+    for bad, why in ((u.unionByName(u.withColumn("c", F.lit(None).cast("double"))), "no finite"), (u.withColumn("w", F.lit(math.nan)), "no finite"), (u.filter("false"), "no rows")):
+        with pytest.raises(ValueError, match=why):
+            SC.score_units(bad, crit)
+    with pytest.raises(ValueError, match="in order"):
+        SC.score_units(u, crit, {"c": (4, 4)})
+    m = lambda x: spark.createDataFrame([("p", i, j, v) for i, r in enumerate(x) for j, v in enumerate(r)], "panel_id string, i int, j int, v double")
+    assert math.isclose({r["unit_id"]: r["score"] for r in SC.score_by_ahp(u, crit, m([[1.0, 1 / 3], [3.0, 1.0]]), "p").collect()}["B"], 1.0)
+    three = [*crit, {"field": "c", "weight": 1}]
+    for matrix, why in (([[1.0, 9.0, 1 / 9], [1 / 9, 1.0, 9.0], [9.0, 1 / 9, 1.0]], "exceeds"), ([[1.0, 2.0, 1.0], [2.0, 1.0, 1.0], [1.0, 1.0, 1.0]], "reciprocal")):
+        with pytest.raises(ValueError, match=why):
+            SC.score_by_ahp(u, three, m(matrix), "p")
+
+
+def test_sample_coverage(spark):
+    df = spark.createDataFrame([("1", "training", "[0]"), ("1", "training", "[1]"), ("2", "validation", "[1]"), (" ", "training", None), ("2", "test", "[2]")], "class string, role string, geometry string")
+    got = {(r["subject"], r["rule"]): (r["severity"], r["n"]) for r in Q.sample_violations(df, ["1", "2", "3"], 2, 10.0, training_only=True).collect()}
+    assert got == {("table", "blank_class"): ("error", 1), ("3", "missing_class"): ("error", 1), ("table", "crs"): ("error", 1), ("table", "geometry"): ("error", 1), ("table", "overlap"): ("error", 1), ("validation", "other_role"): ("error", 1), ("test", "other_role"): ("error", 1)}
+    assert [tuple(r) for r in Q.sample_violations(df.drop("class")).collect()] == [("table", "class_field", "error", 1)]
+    none = {r["rule"]: r["severity"] for r in Q.sample_violations(df.filter("false").drop("geometry", "role")).collect()}
+    assert none == {"no_samples": "error", "two_classes": "error", "crs": "warning", "role_field": "warning"}
 
 
 def test_coverage_and_contracts(spark):
@@ -234,8 +371,8 @@ def test_file_scans(spark, tmp_path):
     good, bad = T.read_depth_points(spark, str(tmp_path / "w.dat"))
     assert sorted(r["value"] for r in good.collect()) == [1.0, 2.0]
     assert sorted(r["reason"] for r in bad.collect()) == ["negative depth", "too few fields"]
-    (tmp_path / "roi.xml").write_text('<R><Region name="water"><GeometryDef><Polygon><P>1</P></Polygon><Polygon><P>2</P></Polygon></GeometryDef></Region><Region><GeometryDef><Polygon><P>1</P></Polygon></GeometryDef></Region></R>')
-    assert sorted((r["class"], r["count"]) for r in T.read_roi_xml(spark, str(tmp_path / "roi.xml")).groupBy("class").count().collect())[-1] == ("water", 2)
+    (tmp_path / "roi.xml").write_text('<R><Region name="water"><GeometryDef><Polygon><P>1</P></Polygon><Polygon><P>2</P></Polygon></GeometryDef></Region><Region><GeometryDef><Polygon><P>1</P></Polygon></GeometryDef></Region><Region name=" "><GeometryDef><Polygon><P>1</P></Polygon></GeometryDef></Region></R>')
+    assert sorted((r["class"], r["count"]) for r in T.read_roi_xml(spark, str(tmp_path / "roi.xml")).groupBy("class").count().collect()) == [("unnamed_region_1", 1), ("unnamed_region_2", 1), ("water", 2)]
     (tmp_path / "f.geojson").write_text('{"crs":{"properties":{"name":"EPSG:32650"}},"features":[{"properties":{"class_id":1},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     g = T.read_geojson(spark, str(tmp_path / "f.geojson")).first()
     assert g["props"]["class_id"] == "1" and g["geom_type"] == "Point" and g["crs"] == "EPSG:32650"
