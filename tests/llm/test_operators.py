@@ -362,7 +362,7 @@ def test_scripts_and_labels(spark):
     r = random.Random(3)
     signs = {"zh": [chr(c) for c in range(0x4E00, 0x4E00 + 2500)], "ko": [chr(c) for c in range(0xAC00, 0xAC00 + 900)], "rare": [chr(c) for c in range(0x20000, 0x20400)]}
     text = lambda name, n: "".join(r.choices(signs[name][:: 1 + n % 2], k=400))
-    table = [(3 * i + k, text(name, i), name) for i in range(30) for k, name in enumerate(signs)] + [(1000 + i, prose(i, 40), f"label{i}") for i in range(300)]
+    table = [(3 * i + k, text(name, i), name) for i in range(30) for k, name in enumerate(signs)] + [(1000 + i, prose(i, 40), f"label{i}") for i in range(600)]
     df = spark.createDataFrame(table, "doc_id long, text string, lang string")
     samples = language.labelled_samples(df, "doc_id", "text", "lang")
     assert len(samples) == language.MAX_LANGUAGES and sum(len(t.encode()) for _, t in samples) <= language.TOTAL_BYTES
