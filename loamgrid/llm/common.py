@@ -69,12 +69,19 @@ def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 @contextmanager
-def only_last_stays(spark: SparkSession) -> Iterator[None]:
-    """Of the tables staged inside, all but the last one are removed at the end: its writing was their last use."""
-    before = set(_staged)
-    yield
-    for path in [p for p in _staged if p not in before][:-1]:
-        remove(spark, path)
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables staged inside."""
+    before, paths = set(_staged), []
+    yield paths
+    paths += [p for p in _staged if p not in before]
+
+
+def discard(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
+    """Remove staged tables that ``docs`` does not read."""
+    read = docs.inputFiles() if paths else []
+    for path in paths:
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in read):
+            remove(spark, path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -249,37 +249,59 @@ def similarity_radius(similarity: float, spread: float = DISCARD_SPREAD) -> int:
     return math.floor(WIDE_BITS * p + spread * math.sqrt(WIDE_BITS * p * (1 - p)))
 
 
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> dict:
+    """What tells rows apart: a hash of id and text, and the text's MD5."""
+    return {"key": F.xxhash64(id_col, text_col), "sha": F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """Per row ``id``, ``node`` (of the set of shingles), ``fp``, ``bands``, ``n_shingles`` and ``shingles``."""
+    """Per row ``id``, its ``key`` and ``sha``, ``node`` (of the set of shingles), ``fp``, ``bands`` and ``n_shingles``."""
 
     def run(texts: list[str | None]):
         rows = []
         for t in texts:
             hashes = np.unique(shingle_hashes(t, shingle_words))
-            own = hashes.astype("<u8").tobytes()
-            rows.append((xxhash.xxh64_intdigest(own, 23) - (1 << 63), *signature(hashes), len(hashes), own))
-        return None, list(zip(*rows, strict=True)) or [[]] * 5
+            rows.append((xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 23) - (1 << 63), *signature(hashes), len(hashes)))
+        return None, list(zip(*rows, strict=True)) or [[]] * 4
+
+    columns = [("node", "long", pa.int64()), ("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("n_shingles", "long", pa.int64())]
+    who = F.struct(F.col(id_col).alias("id"), *[c.alias(k) for k, c in _row_key(docs, id_col, text_col).items()])
+    rows = map_texts(docs.select(who.alias("_who"), F.col(text_col).alias("_body")), "_who", "_body", columns, run, "who")
+    return staged(rows.select("who.*", "node", "fp", "bands", "n_shingles"), "signatures")
 
-    columns = [("node", "long", pa.int64()), ("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("n_shingles", "long", pa.int64()), ("shingles", "binary", pa.binary())]
-    return staged(map_texts(docs, id_col, text_col, columns, run), "signatures")
 
+def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
+    """Add ``shingles`` (sorted 64-bit hashes) to ``members`` (``cluster, node, fp, key, sha``), from the texts of these rows only."""
+    own = members.withColumnsRenamed({"key": "_key", "sha": "_sha"})
+    texts = docs.select(F.col(text_col).alias("_body"), *[c.alias(k) for k, c in _row_key(docs, id_col, text_col).items()])
+    met = texts.join(own, (F.col("key") == F.col("_key")) & (F.col("sha") == F.col("_sha")))
+    who = F.struct("cluster", "node", "fp").alias("_who")
+
+    def run(texts: list[str | None]):
+        return None, [[np.unique(shingle_hashes(t, shingle_words)).astype("<u8").tobytes() for t in texts]]
+
+    sets = map_texts(met.select(who, "_body"), "_who", "_body", [("shingles", "binary", pa.binary())], run, "who")
+    return sets.select("who.*", "shingles").dropDuplicates(["node"])  # rows alike in id and text come more than once
 
-def similar_edges(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
+
+def similar_edges(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, similarity: float, shingle_words: int, tile: int = TILE) -> DataFrame:
     """Edges ``u, v`` that connect all nodes whose sets are links (see ``walk_sets``), among those that bands connect.
 
-    ``distinct``: ``node, fp, bands, n_shingles, shingles``. Nodes that share bands, directly or through others, form a cluster. A
+    ``rows``: the ``signatures`` of ``docs``. Nodes that share bands, directly or through others, form a cluster; nodes that share none are done. A
     set goes once to its cluster; a cluster above ``tile`` sets (or 512 shingles a set) is split into tiles, every pair of which meets.
     """
-    keyed = distinct.select("node", F.posexplode("bands").alias("table", "band"))
+    keyed = rows.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.posexplode("bands").alias("table", "band"))
     heads = staged(keyed.groupBy("table", "band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "heads")
     total = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     met = attach_group(keyed, heads, ["band", "table"], "n", ["head"], F.col("node"), total)
     clusters = connected_components(met.filter("head IS NOT NULL").select(F.col("node").alias("u"), F.col("head").alias("v")))
     clusters = clusters.select(F.col("node").alias("_node"), F.col("root").alias("cluster"))
-    sets = staged(distinct.join(clusters, F.col("node") == F.col("_node")).select("cluster", "node", "fp", "n_shingles", "shingles"), "sets")
-    large = sets.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n_shingles") / (512 * tile))).cast("int").alias("tiles"))
+    one = rows.groupBy("node").agg(F.min(F.struct("key", "sha", "fp", "n_shingles")).alias("r"))  # equal sets: any row stands for its node
+    members = staged(one.join(clusters, F.col("node") == F.col("_node")).select("cluster", "node", "r.*"), "members")
+    large = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n_shingles") / (512 * tile))).cast("int").alias("tiles"))
     large = staged(large.filter("tiles > 1").withColumnRenamed("cluster", "_c"), "clusters")
     side = F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large
+    sets = shingle_sets(docs, members, id_col, text_col, shingle_words)
     sets = sets.join(side, F.col("cluster") == F.col("_c"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     sets = sets.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     sets = sets.select("cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "fp", "shingles")
@@ -347,31 +369,27 @@ def similar_documents(
 ) -> DataFrame:
     """One row per input row: id, ``component_id``, the smallest id reachable over links of ``similarity`` or more."""
     rows = signatures(docs, id_col, text_col, shingle_words)
-    distinct = rows.groupBy("node").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n"))
-    distinct = staged(distinct, "distinct")
+    distinct = staged(rows.groupBy("node").agg(F.min("id").alias("min_id"), F.count(F.lit(1)).alias("n")), "distinct")
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    out = with_components(rows.select("id", "node"), distinct, similar_edges(one_each(rows), similarity, tile), "node", total)
+    edges = similar_edges(docs, rows, id_col, text_col, similarity, shingle_words, tile)
+    out = with_components(rows.select("id", "node"), distinct, edges, "node", total)
     return out.select(F.col("id").alias(id_col), "component_id")
 
 
-def one_each(rows: DataFrame) -> DataFrame:
-    """One row per node, whose sets are equal."""
-    return rows.select("node", "fp", "bands", "n_shingles", "shingles").dropDuplicates(["node"])
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle_words: int = 5) -> DataFrame:
     """The documents that stay, with all columns: of each component of similar documents the row with the smallest id (null last).
 
     Rows are told apart by id and text, so different texts under one id, or without id, stand for themselves; rows alike in both are one.
     """
-    who, text, key, sha, keep_key, keep_sha = fresh(docs, "_who", "_text", "_key", "_sha", "_k", "_s")
-    digest, body = F.xxhash64(id_col, text_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    person = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), digest.alias("key"), body.alias("sha"))
-    rows = signatures(docs.select(person.alias(who), F.col(text_col).alias(text)), who, text, shingle_words)
-    roots = connected_components(similar_edges(one_each(rows), similarity)).select(F.col("node").alias("_node"), "root")
-    firsts = rows.groupBy("node").agg(F.min("id").alias("first")).join(roots, F.col("node") == F.col("_node"), "left")
+    key, sha, keep_key, keep_sha = fresh(docs, "_key", "_sha", "_k", "_s")
+    rows = signatures(docs, id_col, text_col, shingle_words)
+    edges = similar_edges(docs, rows, id_col, text_col, similarity, shingle_words)
+    roots = connected_components(edges).select(F.col("node").alias("_node"), "root")
+    person = F.struct(F.col("id").isNull().alias("last"), "id", "key", "sha")
+    firsts = rows.groupBy("node").agg(F.min(person).alias("first")).join(roots, F.col("node") == F.col("_node"), "left")
     keep = firsts.groupBy(F.coalesce("root", "node").alias("c")).agg(F.min("first").alias("first")).select(F.col("first.key").alias(keep_key), F.col("first.sha").alias(keep_sha))
-    own = docs.withColumns({key: digest, sha: body})
+    digest = _row_key(docs, id_col, text_col)
+    own = docs.withColumns({key: digest["key"], sha: digest["sha"]})
     own = own.join(keep, (F.col(key) == F.col(keep_key)) & (F.col(sha) == F.col(keep_sha)), "left_semi")
     return own.dropDuplicates([key, sha]).drop(key, sha)
 
