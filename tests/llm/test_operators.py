@@ -630,6 +630,61 @@ def test_dense_bucket_components(spark):
     assert {x: roots.get(x, x) for x in par} == {x: find(x) for x in par}
 
 
+def test_the_queries_give_what_their_contracts_ask(spark, docs, tmp_path):
+    """The registered functions on a table with nulls, repeats and foreign columns, in the text form of their results."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: registry.queries()[name](spark, str(tmp_path))
+    table = rows()
+    removed = Counter((r.doc_id, r.removed, r.removed_chars) for r in run("op2_substring_dedup").collect())
+    assert removed == Counter((d, ",".join(f"{a}:{b}" for a, b in spans), sum(b - a for a, b in spans)) for d, spans in plain_removed([x[:2] for x in table]))
+    licensed = {r.doc_id: r for r in run("op5_license_scan").collect()}
+    assert set(licensed[14].asDict()) >= {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
+    assert licensed[14].base_labels == "cc-by,gpl,reserved" and licensed[14].score == 1.0 and licensed[3].labels == "" and licensed[3].first_word is None
+    packed = run("op7_packing").collect()
+    assert {r.doc_tokens for r in packed if r.doc_id in (0, 1)} == {1} and {r.ids_crc32 for r in packed if r.doc_id in (0, 1)} == {zlib.crc32(b"\0" * 4)}
+    assert sum(r.length for r in packed) == sum(r.doc_tokens for r in packed if r.start == 0) and all(0 <= r.ids_crc32 < 2**32 for r in packed)
+    ends = Counter()
+    for r in packed:
+        ends[r.sequence_id] = max(ends[r.sequence_id], r.offset + r.length)
+    assert max(ends.values()) <= 1024 and sum(ends.values()) == sum(r.length for r in packed)
+    personal = {r.doc_id: r for r in run("op9_personal_data").collect()}
+    assert (personal[13].n_email, personal[13].n_ip, personal[13].n_card, personal[13].n_phone) == (3, 1, 0, 1) and personal[0].spans == "" and personal[0].base_sha256 == hashlib.sha256(b"").hexdigest()
+    near = {r.doc_id: r for r in run("op10_simhash_near_dedup").collect()}
+    assert near[0].fingerprint == "0" * 16 and near[0].component_id == near[1].component_id == 0 and near[9].component_id == 5
+
+
+def test_personal_data_the_method_adds(spark):
+    """Spelled-out addresses, social security and account numbers beside telling words are added; order numbers and versions are not."""
+    r = random.Random(7)
+    texts = []
+    for i in range(60):
+        texts.append(f"{prose(i, 12)} e-mail: {r.choice('abcdef')}{i}.lee [at] mail{i}.example [dot] com {prose(i + 99, 6)}")
+        texts.append(f"{prose(i + 200, 12)} SSN: {r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)} {prose(i, 4)}")
+        texts.append(f"{prose(i + 300, 12)} phone: {r.randint(201, 989)}-555-{r.randint(1000, 9999)} {prose(i, 4)}")
+        texts.append(f"{prose(i + 400, 12)} order no. {r.randint(1000, 9999)} {r.randint(1000, 9999)} {r.randint(1000, 9999)} {r.randint(1000, 9999)} {prose(i, 4)}")
+        texts.append(f"{prose(i + 500, 12)} mail to {r.choice('abcdef')}{i}@site{i}.org or +1 212 555 {r.randint(1000, 9999)} {prose(i, 4)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in pii.find_personal_data(df).collect()}
+    share = lambda k: np.mean([got[i].n_added > 0 for i in range(k, 300, 5)])
+    assert share(0) > 0.9 and share(1) > 0.9 and share(2) > 0.9 and share(3) < 0.2 and share(4) == 0
+    for x in got.values():
+        for span in x.spans.split(",")[x.n_email + x.n_ip + x.n_card + x.n_phone :] if x.n_added else []:
+            kind, a, b = span.split(":")
+            assert re.fullmatch(pii.LOOSE[kind].replace("++", "+").replace("}+", "}"), texts[x.doc_id][int(a) : int(b)])
+
+
+def test_hot_nodes_and_hot_rows(spark):
+    """A star of many leaves is one component; rows alike in id and text spread over the groups of a packing."""
+    from loamgrid.llm.graph import connected_components
+
+    leaves = spark.range(1, 9001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v")).unionByName(spark.range(20000, 20050).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")))
+    got = connected_components(leaves).groupBy("root").count().collect()
+    assert {r["root"]: r["count"] for r in got} == {0: 9001, 20000: 51}
+    alike = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same few words").alias("text"))
+    seqs = packing.pack(alike, group_docs=100).groupBy(F.shiftright("sequence_id", 33).alias("part")).agg(F.countDistinct("sequence_id").alias("n"), F.sum("length").alias("tokens")).collect()
+    assert len(seqs) == 30 and max(r["tokens"] for r in seqs) < 3 * 3000 * 5 / 30
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
