@@ -117,7 +117,7 @@ def mean_decay(targets: DataFrame, sources: DataFrame, reach: float, decay: Call
         r, c = own["row"].to_numpy() - top, own["col"].to_numpy() - left
         n = np.rint(count[r, c])
         ok = n > 0
-        return own[KEY].assign(influence=np.divide(total[r, c], n, where=ok, out=np.zeros(len(own))))[ok]
+        return own[KEY].assign(influence=np.divide(np.maximum(total[r, c], 0.0), n, where=ok, out=np.zeros(len(own))))[ok]
 
     kinds = ", ".join(f"{c} {targets.schema[c].dataType.simpleString()}" for c in KEY)
     return around(targets.select(*KEY), sources.withColumn("there", F.lit(1.0)), reach, ["there"], compute, f"{kinds}, influence double")
