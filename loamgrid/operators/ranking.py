@@ -39,8 +39,14 @@ def counted_before(counts: DataFrame, by: list[str], value: str, amount: str, ou
 
 def quantiles(rows: DataFrame, value: str, probabilities: list[float]) -> list[float] | None:
     """Exact quantiles with linear interpolation, read off the counts of the distinct values; None without values."""
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    n = counts.agg(F.sum("_n")).first()[0]
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")).persist()  # read three times
+    try:
+        return _at_places(counts, counts.agg(F.sum("_n")).first()[0], probabilities)
+    finally:
+        counts.unpersist()
+
+
+def _at_places(counts: DataFrame, n: int | None, probabilities: list[float]) -> list[float] | None:
     if not n:
         return None
     places = [p * (n - 1) for p in probabilities]

@@ -194,7 +194,9 @@ def build_samples(target: DataFrame, factors: dict[str, DataFrame], step: int, g
     layers = {"target": target} | factors
     clean = {k: v.filter(finite(F.col("value")) & systematic(step)) for k, v in layers.items()}
     s = stack_layers(clean)
-    edges = {f: quantile_edges(s, f, bins) for f in factors}
+    held = s.persist()  # two jobs a factor
+    edges = {f: quantile_edges(held, f, bins) for f in factors}
+    held.unpersist()
     out = s.select(
         F.format_string("r%d_c%d", F.col("row").cast("long"), F.col("col").cast("long")).alias("sample_id"), centre_x(F.col("col"), F.col("row"), grid).alias("x"), centre_y(F.col("col"), F.col("row"), grid).alias("y"),
         "target", *[bin_label(F.col(f), edges[f]).alias(f) for f in factors],
