@@ -424,6 +424,19 @@ def _(spark, sf):
     return out.select(F.col("props.name").alias("name"), "geom_type", Q.finite_coordinates(F.col("coordinates")).alias("finite"), "crs")
 
 
+@query("a5_roi_file", "SELECT CASE WHEN s_suppkey % 10 = 0 THEN 'unnamed' ELSE 'class ' || s_nationkey END AS class, sum(1 + s_suppkey % 3)::BIGINT AS polygons FROM supplier GROUP BY ALL")
+def _(spark, sf):
+    path, k = scratch(spark, "roi"), F.col("s_suppkey")
+    name = F.when(k % 10 == 0, F.lit(" ")).otherwise(F.concat(F.lit("class "), F.col("s_nationkey").cast("string")))
+    polygons = F.array_join(F.array_repeat(F.lit("<Polygon><Coordinates>0 0 1 0 1 1</Coordinates></Polygon>"), (1 + k % 3).cast("int")), "")
+    region = F.concat(F.lit('<Region name="'), name, F.lit('"><GeometryDef>'), polygons, F.lit("</GeometryDef></Region>"))
+    one = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("file")).agg(F.array_join(F.collect_list(region), "").alias("regions"))  # one document is one row, by its format
+    one.select("file", F.concat(F.lit("<RegionsOfInterest>"), "regions", F.lit("</RegionsOfInterest>")).alias("value")).repartition("file").write.partitionBy("file").text(path)
+    roi = IO.read_roi_xml(spark, path)
+    named = F.when(F.col("class").startswith("unnamed_region_"), "unnamed").otherwise(F.col("class"))
+    return roi.groupBy(named.alias("class")).agg(F.count(F.lit(1)).alias("polygons"))
+
+
 @query("a7_evidence_files", "SELECT n_name AS project, n_nationkey % 5 <> 0 AND n_nationkey % 7 <> 0 AS completed FROM nation")
 def _(spark, sf):
     """Reports as files of a tree, assembled by pattern and put to the gate."""
