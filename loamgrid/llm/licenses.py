@@ -18,7 +18,6 @@ import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loamgrid.llm.common import map_texts, read_documents
 

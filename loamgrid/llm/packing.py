@@ -13,7 +13,6 @@ of special tokens in a text are ordinary text.
 
 from __future__ import annotations
 
-import base64
 import json
 import zlib
 from functools import lru_cache
