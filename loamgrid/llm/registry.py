@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamgrid.llm import exact_dedup, language, licenses, mixing, packing, pii, quality, secrets, simhash, substring_dedup
+from loamgrid.llm import conversations, embeddings, exact_dedup, language, licenses, mixing, packing, periodic, pii, quality, secrets, simhash, substring_dedup
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_quality_rules": quality.op8_quality_rules,
         "op9_personal_data": pii.op9_personal_data,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+        "op11_conversation_repair": conversations.op11_conversation_repair,
+        "op12_periodic_runs": periodic.op12_periodic_runs,
+        "op13_embedding_near_dedup": embeddings.op13_embedding_near_dedup,
     }
 
 
@@ -25,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_mix_sources": mixing.OP1_SQL,
         "op4_exact_dedup": exact_dedup.OP4_SQL,
         "op8_quality_rules": quality.OP8_SQL,
+        "op11_conversation_repair": conversations.OP11_SQL,
     }
