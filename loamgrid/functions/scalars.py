@@ -46,10 +46,22 @@ def centre_y(col: Column, row: Column, grid: dict[str, float]) -> Column:
     return F.lit(grid.get("d", 0.0)) * (col + 0.5) + F.lit(grid["e"]) * (row + 0.5) + F.lit(grid["f"])
 
 
+def to_grid(x: Column, y: Column, grid: dict[str, float]) -> tuple[Column, Column]:
+    """Column and row of a point in cells from the grid's origin, by the inverse of all six terms of its transform."""
+    b, d = grid.get("b", 0.0), grid.get("d", 0.0)
+    if not b and not d:
+        return (x - grid["c"]) / grid["a"], (y - grid["f"]) / grid["e"]
+    det = grid["a"] * grid["e"] - b * d
+    if not det:
+        raise ValueError("the grid's transform has no inverse")
+    right, up = x - grid["c"], y - grid["f"]
+    return (right * grid["e"] - up * b) / det, (up * grid["a"] - right * d) / det
+
+
 def with_cell_index(points: DataFrame, grid: dict[str, float], x: str = "x", y: str = "y") -> DataFrame:
-    """Add ``row``, ``col`` and ``inside``; left <= x < right and bottom < y <= top."""
-    out = points.withColumn("col", F.floor((F.col(x) - grid["c"]) / grid["a"]).cast("long"))
-    out = out.withColumn("row", F.floor((F.col(y) - grid["f"]) / grid["e"]).cast("long"))
+    """Add ``row``, ``col`` and ``inside``; left <= x < right and bottom < y <= top, along the grid's own axes."""
+    col, row = to_grid(F.col(x), F.col(y), grid)
+    out = points.withColumn("col", F.floor(col).cast("long")).withColumn("row", F.floor(row).cast("long"))
     inside = F.col("col").between(0, int(grid["width"]) - 1) & F.col("row").between(0, int(grid["height"]) - 1)
     return out.withColumn("inside", F.coalesce(inside, F.lit(False)))
 

@@ -1,4 +1,4 @@
-"""Neighbourhoods of cells by dense tiles: a tile's cells meet all cells within reach of it as arrays, instead of pairs of cells.
+"""Neighbourhoods of cells by tiles: a tile's cells meet all cells within reach of it in one task, instead of pairs of cells.
 
 Tiles are at least as wide as the reach, so a cell is sent to nine tiles at most, whatever the reach, and a task holds one tile with its margin.
 """
@@ -6,7 +6,7 @@ Tiles are at least as wide as the reach, so a cell is sent to nine tiles at most
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 KEY = ["row", "col"]
 #: Least width of a tile.
 TILE = 128
+#: Cells of the arrays that a task holds at once.
+CELLS = 500_000
 
 
 def around(targets: DataFrame, sources: DataFrame, reach: float, columns: list[str], compute: Callable, schema: str) -> DataFrame:
-    """Apply ``compute(targets, margin)`` to each tile that has targets.
+    """Apply ``compute(targets, sources)`` to each tile that has both.
 
-    ``margin``: a list of arrays, one of each of ``columns`` (NaN where there is no source), and the row and column of their first element. Sources lie in it up to ``reach``
-    cells around the tile. ``compute`` gets the targets as a pandas frame and returns rows of ``schema``.
+    Targets are the tile's own; sources (``_row``, ``_col`` and ``_at_`` each of ``columns``) lie in the tile or within ``reach`` cells of it. Both come as pandas frames; rows of ``schema`` go back.
     """
     pad = max(1, math.ceil(reach))
     size = max(TILE, pad)
@@ -34,70 +35,174 @@ def around(targets: DataFrame, sources: DataFrame, reach: float, columns: list[s
 
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def run(key: tuple, own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+    def run(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(sent):
             return pd.DataFrame({c: [] for c in names})
-        top, left = int(key[0]) * size - pad, int(key[1]) * size - pad
-        arrays = []
-        for c in columns:
-            a = np.full((size + 2 * pad, size + 2 * pad), np.nan)
-            a[sent["_row"].to_numpy() - top, sent["_col"].to_numpy() - left] = sent[f"_at_{c}"].to_numpy()
-            arrays.append(a)
-        return compute(own, arrays, top, left)
+        return compute(own, sent)
 
     return own.groupBy("_ti", "_tj").cogroup(sent.groupBy("_i", "_j")).applyInPandas(run, schema)
 
 
-def rings(reach: float) -> Iterator[tuple[int, int, int]]:
-    """``d2, row offset, column offset`` of all cells within reach: nearest first, ties in row-major order."""
-    pad = math.floor(reach)
-    at = [(i * i + j * j, i, j) for i in range(-pad, pad + 1) for j in range(-pad, pad + 1) if i * i + j * j <= reach * reach]
-    yield from sorted(at)
+def row_minima(base: np.ndarray, tie: np.ndarray, at: np.ndarray, big: int, first: int, count: int) -> np.ndarray:
+    """For each row and each of ``count`` columns from ``first`` on, the least of ``(squared distance to at[j] + base[row, j]) * big + tie[row, j]``.
+
+    ``tie`` differs within a row and is below ``big``. Where the least lies moves to the right with the column, so a column halfway between two others only looks between
+    their places: each halving reads a row once, and the work is width times its logarithm however far the sources are.
+    """
+    rows, width = base.shape
+    out, place = np.empty((rows, count), np.int64), np.empty((rows, count), np.int64)
+    step = 1 << max(0, count - 1).bit_length()
+    row = np.arange(rows)
+    while step:
+        c = np.arange(step - 1, count, 2 * step)
+        if len(c):
+            low = np.where(c >= step, place[:, c - step], 0)
+            high = np.where(c + step < count, place[:, np.minimum(c + step, count - 1)], width - 1)
+            size = (high - low + 1).ravel()
+            start = np.cumsum(size) - size
+            j = np.arange(int(size.sum())) - np.repeat(start - low.ravel(), size)
+            r = np.repeat(np.repeat(row, len(c)), size)
+            off = np.repeat(np.tile(c + first, rows), size) - at[j]
+            key = (off * off + base[r, j]) * big + tie[r, j]
+            best = np.minimum.reduceat(key, start)
+            out[:, c] = best.reshape(rows, -1)
+            hit = np.flatnonzero(key == np.repeat(best, size))  # one per segment, as ties differ
+            place[:, c] = j[hit].reshape(rows, -1)
+        step //= 2
+    return out
+
+
+def nearest_in(rows: np.ndarray, cols: np.ndarray, source_rows: np.ndarray, source_cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance and number of the nearest source of each target cell; ties go to the first source in row-major order. There is a source.
+
+    A feature transform: first the nearest source in each column, above before below, then ``row_minima`` along the targets' rows.
+    """
+    top, left = min(rows.min(), source_rows.min()), min(cols.min(), source_cols.min())
+    height, width = max(rows.max(), source_rows.max()) - top + 1, max(cols.max(), source_cols.max()) - left + 1
+    sr, sc = source_rows - top, source_cols - left
+    order = np.argsort(sc * height + sr)
+    keys = (sc * height + sr)[order]
+    at, big = np.unique(sc), int(height * width)
+    far = 2**62 // big - int(width) ** 2
+    there, which = np.unique(rows - top, return_inverse=True)
+    first, count = int(cols.min() - left), int(cols.max() - cols.min()) + 1
+    d2, number = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    by_row = np.argsort(which, kind="stable")
+    bounds = np.searchsorted(which[by_row], np.arange(len(there) + 1))
+    chunk = max(1, CELLS // max(len(at), count))
+    for k in range(0, len(there), chunk):
+        r = there[k : k + chunk, None]
+        pos = np.searchsorted(keys, at * height + r, side="right")
+        above, below = keys[np.maximum(pos - 1, 0)], keys[np.minimum(pos, len(keys) - 1)]
+        up = np.where((pos > 0) & (above // height == at), r - above % height, height)
+        down = np.where((pos < len(keys)) & (below // height == at), below % height - r, height)
+        gap = np.minimum(up, down)
+        base = np.where(gap < height, gap * gap, far)
+        tie = np.where(up <= down, r - up, r + down).clip(0, height - 1) * width + at
+        least = row_minima(base, tie, at, big, first, count)
+        own = by_row[bounds[k] : bounds[min(k + chunk, len(there))]]
+        best = least[which[own] - k, cols[own] - left - first]
+        d2[own] = best // big
+        place = best % big
+        number[own] = order[np.searchsorted(keys, place % width * height + place // width)]
+    return d2, number
 
 
 def nearest(targets: DataFrame, sources: DataFrame, reach: float, value: str = "value") -> DataFrame:
-    """``row, col, value`` of the nearest source of each target within ``reach`` cells; targets without one are left out."""
+    """``row, col, value`` of the nearest source of each target within ``reach`` cells; targets without one are left out. The work does not depend on the reach but by the margin of a tile."""
 
-    def compute(own: pd.DataFrame, arrays: list, top: int, left: int) -> pd.DataFrame:
-        r, c = own["row"].to_numpy() - top, own["col"].to_numpy() - left
-        out, open_ = np.full(len(own), np.nan), np.arange(len(own))
-        for _, i, j in rings(reach):
-            if not len(open_):
-                break
-            found = arrays[0][r[open_] + i, c[open_] + j]
-            have = ~np.isnan(found)
-            out[open_[have]] = found[have]
-            open_ = open_[~have]
-        return own[KEY].assign(value=out)[~np.isnan(out)]
+    def compute(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        d2, number = nearest_in(own["row"].to_numpy(), own["col"].to_numpy(), sent["_row"].to_numpy(), sent["_col"].to_numpy())
+        ok = d2 <= reach * reach
+        return own[KEY].assign(value=sent[f"_at_{value}"].to_numpy()[number])[ok]
 
     kinds = ", ".join(f"{c} {targets.schema[c].dataType.simpleString()}" for c in KEY)
     return around(targets.select(*KEY), sources, reach, [value], compute, f"{kinds}, value double")
 
 
+class Crowd:
+    """The sources of a tile, with their number in any square from a summed-area table, and by row."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray):
+        self.top, self.left = rows.min(), cols.min()
+        self.height, self.width = int(rows.max() - self.top) + 1, int(cols.max() - self.left) + 1
+        there = np.zeros((self.height, self.width + 1), np.int64)
+        there[rows - self.top, cols - self.left + 1] = 1
+        self.before = there.cumsum(axis=1)
+        self.area = np.concatenate((np.zeros((1, self.width + 1), np.int64), self.before.cumsum(axis=0)))
+        self.order = np.lexsort((cols, rows))
+        self.starts = self.area[:-1, -1]  # sources in the rows above each row
+
+    def _clip(self, r: np.ndarray, c: np.ndarray, half: np.ndarray) -> list[np.ndarray]:
+        return [np.clip(r - half - self.top, 0, self.height), np.clip(r + half + 1 - self.top, 0, self.height), np.clip(c - half - self.left, 0, self.width), np.clip(c + half + 1 - self.left, 0, self.width)]
+
+    def inside(self, r: np.ndarray, c: np.ndarray, half: np.ndarray) -> np.ndarray:
+        """Sources in the square of so many cells to each side."""
+        a, b, i, j = self._clip(r, c, half)
+        return self.area[b, j] - self.area[a, j] - self.area[b, i] + self.area[a, i]
+
+    def listed(self, r: np.ndarray, c: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the target and of the source, for all sources in the targets' squares."""
+        a, b, i, j = self._clip(r, c, half)
+        height = b - a
+        who = np.repeat(np.arange(len(r)), height)
+        line = np.arange(int(height.sum())) - np.repeat(np.cumsum(height) - height - a, height)
+        first, last = self.before[line, i[who]], self.before[line, j[who]]
+        some = np.flatnonzero(last > first)
+        size = (last - first)[some]
+        start = (self.starts[line] + first)[some]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - start, size)
+        return np.repeat(who[some], size), self.order[place]
+
+
 def weighted(targets: DataFrame, sources: DataFrame, reach: float, neighbours: int, power: float) -> DataFrame:
-    """``row, col, value``: inverse-distance mean of the nearest sources within reach, at most ``neighbours``; a source on the cell decides alone."""
+    """``row, col, value``: inverse-distance mean of the nearest sources within reach, at most ``neighbours``; a source on the cell decides alone.
 
-    def compute(own: pd.DataFrame, arrays: list, top: int, left: int) -> pd.DataFrame:
-        r, c = own["row"].to_numpy() - top, own["col"].to_numpy() - left
-        total, weights, seen = np.zeros(len(own)), np.zeros(len(own)), np.zeros(len(own), int)
-        open_ = np.arange(len(own))
-        for d2, i, j in rings(reach):
-            if not len(open_):
-                break
-            found = arrays[0][r[open_] + i, c[open_] + j]
-            have = ~np.isnan(found)
-            w = d2 ** (-power / 2) if d2 else 1.0
-            total[open_[have]] += found[have] * w
-            weights[open_[have]] += w
-            seen[open_[have]] += 1
-            open_ = open_[(seen[open_] < neighbours) & ~(have & (d2 == 0))]
-        ok = seen > 0
+    The least square around a target that holds enough sources is found by halving over counts, whatever lies empty inside; the nearest sources are in the square around its circle.
+    """
+    pad = math.floor(reach)
+
+    def compute(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        sr, sc, value = sent["_row"].to_numpy(), sent["_col"].to_numpy(), sent["_at_value"].to_numpy()
+        crowd = Crowd(sr, sc)
+        r, c = own["row"].to_numpy(), own["col"].to_numpy()
+        enough = np.minimum(neighbours, crowd.inside(r, c, np.full(len(r), pad)))
+        low, high = np.zeros(len(r), np.int64), np.full(len(r), pad)
+        while (low < high).any():
+            mid = (low + high) // 2
+            full = crowd.inside(r, c, mid) >= enough
+            low, high = np.where(full, low, mid + 1), np.where(full, mid, high)
+        half = np.where(enough < neighbours, pad, np.minimum(np.ceil(low * math.sqrt(2)).astype(np.int64), pad))
+        some = np.flatnonzero(enough)
+        total, weights = np.zeros(len(r)), np.zeros(len(r))
+        load = np.cumsum(crowd.inside(r[some], c[some], half[some]) + 2 * half[some] + 1)
+        for part in np.split(some, np.flatnonzero(np.diff(load // CELLS)) + 1):
+            who, source = crowd.listed(r[part], c[part], half[part])
+            d2 = (sr[source] - r[part][who]) ** 2 + (sc[source] - c[part][who]) ** 2
+            order = np.lexsort((sc[source], sr[source], d2, who))
+            who, source, d2 = who[order], source[order], d2[order]
+            rank = np.arange(len(who)) - np.searchsorted(who, who)
+            alone = np.zeros(len(part), bool)
+            alone[who[d2 == 0]] = True
+            keep = (rank < neighbours) & (d2 <= reach * reach) & (~alone[who] | (d2 == 0))
+            who, source, d2 = who[keep], source[keep], d2[keep]
+            w = np.where(d2 > 0, np.maximum(d2, 1) ** (-power / 2), 1.0)
+            total[part] += np.bincount(who, value[source] * w, len(part))
+            weights[part] += np.bincount(who, w, len(part))
+        ok = weights > 0
         return own[KEY].assign(value=np.divide(total, weights, where=ok, out=np.full(len(own), np.nan)))[ok]
 
     kinds = ", ".join(f"{c} {targets.schema[c].dataType.simpleString()}" for c in KEY)
     return around(targets.select(*KEY), sources, reach, ["value"], compute, f"{kinds}, value double")
 
 
+def dense(sent: pd.DataFrame, column: str, top: int, left: int, size: int) -> np.ndarray:
+    """The sources as a square array, NaN where there is none."""
+    a = np.full((size, size), np.nan)
+    a[sent["_row"].to_numpy() - top, sent["_col"].to_numpy() - left] = sent[f"_at_{column}"].to_numpy()
+    return a
+
+
 def mean_decay(targets: DataFrame, sources: DataFrame, reach: float, decay: Callable) -> DataFrame:
     """``row, col, influence``: the mean of ``decay(distance / reach)`` over the sources within reach; targets without one are left out.
 
@@ -109,8 +214,10 @@ def mean_decay(targets: DataFrame, sources: DataFrame, reach: float, decay: Call
     inside = distance <= 1
     kernels = [np.where(inside, decay(distance), 0.0), inside.astype(float)]
 
-    def compute(own: pd.DataFrame, arrays: list, top: int, left: int) -> pd.DataFrame:
-        there = (~np.isnan(arrays[0])).astype(float)
+    def compute(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        size = max(TILE, pad)
+        top, left = (int(own[c].iloc[0]) // size * size - pad for c in KEY)
+        there = (~np.isnan(dense(sent, "there", top, left, size + 2 * pad))).astype(float)
         shape = [n + 2 * pad for n in there.shape]
         spectrum = np.fft.rfft2(there, shape)
         total, count = (np.fft.irfft2(spectrum * np.fft.rfft2(k, shape), shape)[pad:-pad, pad:-pad] for k in kernels)

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Slices of a global ranking.
+#: Slices of a ranking of distinct values.
 RANK_SLICES = 200
+#: Rows of a slice of an order, sampled rows per slice, and the most slices: beyond SLICE_ROWS * MOST_SLICES rows the slices grow.
+SLICE_ROWS, SAMPLE_ROWS, MOST_SLICES = 50_000, 20, 2_000
 
 
 def cuts(rows: DataFrame, value: str, slices: int = RANK_SLICES) -> list[float]:
@@ -72,19 +74,48 @@ def medians(counts: DataFrame, by: list[str], out: str) -> DataFrame:
     return j.groupBy(*by).agg(((F.max(holds(low)) + F.max(holds(high))) / 2).alias(out))
 
 
+def order_cuts(rows: DataFrame, keys: list[str], n: int) -> list[tuple]:
+    """Keys of sampled rows that cut the order by all ``keys`` into slices of about ``SLICE_ROWS`` of the ``n`` rows: of one value too, where later keys tell its rows apart."""
+    slices = min(MOST_SLICES, -(-n // SLICE_ROWS))
+    if slices < 2:
+        return []
+    share = min(1.0, SAMPLE_ROWS * slices / n)
+    order = Window.orderBy(*keys)  # of the sample: about SAMPLE_ROWS * MOST_SLICES rows at most
+    sample = rows.select(*keys).sample(share, seed=5)
+    placed = sample.withColumn("_p", F.ntile(slices).over(order)).groupBy("_p").agg(F.min(F.struct(*keys)).alias("_cut"))
+    return sorted({(r["_p"], tuple(r["_cut"])) for r in placed.collect() if r["_p"] > 1})
+
+
+def slice_by(rows: DataFrame, keys: list[str], at: list[tuple]) -> Column:
+    """Number of the slice of each row, among cuts in the order of ``keys``: first over every 32nd cut, then over the 32 after it."""
+    kinds = [rows.schema[k].dataType for k in keys]
+    literal = lambda cut: F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(cut, kinds, strict=True))])
+    cut_list = F.array(*[literal(c) for _, c in at])
+    own = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    coarse = F.size(F.filter(F.array(*[literal(c) for _, c in at[::32]]), lambda c: c <= own))
+    near = F.slice(cut_list, F.greatest(coarse - 1, F.lit(0)) * 32 + 1, 32)
+    return F.greatest(coarse - 1, F.lit(0)) * 32 + F.size(F.filter(near, lambda c: c <= own))
+
+
 def ordinal(rows: DataFrame, by: list[str], value: str, ties: list[str], out: str, descending: bool = False) -> DataFrame:
-    """Add ``out``: the place from 1 of every row within ``by``, by value, then ``ties``. Rows of one value are in one slice."""
+    """Add ``out``: the place from 1 of every row within ``by``, by value, then ``ties``.
+
+    Slices follow the size and cut through equal values too, so ties of a value are dealt over as many tasks as other rows; only rows alike in all of ``ties`` stay together.
+    """
     key = -F.col(value) if descending else F.col(value)
-    sliced = rows.withColumn("_k", key)
-    sliced = sliced.withColumn("_slice", slice_of(F.col("_k"), cuts(sliced, "_k")))
+    keyed = rows.withColumn("_sort", key)
+    at = order_cuts(keyed, ["_sort", *ties], rows.count())
+    if not at:  # one slice
+        return keyed.withColumn(out, F.row_number().over(Window.partitionBy(*by, F.lit(0)).orderBy("_sort", *ties)).cast("long")).drop("_sort")
+    sliced = keyed.withColumn("_slice", slice_by(keyed, ["_sort", *ties], at))
     before = Window.partitionBy(*by, F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sliced.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
     sums = sums.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_slice").alias("_at"), "_base")
     on = sliced["_slice"] == sums["_at"]
     for c in by:
         on = on & sliced[c].eqNullSafe(sums[f"_by_{c}"])
-    within = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_k", *ties))
-    return sliced.join(sums, on).select(*rows.columns, (F.col("_base") + within).alias(out))
+    within = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_sort", *ties))
+    return sliced.join(sums if by else F.broadcast(sums), on).select(*rows.columns, (F.col("_base") + within).alias(out))  # without groups a row per slice
 
 
 def smallest_from(rows: DataFrame, by: list[str], place: str, value: str, out: str) -> DataFrame:

@@ -6,12 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loamgrid.functions.scalars import finite, with_cell_index
-from loamgrid.operators.blocks import weighted
+from loamgrid.functions.scalars import centre_x, centre_y, finite, to_grid, with_cell_index
+from loamgrid.operators.blocks import CELLS, row_minima, weighted
 from loamgrid.operators.cells import KEY, nearest_fill
 
 
@@ -45,52 +45,110 @@ def _weights(method: str):
 def continuous_regrid(cells: DataFrame, targets: DataFrame, ratio: float, method: str = "bilinear", least_weight: float = 1e-9) -> DataFrame:
     """Values at the target cells' centres from nearest, bilinear or cubic neighbours; weights are renormalised over valid ones.
 
-    ``ratio`` is target cell size over source cell size. Targets whose valid weights add up to
+    ``ratio`` is target cell size over source cell size, of grids with one origin. Targets whose valid weights add up to
     ``least_weight`` or less (cubic weights can cancel out beside NoData) are left out.
     """
-    src = cells.filter(finite(F.col("value"))).select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
-    at = lambda c: (F.col(c) + 0.5) * ratio - 0.5
+    at = lambda c: (F.col(c) + 0.5) * ratio
+    return _resampled(cells, targets.select(*KEY, at("row").alias("_y"), at("col").alias("_x")), method, [], least_weight)
+
+
+def _resampled(cells: DataFrame, placed: DataFrame, method: str, by: list[str], least_weight: float) -> DataFrame:
+    """Values for ``row, col`` at the places ``_y, _x`` (in source cells from the source's origin), in every layer ``by``."""
+    src = cells.filter(finite(F.col("value"))).select(*by, F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
     if method == "nearest":
-        t = targets.select(*KEY, F.floor((F.col("row") + 0.5) * ratio).alias("_r"), F.floor((F.col("col") + 0.5) * ratio).alias("_c"))
-        return t.join(src, ["_r", "_c"]).select(*KEY, "value")
+        t = placed.select(*KEY, F.floor("_y").alias("_r"), F.floor("_x").alias("_c"))
+        return t.join(src, ["_r", "_c"]).select(*by, *KEY, "value")
     offsets, weight = _weights(method)
-    t = targets.select(*KEY, at("row").alias("_y"), at("col").alias("_x"))
+    t = placed.select(*KEY, (F.col("_y") - 0.5).alias("_y"), (F.col("_x") - 0.5).alias("_x"))
     t = t.withColumn("_i", F.explode(F.array(*map(F.lit, offsets)))).withColumn("_j", F.explode(F.array(*map(F.lit, offsets))))
     t = t.withColumn("_r", F.floor("_y") + F.col("_i")).withColumn("_c", F.floor("_x") + F.col("_j"))
     t = t.withColumn("_w", weight(F.col("_y") - F.col("_r")) * weight(F.col("_x") - F.col("_c"))).filter("_w <> 0")
-    out = t.join(src, ["_r", "_c"]).groupBy(*KEY).agg(F.sum(F.col("value") * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
-    return out.filter(F.abs("_w") > least_weight).select(*KEY, (F.col("_s") / F.col("_w")).alias("value"))
+    out = t.join(src, ["_r", "_c"]).groupBy(*by, *KEY).agg(F.sum(F.col("value") * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
+    return out.filter(F.abs("_w") > least_weight).select(*by, *KEY, (F.col("_s") / F.col("_w")).alias("value"))
+
+
+def grid_cells(spark: SparkSession, grid: dict[str, float]) -> DataFrame:
+    """``row, col`` of all cells of a grid."""
+    width = int(grid["width"])
+    n = spark.range(width * int(grid["height"]))
+    return n.select(F.expr(f"id div {width}").alias("row"), (F.col("id") % width).alias("col"))
+
 
+def continuous_to_grid(cells: DataFrame, source: dict[str, float], master: dict[str, float], method: str = "bilinear", by: list[str] = [], least_weight: float = 1e-9) -> DataFrame:
+    """As ``continuous_regrid`` onto a master grid of its own origin, cell size and rotation, in every layer ``by``: each of its cells' centres is looked up in the source by the inverse transform."""
+    t = grid_cells(cells.sparkSession, master)
+    x, y = to_grid(centre_x(F.col("col"), F.col("row"), master), centre_y(F.col("col"), F.col("row"), master), source)
+    return _resampled(cells, t.select(*KEY, y.alias("_y"), x.alias("_x")), method, by, least_weight)
 
-def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 64) -> DataFrame:
+
+def between_grids(source: dict[str, float], master: dict[str, float]) -> list[list[float]]:
+    """The affine map from column and row of the source to those of the master, as ``[[cc, cr, c0], [rc, rr, r0]]``."""
+    s, m = ([g["a"], g.get("b", 0.0), g["c"], g.get("d", 0.0), g["e"], g["f"]] for g in (source, master))
+    det = m[0] * m[4] - m[1] * m[3]
+    if not det:
+        raise ValueError("the grid's transform has no inverse")
+    off = (s[2] - m[2], s[5] - m[5])
+    return [[(m[4] * x - m[1] * y) / det for x, y in ((s[0], s[3]), (s[1], s[4]), off)], [(m[0] * y - m[3] * x) / det for x, y in ((s[0], s[3]), (s[1], s[4]), off)]]
+
+
+def majority_to_grid(cells: DataFrame, source: dict[str, float], master: dict[str, float], by: list[str] = [], parts: int = 4) -> DataFrame:
+    """The code that covers most of each cell of a master grid, by the area that source cells share with it; ties go to the smallest code.
+
+    A source cell is sent to the master cells that it overlaps, with the share of its area. Where the grids' axes are parallel the shares are exact; where they are turned against each
+    other, a source cell counts as ``parts`` times ``parts`` points. Counts add up before they are shuffled, per master cell and code.
+    """
+    (cc, cr, c0), (rc, rr, r0) = between_grids(source, master)
+    own = cells.filter("value IS NOT NULL").select(*by, *KEY, "value")
+    if max(abs(cr), abs(rc)) < 1e-12 * max(abs(cc), abs(rr)):
+
+        def overlapped(df: DataFrame, at: str, scale: float, origin: float, out: str) -> DataFrame:
+            low, high = (F.col(at) + (0 if scale > 0 else 1)) * scale + origin, (F.col(at) + (1 if scale > 0 else 0)) * scale + origin
+            df = df.withColumn("_l", low).withColumn("_h", high)
+            df = df.withColumn(out, F.explode(F.sequence(F.floor("_l"), F.greatest(F.floor("_l"), F.ceil("_h") - 1))))
+            share = F.least(F.col("_h"), F.col(out) + 1) - F.greatest(F.col("_l"), F.col(out))
+            return df.withColumn(f"_w{out}", share).filter(F.col(f"_w{out}") > 1e-6)  # edges that meet but for the last bits
+
+        placed = overlapped(overlapped(own, "row", rr, r0, "_tr"), "col", cc, c0, "_tc").withColumn("_w", F.col("_w_tr") * F.col("_w_tc"))
+    else:
+        inner = F.array(*[F.lit((i + 0.5) / parts) for i in range(parts)])
+        placed = own.withColumn("_y", F.explode(inner)).withColumn("_x", F.explode(inner))
+        x, y = F.col("col") + F.col("_x"), F.col("row") + F.col("_y")
+        placed = placed.withColumns({"_tc": F.floor(x * cc + y * cr + c0), "_tr": F.floor(x * rc + y * rr + r0), "_w": F.lit(1.0)})
+    inside = F.col("_tr").between(0, int(master["height"]) - 1) & F.col("_tc").between(0, int(master["width"]) - 1)
+    shares = placed.filter(inside).groupBy(*by, F.col("_tr").alias("row"), F.col("_tc").alias("col"), "value").agg(F.round(F.sum("_w"), 6).alias("n"))
+    return shares.groupBy(*by, *KEY).agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("value"))
+
+
+def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 16) -> DataFrame:
     """Exact Euclidean distance of every cell to the nearest cell with ``is_source``; null if there is none.
 
-    First the nearest source in the same column (two window passes), then along the rows the least of squared gap plus squared column distance: arrays of
-    ``rows_at_once`` rows take one column distance after another, until none can lower any cell of theirs.
+    First the nearest source in the same column (two window passes), then the least of squared gap plus squared column distance along each row (``row_minima``: width times its logarithm).
+    A task holds ``rows_at_once`` rows.
     """
     up = Window.partitionBy("col").orderBy("row")
     down = Window.partitionBy("col").orderBy(F.col("row").desc())
     at = F.when(F.col("is_source"), F.col("row"))
     gap = cells.withColumn("_a", F.last(at, ignorenulls=True).over(up)).withColumn("_b", F.last(at, ignorenulls=True).over(down))
-    gap = gap.select(*KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("double").alias("gap"), F.floor(F.col("row") / rows_at_once).alias("_rows"))
+    gap = gap.select(*KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("long").alias("gap"), F.floor(F.col("row") / rows_at_once).alias("_rows"))
 
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
         r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
         r, c = r - r.min(), c - c.min()
-        width = int(c.max()) + 1
-        gaps = np.full((int(r.max()) + 1, width), np.inf)
-        gaps[r, c] = np.where(pdf["gap"].isna(), np.inf, pdf["gap"].to_numpy()) ** 2
-        best = gaps.copy()
-        for k in range(1, width):
-            if k * k >= best.max():
-                break
-            np.minimum(best[:, k:], gaps[:, :-k] + k * k, out=best[:, k:])
-            np.minimum(best[:, :-k], gaps[:, k:] + k * k, out=best[:, :-k])
-        return pdf[KEY].assign(distance=np.sqrt(best[r, c]) * pixel)
+        width, distance = int(c.max()) + 1, np.full(len(pdf), np.nan)
+        known = np.flatnonzero(pdf["gap"].notna().to_numpy())
+        if len(known):
+            at, far = np.unique(c[known]), 2**62 // width - width**2
+            base = np.full((int(r.max()) + 1, len(at)), far, np.int64)
+            base[r[known], np.searchsorted(at, c[known])] = pdf["gap"].to_numpy()[known].astype(np.int64) ** 2
+            chunk = max(1, CELLS // width)
+            least = np.concatenate([row_minima(base[k : k + chunk], np.broadcast_to(at, base[k : k + chunk].shape), at, width, 0, width) for k in range(0, len(base), chunk)])
+            d2 = least[r, c] // width
+            distance = np.where(d2 < far, np.sqrt(d2) * pixel, np.nan)
+        return pdf[KEY].assign(distance=distance)
 
     kinds = ", ".join(f"{c} {gap.schema[c].dataType.simpleString()}" for c in KEY)
     out = gap.groupBy("_rows").applyInPandas(sweep, f"{kinds}, distance double")
-    return out.withColumn("distance", F.when(F.col("distance") < float("inf"), F.col("distance")))
+    return out.withColumn("distance", F.nanvl("distance", F.lit(None).cast("double")))
 
 
 def slope_aspect(dem: DataFrame, cell: float) -> DataFrame:

@@ -120,26 +120,30 @@ def weight_sensitivity(scored: DataFrame, criteria: list[dict], delta: float) ->
     ``scored`` comes from ``score_units``, with ``unit_id``. Two variants per criterion are laid over all units.
     """
     weights = [c["weight"] for c in criteria]
-    total = sum(weights)
-    variants = [("base", 0, [w / total for w in weights])]
+    variants = []
     for i, c in enumerate(criteria):
         for sign in (-1, 1):
             w = [x * (1 + sign * delta) if k == i else x for k, x in enumerate(weights)]
             variants.append((c["field"], sign, [x / sum(w) for x in w]))
+    base = scored.withColumn("base_score", _weighted(criteria, F.array(*[F.lit(w / sum(weights)) for w in weights])))
+    base = ordinal(base, [], "base_score", ["unit_id"], "base_rank", descending=True)
     table = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(s).alias("sign"), F.array(*map(F.lit, w)).alias("w")) for f, s, w in variants]))
-    new = F.lit(0.0)
-    for i, c in enumerate(criteria):
-        new = new + F.col(f"norm_{c['field']}") * F.col("v.w")[i]
-    rows = scored.withColumn("v", table).withColumn("new", new).select("unit_id", F.col("v.field").alias("field"), F.col("v.sign").alias("sign"), F.col("new").alias("score"))
-    ranked = ordinal_ranks(rows, ["field", "sign"])
-    base = ranked.filter("sign = 0").select("unit_id", F.col("score").alias("base_score"), F.col("rank").alias("base_rank"))
-    j = ranked.filter("sign <> 0").join(base, "unit_id")
+    rows = base.withColumn("v", table).select("unit_id", "base_score", "base_rank", F.col("v.field").alias("field"), F.col("v.sign").alias("sign"), _weighted(criteria, F.col("v.w")).alias("score"))
+    j = ordinal_ranks(rows, ["field", "sign"])
     change, shift = F.abs(F.col("score") - F.col("base_score")), F.abs(F.col("rank") - F.col("base_rank"))
     return j.groupBy("field", "sign").agg(
         F.avg(change).alias("mean_change"), F.max(change).alias("max_change"), F.sum(F.when(shift > 0, 1).otherwise(0)).alias("rank_changes"), F.max(shift).alias("max_shift")
     )
 
 
+def _weighted(criteria: list[dict], weights: Column) -> Column:
+    """The sum of the normalised criteria by an array of weights."""
+    out = F.lit(0.0)
+    for i, c in enumerate(criteria):
+        out = out + F.col(f"norm_{c['field']}") * weights[i]
+    return out
+
+
 def pair_with_reference(scores: DataFrame, reference: str) -> DataFrame:
     """Scores joined to the reference scenario's by unit; blank or repeated ids in a scenario are an error."""
     blank = F.col("unit_id").isNull() | (F.trim("unit_id") == "")

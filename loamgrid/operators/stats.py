@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import centre_x, centre_y, finite, systematic
 from loamgrid.operators.cells import stack_layers
 from loamgrid.operators.ranking import cuts, ordinal, quantiles, slice_of, smallest_from
-
-#: Rows of one slice of a hash order.
-SLICE_ROWS = 100_000
+from loamgrid.operators.resampling import SLICES, Joint, joints, permuted_correlations, resampled_rhos, stratum_sums
 
 
 def average_ranks(rows: DataFrame, value: str, out: str = "rank") -> DataFrame:
@@ -49,73 +48,53 @@ def spearman(units: DataFrame, fields: list[str]) -> DataFrame:
     return out.withColumn("relation", relation)
 
 
-def _replicas(rows: DataFrame, first: int, last: int) -> DataFrame:
-    return rows.withColumn("replica", F.explode(F.sequence(F.lit(first), F.lit(last))))
+def _with_p(spark: SparkSession, joint: list[Joint], observed: DataFrame, permutations: int, seed: int) -> DataFrame:
+    """``observed`` (one row per ``part``, with ``n`` and ``observed``) and its two-sided ``p_value``; null under three units or without variance."""
+    r = permuted_correlations(spark, joint, permutations, seed).select("part", F.abs("r").alias("r"))
+    hits = r.join(F.broadcast(observed), "part").groupBy(*observed.columns).agg(F.count(F.when(F.col("r") >= F.col("observed") - 1e-12, 1)).alias("_extreme"))
+    p = F.when((F.col("n") >= 3) & ~F.isnan("observed"), (F.col("_extreme") + 1) / (permutations + 1))
+    return hits.withColumn("p_value", p).drop("_extreme")
 
 
-def _numbered(rows: DataFrame, by: list[str], unit: str, seed: int, n_rows: int) -> DataFrame:
-    """Add ``_i``, numbers from 1 within ``by`` in the order of a hash of ``by``, unit and seed.
+def permutation_test(ranked: DataFrame, unit: str, a: str, b: str, permutations: int = 999, seed: int = 42) -> DataFrame:
+    """``n, observed, p_value``: two-sided p of the correlation of two rank columns, (extreme + 1) / (permutations + 1).
 
-    The leading bits of the hash make slices of about SLICE_ROWS rows; windows see one slice or one row per slice.
+    The replicas deal the slices of one column anew (``resampling``); up to ``SLICES`` different ranks they are exact permutations of the units, which ``unit`` names.
     """
-    bits = (n_rows // SLICE_ROWS).bit_length()
-    rows = rows.withColumn("_h", F.xxhash64(F.col(unit), *by, F.lit(seed)))
-    rows = rows.withColumn("_slice", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_h", unit))
-    return rows.join(sums.drop("_s"), [*by, "_slice"]).withColumn("_i", F.col("_base") + place).drop("_h", "_slice", "_base")
+    both = ranked.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    observed = both.agg(F.abs(F.corr(a, b)).alias("observed"), F.count(unit).alias("n")).withColumn("part", F.lit(0))
+    return _with_p(ranked.sparkSession, joints(both, [(a, b)]), observed, permutations, seed).select("n", "observed", "p_value")
 
 
-def permuted(rows: DataFrame, unit: str, fixed: list[str], moved: str, first: int, last: int, seed: int) -> DataFrame:
-    """For each replica the rows with ``moved`` dealt anew: the row that is n-th in a fixed order gets the value that is n-th in the replica's order."""
-    n = rows.count()
-    left = _replicas(_numbered(rows.select(unit, *fixed), [], unit, seed + 1, n).select("_i", *fixed), first, last)
-    right = _numbered(_replicas(rows.select(unit, moved), first, last), ["replica"], unit, seed, n).select("replica", "_i", moved)
-    return left.join(right, ["replica", "_i"]).drop("_i")
+def permutation_tests(units: DataFrame, fields: list[str], permutations: int = 999, seed: int = 42) -> DataFrame:
+    """``field_a, field_b, n, observed, p_value`` of Spearman's rho for every pair of fields."""
+    pairs = list(combinations(fields, 2))
+    number = F.create_map(*[F.lit(x) for i, (a, b) in enumerate(pairs) for x in (f"{a}|{b}", i)])
+    observed = spearman(units, fields).select(F.element_at(number, F.concat_ws("|", "field_a", "field_b")).alias("part"), "field_a", "field_b", "n", F.coalesce(F.abs("rho"), F.lit(float("nan"))).alias("observed"))
+    return _with_p(units.sparkSession, joints(_tied(units, fields), pairs), observed, permutations, seed).drop("part")
 
 
-def permutation_test(ranked: DataFrame, unit: str, a: str, b: str, permutations: int = 999, seed: int = 42, batch: int = 250) -> DataFrame:
-    """Two-sided p of the correlation of two rank columns: (extreme + 1) / (permutations + 1); null under three units.
+def _tied(units: DataFrame, fields: list[str]) -> DataFrame:
+    """The fields as ranking sees them: equal if equal to 12 decimals."""
+    return units.select(*[F.round(F.col(f).cast("double"), 12).alias(f) for f in fields])
 
-    Replicas are laid over the rows in batches and summed up per replica at once.
-    """
-    observed = ranked.agg(F.abs(F.corr(a, b)).alias("observed"), F.count(F.lit(1)).alias("n"))
-    parts = None
-    for first in range(0, permutations, batch):
-        part = permuted(ranked, unit, [a], b, first, min(permutations, first + batch) - 1, seed).groupBy("replica").agg(F.abs(F.corr(a, b)).alias("r"))
-        parts = part if parts is None else parts.unionByName(part)
-    hits = parts.join(F.broadcast(observed), F.lit(True)).groupBy("n", "observed").agg(F.sum(F.when(F.col("r") >= F.col("observed") - 1e-12, 1).otherwise(0)).alias("extreme"))
-    p = (F.col("extreme") + 1) / (permutations + 1)
-    return hits.select("n", "observed", F.when((F.col("n") >= 3) & ~F.isnan("observed"), p).alias("p_value"))
 
+def bootstrap_intervals(units: DataFrame, fields: list[str], resamples: int = 999, seed: int = 42, level: float = 0.95) -> DataFrame:
+    """``field_a, field_b, resamples, low, high``: percentile interval of Spearman's rho of every pair over resamples with replacement, re-ranked each; bounds at index int(q * (m - 1)).
 
-def resampled(rows: DataFrame, unit: str, n_rows: int, resamples: int, seed: int) -> DataFrame:
-    """``replica``, the columns of ``rows`` and ``_w``: how often each replica of ``n_rows`` draws with replacement took the row."""
-    numbered = _numbered(rows, [], unit, seed, n_rows)
-    slot = F.xxhash64(F.col("_i"), F.col("replica"), F.lit(seed))
-    draws = _replicas(numbered.select("_i"), 0, resamples - 1).select("replica", (F.pmod(slot, F.lit(n_rows)) + 1).alias("_i"))
-    return draws.groupBy("replica", "_i").agg(F.count(F.lit(1)).alias("_w")).join(numbered, "_i").drop("_i")
+    Units with a null in either field are left out. A resample is one multinomial over the joint slices (``resampling``).
+    """
+    pairs = list(combinations(fields, 2))
+    rho = resampled_rhos(units.sparkSession, joints(_tied(units, fields), pairs), resamples, seed).filter("NOT isnan(rho)")
+    s = rho.groupBy("part").agg(F.array_sort(F.collect_list("rho")).alias("s"))  # one number per resample
+    at = lambda q: F.get("s", F.floor(F.lit(q) * (F.size("s") - 1)).cast("int"))
+    name = lambda k: F.get(F.array(*[F.lit(p[k]) for p in pairs]), F.col("part"))
+    return s.select(name(0).alias("field_a"), name(1).alias("field_b"), F.size("s").alias("resamples"), at((1 - level) / 2).alias("low"), at((1 + level) / 2).alias("high"))
 
 
 def bootstrap_interval(units: DataFrame, unit: str, a: str, b: str, resamples: int = 999, seed: int = 42, level: float = 0.95) -> DataFrame:
-    """Percentile interval of Spearman's rho over resamples with replacement, re-ranked each; bounds at index int(q * (m - 1)).
-
-    Units with a null in either column are left out.
-    """
-    rows = units.select(unit, F.col(a).cast("double").alias("va"), F.col(b).cast("double").alias("vb")).filter("va IS NOT NULL AND vb IS NOT NULL")
-    n = rows.count()
-    drawn = resampled(rows, unit, n, resamples, seed)
-    for v in ("va", "vb"):
-        counts = drawn.groupBy("replica", F.col(v).alias("_v")).agg(F.sum("_w").alias("_n"))
-        ranks = _ranks_of_counts(counts, ["replica"], cuts(rows, v), f"r{v}").withColumnRenamed("_v", v)
-        drawn = drawn.join(ranks, ["replica", v])
-    da, db, w = F.col("rva") - (n + 1) / 2, F.col("rvb") - (n + 1) / 2, F.col("_w")  # the mean rank of n draws is known
-    spread = F.sqrt(F.sum(w * da * da) * F.sum(w * db * db))
-    rho = drawn.groupBy("replica").agg((F.sum(w * da * db) / F.nullif(spread, F.lit(0.0))).alias("rho")).filter("rho IS NOT NULL")
-    s = rho.agg(F.array_sort(F.collect_list("rho")).alias("s"))  # one number per resample
-    at = lambda q: F.get("s", F.floor(F.lit(q) * (F.size("s") - 1)).cast("int"))
-    return s.select(F.size("s").alias("resamples"), at((1 - level) / 2).alias("low"), at((1 + level) / 2).alias("high"))
+    """``resamples, low, high`` of one pair; ``unit`` names the rows that are drawn."""
+    return bootstrap_intervals(units.filter(F.col(unit).isNotNull()), [a, b], resamples, seed, level).select("resamples", "low", "high")
 
 
 def benjamini_hochberg(tests: DataFrame, p: str = "p_value", by: list[str] = []) -> DataFrame:
@@ -175,18 +154,57 @@ def interaction_detector(samples: DataFrame, target: str, factors: list[str]) ->
     single = factor_detector(samples, target, factors)
     one = lambda s: single.select(F.col("factor").alias(f"factor_{s}"), F.col("q").alias(f"q_{s}"))
     out = qs.join(one("a"), "factor_a").join(one("b"), "factor_b")
-    q, most, total = F.col("q_joint"), F.greatest("q_a", "q_b"), F.col("q_a") + F.col("q_b")
-    kind = F.when(q <= most, "weaken_or_non_enhance").when(F.abs(q - total) <= 1e-9, "independent").when(q < total, "bi_factor_enhancement").otherwise("nonlinear_enhancement")
+    kind = interaction_kind(F.col("q_joint"), F.col("q_a"), F.col("q_b"))
     return out.select("factor_a", "factor_b", "q_a", "q_b", "q_joint", kind.alias("interaction"))
 
 
-def factor_permutation(samples: DataFrame, unit: str, target: str, factor: str, permutations: int = 999, seed: int = 42) -> DataFrame:
-    """One-sided p: (replicas with q* >= q, + 1) / (permutations + 1)."""
-    rows = samples.select(unit, F.col(factor).alias("stratum"), F.col(target).cast("double").alias(target))
-    observed = _q(rows.withColumn("one", F.lit(1)), ["one"], target).select(F.col("q").alias("observed"))
-    q = _q(permuted(rows, unit, ["stratum"], target, 0, permutations - 1, seed), ["replica"], target)
-    hits = q.join(F.broadcast(observed), F.lit(True)).groupBy("observed").agg(F.sum(F.when(F.col("q") >= F.col("observed") - 1e-12, 1).otherwise(0)).alias("extreme"))
-    return hits.select(F.lit(factor).alias("factor"), F.col("observed").alias("q"), ((F.col("extreme") + 1) / (permutations + 1)).alias("p_value"))
+def interaction_kind(q: Column, q_a: Column, q_b: Column) -> Column:
+    """The class of the q of joint strata against the q's of the two factors."""
+    total = q_a + q_b
+    return F.when(q <= F.greatest(q_a, q_b), "weaken_or_non_enhance").when(F.abs(q - total) <= 1e-9, "independent").when(q < total, "bi_factor_enhancement").otherwise("nonlinear_enhancement")
+
+
+def factor_tests(samples: DataFrame, target: str, factors: list[str], permutations: int = 999, seed: int = 42, slices: int = SLICES) -> DataFrame:
+    """``analysis, factor_a, factor_b, q, p_value, interaction`` of every factor and every pair's joint strata.
+
+    p is one-sided: (replicas with q* >= q, + 1) / (permutations + 1), null without permutations. All tests share the replicas, which deal the target's slices anew to the joint strata
+    of all factors; q* is taken of the target as its slices show it, q of the target itself. Blank strata and a target without variance are errors; rows without a target are left out.
+    """
+    if not factors or len(set(factors)) < len(factors):
+        raise ValueError("one or more distinct factors")
+    rows = samples.select(F.col(target).cast("double").alias("_t"), *factors).filter("_t IS NOT NULL")
+    if rows.filter(" OR ".join(f"`{f}` IS NULL OR trim(`{f}`) = ''" for f in factors)).limit(1).count():
+        raise ValueError("blank stratum")
+    grouped = rows.groupBy(*factors, slice_of(F.col("_t"), cuts(rows, "_t", slices)).alias("_slice"))
+    grouped = grouped.agg(F.count(F.lit(1)).alias("n"), F.sum("_t").alias("s"), F.sum(F.col("_t") * F.col("_t")).alias("ss")).persist()  # joint strata times slices, read four times
+    try:
+        held = sorted(grouped.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).collect())  # at most ``slices`` rows
+        n, total, squares = (sum(r[c] for r in held) for c in ("n", "s", "ss"))
+        if not n or squares - total * total / n <= 1e-12 * squares:
+            raise ValueError("the target has no variance")
+        pool, sums = np.array([r["n"] for r in held], np.int64), np.array([r["s"] for r in held])
+        means = sums / pool - total / n
+        tests = [(f, None) for f in factors] + list(combinations(factors, 2))
+        strata = [F.col(a).cast("string") if b is None else F.concat_ws("|", a, b) for a, b in tests]
+        cells = grouped.groupBy(*factors).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        one = cells.select("n", "s", F.posexplode(F.array(*strata)).alias("test", "stratum")).groupBy("test", "stratum").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        clamp = lambda q: F.greatest(F.lit(0.0), F.least(F.lit(1.0), q))
+        between = lambda mean: F.sum((F.col("s") / F.col("n") - mean) * (F.col("s") / F.col("n") - mean) * F.col("n"))
+        q = one.groupBy("test").agg(clamp(between(total / n) / (squares - total * total / n)).alias("q"))
+        hits = q.withColumn("extreme", F.lit(None).cast("long"))
+        if permutations:
+            dealt = stratum_sums(cells, strata, pool, means, permutations, seed)
+            star = dealt.groupBy("test", "replica").agg(clamp(between(0.0) / F.lit(float(pool @ (means * means)))).alias("star"))
+            hits = star.join(F.broadcast(q), "test").groupBy("test", "q").agg(F.count(F.when(F.col("star") >= F.col("q") - 1e-12, 1)).alias("extreme"))  # a row per test
+        found = {r["test"]: r for r in hits.collect()}  # a row per test
+    finally:
+        grouped.unpersist()
+    single = {f: found[i]["q"] for i, f in enumerate(factors)}
+    out = [(a, b, found[i]["q"], None if found[i]["extreme"] is None else (found[i]["extreme"] + 1) / (permutations + 1), single[a], single.get(b)) for i, (a, b) in enumerate(tests)]
+    out = samples.sparkSession.createDataFrame(out, "factor_a string, factor_b string, q double, p_value double, q_a double, q_b double")
+    pair = F.col("factor_b").isNotNull()
+    kind = F.when(pair, interaction_kind(F.col("q"), F.col("q_a"), F.col("q_b")))
+    return out.select(F.when(pair, "interaction").otherwise("factor").alias("analysis"), "factor_a", "factor_b", "q", "p_value", kind.alias("interaction"))
 
 
 def build_samples(target: DataFrame, factors: dict[str, DataFrame], step: int, grid: dict[str, float], bins: int) -> DataFrame:

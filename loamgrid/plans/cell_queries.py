@@ -15,6 +15,8 @@ from loamgrid.plans.bindings import (
 )
 
 W = "WITH "
+#: A grid turned by the angle whose cosine is 0.8, of cells of 5.
+ROTATED = {"a": 4.0, "b": 3.0, "c": 7.0, "d": 3.0, "e": -4.0, "f": 900.0, "width": 80, "height": 120}
 NAMES = values([(k, v) for k, v in CH.HIGH_WATER_7.items()])
 
 
@@ -54,6 +56,15 @@ def _(spark, sf):
     return p.groupBy(*p.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("b6_b7_rotated_grid", """WITH p AS (SELECT l_suppkey::DOUBLE AS x, l_partkey::DOUBLE AS y FROM lineitem), i AS (SELECT x, y, floor((-4 * (x - 7) - 3 * (y - 900)) / -25)::BIGINT AS "col", floor((4 * (y - 900) - 3 * (x - 7)) / -25)::BIGINT AS "row" FROM p)
+SELECT "row", "col", "row" BETWEEN 0 AND 119 AND "col" BETWEEN 0 AND 79 AS inside, 4.0 * ("col" + 0.5) + 3.0 * ("row" + 0.5) + 7 AS x, 3.0 * ("col" + 0.5) - 4.0 * ("row" + 0.5) + 900 AS y, count(*) AS n FROM i GROUP BY ALL""")
+def _(spark, sf):
+    """Points on a grid turned by about 37 degrees, and the centres of their cells."""
+    p = S.with_cell_index(points(spark, sf).select("x", "y"), ROTATED)
+    p = p.select("row", "col", "inside", S.centre_x(F.col("col"), F.col("row"), ROTATED).alias("x"), S.centre_y(F.col("col"), F.col("row"), ROTATED).alias("y"))
+    return p.groupBy(*p.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("b8_systematic_sample", W + cells_sql() + """ SELECT * FROM cells WHERE "row" % 3 = 0 AND "col" % 3 = 0""")
 def _(spark, sf):
     return dated_cells(spark, sf).filter(S.systematic(3))
@@ -426,6 +437,48 @@ def _(spark, sf):
     return R.continuous_regrid(src, t, 1.5, "cubic", least_weight=0.05).withColumn("value", F.round("value", 2))
 
 
+#: Dated cells as cells of 10 m from a corner at (0, 0); a master grid of 30 m, half a source cell to the right and down.
+SOURCE_10 = {"a": 10.0, "c": 0.0, "e": -10.0, "f": 0.0}
+
+
+def master_of(cells, cell: float, offset: float, turn: tuple[float, float] = (0.0, 0.0)) -> dict[str, float]:
+    """A grid of another cell size over the cells of 10 m, from a corner ``offset`` metres right and down."""
+    w, h = cells.agg(F.max("col") + 1, F.max("row") + 1).first()
+    width, height = R.target_size(w, h, 10.0, cell)
+    return {"a": cell, "b": turn[0], "c": offset, "d": turn[1], "e": -cell, "f": -offset, "width": width, "height": height}
+
+
+MASTER_SQL = "g AS (SELECT ceil((max(\"col\") + 1) * 10 / {0}) AS w, ceil((max(\"row\") + 1) * 10 / {0}) AS h FROM cells)"
+
+
+@query("d18_majority_master_grid", W + cells_sql() + ", " + MASTER_SQL.format("30.0") + """, x AS (SELECT year, value, 2 * "row" - 1 AS r0, 2 * "row" + 1 AS r1, 2 * "col" - 1 AS c0, 2 * "col" + 1 AS c1 FROM cells),
+o AS (SELECT year, value, r AS "row", c AS "col", sum((least(r1, 6 * r + 6) - greatest(r0, 6 * r)) * (least(c1, 6 * c + 6) - greatest(c0, 6 * c))) AS k FROM x, range(r0 // 6, (r1 - 1) // 6 + 1) a(r), range(c0 // 6, (c1 - 1) // 6 + 1) b(c), g
+  WHERE r1 > 0 AND c1 > 0 AND r < h AND c < w AND least(r1, 6 * r + 6) > greatest(r0, 6 * r) AND least(c1, 6 * c + 6) > greatest(c0, 6 * c) GROUP BY ALL)
+SELECT year, "row", "col", arg_max(value, k * 100 - value) AS value FROM o GROUP BY ALL""")
+def _(spark, sf):
+    """10 m to 30 m with edges that do not meet: area shares decide."""
+    cells = dated_cells(spark, sf)
+    return R.majority_to_grid(cells, SOURCE_10, master_of(cells, 30.0, 5.0), ["year"])
+
+
+@query("d19_bilinear_master_grid", W + cells_sql(value=PRICE) + ", " + MASTER_SQL.format("15.0") + """, t AS (SELECT r AS "row", c AS "col", 1.5 * r + 0.75 AS y, 1.5 * c + 0.75 AS x FROM g, range(h::BIGINT) a(r), range(w::BIGINT) b(c)),
+n AS (SELECT t.*, floor(y)::BIGINT + i AS r, floor(x)::BIGINT + j AS c FROM t, range(2) a(i), range(2) b(j)),
+p AS (SELECT year, n."row", n."col", s.value AS v, greatest(0, 1 - abs(y - r)) * greatest(0, 1 - abs(x - c)) AS w FROM n JOIN cells s ON s."row" = r AND s."col" = c)
+SELECT year, "row", "col", round(sum(v * w) / sum(w), 5) AS value FROM p WHERE w > 0 GROUP BY ALL""")
+def _(spark, sf):
+    """Every layer at the centres of a grid of 15 m from another corner."""
+    cells = dated_cells(spark, sf, PRICE)
+    return R.continuous_to_grid(cells, SOURCE_10, master_of(cells, 15.0, 5.0), by=["year"]).withColumn("value", F.round("value", 5))
+
+
+@query("d19_nearest_rotated_grid", W + cells_sql(value=PRICE) + ", " + MASTER_SQL.format("12.0") + """, t AS (SELECT r AS "row", c AS "col", (12 * (c + 0.5) + 5 * (r + 0.5) + 2) / 10 AS x, (5 * (c + 0.5) - 12 * (r + 0.5) - 2) / -10 AS y FROM g, range(h::BIGINT) a(r), range(w::BIGINT) b(c))
+SELECT year, t."row", t."col", s.value::DOUBLE AS value FROM t JOIN cells s ON s."row" = floor(y) AND s."col" = floor(x)""")
+def _(spark, sf):
+    """Every layer on a grid turned against it."""
+    cells = dated_cells(spark, sf, PRICE)
+    return R.continuous_to_grid(cells, SOURCE_10, master_of(cells, 12.0, 2.0, (5.0, 5.0)), "nearest", ["year"]).withColumn("value", F.col("value").cast("double"))
+
+
 @query("d20_distinct_codes", W + cells_sql() + " SELECT DISTINCT value FROM cells")
 def _(spark, sf):
     return Z.distinct_codes(dated_cells(spark, sf))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import combinations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamgrid.operators import change as CH
@@ -156,23 +153,17 @@ def _(spark, sf):
     return rounded(ST.spearman(units(spark, sf), ["carbon", "water", "habitat"]), rho=6)
 
 
-def per_pair(test):
-    """``field_a, field_b`` and the result of ``test`` for every pair of service fields."""
-    parts = [test(a, b).select(F.lit(a).alias("field_a"), F.lit(b).alias("field_b"), "*") for a, b in combinations([c["field"] for c in CRITERIA], 2)]
-    return reduce(DataFrame.unionByName, parts)
+FIELDS = [c["field"] for c in CRITERIA]
 
 
 @query("f10_permutation_test")
 def _(spark, sf):
-    u = units(spark, sf)
-    test = lambda a, b: ST.permutation_test(ST.average_ranks(ST.average_ranks(u, a, "ra"), b, "rb"), "unit_id", "ra", "rb")
-    return rounded(per_pair(test), observed=6, p_value=6)
+    return rounded(ST.permutation_tests(units(spark, sf), FIELDS), observed=6, p_value=6)
 
 
 @query("f11_e11_bootstrap_interval")
 def _(spark, sf):
-    u = units(spark, sf)
-    return rounded(per_pair(lambda a, b: ST.bootstrap_interval(u, "unit_id", a, b)), low=6, high=6)
+    return rounded(ST.bootstrap_intervals(units(spark, sf), FIELDS), low=6, high=6)
 
 
 @query("e6_benjamini_hochberg", """WITH t AS (SELECT s_suppkey, s_nationkey, (s_suppkey * 37 % 1009 + 1) / 1010.0::DOUBLE AS p_value FROM supplier), k AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY p_value, s_suppkey) AS i, count(*) OVER (PARTITION BY s_nationkey) AS m FROM t)
@@ -209,8 +200,8 @@ def _(spark, sf):
 
 @query("f14_factor_permutation")
 def _(spark, sf):
-    u = units(spark, sf).withColumnRenamed("scenario", "zone")
-    return rounded(ST.factor_permutation(u, "unit_id", "carbon", "zone"), q=6, p_value=6)
+    """q and permutation p of every factor and of every pair's joint strata, from shared replicas."""
+    return rounded(ST.factor_tests(factor_samples(spark, sf), "t", FACTORS), q=8, p_value=6)
 
 
 @query("f15_geodetector_samples", W + cells_sql("p", PRICE) + ", " + cells_sql("i", INDEX) + ", " + cells_sql("q", QUANTITY) + """, j AS (SELECT p."row" AS r, p."col" AS c, p.value AS target, i.value AS discount, q.value AS quantity FROM p JOIN i USING (year, "row", "col") JOIN q USING (year, "row", "col") WHERE year = 1997 AND "row" % 2 = 0 AND "col" % 2 = 0),

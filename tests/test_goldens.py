@@ -15,6 +15,7 @@ from loamgrid.operators import classify as K
 from loamgrid.operators import quality as Q
 from loamgrid.operators import ranking as RK
 from loamgrid.operators import regrid as R
+from loamgrid.operators import resampling as RS
 from loamgrid.operators import score as SC
 from loamgrid.operators import services as SV
 from loamgrid.operators import stats as ST
@@ -181,26 +182,70 @@ def test_permutation_and_bootstrap(spark):
     assert b["low"] < rho < b["high"] and b["high"] - b["low"] < 0.5
 
 
-def test_replicas_are_permutations_and_resamples(spark, monkeypatch):
-    monkeypatch.setattr(ST, "SLICE_ROWS", 4)  # several slices on a small table
-    u = spark.createDataFrame([(i, float(i % 7), float(i * i % 11)) for i in range(60)], "u long, x double, y double")
-    got = defaultdict(list)
-    for r in ST.permuted(u, "u", ["x"], "y", 0, 4, 3).collect():
-        got[r["replica"]].append((r["x"], r["y"]))
-    assert sorted(got) == list(range(5)) and len({tuple(sorted(v)) for v in got.values()}) == 5
-    for v in got.values():
-        assert sorted(x for x, _ in v) == sorted(float(i % 7) for i in range(60)) and sorted(y for _, y in v) == sorted(float(i * i % 11) for i in range(60))
-
-    def ranks(v):
-        return np.array([np.sum(v < x) + (np.sum(v == x) + 1) / 2 for x in v])
-
-    draws = defaultdict(list)
-    for r in ST.resampled(u.select("u", F.col("x").alias("va"), F.col("y").alias("vb")), "u", 60, 21, 42).collect():
-        draws[r["replica"]] += [(r["va"], r["vb"])] * r["_w"]
-    assert all(len(v) == 60 for v in draws.values())
-    rho = sorted(np.corrcoef(*[ranks(c) for c in np.array(v).T])[0, 1] for v in draws.values())
-    b = ST.bootstrap_interval(u, "u", "x", "y", 21).first()
-    assert b["resamples"] == 21 and math.isclose(b["low"], rho[0], abs_tol=1e-9) and math.isclose(b["high"], rho[19], abs_tol=1e-9)
+def test_dealt_values_keep_their_margins_and_moments(monkeypatch):
+    rng = np.random.default_rng(2)
+    pool, sizes = np.array([5, 0, 9, 1, 6]), [4, 0, 10, 7]
+    left, sums = np.tile(pool, (20_000, 1)), []
+    for n in sizes:
+        got = RS.deal(rng, left, n)
+        assert (got.sum(axis=1) == n).all() and (got >= 0).all() and (got <= left).all()
+        left = left - got
+        sums.append(got)
+    assert not left.any()
+    mean, var = 10 * pool / 21, 10 * pool / 21 * (1 - pool / 21) * 11 / 20
+    assert np.allclose(sums[2].mean(axis=0), mean, atol=0.05) and np.allclose(sums[2].var(axis=0), var, atol=0.06)
+    monkeypatch.setattr(RS, "LARGE", 10)  # the normal form keeps within bounds and has the same moments
+    near = RS.hypergeometric(rng, np.full(20_000, 600), np.full(20_000, 400), np.full(20_000, 250))
+    assert abs(near.mean() - 150) < 0.5 and abs(near.var() - 250 * 0.6 * 0.4 * 750 / 999) < 2
+    totals = [3, 8, 0, 6, 4]
+    parts = [RS.share_of_chunk([7, 1], np.tile(pool, (50, 1)), totals, c) for c in range(5)]
+    assert (sum(parts) == pool).all() and all((x.sum(axis=1) == n).all() for x, n in zip(parts, totals, strict=True))
+
+
+def test_permutation_p_against_all_rows(spark):
+    """p of slices against whole permutations by numpy, with more rows than slices."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=1500)
+    y = 0.03 * x + rng.normal(size=1500)
+    ra, rb = (v.argsort().argsort() + 1.0 for v in (x, y))
+    rho = abs(np.corrcoef(ra, rb)[0, 1])
+    want = np.mean([abs(np.corrcoef(ra, rng.permutation(rb))[0, 1]) >= rho for _ in range(4000)])
+    u = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(ra, rb, strict=True))] + [(5000, None, 1.0)], "u long, ra double, rb double")
+    got = ST.permutation_test(u, "u", "ra", "rb", 3000).first()
+    assert got["n"] == 1500 and math.isclose(got["observed"], rho) and abs(got["p_value"] - want) < 0.03
+    b = ST.bootstrap_interval(u, "u", "ra", "rb", 999).first()
+    boot = []
+    ranks = lambda v: (lambda o: (np.cumsum(np.bincount(o)) - (np.bincount(o) - 1) / 2)[o])(np.unique(v, return_inverse=True)[1])
+    for _ in range(600):
+        k = rng.integers(0, 1500, 1500)
+        boot.append(np.corrcoef(ranks(ra[k]), ranks(rb[k]))[0, 1])
+    assert b["resamples"] == 999 and abs(b["low"] - np.quantile(boot, 0.025)) < 0.01 and abs(b["high"] - np.quantile(boot, 0.975)) < 0.01
+    assert ST.permutation_test(u.limit(2), "u", "ra", "rb", 9).first()["p_value"] is None
+
+
+def test_factor_tests_against_numpy(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    n = 900
+    f = np.stack((rng.integers(0, 3, n), rng.integers(0, 4, n), rng.integers(0, 2, n)), axis=1)
+    t = rng.gamma(2.0, 50.0, n) + 9.0 * (f[:, 0] == 1)
+    names = ["fa", "fb", "fc"]
+    s = spark.createDataFrame([(float(v), *map(str, k)) for v, k in zip(t, f.tolist(), strict=True)], "t double, fa string, fb string, fc string")
+    q = lambda v, k: 1 - sum(((v[k == h] - v[k == h].mean()) ** 2).sum() for h in np.unique(k)) / ((v - v.mean()) ** 2).sum()
+    keys = {("fa", None): f[:, 0], ("fb", None): f[:, 1], ("fc", None): f[:, 2], ("fa", "fb"): f[:, 0] * 9 + f[:, 1], ("fa", "fc"): f[:, 0] * 9 + f[:, 2], ("fb", "fc"): f[:, 1] * 9 + f[:, 2]}
+    for chunk in (128, 5):  # all strata in one task, then over several chunks
+        monkeypatch.setattr(RS, "CHUNK", chunk)
+        got = {(r["factor_a"], r["factor_b"]): r for r in ST.factor_tests(s, "t", names, 1998).collect()}
+        assert got.keys() == keys.keys() and all((r["interaction"] is None) == (k[1] is None) and r["analysis"] == ("factor" if k[1] is None else "interaction") for k, r in got.items())
+        for k, strata in keys.items():
+            own = q(t, strata)
+            want = np.mean([q(rng.permutation(t), strata) >= own for _ in range(1500)])
+            assert math.isclose(got[k]["q"], own, abs_tol=1e-9) and abs(got[k]["p_value"] - want) < 0.045
+    kinds = {(r["factor_a"], r["factor_b"]): r["interaction"] for r in ST.interaction_detector(s, "t", names).collect()}
+    assert kinds == {k: r["interaction"] for k, r in got.items() if k[1]}
+    assert {r["p_value"] for r in ST.factor_tests(s, "t", ["fa"], 0).collect()} == {None}
+    for bad in (s.withColumn("t", F.lit(2.0)), s.withColumn("fa", F.lit(" "))):
+        with pytest.raises(ValueError):
+            ST.factor_tests(bad, "t", ["fa"], 9)
 
 
 def test_maximum_likelihood_matches_numpy(spark):
