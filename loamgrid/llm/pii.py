@@ -1,12 +1,11 @@
 """Personal data by weak supervision (native DataFrame code).
 
-Base spans come from fixed patterns. Further candidates come from looser patterns (local phone numbers, social security
-numbers, IBANs, addresses with a spelled-out at sign, long numbers that fail the card checksum). On every span
-five labelers vote yes, no or nothing: the strict pattern, a gazetteer (mail domains, issuer and country
-prefixes, reserved address ranges), the words before it, a checksum and the variety of its digits.
-Expectation-maximisation over the counts of the at most 3**5 vote patterns estimates each labeler's reliability; the posteriors
-train the final classifier, naive Bayes over features of the span and its surroundings, which decides on the candidates.
-Base spans always stay.
+Base spans come from fixed patterns. Further candidates come from looser patterns (names, street addresses, dates, account numbers, local phone numbers, social security
+numbers, IBANs, addresses with a spelled-out at sign, long numbers that fail the card checksum). On every span seven labelers vote yes, no or nothing: the pattern, a gazetteer of
+mail domains, issuer and country prefixes, reserved address ranges and years of birth, one of given names and street types (apart, as most of its candidates are neither), the words before it in general, a cue of the span's own kind, a checksum and the variety of its
+digits. Expectation-maximisation over the counts of the at most 3**7 vote patterns estimates each labeler's reliability; the posteriors train the final classifier, naive Bayes over features of the
+span, its votes and its surroundings. It decides on the candidates, and it judges every span: base spans always stay, but ``n_likely`` counts the spans that it takes for
+personal, and ``risk`` is the probability that at least one is.
 
 Positions are code points. The pieces between matches (``split``) and the matches (``regexp_extract_all``) of one
 pattern alternate, so their lengths give all positions without a Python function.
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from loamgrid.llm.common import read_documents, staged
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-LOOSE_KINDS = ("email_words", "iban", "ssn", "phone_local", "number")
+LOOSE_KINDS = ("email_words", "iban", "ssn", "birth", "phone_local", "number", "account", "street", "name")
 #: Possessive quantifiers and \G guards give the same leftmost matches as the plain patterns, in linear time.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -36,15 +35,46 @@ LOOSE = {
     "email_words": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z0-9-]{1,63}+){1,4}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "birth": r"(?<![0-9./-])(?:[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9./-])",
     "phone_local": r"(?<![A-Za-z0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "number": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![0-9])",
+    "account": r"(?<![A-Za-z0-9.,/-])[0-9]{7,12}(?![A-Za-z0-9/-])",
+    "street": r"(?<![A-Za-z0-9.])[0-9]{1,5}\x20[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{2,20}(?:\x20[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{1,20}){0,2}(?![A-Za-z])",
+    "name": r"(?<![A-Za-zÀ-ÿ])[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{2,20}\x20[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{2,20}(?![A-Za-zÀ-ÿ])",
 }
 MAIL_ENDINGS = "com|org|net|edu|gov|io|info|de|fr|es|it|uk|us|eu"
 RESERVED_IPS = r"^(0|10|127|255|192\.168|169\.254)\."
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65)"
-YES_WORDS = r"(?i)(e-?mail|contact|write to|phone|tel|call|fax|card|account|iban|ssn|social security|address|ip|host|server|visa|mastercard)[^A-Za-z]*$"
+#: Common given names, and words for streets at the end or the beginning of their names.
+GIVEN_NAMES = (
+    "ahmed alan albert alejandro alexander ali alice amanda amy ana andrea andrew angela anja anna anne antonio antoine ashley barbara benjamin bernd betty brandon brian camille carlos carmen carol catherine "
+    "charles charlotte christian christine christopher claire claudia cynthia daniel david deborah diana diego donald dorothy edward elena elizabeth emily emma eric eva fatima felix fernando francisco frank gary "
+    "george hans heike helen henri ibrahim ines isabel jacob james jan jane jason javier jean jennifer jeremy jessica joan john jonathan jose joseph juan julia julie jürgen karen karl katherine "
+    "kevin klaus laura lauren linda lisa louis lucas lucia luis manuel marc margaret maria marie mark marta martin mary matthew michael michelle miguel mohammed monika nancy nathalie nicholas "
+    "nicole olivia pablo patricia paul pedro peter petra philippe pierre rachel rebecca richard robert ruth ryan samuel sandra sara sarah scott sofia sophie stefan stephen steven susan thomas timothy ursula "
+    "uwe victoria william wolfgang yusuf"
+).split()
+STREETS = "street|st|avenue|ave|road|rd|lane|ln|drive|dr|boulevard|blvd|court|square|terrace|way|place|strasse|straße|weg|platz|allee|gasse|rue|calle|plaza|avenida|chemin|camino"
+_LINK = r"(?:[\x20]*(?:is|of|no|number|on|at|in|to|by|id|the))*[^A-Za-z]*$"
+YES_WORDS = (
+    r"(?i)(e-?mail|contact|write to|phone|tel|call|fax|card|account|acct|iban|ssn|social security|address|ip|host|server|visa|mastercard|name|dear|mrs?|ms|dr|patient|signed|sincerely|born|birth|dob|lives|resident"
+    r"|ship|passport|customer|konto|kontonummer|compte|cuenta|nom|nombre)" + _LINK
+)
 NO_WORDS = r"(?i)(version|section|chapter|figure|page|isbn|order|item|total|number of|no\.)[^A-Za-z]*$"
-LABELERS = ("pattern", "gazetteer", "context", "checksum", "digits")
+#: Words that tell of one kind.
+CUES = {
+    "name": "name|dear|mrs?|ms|dr|contact|patient|signed|sincerely|nom|nombre",
+    "street": "address|lives|resident|ship|deliver|located|adresse|calle",
+    "birth": "born|birth|dob|geboren|né|née|nacid[oa]",
+    "account": "account|acct|passport|customer|konto|kontonummer|compte|cuenta|member|policy",
+    "ssn": "ssn|social security", "iban": "iban|account|konto", "phone_local": "phone|tel|call|fax|mobile", "phone": "phone|tel|call|fax|mobile",
+    "email": "e-?mail|contact|write", "email_words": "e-?mail|contact|write", "card": "card|visa|mastercard|amex", "number": "card|visa|mastercard|amex", "ip": "ip|host|client",
+}
+LABELERS = ("pattern", "gazetteer", "names", "context", "cue", "checksum", "digits")
+#: Least share of right votes of a labeler in either class: a labeler that mostly votes no on its own, as on pairs of capitalised words, would turn the classes around else.
+BETTER = 0.6
+#: Shares of yes votes in the class without and with personal data that EM begins with, counted as so many votes; one random number in ten passes a checksum.
+CHANCE, CHECKSUM, SMOOTH = (0.35, 0.75), (0.1, 0.95), 10
 CONTEXT_CHARS = 24
 #: Matches whose positions are added up in one array.
 BLOCK = 256
@@ -129,17 +159,27 @@ def _vote(yes: str, no: str) -> str:
     return f"case when {yes} then 1 when {no} then -1 else 0 end"
 
 
+def _sql(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\")
+
+
 VOTES = {
-    "pattern": _vote("s.kind in ('email', 'ip', 'card', 'phone')", "s.kind = 'number'"),
+    "pattern": _vote("s.kind in ('email', 'ip', 'card', 'phone')", "s.kind in ('number', 'account', 'birth')"),
     "gazetteer": "case "
     f"when s.kind in ('email', 'email_words') then if(rlike(lower(s.value), '(\\\\.|dot.? ?)({MAIL_ENDINGS})$'), 1, -1) "
-    f"when s.kind = 'ip' then if(rlike(s.value, '{RESERVED_IPS.replace(chr(92), chr(92) * 2)}'), -1, 1) "
+    f"when s.kind = 'ip' then if(rlike(s.value, '{_sql(RESERVED_IPS)}'), -1, 1) "
     f"when s.kind in ('card', 'number') then if(rlike(s.value, '{ISSUERS}'), 1, -1) "
     "when s.kind = 'ssn' then if(rlike(s.value, '^(000|666|9)'), -1, 1) "
+    "when s.kind = 'birth' then if(cast(regexp_extract(s.value, '(19|20)[0-9][0-9]', 0) as int) between 1920 and 2015, 0, -1) "
     "when s.kind in ('phone', 'phone_local') then if(rlike(s.value, '^.?[01]00'), -1, 1) else 0 end",
-    "context": _vote(f"rlike(s.left, '{YES_WORDS}')", "rlike(s.left, '" + NO_WORDS.replace("\\", "\\\\") + "')"),
+    "names": "case "
+    f"when s.kind = 'name' then if(array_contains(array({', '.join(repr(n) for n in GIVEN_NAMES)}), lower(substring_index(s.value, ' ', 1))), 1, -1) "
+    f"when s.kind = 'street' then if(rlike(lower(s.value), '(^[0-9]+ ({STREETS}) )|( ({STREETS})$)|((strasse|straße|weg|platz|allee|gasse)$)'), 1, -1) "
+    "else 0 end",
+    "context": _vote(f"rlike(s.left, '(?<![A-Za-z]){_sql(YES_WORDS)}')", f"rlike(s.left, '{_sql(NO_WORDS)}')"),
+    "cue": "case s.kind " + " ".join(f"when '{k}' then if(rlike(s.left, '(?i)(?<![A-Za-z])({w}){_sql(_LINK)}'), 1, 0)" for k, w in CUES.items()) + " else 0 end",
     "checksum": f"case when s.kind in ('card', 'number') then if({luhn('s.value')}, 1, -1) else 0 end",
-    "digits": f"case when s.kind in ('email', 'email_words', 'ip') then 0 when size(array_distinct(split({digits_of('s.value')}, ''))) < 4 then -1 else 1 end",
+    "digits": f"case when s.kind in ('email', 'email_words', 'ip', 'name', 'street', 'birth') then 0 when size(array_distinct(split({digits_of('s.value')}, ''))) < 4 then -1 else 1 end",
 }
 FEATURES = {
     "shape": "regexp_replace(regexp_replace(substring(s.value, 1, 24), '[A-Za-z]+', 'a'), '[0-9]', '9')",
@@ -147,6 +187,10 @@ FEATURES = {
     "before": "case when s.left = '' then 'edge' when rlike(s.left, '[A-Za-z]$') then 'letter' when rlike(s.left, '[0-9.,-]$') then 'number' when rlike(s.left, '[:=] ?$') then 'key' else 'other' end",
     "after": "case when s.right = '' then 'edge' when rlike(s.right, '[A-Za-z]') then 'letter' when rlike(s.right, '[0-9-]') then 'number' else 'other' end",
     "words": VOTES["context"],
+    "cue": VOTES["cue"],
+    "checksum": VOTES["checksum"],
+    "list": VOTES["gazetteer"],
+    "names": VOTES["names"],
     "kind": "s.kind",
 }
 
@@ -160,8 +204,9 @@ def vote_columns(spans: str) -> Column:
 
 
 def estimate_reliability(patterns: list[tuple], rounds: int = 50) -> tuple[dict, list[float]]:
-    """EM for two classes: P(vote | class) per labeler, and P(personal) per row of ``patterns`` (five votes and a count)."""
-    prior, rates = 0.5, {n: {1: {1: 0.75, -1: 0.25}, 0: {1: 0.35, -1: 0.65}} for n in LABELERS}
+    """EM for two classes under the assumption that every labeler is better than chance (``BETTER``): P(vote | class) per labeler, and P(personal) per row of ``patterns`` (seven votes and a count)."""
+    start = {n: CHECKSUM if n == "checksum" else CHANCE for n in LABELERS}
+    prior, rates = 0.5, {n: {y: {1: start[n][y], -1: 1 - start[n][y]} for y in (1, 0)} for n in LABELERS}
     post: list[float] = []
     for _ in range(rounds):
         post = []
@@ -178,19 +223,21 @@ def estimate_reliability(patterns: list[tuple], rounds: int = 50) -> tuple[dict,
         prior = min(0.99, max(0.01, sum(q * p[-1] for q, p in zip(post, patterns, strict=True)) / total))
         for i, name in enumerate(LABELERS):
             for y in (1, 0):
-                # smoothing towards better than chance keeps the two classes from changing places
-                counts = {1: 7.5 if y else 3.5, -1: 2.5 if y else 6.5}
+                # smoothing, and a bound towards better than chance, keep the two classes from changing places
+                counts = {1: SMOOTH * start[name][y], -1: SMOOTH * (1 - start[name][y])}
                 for q, p in zip(post, patterns, strict=True):
                     if p[i]:
                         counts[p[i]] += p[-1] * (q if y else 1 - q)
-                rates[name][y] = {v: c / sum(counts.values()) for v, c in counts.items()}
+                share = counts[1] / sum(counts.values())
+                share = min(0.98, max(BETTER, share)) if y else max(0.02, min(1 - BETTER, share))
+                rates[name][y] = {1: share, -1: 1 - share}
     return rates, post
 
 
 def train_classifier(voted: DataFrame) -> dict[str, float]:
     """Log-odds by feature (at most a few hundred) and of the prior (key ''), from the posteriors of all spans."""
     spans = voted.select(F.explode("spans").alias("s")).select("s.*")
-    patterns = [tuple(r) for r in spans.groupBy(*LABELERS).count().orderBy(*LABELERS).collect()]  # at most 3**5 rows
+    patterns = [tuple(r) for r in spans.groupBy(*LABELERS).count().orderBy(*LABELERS).collect()]  # at most 3**7 rows
     _, post = estimate_reliability(patterns)
     keyed = {",".join(map(str, p[:-1])): q for p, q in zip(patterns, post, strict=True)}
     if not keyed:
@@ -213,18 +260,23 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     odds = train_classifier(voted)
     lookup = F.create_map(*[F.lit(x) for kv in odds.items() for x in kv])
     score = lambda s: F.aggregate(s["features"], F.lit(odds[""]), lambda a, f: a + F.coalesce(F.element_at(lookup, f), F.lit(0.0)))
-    added = F.filter("spans", lambda s: s["kind"].isin(*LOOSE_KINDS) & (score(s) > 0))
+    chance = lambda s: 1 / (1 + F.exp(-score(s)))
+    judged = voted.withColumn("spans", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), chance(s).alias("p"))))
+    added = F.filter("spans", lambda s: s["kind"].isin(*LOOSE_KINDS) & (s["p"] > 0.5))
     show = lambda a: F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     of_kind = lambda k: F.array_sort(F.filter("added", lambda s: s["kind"] == k))
     by_kind = F.concat(*map(of_kind, LOOSE_KINDS))
-    out = voted.withColumn("added", F.transform(added, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
+    out = judged.withColumn("added", F.transform(added, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     out = out.withColumn("base", show(F.concat(*BASE_KINDS))).withColumn("more", show(by_kind))
+    said = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS) | (s["p"] > 0.5))
     return out.select(
         F.col("id").alias(id_col),
         *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
         F.array_join(F.concat("base", "more"), ",").alias("spans"),
         F.size("added").cast("long").alias("n_added"),
+        F.size(F.filter("spans", lambda s: s["p"] > 0.5)).cast("long").alias("n_likely"),
+        F.round(1 - F.aggregate(said, F.lit(1.0), lambda a, s: a * (1 - s["p"])), 6).alias("risk"),
     )
 
 
