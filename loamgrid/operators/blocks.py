@@ -203,28 +203,29 @@ def dense(sent: pd.DataFrame, column: str, top: int, left: int, size: int) -> np
     return a
 
 
-def mean_decay(targets: DataFrame, sources: DataFrame, reach: float, decay: Callable) -> DataFrame:
-    """``row, col, influence``: the mean of ``decay(distance / reach)`` over the sources within reach; targets without one are left out.
+def mean_decay(targets: DataFrame, sources: DataFrame, reach: float, decay: Callable, intensity: str | None = None) -> DataFrame:
+    """``row, col, influence``: the mean of ``decay(distance / reach)`` over the sources within reach, each times its ``intensity``; targets without a source are left out.
 
-    Sums over a tile are one convolution by Fourier transform, so the work does not grow with the number of sources in reach.
+    Sums over a tile are convolutions by Fourier transform, so the work does not grow with the number of sources in reach. Sources of intensity zero count as sources.
     """
     pad = max(1, math.ceil(reach))
     y, x = np.mgrid[-pad : pad + 1, -pad : pad + 1]
     distance = np.sqrt(y * y + x * x) / reach
     inside = distance <= 1
-    kernels = [np.where(inside, decay(distance), 0.0), inside.astype(float)]
+    near = [np.where(inside, decay(distance), 0.0), inside.astype(float)]
 
     def compute(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         size = max(TILE, pad)
         top, left = (int(own[c].iloc[0]) // size * size - pad for c in KEY)
-        there = (~np.isnan(dense(sent, "there", top, left, size + 2 * pad))).astype(float)
+        strength = dense(sent, "strength", top, left, size + 2 * pad)
+        there = (~np.isnan(strength)).astype(float)
         shape = [n + 2 * pad for n in there.shape]
-        spectrum = np.fft.rfft2(there, shape)
-        total, count = (np.fft.irfft2(spectrum * np.fft.rfft2(k, shape), shape)[pad:-pad, pad:-pad] for k in kernels)
+        total, count = (np.fft.irfft2(np.fft.rfft2(a, shape) * np.fft.rfft2(k, shape), shape)[pad:-pad, pad:-pad] for a, k in zip((np.nan_to_num(strength), there), near, strict=True))
         r, c = own["row"].to_numpy() - top, own["col"].to_numpy() - left
         n = np.rint(count[r, c])
         ok = n > 0
         return own[KEY].assign(influence=np.divide(np.maximum(total[r, c], 0.0), n, where=ok, out=np.zeros(len(own))))[ok]
 
     kinds = ", ".join(f"{c} {targets.schema[c].dataType.simpleString()}" for c in KEY)
-    return around(targets.select(*KEY), sources.withColumn("there", F.lit(1.0)), reach, ["there"], compute, f"{kinds}, influence double")
+    strength = F.coalesce(F.col(intensity).cast("double"), F.lit(0.0)) if intensity else F.lit(1.0)
+    return around(targets.select(*KEY), sources.withColumn("strength", strength), reach, ["strength"], compute, f"{kinds}, influence double")

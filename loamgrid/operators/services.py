@@ -45,10 +45,10 @@ def water_yield(cells: DataFrame, biophysical: DataFrame, by: list[str], z: floa
 def habitat_quality(cells: DataFrame, threat_cells: DataFrame, threats: DataFrame, sensitivity: DataFrame, pixel: float, k: float) -> DataFrame:
     """Degradation and quality of every cell.
 
-    A threat's influence is the mean of its decays over its source cells in reach, ``1 - d / max`` (linear) or
+    A threat's influence is the mean over its source cells in reach of intensity times decay, ``1 - d / max`` (linear) or
     ``exp(-2.99 d / max)``; the kernel is normalised by the number of source cells in reach. Degradation is the sum over threats
     of weight / all weights * influence * sensitivity; quality = habitat * (1 - D^2.5 / (D^2.5 + k^2.5)).
-    ``cells``: row, col, lulc. ``threat_cells``: threat, row, col. ``threats``: threat, max_dist, weight, decay.
+    ``cells``: row, col, lulc. ``threat_cells``: threat, row, col, and intensity (0 to 1) unless it is 1 everywhere. ``threats``: threat, max_dist, weight, decay.
     ``sensitivity``: lulc, threat, sensitivity, habitat.
     """
     rows = threats.select("threat", "max_dist", "weight", "decay").collect()  # one row per threat
@@ -56,7 +56,7 @@ def habitat_quality(cells: DataFrame, threat_cells: DataFrame, threats: DataFram
     parts = None
     for r in rows:
         decay = (lambda d: 1 - d) if r["decay"] == "linear" else (lambda d: np.exp(-DECAY_RATE * d))
-        part = mean_decay(cells, threat_cells.filter(F.col("threat") == r["threat"]), r["max_dist"] / pixel, decay)
+        part = mean_decay(cells, threat_cells.filter(F.col("threat") == r["threat"]), r["max_dist"] / pixel, decay, "intensity" if "intensity" in threat_cells.columns else None)
         part = part.select("row", "col", (F.col("influence") * (r["weight"] / total)).alias("influence"), F.lit(r["threat"]).alias("threat"))
         parts = part if parts is None else parts.unionByName(part)
     s = F.broadcast(sensitivity)  # classes times threats

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from loamgrid.operators import change as CH
@@ -15,7 +15,7 @@ from loamgrid.operators import zonal as Z
 from loamgrid.sources import tables as IO
 from loamgrid.plans.bindings import (
     BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
-    biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, table, units, values, year_of,
+    biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, stable, stable_sql, table, units, values, year_of,
 )
 from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, year_grids
 
@@ -62,6 +62,24 @@ def _(spark, sf):
     return rounded(SV.habitat_quality(lulc, src, threats, sens, 30.0, 0.05), degradation=6, quality=6)
 
 
+@query("f3_threat_intensity", W + cells_sql() + f""", t(threat, reach, share, decay) AS (FROM {values([("road", 6.0, 0.625, "linear"), ("mine", 4.0, 0.375, "exponential")])}), s(lulc, threat, sens, hab) AS (FROM {values(SENSITIVITY)}),
+l AS (SELECT "row", "col", min(value) AS lulc FROM cells GROUP BY ALL), src AS (SELECT CASE WHEN value = 6 THEN 'road' ELSE 'mine' END AS threat, "row" AS r, "col" AS c, count(*) / 7 AS y FROM cells WHERE value IN (6, 7) GROUP BY ALL),
+pr AS (SELECT l."row", l."col", lulc, threat, y, reach, share, decay, sqrt((l."row" - r) ** 2 + (l."col" - c) ** 2) / reach AS d FROM src JOIN t USING (threat) JOIN l ON abs(l."row" - r) <= reach AND abs(l."col" - c) <= reach),
+i AS (SELECT "row", "col", lulc, threat, avg(y * CASE WHEN decay = 'linear' THEN 1 - d ELSE exp(-2.99 * d) END) * any_value(share) AS inf FROM pr WHERE d <= 1 GROUP BY ALL),
+g AS (SELECT "row", "col", sum(inf * sens) AS deg FROM i JOIN s USING (lulc, threat) GROUP BY ALL), h AS (SELECT lulc, max(hab) AS hab FROM s GROUP BY lulc)
+SELECT l."row", l."col", lulc, hab AS habitat, {stable_sql("coalesce(deg, 0)")} AS degradation, {stable_sql("hab * (1 - coalesce(deg, 0) ** 2.5 / (coalesce(deg, 0) ** 2.5 + 0.05 ** 2.5))")} AS quality FROM l JOIN h USING (lulc) LEFT JOIN g USING ("row", "col")""")
+def _(spark, sf):
+    """The intensity of a threat's cell is the share of the years in which it was there."""
+    cells = dated_cells(spark, sf)
+    lulc = cells.groupBy("row", "col").agg(F.min("value").alias("lulc"))
+    threat = F.when(F.col("value") == 6, "road").otherwise("mine").alias("threat")
+    src = cells.filter("value IN (6, 7)").groupBy(threat, "row", "col").agg((F.count(F.lit(1)) / 7).alias("intensity"))
+    threats = spark.createDataFrame([("road", 180.0, 1.0, "linear"), ("mine", 120.0, 0.6, "exponential")], "threat string, max_dist double, weight double, decay string")
+    sens = spark.createDataFrame(SENSITIVITY, "lulc long, threat string, sensitivity double, habitat double")
+    out = SV.habitat_quality(lulc, src, threats, sens, 30.0, 0.05)
+    return out.withColumns({c: stable(F.col(c)) for c in ("degradation", "quality")})
+
+
 SITES = {
     "water_volume_m3": "sum(l_quantity)", "water_carbon_density_g_c_m3": "10.0", "aquatic_vegetation_area_ha": "avg(l_quantity) / 10", "aquatic_vegetation_carbon_density_t_c_ha": "2.0",
     "bottom_sediment_area_ha": "avg(l_tax) * 100", "bottom_sediment_carbon_density_t_c_ha": "20.0",
@@ -106,6 +124,19 @@ def _(spark, sf):
     return rounded(SC.ahp_weights(entries.join(bad, "panel_id", "left_anti")), weight=6, lambda_max=6, ci=6, cr=6)
 
 
+@query("f8_inconsistent_matrices", W + """s AS (SELECT s_suppkey, 1 + s_suppkey % 5 AS a, (1 + s_nationkey % 7) / 2 AS b, 2.0::DOUBLE ** (s_suppkey % 9 - 4) AS c FROM supplier), w AS (SELECT s_suppkey, (a * c) ** (1 / 3::DOUBLE) AS g0, (b / a) ** (1 / 3::DOUBLE) AS g1, (1 / (b * c)) ** (1 / 3::DOUBLE) AS g2, (c / (a * b)) ** (1 / 3::DOUBLE) AS k FROM s),
+x AS (SELECT s_suppkey, [g0, g1, g2] AS g, g0 + g1 + g2 AS total, 1 + k + 1 / k AS lam FROM w)
+SELECT s_suppkey AS panel_id, i::INT AS i, round(g[i + 1] / total, 6) AS weight, round(lam, 6) AS lambda_max, round((lam - 3) / 2, 6) AS ci, round((lam - 3) / 2 / 0.58, 6) AS cr, (lam - 3) / 2 / 0.58 <= 0.1 AS consistent FROM x, range(3) r(i)""")
+def _(spark, sf):
+    """A judgement matrix per supplier whose three judgements contradict each other more or less; of three rows the weights are the geometric means."""
+    k = F.col("s_suppkey")
+    v = {(0, 1): 1.0 + k % 5, (1, 2): (1.0 + F.col("s_nationkey") % 7) / 2, (0, 2): F.pow(F.lit(2.0), k % 9 - 4)}
+    cell = lambda i, j: F.lit(1.0) if i == j else v[i, j].cast("double") if i < j else 1 / v[j, i].cast("double")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), cell(i, j).alias("v")) for i in range(3) for j in range(3)]))
+    entries = table(spark, sf, "supplier").select(k.alias("panel_id"), cells.alias("x")).select("panel_id", "x.*")
+    return rounded(SC.ahp_weights(entries), weight=6, lambda_max=6, ci=6, cr=6)
+
+
 @query("f16_weight_sensitivity", W + SCORE_SQL + """, v(field, sign, wc, ww, wh) AS (VALUES ('base', 0, 0.5::DOUBLE, 0.25::DOUBLE, 0.25::DOUBLE), ('carbon', -1, 0.4 / 0.9, 0.25 / 0.9, 0.25 / 0.9), ('carbon', 1, 0.6 / 1.1, 0.25 / 1.1, 0.25 / 1.1), ('water', -1, 0.5 / 0.95, 0.2 / 0.95, 0.25 / 0.95), ('water', 1, 0.5 / 1.05, 0.3 / 1.05, 0.25 / 1.05), ('habitat', -1, 0.5 / 0.95, 0.25 / 0.95, 0.2 / 0.95), ('habitat', 1, 0.5 / 1.05, 0.25 / 1.05, 0.3 / 1.05)),
 x AS (SELECT unit_id, field, sign, nc * wc + nw * ww + nh * wh AS sc FROM scored, v), r AS (SELECT *, row_number() OVER (PARTITION BY field, sign ORDER BY sc DESC, unit_id) AS rk FROM x)
 SELECT a.field, a.sign, round(avg(abs(a.sc - b.sc)), 6) AS mean_change, round(max(abs(a.sc - b.sc)), 6) AS max_change, count(CASE WHEN a.rk <> b.rk THEN 1 END) AS rank_changes, max(abs(a.rk - b.rk)) AS max_shift FROM r a JOIN r b ON a.unit_id = b.unit_id AND b.sign = 0 WHERE a.sign <> 0 GROUP BY ALL""")
@@ -229,6 +260,36 @@ def _(spark, sf):
     return rounded(K.maximum_likelihood(px, px.filter("vec_id % 5 <> 0"), 4).drop("bands"), score=6)
 
 
+@query("f21_three_bands", W + PIXELS_SQL + """, m AS (SELECT label, avg(b1) m1, avg(b2) m2, avg(b3) m3, var_samp(b1) a, covar_samp(b1, b2) b, covar_samp(b1, b3) c, var_samp(b2) d, covar_samp(b2, b3) e, var_samp(b3) f FROM px WHERE vec_id % 5 <> 0 GROUP BY ALL),
+i AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM m),
+q AS (SELECT vec_id, px.label AS class, i.label AS p, -0.5 * ln(det) - 0.5 / det * ((d * f - e * e) * (b1 - m1) ** 2 + (a * f - c * c) * (b2 - m2) ** 2 + (a * d - b * b) * (b3 - m3) ** 2
+  + 2 * ((c * e - b * f) * (b1 - m1) * (b2 - m2) + (b * e - c * d) * (b1 - m1) * (b3 - m3) + (b * c - a * e) * (b2 - m2) * (b3 - m3))) AS score FROM px, i),
+k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, p DESC) AS n FROM q) SELECT vec_id, class, p AS predicted, round(score, 6) AS score FROM k WHERE n = 1""")
+def _(spark, sf):
+    px = pixels(spark, sf)
+    return rounded(K.maximum_likelihood(px, px.filter("vec_id % 5 <> 0"), 3).drop("bands"), score=6)
+
+
+def share_model(tensor):
+    """A scorer whose probabilities are the bands' shares of their sum, the k-th with 1 + k / 10 added."""
+    up = np.nan_to_num(tensor) + 1.0 + 0.1 * np.arange(1, len(tensor) + 1)[:, None, None]
+    return up / up.sum(axis=0)
+
+
+@query("f22_scored_patches", W + """cells AS (SELECT year(l_shipdate) AS layer_id, l_partkey // 10 AS "row", l_suppkey // 5 AS "col", [count(*), sum(l_linenumber) % 7, sum(l_orderkey) % 5]::DOUBLE[] AS b FROM lineitem GROUP BY ALL),
+g AS (SELECT layer_id, max("row") + 1 AS h, max("col") + 1 AS w FROM cells GROUP BY ALL), sr AS (SELECT DISTINCT layer_id, least(r, greatest(h - 8, 0)) AS pr FROM g, range(0, h + 4, 4) a(r)), sc AS (SELECT DISTINCT layer_id, least(c, greatest(w - 8, 0)) AS pc FROM g, range(0, w + 4, 4) b(c)),
+x AS (SELECT cells.*, "row" - pr AS i, "col" - pc AS j FROM cells JOIN sr ON sr.layer_id = cells.layer_id AND "row" - pr BETWEEN 0 AND 7 JOIN sc ON sc.layer_id = cells.layer_id AND "col" - pc BETWEEN 0 AND 7),
+p AS (SELECT layer_id, "row", "col", k AS class, (b[k] + 1 + 0.1 * k) / (b[1] + b[2] + b[3] + 3.6) AS p, greatest((0.5 - 0.5 * cos(2 * pi() * i / 7)) * (0.5 - 0.5 * cos(2 * pi() * j / 7)), 0.05) AS w FROM x, range(1, 4) r(k)),
+q AS (SELECT layer_id, "row", "col", class, round(sum(w * p) / sum(w), 9) AS p FROM p GROUP BY ALL), n AS (SELECT *, row_number() OVER (PARTITION BY layer_id, "row", "col" ORDER BY p DESC, class) AS n FROM q)
+SELECT layer_id, "row", "col", class::INT AS class, round(p, 6) AS confidence, CASE WHEN p < 0.47 THEN 1 ELSE 0 END AS low_confidence FROM n WHERE n = 1""")
+def _(spark, sf):
+    """Patches of every layer cut, scored as arrays by a model, and blended."""
+    cells = dated_stack(spark, sf, {"b1": "cast(count(*) as double)", "b2": "cast(sum(l_linenumber) % 7 as double)", "b3": "cast(sum(l_orderkey) % 5 as double)"}).withColumnRenamed("year", "layer_id")
+    layers = cells.groupBy("layer_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
+    scored = K.score_patches(K.cut_patches(cells, layers, 8, 4), share_model, 8, ["b1", "b2", "b3"], [1, 2, 3], ["layer_id"])
+    return rounded(K.blend_predictions(scored, 8, 0.47, ["layer_id"]), confidence=6)
+
+
 @query("f22_blended_prediction", W + """p AS (SELECT o_orderkey % 40 AS pr, o_custkey % 40 AS pc, (o_orderkey // 40) % 8 AS i, (o_custkey // 40) % 8 AS j, 1 + o_orderkey % 3 AS class, avg(o_totalprice) / 600000 AS p FROM orders GROUP BY ALL),
 w AS (SELECT pr + i AS "row", pc + j AS "col", class, p, greatest((0.5 - 0.5 * cos(2 * pi() * i / 7)) * (0.5 - 0.5 * cos(2 * pi() * j / 7)), 0.05) AS w FROM p), q AS (SELECT "row", "col", class, sum(w * p) / sum(w) AS p FROM w GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY "row", "col" ORDER BY p DESC, class) AS n FROM q)
 SELECT "row", "col", class, round(p, 6) AS confidence, CASE WHEN p < 0.25 THEN 1 ELSE 0 END AS low_confidence FROM k WHERE n = 1""")
@@ -415,6 +476,21 @@ def _(spark, sf):
     return out.select(F.col("props.name").alias("name"), "geom_type", Q.finite_coordinates(F.col("coordinates")).alias("finite"), "crs")
 
 
+@query("a4_large_vector_file", "SELECT row_number() OVER (ORDER BY p_partkey)::INT - 1 AS feature_id, p_name AS name, p_partkey::VARCHAR AS id, 'Point' AS geom_type, '[' || p_partkey || ',' || p_size || ']' AS coordinates, 'EPSG:32650' AS crs FROM part")
+def _(spark, sf):
+    """One document with a feature per part, read by many tasks."""
+    path = scratch(spark, "large_vector")
+    k = F.col("p_partkey").cast("string")
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(F.col("p_name").alias("name"), k.alias("id"))), F.lit(',"geometry":{"type":"Point","coordinates":['), k, F.lit(","), F.col("p_size").cast("string"), F.lit("]}}"))
+    ends = spark.createDataFrame([(-1, 0, '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"EPSG:32650"}},"features":['), (1, 0, "]}")], "part int, place long, value string")
+    body = table(spark, sf, "part").select(F.lit(0).alias("part"), F.col("p_partkey").alias("place"), feature.alias("value"))
+    first = body.agg(F.min("place").alias("_first"))
+    body = body.join(F.broadcast(first), F.lit(True)).select("part", "place", F.concat(F.when(F.col("place") > F.col("_first"), ",").otherwise(""), "value").alias("value"))
+    ends.unionByName(body).coalesce(1).sortWithinPartitions("part", "place").select("value").write.text(path)  # one document is one file
+    out = IO.read_features(spark, path)
+    return out.select("feature_id", F.col("props.name").alias("name"), F.col("props.id").alias("id"), "geom_type", "coordinates", "crs")
+
+
 @query("a5_roi_file", "SELECT CASE WHEN s_suppkey % 10 = 0 THEN 'unnamed' ELSE 'class ' || s_nationkey END AS class, sum(1 + s_suppkey % 3)::BIGINT AS polygons FROM supplier GROUP BY ALL")
 def _(spark, sf):
     path, k = scratch(spark, "roi"), F.col("s_suppkey")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +73,36 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     return f.select("feature_id", F.col("f.properties").alias("props"), F.col("f.geometry.type").alias("geom_type"), F.col("f.geometry.coordinates").alias("coordinates"), "crs")
 
 
+#: What stands before the value of a feature's type: the feature's opening brace, and an id if there is one.
+_FEATURE_HEAD = r'\{\s*(?:"id"\s*:\s*(?:"[^"]*"|[-+.0-9eE]+|null)\s*,\s*)?"type"\s*:\s*$'
+_CRS = r'"crs"\s*:\s*\{[^}]*?"name"\s*:\s*"([^"]*)"'
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_geojson``, for documents of any size: one file is read by many tasks, also if it is a single line.
+
+    The text is cut at the value ``"Feature"``, which every feature of RFC 7946 has once, so a row is what follows it up to the next feature's type. Features have to begin with their type, or with
+    id and type, as writers put them; elsewhere the value makes the query fail rather than lose a feature, and ``read_geojson`` takes such a document whole. Features are numbered
+    by file, from counts per block of the file and a window inside each.
+    """
+    rows = spark.read.option("lineSep", '"Feature"').text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    held = rows.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(F.regexp_extract("value", _CRS, 1), "_at").alias("_last"), F.min_by(F.regexp_extract("value", _CRS, 1), "_at").alias("_first")
+    )  # a row per block
+    before = Window.partitionBy("_file").orderBy("_block")
+    whole = Window.partitionBy("_file")
+    upto = F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    crs = F.coalesce(F.nullif(F.min_by("_first", "_block").over(whole), F.lit("")), F.nullif(F.max_by("_last", "_block").over(whole), F.lit("")))
+    held = held.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), upto.alias("_base"), F.sum("_n").over(whole).alias("_all"), crs.alias("crs"))
+    numbered = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at")))
+    numbered = numbered.join(held, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))).withColumn("_k", F.col("_base") + F.col("_i") - 1)
+    sound = (F.col("_k") == F.col("_all") - 1) | F.col("value").rlike(_FEATURE_HEAD)
+    wrong = F.raise_error(F.concat(F.lit("a feature that does not begin with its type, in "), F.col("_file"))).cast("boolean")
+    body = F.from_json(F.concat(F.lit('{"type":"Feature"'), "value"), "properties map<string,string>, geometry struct<type:string,coordinates:string>")  # what follows the feature is not read
+    out = numbered.filter(F.when(sound, F.col("_k") > 0).otherwise(wrong)).withColumn("_body", body)
+    return out.select((F.col("_k") - 1).cast("int").alias("feature_id"), F.col("_body.properties").alias("props"), F.col("_body.geometry.type").alias("geom_type"), F.col("_body.geometry.coordinates").alias("coordinates"), "crs")
+
+
 def read_roi_xml(spark: SparkSession, path: str) -> DataFrame:
     """``class, feature_id``: one sample per polygon of each region; regions without a name are numbered."""
     schema = "_name string, GeometryDef struct<Polygon:array<string>>"
@@ -106,13 +140,27 @@ def write_sidecar(spark: SparkSession, path: str, metadata: dict) -> None:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """``path, bytes, sha256`` of every file of a tree."""
+    """``path, bytes, sha256`` of every file of a tree. A file is one row of up to 2 GB, by its reader; empty files, which the reader passes by, come from its own listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    found = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    listed = spark.createDataFrame([(unquote(p).replace("file:///", "file:/"),) for p in files.inputFiles()], "path string")
+    return found.unionByName(listed.join(found, "path", "left_anti").select("path", F.lit(0).cast("long").alias("bytes"), F.lit(hashlib.sha256(b"").hexdigest()).alias("sha256")))
 
 
 def directory_digest(inventory: DataFrame, root: str) -> DataFrame:
-    """One digest of a tree from the ordered relative paths and digests of its files."""
+    """``sha256, files, bytes`` of a tree: SHA-256 over path and digest of every file, one after the other without separators, by the parts of their relative paths.
+
+    Such a hash is sequential by nature: the sorted lines go through one task as a stream, of which it holds a batch at a time.
+    """
     rel = F.col("path").substr(F.locate(root, F.col("path")) + len(root), F.length("path"))
-    lines = F.array_sort(F.collect_list(F.concat_ws("\0", rel, "sha256")))
-    return inventory.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("sha256"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    lines = inventory.select(F.regexp_replace(rel, "^/+", "").alias("rel"), "sha256", "bytes").repartition(1).sortWithinPartitions(F.replace("rel", F.lit("/"), F.lit("\0")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, files, total = hashlib.sha256(), 0, 0
+        for batch in batches:
+            for name, own, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                digest.update(name.encode("utf-8") + own.encode("ascii"))
+                files, total = files + 1, total + size
+        yield pa.RecordBatch.from_pydict({"sha256": [digest.hexdigest()], "files": pa.array([files], pa.int64()), "bytes": pa.array([total], pa.int64())})
+
+    return lines.mapInArrow(run, "sha256 string, files long, bytes long")
