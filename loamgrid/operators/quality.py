@@ -57,12 +57,14 @@ def _isclose(x: Column, y: Column, rel: float, absolute: Column | float) -> Colu
     return F.abs(x - y) <= F.greatest(F.lit(rel) * F.greatest(F.abs(x), F.abs(y)), absolute if isinstance(absolute, Column) else F.lit(absolute))
 
 
-def layer_violations(profiles: DataFrame, layers: DataFrame, master: str | None = None, datums: tuple[str | None, str | None] | None = None) -> DataFrame:
+def layer_violations(
+    profiles: DataFrame, layers: DataFrame, master: str | None = None, datums: tuple[str | None, str | None] | None = None, carbon: DataFrame | None = None, exact_codes: bool = False
+) -> DataFrame:
     """``subject, rule, severity`` of the preflight of layers.
 
     ``profiles``: ``zonal.layer_profile`` by ``layer_id``. ``layers``: layer_id with LAYER_FACTS and LAYER_REQUIREMENTS. ``kind``: lulc, continuous,
     subsidence_depth or other. Layers that must align are held against ``master``; ``datums``: of the elevation model and of the water level, for volumes.
-    A profile without its list of codes (too many to list) is a violation of a land-cover layer, not a pass.
+    ``carbon``: the carbon-density table, which has to be sound and to cover the codes of every land-cover layer (and, if ``exact_codes``, no others). A profile without its list of codes (too many to list) is a violation of a land-cover layer, not a pass.
     """
     types = LAYER_FACTS | LAYER_REQUIREMENTS
     own = {c.lower() for c in layers.columns}
@@ -105,7 +107,20 @@ def layer_violations(profiles: DataFrame, layers: DataFrame, master: str | None
     if datums is not None:
         dem, water = ((x or "").strip().lower() for x in datums)
         whole += [("table", "datum_declared", "error")] if not dem or not water else [("table", "datum", "error")] if dem != water else []
-    return out.unionByName(layers.sparkSession.createDataFrame(whole, "subject string, rule string, severity string"))
+    out = out.unionByName(layers.sparkSession.createDataFrame(whole, "subject string, rule string, severity string"))
+    return out if carbon is None else out.unionByName(_carbon_coverage(t.filter(F.coalesce(lulc, F.lit(False))), carbon, exact_codes))
+
+
+def _carbon_coverage(layers: DataFrame, carbon: DataFrame, exact: bool) -> DataFrame:
+    """Violations of the carbon table itself, and of each land-cover layer against its codes: missing ones are errors, codes of the table only warnings unless ``exact``; a layer whose codes are not listed is a warning."""
+    faults = carbon_table_violations(carbon).select(F.concat(F.lit("carbon density/"), F.col("subject").cast("string")).alias("subject"), "rule", F.lit("error").alias("severity"))
+    have = carbon.agg(F.collect_set(_number("lucode")).alias("have"))  # a row with one code per class
+    held = layers.join(F.broadcast(have), F.lit(True))
+    missing, extra = (F.size(F.array_except(a, b)) > 0 for a, b in (("codes", "have"), ("have", "codes")))
+    of = lambda rows, rule, severity: rows.select(F.col("layer_id").alias("subject"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"))
+    known = held.filter("codes IS NOT NULL")
+    out = of(known.filter(missing), "carbon_missing", "error").unionByName(of(known.filter(extra), "carbon_extra", "error" if exact else "warning"))
+    return faults.unionByName(out).unionByName(of(held.filter("codes IS NULL"), "carbon_unknown", "warning"))
 
 
 def finite_coordinates(coordinates: Column) -> Column:
@@ -254,7 +269,7 @@ def evidence_checks(reports: DataFrame) -> DataFrame:
     """``project, section, check, level`` of evidence ``project, section, body`` (JSON text): level 0 holds, 1 is pending, 2 fails.
 
     lulc: accuracy, F1, IoU and those of every class are finite and within 0..1. plus: figure of merit and every class likewise, and two seeds or more, each
-    with its figure (too few are pending, unless something else fails). invest: both totals (else pending) within the tolerance, 0.001 unless given; every other model's runs completed, with outputs and
+    with its figure (too few are pending, unless something else fails). invest: both totals (else pending) within the tolerance, 0.001 unless given (a given one has to be a number); models, if any, an object, and every other model's runs completed, with outputs and
     declared units. ecosystem: ranges [min, max] within 0..1, an AHP ratio of at most 0.1 under that method, a sensitivity summary. subsidence_water: what its mode asks for.
     """
     e = F.from_json("body", EVIDENCE_SCHEMA)
@@ -265,11 +280,15 @@ def evidence_checks(reports: DataFrame) -> DataFrame:
     four = lambda v: _unit(v["precision"]) & _unit(v["recall"]) & _unit(v["f1"]) & _unit(v["iou"])
     in_carbon = at("carbon").isNotNull()
     invest = lambda f: F.when(in_carbon, at(f"carbon.{f}")).otherwise(at(f))
-    told, own, bound = invest("workflow_total_t_c"), invest("independent_total_t_c"), F.coalesce(invest("relative_tolerance"), F.lit(0.001))
+    has = lambda text, key: F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
+    part = F.when(in_carbon, F.get_json_object("body", "$.carbon")).otherwise(F.col("body"))
+    told, own = invest("workflow_total_t_c"), invest("independent_total_t_c")
+    bound = F.when(has(part, "relative_tolerance"), invest("relative_tolerance")).otherwise(0.001)  # given but no number: null, which fails
     totals = F.coalesce(finite(told) & finite(own), F.lit(False))
     close = (bound >= 0) & (F.abs(told - own) / F.greatest(F.abs(own), F.lit(1e-12)) <= bound)
     runs = lambda m: F.when(m["scenarios"].isNotNull(), _every(m["scenarios"], _run_holds)).otherwise(_run_holds(m))
-    models = at("models").isNull() | F.forall(F.map_entries(at("models")), lambda x: (x["key"] == "carbon") | runs(x["value"]))
+    given = F.get_json_object("body", "$.models")
+    models = given.isNull() | F.json_object_keys(given).isNotNull() & F.forall(F.map_entries(at("models")), lambda x: (x["key"] == "carbon") | runs(x["value"]))
     ranges = _every(at("normalised_ranges"), lambda r: (F.size(r) == 2) & F.forall(r, _unit) & (F.get(r, F.lit(0)) <= F.get(r, F.lit(1))))
     ratio = F.coalesce(at("method") != "ahp", F.lit(True)) | F.coalesce(finite(at("ahp_consistency_ratio")) & (at("ahp_consistency_ratio") <= 0.1), F.lit(False))
     seeds, mode = at("seed_metrics"), at("mode")

@@ -37,12 +37,15 @@ def normalised(value: Column, low: float, high: float, direction: str) -> Column
     return (value - low) / (high - low) if direction == "benefit" else (high - value) / (high - low)
 
 
-def score_units(units: DataFrame, criteria: list[dict], bounds: dict | None = None) -> DataFrame:
+def score_units(units: DataFrame, criteria: list[dict], bounds: dict | None = None, fixed: bool = False) -> DataFrame:
     """Add ``value_<field>``, ``norm_<field>`` and ``clipped_<field>`` (out of fixed bounds) for every criterion, ``clipped`` (how many were) and ``score``.
 
-    ``criteria``: field, direction, weight. Weights are normalised to sum 1. ``bounds``: fixed ones by field, finite and in order; other fields take those of the units.
+    ``criteria``: field, direction, weight. Weights are normalised to sum 1. ``bounds``: fixed ones by field, finite and in order; other fields take those of the units, but where the reference is ``fixed`` every field needs bounds.
     """
     fields = [c["field"] for c in criteria]
+    lacking = [f for f in fields if f not in (bounds or {})]
+    if fixed and lacking:
+        raise ValueError(f"a fixed reference needs bounds of {lacking}")
     total = float(sum(c["weight"] for c in criteria))
     if any(not math.isfinite(c["weight"]) or c["weight"] < 0 for c in criteria) or total <= 0:
         raise ValueError("weights must be finite, not negative and not all zero")

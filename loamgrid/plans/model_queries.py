@@ -14,7 +14,7 @@ from loamgrid.operators import stats as ST
 from loamgrid.operators import zonal as Z
 from loamgrid.sources import tables as IO
 from loamgrid.plans.bindings import (
-    BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
+    SQL, BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
     biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, stable, stable_sql, table, units, values, year_of,
 )
 from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, year_grids
@@ -344,6 +344,20 @@ def _(spark, sf):
     return Q.layer_violations(Z.layer_profile(cells, ["layer_id"]), layers, "1996", ("H85", "H56"))
 
 
+@query("q3_carbon_coverage", W + cells_sql() + """, t AS (SELECT p_partkey, (CASE p_partkey % 9 WHEN 3 THEN 12 ELSE p_partkey % 9 END + CASE WHEN p_partkey % 40 = 0 THEN 0.5 ELSE 0 END)::DOUBLE AS c, CASE WHEN p_partkey % 30 = 0 THEN -1.0 ELSE 1.0 END AS v FROM part),
+g AS (SELECT year::VARCHAR AS layer_id, list(DISTINCT value::DOUBLE) AS codes FROM cells GROUP BY year), h AS (SELECT list(DISTINCT c) AS have FROM t)
+SELECT layer_id AS subject, 'carbon_missing' AS rule, 'error' AS severity FROM g, h WHERE len(list_filter(codes, lambda x: NOT list_contains(have, x))) > 0 UNION ALL SELECT layer_id, 'carbon_extra', 'warning' FROM g, h WHERE len(list_filter(have, lambda x: NOT list_contains(codes, x))) > 0
+UNION ALL SELECT 'carbon density/' || c::VARCHAR, 'integer_code', 'error' FROM t WHERE c <> floor(c) UNION ALL SELECT 'carbon density/' || c::VARCHAR, 'c_above_not_negative', 'error' FROM t WHERE v < 0 UNION ALL SELECT 'carbon density/' || c::VARCHAR, 'unique_code', 'error' FROM t GROUP BY c HAVING count(*) > 1""")
+def _(spark, sf):
+    """The preflight of every layer with a carbon table that lacks a code, has others, and is faulty in itself."""
+    k = F.col("p_partkey")
+    code = (F.when(k % 9 == 3, 12).otherwise(k % 9) + F.when(k % 40 == 0, 0.5).otherwise(0.0)).cast("double")
+    t = table(spark, sf, "part").select(code.alias("lucode"), F.when(k % 30 == 0, -1.0).otherwise(1.0).alias("c_above"), *[F.lit(1.0).alias(c) for c in ("c_below", "c_soil", "c_dead")])
+    cells = dated_cells(spark, sf).select(F.col("year").cast("string").alias("layer_id"), F.col("value").cast("double").alias("value"))
+    layers = year_grids(spark, sf).withColumns({"kind": F.lit("lulc")})
+    return Q.layer_violations(Z.layer_profile(cells, ["layer_id"]), layers, carbon=t)
+
+
 @query("q4_habitat_tables", W + cells_sql() + """, t AS (SELECT n_name AS threat, n_nationkey % 4 * 100.0 AS reach, CASE n_nationkey % 3 WHEN 0 THEN 'linear' WHEN 1 THEN 'exponential' ELSE 'step' END AS decay FROM nation)
 SELECT threat AS subject, 'max_dist' AS rule FROM t WHERE reach <= 0 UNION ALL SELECT threat, 'decay' FROM t WHERE decay = 'step' UNION ALL SELECT threat, 'threat_column' FROM t WHERE threat NOT IN (SELECT n_name FROM nation WHERE n_nationkey < 20)
 UNION ALL SELECT k || '/' || n_name, 'sensitivity' FROM nation, range(1, 6) r(k) WHERE n_nationkey < 20 AND (n_nationkey + k) / 20.0 > 1 UNION ALL SELECT DISTINCT value::VARCHAR, 'code_covered' FROM cells WHERE value > 5""")
@@ -504,15 +518,15 @@ def _(spark, sf):
     return roi.groupBy(named.alias("class")).agg(F.count(F.lit(1)).alias("polygons"))
 
 
-@query("a7_evidence_files", "SELECT n_name AS project, n_nationkey % 5 <> 0 AND n_nationkey % 7 <> 0 AS completed FROM nation")
+@query("a7_evidence_files", "SELECT project, section, status = 'completed' AS completed FROM (" + SQL["q9_evidence_gate"] + ")")
 def _(spark, sf):
-    """Reports as files of a tree, assembled by pattern and put to the gate."""
+    """Reports of all sections as files of a tree, assembled by pattern and put to the gate."""
     path = scratch(spark, "evidence")
-    docs = evidence(spark, sf).filter("section = 'lulc'").select("project", F.col("body").alias("value"))
-    docs.repartition("project").write.partitionBy("project").text(path)
-    found = IO.assemble_evidence(spark, path, {"lulc": [r"\\.json$", r"part-[^/]*$"]}, per_folder=True)
-    project = F.regexp_extract(F.url_decode("folder"), "project=([^/]*)$", 1)
-    return Q.evidence_gate(found.select(project.alias("project"), "section", "body")).select("project", (F.col("status") == "completed").alias("completed"))
+    docs = evidence(spark, sf).select("project", F.col("section").alias("part"), F.col("body").alias("value"))
+    docs.repartition("project").write.partitionBy("project", "part").text(path)
+    found = IO.assemble_evidence(spark, path, {s: [rf"part={s}/.*\\.json$", rf"part={s}/part-[^/]*$"] for s in ("lulc", "plus", "invest", "ecosystem", "subsidence_water")}, per_folder=True)
+    project = F.regexp_extract(F.url_decode("folder"), "project=([^/]*)/", 1)
+    return Q.evidence_gate(found.select(project.alias("project"), "section", "body")).select("project", "section", (F.col("status") == "completed").alias("completed"))
 
 
 @query("a12_a13_a15_manifest", "SELECT 2 AS files, true AS same_digest, count(DISTINCT s_suppkey) AS units, true AS digests FROM supplier")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loamgrid.functions import scalars as S
 from loamgrid.operators import blocks as BL
 from loamgrid.operators import classify as K
+from loamgrid.operators import quality as Q
 from loamgrid.operators import ranking as RK
 from loamgrid.operators import regrid as R
 from loamgrid.operators import score as SC
@@ -222,3 +223,22 @@ def test_digest_of_a_nested_tree(spark, tmp_path):
         total += child.stat().st_size
     out = T.directory_digest(T.file_inventory(spark, str(root)), str(root)).first()
     assert (out["sha256"], out["files"], out["bytes"]) == (digest.hexdigest(), 6, total)
+
+
+def test_a_fixed_reference_needs_all_bounds(spark):
+    u = spark.createDataFrame([("A", 1.0, 2.0), ("B", 5.0, 9.0)], "unit_id string, c double, w double")
+    crit = [{"field": "c", "weight": 1}, {"field": "w", "weight": 3}]
+    with pytest.raises(ValueError, match="fixed reference"):
+        SC.score_units(u, crit, {"c": (0, 4)}, fixed=True)
+    assert SC.score_units(u, crit, {"c": (0, 4), "w": (0, 10)}, fixed=True).count() == 2
+
+
+def test_tolerance_and_models_of_the_evidence(spark):
+    totals = '"workflow_total_t_c": 100.0, "independent_total_t_c": 100.01'
+    bodies = {
+        "plain": f"{{{totals}}}", "wide": f'{{{totals}, "relative_tolerance": 0.5}}', "text": f'{{{totals}, "relative_tolerance": "x"}}', "null": f'{{{totals}, "relative_tolerance": null}}',
+        "inner": f'{{"carbon": {{{totals}, "relative_tolerance": []}}}}', "outer": f'{{"carbon": {{{totals}}}, "relative_tolerance": "x"}}', "list": f'{{{totals}, "models": [1]}}', "none": f'{{{totals}, "models": null}}', "object": f'{{{totals}, "models": {{"carbon": {{}}}}}}',
+    }
+    df = spark.createDataFrame([(k, "invest", v) for k, v in bodies.items()], "project string, section string, body string")
+    got = {r["project"]: r["status"] for r in Q.evidence_gate(df).collect()}
+    assert got == {k: "failed" if k in ("text", "null", "inner", "list") else "completed" for k in bodies}
