@@ -22,6 +22,13 @@ def stack_layers(layers: dict[str, DataFrame], key: list[str] = KEY) -> DataFram
     return out
 
 
+def stack_dates(cells: DataFrame, dates: dict[str, object], date: str = "year", key: list[str] = KEY) -> DataFrame:
+    """As ``stack_layers``, for layers of one table that differ by ``date``: a column per name of ``dates``, of the cells that have a value at all of them. One scan and one shuffle, no join."""
+    at = lambda d: F.max(F.when(F.col(date) == F.lit(d), F.col("value")))
+    wide = cells.filter(F.col(date).isin(*dates.values())).groupBy(*key).agg(*[at(d).alias(name) for name, d in dates.items()])
+    return wide.dropna(subset=list(dates))
+
+
 def grid_mismatches(grids: DataFrame, reference: str, tolerance: float | None = None) -> DataFrame:
     """Fields in which a layer's grid differs from the reference layer's; no rows means aligned.
 

@@ -29,6 +29,12 @@ def _named(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def transition_matrix(before: DataFrame, after: DataFrame, classes: DataFrame, cell_ha: float, key=("row", "col")) -> DataFrame:
     """``source_code, source, target_code, target, pixel_count, area_ha`` over the cells that both layers have."""
     both = before.select(*key, F.col("value").alias("source_code")).join(after.select(*key, F.col("value").alias("target_code")), list(key))
+    return stack_transitions(both, "source_code", "target_code", classes, cell_ha)
+
+
+def stack_transitions(stack: DataFrame, before: str, after: str, classes: DataFrame, cell_ha: float) -> DataFrame:
+    """As ``transition_matrix``, from two columns of a stack (see ``cells.stack_dates``)."""
+    both = stack.select(F.col(before).alias("source_code"), F.col(after).alias("target_code"))
     counts = both.groupBy("source_code", "target_code").agg(F.count(F.lit(1)).alias("pixel_count"))
     out = _named(counts.withColumn("area_ha", F.col("pixel_count") * cell_ha), classes)
     return out.select("source_code", "source", "target_code", "target", "pixel_count", "area_ha")

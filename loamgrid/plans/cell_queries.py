@@ -138,8 +138,7 @@ def _(spark, sf):
 
 @query("c1_cell_join", W + cells_sql() + """ SELECT "row", "col", a.value AS y1996, b.value AS y1997, c.value AS y1998 FROM (FROM cells WHERE year = 1996) a JOIN (FROM cells WHERE year = 1997) b USING ("row", "col") JOIN (FROM cells WHERE year = 1998) c USING ("row", "col")""")
 def _(spark, sf):
-    cells = dated_cells(spark, sf)
-    return C.stack_layers({f"y{y}": year_of(cells, y) for y in (1996, 1997, 1998)})
+    return C.stack_dates(dated_cells(spark, sf), {f"y{y}": y for y in (1996, 1997, 1998)})
 
 
 def year_grids(spark, sf):
@@ -257,14 +256,13 @@ tr AS (SELECT a.value AS source_code, n1.name AS source, b.value AS target_code,
 
 @query("d2_transition_matrix", W + TRANSITION_SQL + " SELECT *, round(pixel_count * 0.09::DOUBLE, 6) AS area_ha FROM tr")
 def _(spark, sf):
-    cells = dated_cells(spark, sf)
-    return CH.transition_matrix(year_of(cells, 1996), year_of(cells, 1999), scheme(spark), CELL_HA).withColumn("area_ha", F.round("area_ha", 6))
+    stack = C.stack_dates(dated_cells(spark, sf), {"before": 1996, "after": 1999})
+    return CH.stack_transitions(stack, "before", "after", scheme(spark), CELL_HA).withColumn("area_ha", F.round("area_ha", 6))
 
 
 @query("d3_combine_layers", W + cells_sql() + """ SELECT a.value AS y1996, b.value AS y1997, c.value AS y1998, count(*) AS "count", round(count(*) * 0.09::DOUBLE, 6) AS area_ha FROM cells a JOIN cells b USING ("row", "col") JOIN cells c USING ("row", "col") WHERE a.year = 1996 AND b.year = 1997 AND c.year = 1998 GROUP BY ALL""")
 def _(spark, sf):
-    cells = dated_cells(spark, sf)
-    stack = C.stack_layers({f"y{y}": year_of(cells, y) for y in (1996, 1997, 1998)})
+    stack = C.stack_dates(dated_cells(spark, sf), {f"y{y}": y for y in (1996, 1997, 1998)})
     return CH.combine_layers(stack, ["y1996", "y1997", "y1998"], CELL_HA).withColumn("area_ha", F.round("area_ha", 6))
 
 
@@ -312,9 +310,10 @@ fo AS (SELECT seed, hits, changed, CASE WHEN changed = 0 THEN 1.0 ELSE hits / ch
 
 def backcasts(spark, sf):
     cells = dated_cells(spark, sf)
-    base = C.stack_layers({"baseline": year_of(cells, 1995), "observed": year_of(cells, 1996)})
-    seeds = cells.filter("year IN (1997, 1998, 1999)").select("row", "col", F.col("year").alias("seed"), F.col("value").alias("predicted"))
-    return base.join(seeds, ["row", "col"])
+    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
+    runs = F.collect_list(F.when(F.col("year").isin(1997, 1998, 1999), F.struct(F.col("year").alias("seed"), F.col("value").alias("predicted"))))  # three at most
+    wide = cells.filter("year BETWEEN 1995 AND 1999").groupBy("row", "col").agg(at(1995).alias("baseline"), at(1996).alias("observed"), runs.alias("runs"))
+    return wide.filter("baseline IS NOT NULL AND observed IS NOT NULL").select("row", "col", "baseline", "observed", F.explode("runs").alias("r")).select("row", "col", "baseline", "observed", "r.*")
 
 
 def merit(spark, sf):
@@ -339,7 +338,7 @@ def _(spark, sf):
 SELECT count(*) AS common, round(sum(x), 2) AS total_a, round(sum(y), 2) AS total_b, round(sqrt(avg((x - y) * (x - y))), 4) AS rmse, round(max(abs(x - y)), 4) AS max_abs_difference, round(abs(sum(x) - sum(y)) / greatest(abs(sum(y)), 1e-12), 6) AS relative_difference, abs(sum(x) - sum(y)) / greatest(abs(sum(y)), 1e-12) <= 0.001 AS passed FROM s""")
 def _(spark, sf):
     cells = dated_cells(spark, sf, PRICE)
-    out = CH.layer_consistency(C.stack_layers({"a": year_of(cells, 1996), "b": year_of(cells, 1997)}), "a", "b", 0.001)
+    out = CH.layer_consistency(C.stack_dates(cells, {"a": 1996, "b": 1997}), "a", "b", 0.001)
     return out.withColumns({c: F.round(c, d) for c, d in (("total_a", 2), ("total_b", 2), ("rmse", 4), ("max_abs_difference", 4), ("relative_difference", 6))})
 
 
