@@ -23,18 +23,48 @@ from loamgrid.llm.common import map_texts, read_documents
 
 #: Label by phrase, found exactly.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Short notices by label, found with errors.
+#: Short notices of public licenses by label, found with errors (fixed values).
 NOTICES = {
-    "apache": ("licensed under the apache license version 2 0", "apache software license version"),
-    "mit": ("released under the mit license", "licensed under the mit license", "permission is hereby granted free of charge to any person obtaining a copy"),
-    "bsd": ("redistribution and use in source and binary forms with or without modification are permitted", "released under the bsd license"),
-    "gpl": ("licensed under the gnu general public license", "free software foundation either version"),
-    "lgpl": ("gnu lesser general public license",),
-    "mpl": ("subject to the terms of the mozilla public license",),
-    "cc-by": ("creative commons attribution license", "creative commons attribution 4 0 international"),
-    "cc-by-nc": ("licensed under cc by nc 4 0", "creative commons attribution noncommercial"),
-    "reserved": ("all rights reserved",),
-    "public-domain": ("released into the public domain", "dedicated to the public domain"),
+    "agpl": ("gnu affero general public license", "licensed under the affero gpl version 3", "if your software can interact with users remotely through a computer network"),
+    "apache": ("licensed under the apache license version 2 0", "apache software license version", "distributed on an as is basis without warranties or conditions of any kind", "you may not use this file except in compliance with the license"),
+    "artistic": ("licensed under the artistic license 2 0", "same terms as perl itself", "perl artistic license version"),
+    "bsd": (
+        "redistribution and use in source and binary forms with or without modification are permitted", "released under the bsd license", "redistributions of source code must retain the above copyright notice",
+        "redistributions in binary form must reproduce the above copyright notice", "licensed under the 3 clause bsd license", "licensed under the bsd 2 clause license",
+        "neither the name of the copyright holder nor the names of its contributors may be used",
+    ),
+    "boost": ("distributed under the boost software license version 1 0", "boost software license version 1 0"),
+    "cc-by": ("creative commons attribution license", "creative commons attribution 4 0 international", "licensed under a creative commons attribution 3 0 unported license", "creativecommons org licenses by 4 0"),
+    "cc-by-nc": ("licensed under cc by nc 4 0", "creative commons attribution noncommercial", "creativecommons org licenses by nc 4 0"),
+    "cc-by-nc-nd": ("creative commons attribution noncommercial noderivatives", "creativecommons org licenses by nc nd"),
+    "cc-by-nc-sa": ("creative commons attribution noncommercial sharealike", "creativecommons org licenses by nc sa"),
+    "cc-by-nd": ("creative commons attribution noderivatives", "creativecommons org licenses by nd"),
+    "cc-by-sa": ("creative commons attribution sharealike", "text is available under the creative commons attribution share alike license", "creativecommons org licenses by sa"),
+    "cc0": ("cc0 1 0 universal public domain dedication", "creativecommons org publicdomain zero 1 0", "has waived all copyright and related or neighboring rights"),
+    "cddl": ("common development and distribution license", "subject to the terms of the cddl version 1 0"),
+    "epl": ("made available under the terms of the eclipse public license", "eclipse public license version 2 0"),
+    "eupl": ("licensed under the european union public licence", "european union public license version 1 2"),
+    "gfdl": ("gnu free documentation license", "permission is granted to copy distribute and or modify this document"),
+    "gpl": ("licensed under the gnu general public license", "free software foundation either version", "this program is free software you can redistribute it and or modify", "without even the implied warranty of merchantability or fitness for a particular purpose"),
+    "isc": ("permission to use copy modify and or distribute this software for any purpose", "released under the isc license"),
+    "lgpl": ("gnu lesser general public license", "gnu library general public license", "released under the lgpl version 2 1 or later"),
+    "mit": (
+        "released under the mit license", "licensed under the mit license", "permission is hereby granted free of charge to any person obtaining a copy", "the software is provided as is without warranty of any kind",
+        "the above copyright notice and this permission notice shall be included in all copies", "distributed under the terms of the mit license",
+    ),
+    "mpl": ("subject to the terms of the mozilla public license", "mozilla public license version 2 0", "if a copy of the mpl was not distributed with this file"),
+    "ms-pl": ("licensed under the microsoft public license", "microsoft public license ms pl"),
+    "odbl": ("open data commons open database license", "made available under the open database license", "opendatacommons org licenses odbl"),
+    "ofl": ("licensed under the sil open font license version 1 1", "reserved font name this font software is licensed"),
+    "ogl": ("licensed under the open government licence", "contains public sector information licensed under"),
+    "pddl": ("open data commons public domain dedication and license",),
+    "postgresql": ("released under the postgresql license",),
+    "psf": ("python software foundation license version 2", "licensed under the psf license agreement"),
+    "public-domain": ("released into the public domain", "dedicated to the public domain", "this work is in the public domain"),
+    "reserved": ("all rights reserved", "no part of this publication may be reproduced", "unauthorized copying of this file via any medium is strictly prohibited"),
+    "unlicense": ("this is free and unencumbered software released into the public domain", "unlicense org"),
+    "wtfpl": ("do what the fuck you want to public license",),
+    "zlib": ("altered source versions must be plainly marked as such", "released under the zlib license", "the origin of this software must not be misrepresented"),
 }
 ERROR_CHARS = 15
 #: Lower-cases A-Z and turns every ASCII byte that is no word character into a space.
