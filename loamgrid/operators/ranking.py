@@ -14,10 +14,15 @@ RANK_SLICES = 200
 SLICE_ROWS, SAMPLE_ROWS, MOST_SLICES = 50_000, 20, 2_000
 
 
-def cuts(rows: DataFrame, value: str, slices: int = RANK_SLICES) -> list[float]:
-    """At most ``slices`` numbers that cut the values into slices of about equal size."""
+def cuts_of(rows: DataFrame, values: list[str], slices: int = RANK_SLICES) -> dict[str, list[float]]:
+    """Per value at most ``slices`` numbers that cut it into slices of about equal size, from one aggregate."""
     grid = [i / slices for i in range(1, slices)]
-    return sorted(set(rows.agg(F.percentile_approx(value, grid, 10_000)).first()[0] or []))
+    found = rows.agg(*[F.percentile_approx(v, grid, 10_000).alias(v) for v in values]).first()
+    return {v: sorted(set(found[v] or [])) for v in values}
+
+
+def cuts(rows: DataFrame, value: str, slices: int = RANK_SLICES) -> list[float]:
+    return cuts_of(rows, [value], slices)[value]
 
 
 def slice_of(value: Column, at: list[float]) -> Column:

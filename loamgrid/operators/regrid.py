@@ -42,14 +42,14 @@ def _weights(method: str):
     return [-1, 0, 1, 2], lambda t: F.when(x(t) <= 1, near(t)).when(x(t) < 2, far(t)).otherwise(0.0)
 
 
-def continuous_regrid(cells: DataFrame, targets: DataFrame, ratio: float, method: str = "bilinear", least_weight: float = 1e-9) -> DataFrame:
-    """Values at the target cells' centres from nearest, bilinear or cubic neighbours; weights are renormalised over valid ones.
+def continuous_regrid(cells: DataFrame, targets: DataFrame, ratio: float, method: str = "bilinear", least_weight: float = 1e-9, by: list[str] = []) -> DataFrame:
+    """Values at the target cells' centres from nearest, bilinear or cubic neighbours, in every layer ``by``; weights are renormalised over valid ones.
 
     ``ratio`` is target cell size over source cell size, of grids with one origin. Targets whose valid weights add up to
     ``least_weight`` or less (cubic weights can cancel out beside NoData) are left out.
     """
     at = lambda c: (F.col(c) + 0.5) * ratio
-    return _resampled(cells, targets.select(*KEY, at("row").alias("_y"), at("col").alias("_x")), method, [], least_weight)
+    return _resampled(cells, targets.select(*KEY, at("row").alias("_y"), at("col").alias("_x")), method, by, least_weight)
 
 
 def _resampled(cells: DataFrame, placed: DataFrame, method: str, by: list[str], least_weight: float) -> DataFrame:
@@ -119,17 +119,17 @@ def majority_to_grid(cells: DataFrame, source: dict[str, float], master: dict[st
     return shares.groupBy(*by, *KEY).agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("value"))
 
 
-def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 16) -> DataFrame:
-    """Exact Euclidean distance of every cell to the nearest cell with ``is_source``; null if there is none.
+def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 16, by: list[str] = []) -> DataFrame:
+    """Exact Euclidean distance of every cell to the nearest cell with ``is_source`` of its layer ``by``; null if there is none.
 
     First the nearest source in the same column (two window passes), then the least of squared gap plus squared column distance along each row (``row_minima``: width times its logarithm).
     A task holds ``rows_at_once`` rows.
     """
-    up = Window.partitionBy("col").orderBy("row")
-    down = Window.partitionBy("col").orderBy(F.col("row").desc())
+    up = Window.partitionBy(*by, "col").orderBy("row")
+    down = Window.partitionBy(*by, "col").orderBy(F.col("row").desc())
     at = F.when(F.col("is_source"), F.col("row"))
     gap = cells.withColumn("_a", F.last(at, ignorenulls=True).over(up)).withColumn("_b", F.last(at, ignorenulls=True).over(down))
-    gap = gap.select(*KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("long").alias("gap"), F.floor(F.col("row") / rows_at_once).alias("_rows"))
+    gap = gap.select(*by, *KEY, F.least(F.col("row") - F.col("_a"), F.col("_b") - F.col("row")).cast("long").alias("gap"), F.floor(F.col("row") / rows_at_once).alias("_rows"))
 
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
         r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
@@ -144,15 +144,15 @@ def distance_to_sources(cells: DataFrame, pixel: float, rows_at_once: int = 16)
             least = np.concatenate([row_minima(base[k : k + chunk], np.broadcast_to(at, base[k : k + chunk].shape), at, width, 0, width) for k in range(0, len(base), chunk)])
             d2 = least[r, c] // width
             distance = np.where(d2 < far, np.sqrt(d2) * pixel, np.nan)
-        return pdf[KEY].assign(distance=distance)
+        return pdf[[*by, *KEY]].assign(distance=distance)
 
-    kinds = ", ".join(f"{c} {gap.schema[c].dataType.simpleString()}" for c in KEY)
-    out = gap.groupBy("_rows").applyInPandas(sweep, f"{kinds}, distance double")
+    kinds = ", ".join(f"{c} {gap.schema[c].dataType.simpleString()}" for c in [*by, *KEY])
+    out = gap.groupBy(*by, "_rows").applyInPandas(sweep, f"{kinds}, distance double")
     return out.withColumn("distance", F.nanvl("distance", F.lit(None).cast("double")))
 
 
-def slope_aspect(dem: DataFrame, cell: float) -> DataFrame:
-    """Slope in degrees and compass aspect (-1 if flat) from Horn's 3 x 3 gradients; cells with all nine neighbours only.
+def slope_aspect(dem: DataFrame, cell: float, by: list[str] = []) -> DataFrame:
+    """Slope in degrees and compass aspect (-1 if flat) from Horn's 3 x 3 gradients, in every layer ``by``; cells with all nine neighbours only.
 
     Every cell is sent to its nine neighbours with its two weights: one shuffle.
     """
@@ -161,14 +161,14 @@ def slope_aspect(dem: DataFrame, cell: float) -> DataFrame:
     # seen from the receiving cell, this one lies at (-i, -j)
     x_weight = -F.col("_o.j") * F.when(F.col("_o.i") == 0, 2).otherwise(1)
     y_weight = -F.col("_o.i") * F.when(F.col("_o.j") == 0, 2).otherwise(1)
-    g = sent.groupBy((F.col("row") + F.col("_o.i")).alias("row"), (F.col("col") + F.col("_o.j")).alias("col")).agg(
+    g = sent.groupBy(*by, (F.col("row") + F.col("_o.i")).alias("row"), (F.col("col") + F.col("_o.j")).alias("col")).agg(
         F.count(F.lit(1)).alias("n"), (F.sum(F.col("value") * x_weight) / (8 * cell)).alias("dx"), (F.sum(F.col("value") * y_weight) / (8 * cell)).alias("dy")
     )
     slope = F.degrees(F.atan(F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))))
     angle = F.degrees(F.atan2(F.col("dy"), -F.col("dx")))
     compass = F.when(angle < 0, 90 - angle).when(angle > 90, 450 - angle).otherwise(90 - angle)
     flat = (F.col("dx") == 0) & (F.col("dy") == 0)
-    return g.filter("n = 9").select(*KEY, slope.alias("slope"), F.when(flat, -1.0).otherwise(compass).alias("aspect"))
+    return g.filter("n = 9").select(*by, *KEY, slope.alias("slope"), F.when(flat, -1.0).otherwise(compass).alias("aspect"))
 
 
 def depth_surface(points: DataFrame, grid: dict[str, float], scope: DataFrame | None, max_distance: float | None) -> DataFrame:

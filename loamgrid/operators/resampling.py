@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.operators.ranking import slice_of
+from loamgrid.operators.ranking import cuts_of, slice_of
 
 #: Slices of a value: up to SLICES**2 joint counts of two values come to the driver.
 SLICES = 128
@@ -82,9 +82,8 @@ class Joint:
 def joints(rows: DataFrame, pairs: list[tuple[str, str]], slices: int = SLICES) -> list[Joint]:
     """The joint counts of each pair of columns, over rows that have both values; one job for all cuts and one for all counts."""
     fields = sorted({f for p in pairs for f in p})
-    grid = [i / slices for i in range(1, slices)]
-    found = rows.agg(*[F.percentile_approx(F.col(f).cast("double"), grid, 10_000).alias(f) for f in fields]).first()
-    at = {f: F.when(F.col(f).isNotNull(), slice_of(F.col(f).cast("double"), sorted(set(found[f] or [])))) for f in fields}
+    edges = cuts_of(rows.select(*[F.col(f).cast("double").alias(f) for f in fields]), fields, slices)
+    at = {f: F.when(F.col(f).isNotNull(), slice_of(F.col(f).cast("double"), edges[f])) for f in fields}
     both = F.explode(F.array(*[F.struct(F.lit(i).alias("pair"), at[a].alias("s"), at[b].alias("t")) for i, (a, b) in enumerate(pairs)]))
     counts = rows.select(both.alias("x")).select("x.*").filter("s IS NOT NULL AND t IS NOT NULL").groupBy("pair", "s", "t").agg(F.count(F.lit(1)).alias("n"))
     held = sorted(counts.collect())  # slices**2 rows a pair at most

@@ -11,15 +11,15 @@ from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import centre_x, centre_y, finite, systematic
 from loamgrid.operators.cells import stack_layers
-from loamgrid.operators.ranking import cuts, ordinal, quantiles, slice_of, smallest_from
+from loamgrid.operators.ranking import cuts, cuts_of, ordinal, quantiles, slice_of, smallest_from
 from loamgrid.operators.resampling import SLICES, Joint, joints, permuted_correlations, resampled_rhos, stratum_sums
 
 
-def average_ranks(rows: DataFrame, value: str, out: str = "rank") -> DataFrame:
-    """Add the average rank of ``value`` (ties share the mean rank; values count as tied if equal to 12 decimals)."""
+def average_ranks(rows: DataFrame, value: str, out: str = "rank", edges: list[float] | None = None) -> DataFrame:
+    """Add the average rank of ``value`` (ties share the mean rank; values count as tied if equal to 12 decimals). ``edges`` cut the values into slices; by default they are taken from them."""
     tied = rows.withColumn("_v", F.round(F.col(value).cast("double"), 12))
     counts = tied.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).filter("_v IS NOT NULL")
-    return tied.join(_ranks_of_counts(counts, [], cuts(counts, "_v"), out), "_v", "left").drop("_v")
+    return tied.join(_ranks_of_counts(counts, [], cuts(counts, "_v") if edges is None else edges, out), "_v", "left").drop("_v")
 
 
 def _ranks_of_counts(counts: DataFrame, by: list[str], edges: list[float], out: str) -> DataFrame:
@@ -38,9 +38,9 @@ def _ranks_of_counts(counts: DataFrame, by: list[str], edges: list[float], out:
 
 def spearman(units: DataFrame, fields: list[str]) -> DataFrame:
     """``field_a, field_b, rho, n, relation`` for every pair of fields, from one aggregate over the ranked table."""
-    ranked = units
+    ranked, edges = units, cuts_of(_tied(units, fields), fields)
     for f in fields:
-        ranked = average_ranks(ranked, f, f"_rank_{f}")
+        ranked = average_ranks(ranked, f, f"_rank_{f}", edges[f])
     pairs = list(combinations(fields, 2))
     row = ranked.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.struct(F.lit(a).alias("field_a"), F.lit(b).alias("field_b"), F.corr(f"_rank_{a}", f"_rank_{b}").alias("rho")) for a, b in pairs]).alias("p"))
     out = row.select("n", F.explode("p").alias("p")).select("p.field_a", "p.field_b", F.when(~F.isnan("p.rho"), F.col("p.rho")).alias("rho"), "n")

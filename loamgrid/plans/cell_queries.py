@@ -188,10 +188,9 @@ def _(spark, sf):
     return C.nearest_fill(year_of(cells, 1997), year_of(cells, 1998), 60.0, 30.0)
 
 
-@query("c9_polygon_mask", W + cells_sql() + f""" SELECT n_nationkey AS feature_id, c."row", c."col", c.value FROM cells c JOIN nation ON {POLYGON_TEST} WHERE c.year = 1997""")
+@query("c9_polygon_mask", W + cells_sql() + f""" SELECT n_nationkey AS feature_id, c.year, c."row", c."col", c.value FROM cells c JOIN nation ON {POLYGON_TEST}""")
 def _(spark, sf):
-    cells = year_of(dated_cells(spark, sf), 1997)
-    return C.cells_in_polygons(cells, polygons(spark, sf), F.col("col") + 0.5, F.col("row") + 0.5, 32.0).select("feature_id", "row", "col", "value")
+    return C.cells_in_polygons(dated_cells(spark, sf), polygons(spark, sf), F.col("col") + 0.5, F.col("row") + 0.5, 32.0).select("feature_id", "year", "row", "col", "value")
 
 
 @query("c10_sample_overlap", "WITH g AS (SELECT event_id, user_id % 50 AS x, length(event_type) AS y FROM events) SELECT event_id FROM g WHERE event_id % 2 = 0 AND (x, y) IN (SELECT (x, y) FROM g WHERE event_id % 2 = 1)")
@@ -233,12 +232,13 @@ def dense(spark, sf):
     return rows.select("row", F.explode(F.sequence(F.lit(0).cast("long"), "c")).alias("col"))
 
 
-@query("c11_source_distance", W + cells_sql() + ", " + DENSE_SQL + """, src AS (SELECT DISTINCT "row", "col" FROM cells WHERE year = 1997 AND value = 4)
-SELECT g."row", g."col", round(30 * sqrt(min((g."row" - src."row") ** 2 + (g."col" - src."col") ** 2)), 6) AS distance FROM g, src GROUP BY ALL""")
+@query("c11_source_distance", W + cells_sql() + ", " + DENSE_SQL + """, src AS (SELECT DISTINCT year, "row", "col" FROM cells WHERE value = 4)
+SELECT year, g."row", g."col", round(30 * sqrt(min((g."row" - src."row") ** 2 + (g."col" - src."col") ** 2)), 6) AS distance FROM g, src GROUP BY ALL""")
 def _(spark, sf):
-    src = year_of(dated_cells(spark, sf), 1997).filter("value = 4").select("row", "col", F.lit(True).alias("is_source"))
-    cells = dense(spark, sf).join(src, ["row", "col"], "left").fillna(False, ["is_source"])
-    return R.distance_to_sources(cells, 30.0).withColumn("distance", F.round("distance", 6))
+    """Every year's distance of every cell of the grid."""
+    src = dated_cells(spark, sf).filter("value = 4").select("year", "row", "col", F.lit(True).alias("is_source"))
+    cells = dense(spark, sf).join(F.broadcast(src.select("year").distinct()), F.lit(True)).join(src, ["year", "row", "col"], "left").fillna(False, ["is_source"])
+    return R.distance_to_sources(cells, 30.0, by=["year"]).withColumn("distance", F.round("distance", 6))
 
 
 # change
@@ -406,34 +406,34 @@ def _(spark, sf):
     return R.majority_regrid(dated_cells(spark, sf), 3.0, ["year"])
 
 
-@query("d19_bilinear_regrid", W + cells_sql(value=PRICE) + """, s AS (SELECT "row", "col", value FROM cells WHERE year = 1997), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s),
-p AS (SELECT t."row", t."col", s.value AS v, greatest(0, 1 - abs((t."row" + 0.5) * 1.5 - 0.5 - s."row")) * greatest(0, 1 - abs((t."col" + 0.5) * 1.5 - 0.5 - s."col")) AS w FROM t JOIN s ON abs((t."row" + 0.5) * 1.5 - 0.5 - s."row") < 1 AND abs((t."col" + 0.5) * 1.5 - 0.5 - s."col") < 1)
-SELECT "row", "col", round(sum(v * w) / sum(w), 5) AS value FROM p GROUP BY ALL""")
+@query("d19_bilinear_regrid", W + cells_sql(value=PRICE) + """, s AS (FROM cells), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s),
+p AS (SELECT year, t."row", t."col", s.value AS v, greatest(0, 1 - abs((t."row" + 0.5) * 1.5 - 0.5 - s."row")) * greatest(0, 1 - abs((t."col" + 0.5) * 1.5 - 0.5 - s."col")) AS w FROM t JOIN s ON abs((t."row" + 0.5) * 1.5 - 0.5 - s."row") < 1 AND abs((t."col" + 0.5) * 1.5 - 0.5 - s."col") < 1)
+SELECT year, "row", "col", round(sum(v * w) / sum(w), 5) AS value FROM p GROUP BY ALL""")
 def _(spark, sf):
-    src = year_of(dated_cells(spark, sf, PRICE), 1997)
+    src = dated_cells(spark, sf, PRICE)
     t = src.select(F.expr("row div 2").alias("row"), F.expr("col div 2").alias("col")).distinct()
-    return R.continuous_regrid(src, t, 1.5).withColumn("value", F.round("value", 5))
+    return R.continuous_regrid(src, t, 1.5, by=["year"]).withColumn("value", F.round("value", 5))
 
 
-@query("d19_nearest_regrid", W + cells_sql(value=PRICE) + """, s AS (SELECT "row", "col", value FROM cells WHERE year = 1997), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s)
-SELECT t."row", t."col", round(s.value, 4) AS value FROM t JOIN s ON s."row" = floor((t."row" + 0.5) * 1.5) AND s."col" = floor((t."col" + 0.5) * 1.5)""")
+@query("d19_nearest_regrid", W + cells_sql(value=PRICE) + """, s AS (FROM cells), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s)
+SELECT year, t."row", t."col", round(s.value, 4) AS value FROM t JOIN s ON s."row" = floor((t."row" + 0.5) * 1.5) AND s."col" = floor((t."col" + 0.5) * 1.5)""")
 def _(spark, sf):
-    src = year_of(dated_cells(spark, sf, PRICE), 1997)
+    src = dated_cells(spark, sf, PRICE)
     t = src.select(F.expr("row div 2").alias("row"), F.expr("col div 2").alias("col")).distinct()
-    return R.continuous_regrid(src, t, 1.5, "nearest").withColumn("value", F.round("value", 4))
+    return R.continuous_regrid(src, t, 1.5, "nearest", by=["year"]).withColumn("value", F.round("value", 4))
 
 
 _CUBIC = "CASE WHEN abs({0}) <= 1 THEN 1.5 * abs({0}) ** 3 - 2.5 * abs({0}) ** 2 + 1 WHEN abs({0}) < 2 THEN -0.5 * abs({0}) ** 3 + 2.5 * abs({0}) ** 2 - 4 * abs({0}) + 2 ELSE 0 END"
 
 
-@query("d19_cubic_regrid", W + cells_sql(value=PRICE) + f""", s AS (SELECT "row", "col", value FROM cells WHERE year = 1997), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s),
-p AS (SELECT t."row", t."col", s.value AS v, (t."row" + 0.5) * 1.5 - 0.5 - s."row" AS dr, (t."col" + 0.5) * 1.5 - 0.5 - s."col" AS dc FROM t JOIN s ON abs((t."row" + 0.5) * 1.5 - 0.5 - s."row") < 2 AND abs((t."col" + 0.5) * 1.5 - 0.5 - s."col") < 2),
-q AS (SELECT "row", "col", v, ({_CUBIC.format('dr')}) * ({_CUBIC.format('dc')}) AS w FROM p)
-SELECT "row", "col", round(sum(v * w) / sum(w), 2) AS value FROM q GROUP BY "row", "col" HAVING abs(sum(w)) > 0.05""")
+@query("d19_cubic_regrid", W + cells_sql(value=PRICE) + f""", s AS (FROM cells), t AS (SELECT DISTINCT "row" // 2 AS "row", "col" // 2 AS "col" FROM s),
+p AS (SELECT year, t."row", t."col", s.value AS v, (t."row" + 0.5) * 1.5 - 0.5 - s."row" AS dr, (t."col" + 0.5) * 1.5 - 0.5 - s."col" AS dc FROM t JOIN s ON abs((t."row" + 0.5) * 1.5 - 0.5 - s."row") < 2 AND abs((t."col" + 0.5) * 1.5 - 0.5 - s."col") < 2),
+q AS (SELECT year, "row", "col", v, ({_CUBIC.format('dr')}) * ({_CUBIC.format('dc')}) AS w FROM p)
+SELECT year, "row", "col", round(sum(v * w) / sum(w), 2) AS value FROM q GROUP BY year, "row", "col" HAVING abs(sum(w)) > 0.05""")
 def _(spark, sf):
-    src = year_of(dated_cells(spark, sf, PRICE), 1997)
+    src = dated_cells(spark, sf, PRICE)
     t = src.select(F.expr("row div 2").alias("row"), F.expr("col div 2").alias("col")).distinct()
-    return R.continuous_regrid(src, t, 1.5, "cubic", least_weight=0.05).withColumn("value", F.round("value", 2))
+    return R.continuous_regrid(src, t, 1.5, "cubic", least_weight=0.05, by=["year"]).withColumn("value", F.round("value", 2))
 
 
 #: Dated cells as cells of 10 m from a corner at (0, 0); a master grid of 30 m, half a source cell to the right and down.
@@ -555,13 +555,13 @@ def _(spark, sf):
     return out.groupBy("unit_id").agg(F.countDistinct("year").alias("slices"))
 
 
-@query("f24_slope_aspect", W + cells_sql(value=PRICE) + """, d AS (SELECT "row" AS r, "col" AS c, value / 1000 AS v FROM cells WHERE year = 1997),
-g AS (SELECT e.r, e.c, count(*) AS n, sum(n.v * (n.c - e.c) * CASE WHEN n.r = e.r THEN 2 ELSE 1 END) / 240 AS dx, sum(n.v * (n.r - e.r) * CASE WHEN n.c = e.c THEN 2 ELSE 1 END) / 240 AS dy FROM d e JOIN d n ON abs(n.r - e.r) <= 1 AND abs(n.c - e.c) <= 1 GROUP BY ALL),
-a AS (SELECT r AS "row", c AS "col", degrees(atan(sqrt(dx * dx + dy * dy))) AS slope, degrees(atan2(dy, -dx)) AS t, dx, dy FROM g WHERE n = 9)
-SELECT "row", "col", round(slope, 5) AS slope, round(CASE WHEN dx = 0 AND dy = 0 THEN -1 WHEN t > 90 THEN 450 - t ELSE 90 - t END, 4) AS aspect FROM a""")
+@query("f24_slope_aspect", W + cells_sql(value=PRICE) + """, d AS (SELECT year, "row" AS r, "col" AS c, value / 1000 AS v FROM cells),
+g AS (SELECT e.year, e.r, e.c, count(*) AS n, sum(n.v * (n.c - e.c) * CASE WHEN n.r = e.r THEN 2 ELSE 1 END) / 240 AS dx, sum(n.v * (n.r - e.r) * CASE WHEN n.c = e.c THEN 2 ELSE 1 END) / 240 AS dy FROM d e JOIN d n ON n.year = e.year AND abs(n.r - e.r) <= 1 AND abs(n.c - e.c) <= 1 GROUP BY ALL),
+a AS (SELECT year, r AS "row", c AS "col", degrees(atan(sqrt(dx * dx + dy * dy))) AS slope, degrees(atan2(dy, -dx)) AS t, dx, dy FROM g WHERE n = 9)
+SELECT year, "row", "col", round(slope, 5) AS slope, round(CASE WHEN dx = 0 AND dy = 0 THEN -1 WHEN t > 90 THEN 450 - t ELSE 90 - t END, 4) AS aspect FROM a""")
 def _(spark, sf):
-    dem = year_of(dated_cells(spark, sf, PRICE), 1997).withColumn("value", F.col("value") / 1000)
-    return R.slope_aspect(dem, 30.0).withColumns({"slope": F.round("slope", 5), "aspect": F.round("aspect", 4)})
+    dem = dated_cells(spark, sf, PRICE).withColumn("value", F.col("value") / 1000)
+    return R.slope_aspect(dem, 30.0, ["year"]).withColumns({"slope": F.round("slope", 5), "aspect": F.round("aspect", 4)})
 
 
 @query("f25_depth_surface", W + EXTENT_SQL + ", " + PLACED_SQL + ", " + DENSE_SQL + """, o AS (SELECT "row", "col", avg(v) AS value FROM pt WHERE year = 1998 GROUP BY ALL),
