@@ -56,7 +56,8 @@ def words(t):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW documents AS FROM '{SF}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        c.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     df = registry.queries()[name](spark, SF)
     cols = sorted(df.columns)
     want = c.sql(registry.oracle_sql()[name])

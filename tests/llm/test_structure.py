@@ -149,15 +149,6 @@ def test_damage_and_dropped_conversations(spark):
     assert conversations.repair_conversations(df.filter("false")).count() == 0
 
 
-def test_op11_sql(spark):
-    c = duckdb.connect()
-    c.sql(f"CREATE VIEW conversations AS FROM '{SF}/conversations.parquet'")
-    df = registry.queries()["op11_conversation_repair"](spark, SF)
-    cols = sorted(df.columns)
-    want = c.sql(registry.oracle_sql()["op11_conversation_repair"])
-    assert sorted(want.columns) == cols and collect(df.select(*cols)) == sorted(want.select(*cols).fetchall(), key=repr)
-
-
 def test_op11_sql_on_awkward_rows(spark, tmp_path):
     rows = [(c, t, r, x) for c, t, r, x in talks(5, 80)]
     spark.createDataFrame(rows, CONV).coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
