@@ -108,9 +108,10 @@ def test_repair_against_recursion(spark, monkeypatch, block):
     got = {}
     for c, turn, role, text, _, fault in sorted(conversations.faulty(df).collect(), key=lambda r: (repr(r[0]), r[1] is not None, r[1] or 0, r[2], r[3], r[5] == "duplicate")):
         got.setdefault(c, conversations.Repair()).add(turn, role, text, fault)
-    assert {c: tuple(x.result()) for c, x in got.items()} == {c: plain_repair([r for r in g if len(g) < 13]) if len(g) < 13 else tuple(got[c].result()) for c, g in groups.items()}
-    out = {r[0]: tuple(r)[1:] for r in conversations.repair_conversations(df.withColumnsRenamed({})).collect()}
-    assert out == {c: tuple(x.result()) for c, x in got.items()}
+    results = {c: tuple(x.result()) for c, x in got.items()}
+    small = [c for c, g in groups.items() if len(g) < 13]  # the recursion is slow beyond
+    assert len(small) > 30 and {c: results[c] for c in small} == {c: plain_repair(groups[c]) for c in small}
+    assert {r[0]: tuple(r)[1:] for r in conversations.repair_conversations(df).collect()} == results
 
 
 def test_align_finds_the_least_audit():
@@ -125,9 +126,8 @@ def test_a_long_conversation_goes_by_blocks(spark):
     """5,000 turns with few faults, a text of a million characters among them; what a task holds is one block."""
     rows = [(1, i, ("user", "assistant")[i % 2] if i % 97 else "system", f"turn {i}." if i != 70 else "w " * 500_000 + ".") for i in range(5000)]
     got = conversations.repair_conversations(spark.createDataFrame(rows, CONV)).first()
-    kept = [r for r in rows]
-    assert got["gaps"] == got["blank"] == got["duplicate"] == got["truncated"] == 0 and len(got["audit"]) - got["audit"].count("D") == len(got["audit"].replace("D", "")) and set(got["audit"]) <= set("DIKR")
-    assert got["cost"] <= 2 * sum(r[2] == "system" for r in kept)
+    assert got["gaps"] == got["blank"] == got["duplicate"] == got["truncated"] == 0 and set(got["audit"]) <= set("DIKR")
+    assert got["cost"] <= 2 * sum(r[2] == "system" for r in rows)
     turns = conversations.repaired_turns(spark.createDataFrame(rows[:300], CONV)).orderBy("place").collect()
     initials = "".join(r["role"][0] for r in turns if r["role"])
     assert re.fullmatch("(s?(ua)+)?", initials) and hashlib.sha256("\n".join(f"{r['role']}:{r['text']}" for r in turns if r["role"]).encode()).hexdigest() == conversations.repair_conversations(spark.createDataFrame(rows[:300], CONV)).first()["repaired_sha256"]
