@@ -17,7 +17,7 @@ from loamgrid.plans.bindings import (
     SQL, BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
     biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, stable, stable_sql, table, units, values, year_of,
 )
-from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, year_grids
+from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, layer_sizes, year_grids
 
 W = "WITH "
 
@@ -285,8 +285,7 @@ SELECT layer_id, "row", "col", class::INT AS class, round(p, 6) AS confidence, C
 def _(spark, sf):
     """Patches of every layer cut, scored as arrays by a model, and blended."""
     cells = dated_stack(spark, sf, {"b1": "cast(count(*) as double)", "b2": "cast(sum(l_linenumber) % 7 as double)", "b3": "cast(sum(l_orderkey) % 5 as double)"}).withColumnRenamed("year", "layer_id")
-    layers = cells.groupBy("layer_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
-    scored = K.score_patches(K.cut_patches(cells, layers, 8, 4), share_model, 8, ["b1", "b2", "b3"], [1, 2, 3], ["layer_id"])
+    scored = K.score_patches(K.cut_patches(cells, layer_sizes(spark, sf), 8, 4), share_model, 8, ["b1", "b2", "b3"], [1, 2, 3], ["layer_id"])
     return rounded(K.blend_predictions(scored, 8, 0.47, ["layer_id"]), confidence=6)
 
 

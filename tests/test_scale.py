@@ -258,3 +258,33 @@ def test_master_grid_work_follows_the_cells(spark):
     for r in R.continuous_to_grid(df, source, turned, "nearest").collect():
         x, y = 12 * (r["col"] + 0.5) + 5 * (r["row"] + 0.5) + 2, 5 * (r["col"] + 0.5) - 12 * (r["row"] + 0.5) - 2
         assert {(5, 5): 1.0, (9, 9_999_990): 2.0, (9_999_990, 3): 3.0}[int(-y // 10), int(x // 10)] == r["value"]
+
+
+def test_patches_of_a_huge_layer_follow_its_cells(spark):
+    """A layer of 4e14 cells with three of them filled, and small layers against the listed grid."""
+    layers = spark.createDataFrame([("a", 20_000_000, 20_000_001), ("b", 11, 4), ("c", 3, 2), ("d", 10, 9)], "layer_id string, height long, width long")
+    far = [("a", 0, 0), ("a", 19_999_999, 20_000_000), ("a", 7_000_003, 4)]
+    small = [(k, i, j) for k, h, w in (("b", 11, 4), ("c", 3, 2), ("d", 10, 9)) for i in range(h) for j in range(w)]
+    cells = spark.createDataFrame(far + small, "layer_id string, row long, col long")
+    for patch, stride in ((4, 3), (4, 4), (3, 5), (8, 2)):
+        want = {("a", *p, r, c) for k, r, c in far for p in [(y, x) for y in near(r, 20_000_000, patch, stride) for x in near(c, 20_000_001, patch, stride)]}
+        for p in K.patch_grid(layers.filter("layer_id <> 'a'"), patch, stride).collect():
+            want |= {(*p, i, j) for k, i, j in small if k == p["layer_id"] and 0 <= i - p["patch_row"] < patch and 0 <= j - p["patch_col"] < patch}
+        got = [(x["layer_id"], x["patch_row"], x["patch_col"], x["row"], x["col"]) for x in K.cut_patches(cells, layers, patch, stride).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def near(at, size, patch, stride):
+    last = size - patch
+    return {s for s in range(at // stride * stride - 4 * patch // stride * stride, at + 1, stride) if 0 <= s <= last and at - s < patch} | ({last} if last <= at else set())
+
+
+def test_patches_of_one_block_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK", 6)
+    cells = spark.createDataFrame([("a", i, j, float(100 * i + j)) for i in range(0, 23, 2) for j in range(0, 19, 3)], "layer_id string, row long, col long, v double")
+    layers = spark.createDataFrame([("a", 23, 19)], "layer_id string, height long, width long")
+    sums = lambda t: np.full((1, 4, 4), np.nansum(t))
+    cut = K.cut_patches(cells, layers, 4, 2)
+    want = {(r["patch_row"], r["patch_col"]): r["s"] for r in cut.groupBy("patch_row", "patch_col").agg(F.sum("v").alias("s")).collect()}
+    got = K.score_patches(cut, sums, 4, ["v"], [1], ["layer_id"]).collect()
+    assert len(got) == cut.count() and all(r["p"] == want[r["patch_row"], r["patch_col"]] for r in got)
