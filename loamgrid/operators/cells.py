@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamgrid.functions.scalars import with_cell_index
-from loamgrid.operators.blocks import KEY, nearest
+from loamgrid.operators.blocks import KEY, marked, nearest_of
 
 
 def stack_layers(layers: dict[str, DataFrame], key: list[str] = KEY) -> DataFrame:
@@ -84,10 +84,7 @@ def nearest_fill(scope: DataFrame, observed: DataFrame, max_distance: float, pix
 
     Ties go to the first sample in row-major order. ``filled`` tells borrowed values; cells that get none are left out.
     """
-    obs = observed.select(*KEY, F.col("value").cast("double").alias("value"))
-    own = scope.select(*KEY).join(obs, KEY).withColumn("filled", F.lit(False))
-    open_cells = scope.select(*KEY).join(obs.select(*KEY), KEY, "left_anti")
-    return own.unionByName(nearest(open_cells, obs, max_distance / pixel).withColumn("filled", F.lit(True)))
+    return nearest_of(marked(scope.select(*KEY), observed, ["value"]), max_distance / pixel)
 
 
 def polygon_edges(features: DataFrame, id_col: str = "feature_id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamgrid.functions.scalars import finite
-from loamgrid.operators.blocks import mean_decay
+from loamgrid.operators.blocks import influences, marked
 
 POOLS = ["c_above", "c_below", "c_soil", "c_dead"]
 DECAY_RATE = 2.99
@@ -51,20 +51,26 @@ def habitat_quality(cells: DataFrame, threat_cells: DataFrame, threats: DataFram
     ``cells``: row, col, lulc. ``threat_cells``: threat, row, col, and intensity (0 to 1) unless it is 1 everywhere. ``threats``: threat, max_dist, weight, decay.
     ``sensitivity``: lulc, threat, sensitivity, habitat.
     """
-    rows = threats.select("threat", "max_dist", "weight", "decay").collect()  # one row per threat
-    total = sum(r["weight"] for r in rows)
-    parts = None
-    for r in rows:
-        decay = (lambda d: 1 - d) if r["decay"] == "linear" else (lambda d: np.exp(-DECAY_RATE * d))
-        part = mean_decay(cells, threat_cells.filter(F.col("threat") == r["threat"]), r["max_dist"] / pixel, decay, "intensity" if "intensity" in threat_cells.columns else None)
-        part = part.select("row", "col", (F.col("influence") * (r["weight"] / total)).alias("influence"), F.lit(r["threat"]).alias("threat"))
-        parts = part if parts is None else parts.unionByName(part)
-    s = F.broadcast(sensitivity)  # classes times threats
-    per = cells.join(parts, ["row", "col"]).join(s, ["lulc", "threat"])
-    d = per.groupBy("row", "col").agg(F.sum(F.col("influence") * F.col("sensitivity")).alias("degradation"))
-    habitat = F.broadcast(sensitivity.groupBy("lulc").agg(F.max("habitat").alias("habitat")))
-    out = cells.join(habitat, "lulc").join(d, ["row", "col"], "left").fillna(0.0, ["degradation"])
+    names = [r["threat"] for r in threats.select("threat").collect()]  # one row per threat
+    strength = F.coalesce(F.col("intensity").cast("double"), F.lit(0.0)) if "intensity" in threat_cells.columns else F.lit(1.0)
+    wide = threat_cells.filter(F.col("threat").isin(*names)).withColumns({n: F.when(F.col("threat") == n, strength) for n in names})
+    return habitat_of(marked(cells.select("row", "col", "lulc"), wide, names), threats, sensitivity, pixel, k)
+
+
+def habitat_of(rows: DataFrame, threats: DataFrame, sensitivity: DataFrame, pixel: float, k: float) -> DataFrame:
+    """``habitat_quality`` over one table: ``row, col, lulc``, ``own`` (a cell to be rated), ``source`` (a threat's cell) and a column per threat, its intensity there or null. One shuffle, all threats in one pass over the tiles.
+    """
+    listed = threats.select("threat", "max_dist", "weight", "decay").collect()  # one row per threat
+    total = sum(r["weight"] for r in listed)
+    kernels = {r["threat"]: (r["max_dist"] / pixel, (lambda d: 1 - d) if r["decay"] == "linear" else (lambda d: np.exp(-DECAY_RATE * d))) for r in listed}
+    found = influences(rows, kernels, ["row", "col", "lulc"], alone=True)
+    table = sensitivity.groupBy("lulc").agg(F.max("habitat").alias("habitat"), *[F.sum(F.when(F.col("threat") == t, F.col("sensitivity"))).alias(f"_s_{t}") for t in kernels])
+    out = found.join(F.broadcast(table), "lulc")  # one row per class
+    d = F.lit(0.0)
+    for r in listed:
+        d = d + F.coalesce(F.col(r["threat"]) * (r["weight"] / total) * F.col(f"_s_{r['threat']}"), F.lit(0.0))
     z = F.pow("degradation", F.lit(HALF_SATURATION_POWER))
+    out = out.withColumn("degradation", d).select("lulc", "row", "col", "habitat", "degradation")
     return out.withColumn("quality", F.col("habitat") * (1 - z / (z + k**HALF_SATURATION_POWER)))
 
 

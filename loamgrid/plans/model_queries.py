@@ -54,12 +54,12 @@ i AS (SELECT "row", "col", lulc, threat, avg(CASE WHEN decay = 'linear' THEN 1 -
 g AS (SELECT "row", "col", sum(inf * sens) AS deg FROM i JOIN s USING (lulc, threat) GROUP BY ALL), h AS (SELECT lulc, max(hab) AS hab FROM s GROUP BY lulc)
 SELECT l."row", l."col", lulc, hab AS habitat, round(coalesce(deg, 0), 6) AS degradation, round(hab * (1 - coalesce(deg, 0) ** 2.5 / (coalesce(deg, 0) ** 2.5 + 0.05 ** 2.5)), 6) AS quality FROM l JOIN h USING (lulc) LEFT JOIN g USING ("row", "col")""")
 def _(spark, sf):
-    cells = dated_cells(spark, sf)
-    lulc = year_of(cells, 1997).withColumnRenamed("value", "lulc")
-    src = year_of(cells, 1998).filter("value IN (6, 7)").select(F.when(F.col("value") == 6, "road").otherwise("mine").alias("threat"), "row", "col")
+    cells = dated_cells(spark, sf).filter("year IN (1997, 1998)")  # cells and threats from one scan
+    at = lambda code: F.when((F.col("year") == 1998) & (F.col("value") == code), 1.0)
+    rows = cells.select("row", "col", F.col("value").alias("lulc"), (F.col("year") == 1997).alias("own"), ((F.col("year") == 1998) & F.col("value").isin(6, 7)).alias("source"), at(6).alias("road"), at(7).alias("mine"))
     threats = spark.createDataFrame(THREATS, "threat string, max_dist double, weight double, decay string")
     sens = spark.createDataFrame(SENSITIVITY, "lulc long, threat string, sensitivity double, habitat double")
-    return rounded(SV.habitat_quality(lulc, src, threats, sens, 30.0, 0.05), degradation=6, quality=6)
+    return rounded(SV.habitat_of(rows, threats, sens, 30.0, 0.05), degradation=6, quality=6)
 
 
 @query("f3_threat_intensity", W + cells_sql() + f""", t(threat, reach, share, decay) AS (FROM {values([("road", 6.0, 0.625, "linear"), ("mine", 4.0, 0.375, "exponential")])}), s(lulc, threat, sens, hab) AS (FROM {values(SENSITIVITY)}),
@@ -70,13 +70,13 @@ g AS (SELECT "row", "col", sum(inf * sens) AS deg FROM i JOIN s USING (lulc, thr
 SELECT l."row", l."col", lulc, hab AS habitat, {stable_sql("coalesce(deg, 0)")} AS degradation, {stable_sql("hab * (1 - coalesce(deg, 0) ** 2.5 / (coalesce(deg, 0) ** 2.5 + 0.05 ** 2.5))")} AS quality FROM l JOIN h USING (lulc) LEFT JOIN g USING ("row", "col")""")
 def _(spark, sf):
     """The intensity of a threat's cell is the share of the years in which it was there."""
-    cells = dated_cells(spark, sf)
-    lulc = cells.groupBy("row", "col").agg(F.min("value").alias("lulc"))
-    threat = F.when(F.col("value") == 6, "road").otherwise("mine").alias("threat")
-    src = cells.filter("value IN (6, 7)").groupBy(threat, "row", "col").agg((F.count(F.lit(1)) / 7).alias("intensity"))
+    years = lambda code: F.count(F.when(F.col("value") == code, 1))
+    cells = dated_cells(spark, sf).groupBy("row", "col").agg(F.min("value").alias("lulc"), years(6).alias("road"), years(7).alias("mine"))
+    share = lambda c: F.when(F.col(c) > 0, F.col(c) / 7).alias(c)
+    rows = cells.select("row", "col", "lulc", F.lit(True).alias("own"), (F.col("road") + F.col("mine") > 0).alias("source"), share("road"), share("mine"))
     threats = spark.createDataFrame([("road", 180.0, 1.0, "linear"), ("mine", 120.0, 0.6, "exponential")], "threat string, max_dist double, weight double, decay string")
     sens = spark.createDataFrame(SENSITIVITY, "lulc long, threat string, sensitivity double, habitat double")
-    out = SV.habitat_quality(lulc, src, threats, sens, 30.0, 0.05)
+    out = SV.habitat_of(rows, threats, sens, 30.0, 0.05)
     return out.withColumns({c: stable(F.col(c)) for c in ("degradation", "quality")})
 
 

@@ -288,3 +288,50 @@ def test_patches_of_one_block_stay_apart(spark, monkeypatch):
     want = {(r["patch_row"], r["patch_col"]): r["s"] for r in cut.groupBy("patch_row", "patch_col").agg(F.sum("v").alias("s")).collect()}
     got = K.score_patches(cut, sums, 4, ["v"], [1], ["layer_id"]).collect()
     assert len(got) == cut.count() and all(r["p"] == want[r["patch_row"], r["patch_col"]] for r in got)
+
+
+def test_distance_over_a_grid(spark):
+    r = np.random.default_rng(8)
+    src = sorted({(int(a), int(b), int(c)) for a, b, c in zip(r.integers(0, 2, 60), r.integers(0, 50, 60), r.integers(0, 20, 60), strict=True)} | {(2, 3, 1)})
+    df = spark.createDataFrame(src, "year int, row long, col long")
+    for rows in (1, 7, 256):
+        got = {(x["year"], x["row"], x["col"]): x["distance"] for x in R.grid_distance(df, 2.0, 50, 20, ["year"], rows).collect()}
+        assert len(got) == 3 * 50 * 20
+        for (y, i, j), d in got.items():
+            assert math.isclose(d, 2 * min(math.hypot(i - b, j - c) for a, b, c in src if a == y))
+
+
+def test_surface_over_a_huge_grid(spark):
+    """A scope of 1e14 cells with four observed ones: only cells near these are made, clipped at the grid's edge."""
+    grid = {"a": 1.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -1.0, "f": 10_000_000.0, "width": 10_000_000, "height": 10_000_000}
+    at = {(0, 0): 1.0, (9_999_999, 9_999_999): 2.0, (511, 512): 3.0, (513, 512): 4.0}
+    points = spark.createDataFrame([(c + 0.5, 10_000_000.0 - r - 0.5, v) for (r, c), v in at.items()], "x double, y double, value double")
+    got = {(x["row"], x["col"]): (x["value"], x["filled"]) for x in R.depth_surface(points, grid, (10_000_000, 10_000_000), 2.0).collect()}
+    want = {}
+    for r, c in at:
+        for i in range(r - 2, r + 3):
+            for j in range(c - 2, c + 3):
+                if 0 <= i < 10_000_000 and 0 <= j < 10_000_000 and (i - r) ** 2 + (j - c) ** 2 <= 4:
+                    d, near = min(((i - a) ** 2 + (j - b) ** 2, (a, b)) for a, b in at)
+                    want[i, j] = (at[near], d > 0)
+    assert got == want
+
+
+def test_looks_and_transforms_agree(spark, monkeypatch):
+    """Tiles of 8: places looked at one by one, and the transforms of long reaches and crowded tiles, with threats that overlap."""
+    monkeypatch.setattr(BL, "TILE", 8)
+    r = np.random.default_rng(9)
+    rows = [(i, j, bool(r.random() < 0.6), float(r.random()) if r.random() < 0.2 else None, float(r.random()) if r.random() < 0.2 else None) for i in range(30) for j in range(26)]
+    df = spark.createDataFrame(rows, "row long, col long, own boolean, a double, b double").withColumn("source", F.expr("a IS NOT NULL OR b IS NOT NULL"))
+    one = df.withColumn("source", F.col("a").isNotNull()).withColumn("value", F.col("a"))
+    kernels = {"a": (3.0, lambda d: 1 - d), "b": (2.2, lambda d: np.exp(-d))}
+    found = []
+    for limits in ((256, 4_000_000), (0, 0)):
+        monkeypatch.setattr(BL, "PLACES", limits[0])
+        monkeypatch.setattr(BL, "LOOKS", limits[1])
+        parts = (BL.influences(df, kernels, ["row", "col"]), BL.nearest_of(one, 3.0), BL.weighted_of(one, 3.0, 4, 2.0))
+        found.append([{(x["row"], x["col"]): x for x in p.collect()} for p in parts])
+    for one, other in zip(*found, strict=True):
+        assert one.keys() == other.keys() and len(one) > 300
+        for k in one:
+            assert all(x == y or math.isclose(x, y, abs_tol=1e-9) for x, y in zip(one[k], other[k], strict=True))
