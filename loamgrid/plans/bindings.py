@@ -95,10 +95,14 @@ UNITS_SQL = """units AS (SELECT l_suppkey AS unit_id, r_name AS scenario, sum(l_
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)"""
 
 
+#: The same with sums that any order of addition gives alike, for ranks: units that are equal tie, and fall to their ids.
+EXACT_UNITS_SQL = UNITS_SQL.replace("sum(l_extendedprice) AS carbon", "round(sum(l_extendedprice), 2) AS carbon").replace("avg(l_discount)", "round(sum(l_discount), 2) / count(*)")
+
+
 def units(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per supplier: three services, and its region as scenario."""
+    """One row per supplier: three services, and its region as scenario. Sums of amounts to the cent are rounded to it, so no order of addition shows."""
     li = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("unit_id")).agg(
-        F.sum("l_extendedprice").alias("carbon"), F.avg("l_quantity").alias("water"), F.avg("l_discount").alias("habitat")
+        F.round(F.sum("l_extendedprice"), 2).alias("carbon"), F.avg("l_quantity").alias("water"), (F.round(F.sum("l_discount"), 2) / F.count("l_discount")).alias("habitat")
     )
     place = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     s = table(spark, sf, "supplier").join(F.broadcast(place), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations

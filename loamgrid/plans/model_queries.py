@@ -14,7 +14,7 @@ from loamgrid.operators import stats as ST
 from loamgrid.operators import zonal as Z
 from loamgrid.sources import tables as IO
 from loamgrid.plans.bindings import (
-    SQL, BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
+    SQL, BIO_ROWS, CELL_HA, CELL_M2, CRITERIA, EXACT_UNITS_SQL, EXTENT_SQL, FACTORS, GRID, INDEX, PIXELS_SQL, POOL_ROWS, PRICE, QUANTITY, SAMPLES_SQL, SCORE_SQL, UNITS_SQL,
     biophysical, cells_sql, dated_cells, dated_stack, extent, factor_samples, pixels, pools, query, scratch, stable, stable_sql, table, units, values, year_of,
 )
 from loamgrid.plans.cell_queries import DEPTH_SQL, depth_cells, layer_sizes, year_grids
@@ -137,7 +137,7 @@ def _(spark, sf):
     return rounded(SC.ahp_weights(entries), weight=6, lambda_max=6, ci=6, cr=6)
 
 
-@query("f16_weight_sensitivity", W + SCORE_SQL + """, v(field, sign, wc, ww, wh) AS (VALUES ('base', 0, 0.5::DOUBLE, 0.25::DOUBLE, 0.25::DOUBLE), ('carbon', -1, 0.4 / 0.9, 0.25 / 0.9, 0.25 / 0.9), ('carbon', 1, 0.6 / 1.1, 0.25 / 1.1, 0.25 / 1.1), ('water', -1, 0.5 / 0.95, 0.2 / 0.95, 0.25 / 0.95), ('water', 1, 0.5 / 1.05, 0.3 / 1.05, 0.25 / 1.05), ('habitat', -1, 0.5 / 0.95, 0.25 / 0.95, 0.2 / 0.95), ('habitat', 1, 0.5 / 1.05, 0.25 / 1.05, 0.3 / 1.05)),
+@query("f16_weight_sensitivity", W + SCORE_SQL.replace(UNITS_SQL, EXACT_UNITS_SQL) + """, v(field, sign, wc, ww, wh) AS (VALUES ('base', 0, 0.5::DOUBLE, 0.25::DOUBLE, 0.25::DOUBLE), ('carbon', -1, 0.4 / 0.9, 0.25 / 0.9, 0.25 / 0.9), ('carbon', 1, 0.6 / 1.1, 0.25 / 1.1, 0.25 / 1.1), ('water', -1, 0.5 / 0.95, 0.2 / 0.95, 0.25 / 0.95), ('water', 1, 0.5 / 1.05, 0.3 / 1.05, 0.25 / 1.05), ('habitat', -1, 0.5 / 0.95, 0.25 / 0.95, 0.2 / 0.95), ('habitat', 1, 0.5 / 1.05, 0.25 / 1.05, 0.3 / 1.05)),
 x AS (SELECT unit_id, field, sign, nc * wc + nw * ww + nh * wh AS sc FROM scored, v), r AS (SELECT *, row_number() OVER (PARTITION BY field, sign ORDER BY sc DESC, unit_id) AS rk FROM x)
 SELECT a.field, a.sign, round(avg(abs(a.sc - b.sc)), 6) AS mean_change, round(max(abs(a.sc - b.sc)), 6) AS max_change, count(CASE WHEN a.rk <> b.rk THEN 1 END) AS rank_changes, max(abs(a.rk - b.rk)) AS max_shift FROM r a JOIN r b ON a.unit_id = b.unit_id AND b.sign = 0 WHERE a.sign <> 0 GROUP BY ALL""")
 def _(spark, sf):
@@ -177,7 +177,7 @@ def _(spark, sf):
     return ST.average_ranks(table(spark, sf, "events").select("event_id", "value"), "value").select("event_id", F.round("rank", 1).alias("rank"))
 
 
-@query("f9_tradeoff_synergy", W + UNITS_SQL + """, r AS (SELECT rank() OVER (ORDER BY carbon) + (count(*) OVER (PARTITION BY carbon) - 1) / 2 AS c, rank() OVER (ORDER BY round(water, 12)) + (count(*) OVER (PARTITION BY round(water, 12)) - 1) / 2 AS w, rank() OVER (ORDER BY round(habitat, 12)) + (count(*) OVER (PARTITION BY round(habitat, 12)) - 1) / 2 AS h FROM units),
+@query("f9_tradeoff_synergy", W + EXACT_UNITS_SQL + """, r AS (SELECT rank() OVER (ORDER BY carbon) + (count(*) OVER (PARTITION BY carbon) - 1) / 2 AS c, rank() OVER (ORDER BY round(water, 12)) + (count(*) OVER (PARTITION BY round(water, 12)) - 1) / 2 AS w, rank() OVER (ORDER BY round(habitat, 12)) + (count(*) OVER (PARTITION BY round(habitat, 12)) - 1) / 2 AS h FROM units),
 p AS (SELECT 'carbon' AS field_a, 'water' AS field_b, corr(c, w) AS rho, count(*) AS n FROM r UNION ALL SELECT 'carbon', 'habitat', corr(c, h), count(*) FROM r UNION ALL SELECT 'water', 'habitat', corr(w, h), count(*) FROM r)
 SELECT field_a, field_b, round(rho, 6) AS rho, n, CASE WHEN rho > 0 THEN 'synergy' WHEN rho < 0 THEN 'tradeoff' ELSE 'neutral' END AS relation FROM p""")
 def _(spark, sf):
