@@ -12,7 +12,7 @@ fingerprints (a dense group of near copies) is split into tiles, every pair of w
 memory, no pair lost.
 
 ``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Documents that share a band of
-min-hashes, directly or through others, form a cluster; inside it pivot tables of 512-bit fingerprints discard pairs of large sets, and shared shingles, counted exactly,
+min-hashes, directly or through others, form a cluster; inside it tables of the distances to pivots, which are some of its sets, discard pairs, 512-bit fingerprints discard further ones of large sets, and shared shingles, counted exactly,
 decide on the rest: no pair below the similarity is a link, and one at it is missed only if no chain of shared bands joins it (2 of 10,000 share none).
 
 Null and empty texts have fingerprint zero and are linked like any other. A null id never becomes a component id unless
@@ -44,11 +44,12 @@ SMALL = 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Reference fingerprints from a fixed seed.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, (16, 1), dtype=np.uint64)
-WIDE_PIVOTS = np.random.default_rng(22).integers(0, 2**64, (16, 8), dtype=np.uint64)
 #: Links by similarity: bits of a fingerprint, and min-hash keys by rows. Of pairs at 0.8, (1 - 0.8**4)**16 = 0.0002 share no key.
 WIDE_BITS, BANDS, BAND_ROWS = 512, 16, 4
 #: Sets of fewer shingles are compared without a look at the fingerprints, whose majority bits are uneven in small sets.
 LARGE_SET = 64
+#: Sets of a group that serve as pivots, at most, and shingles that a count looks at together, about.
+SET_PIVOTS, SHINGLES_AT_ONCE = 16, 250_000
 #: Pairs further apart than at the similarity by so many standard deviations are discarded without a count.
 DISCARD_SPREAD = 9.0
 _ODD = np.random.default_rng(21).integers(0, 2**63, WIDE_BITS // 64 + BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -327,43 +328,79 @@ def similar_edges(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     return dealt.mapInPandas(run, "u long, v long")
 
 
+class ShingleSets:
+    """The sets of a group, their shingles numbered, so that what one shares with many others is counted at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        self.bounds = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        self.mark = np.zeros(len(self.codes) + 1, bool)
+
+    def shared(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Shingles that set ``x`` shares with each of ``others``, exactly."""
+        own = self.codes[self.bounds[x] : self.bounds[x + 1]]
+        self.mark[own] = True
+        parts = np.flatnonzero(np.diff(np.cumsum(self.sizes[others]) // SHINGLES_AT_ONCE)) + 1
+        out = [self._marked(part) for part in np.split(others, parts)]
+        self.mark[own] = False
+        return np.concatenate(out)
+
+    def _marked(self, others: np.ndarray) -> np.ndarray:
+        n = self.sizes[others]
+        ends = np.cumsum(n)
+        at = np.arange(n.sum()) + np.repeat(self.bounds[others] - ends + n, n)
+        hits = np.concatenate(([0], np.cumsum(self.mark[self.codes[at]])))
+        return hits[ends] - hits[ends - n]
+
+    def pivots(self, similarity: float) -> tuple[dict[int, np.ndarray], np.ndarray]:
+        """Pivots among the sets, each with what it shares with every set, and the table of all sets' distances (one less the similarity) to them.
+
+        The next pivot is the set furthest from those before; there are as many as halvings of the group, ``SET_PIVOTS`` at most, and fewer if every set is a link of one.
+        """
+        every, shared, x = np.arange(len(self.sizes)), {}, 0
+        table = np.empty((len(every), 0))
+        while len(shared) < max(1, min(SET_PIVOTS, len(every).bit_length() - 1)):
+            shared[x] = self.shared(x, every)
+            either = self.sizes + self.sizes[x] - shared[x]
+            table = np.column_stack((table, np.where(either > 0, 1 - shared[x] / np.maximum(either, 1), 0.0)))
+            x = int(table.min(axis=1).argmax())
+            if table[x].min() <= 1 - similarity:
+                break
+        return shared, table
+
+
 def walk_sets(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Edges that connect each component of sets, whose links are the pairs that share shingles enough for ``similarity``.
 
-    Pairs of sets too different in size are no links. Of large sets, whose fingerprints are even, the pivot tables discard pairs that differ in more bits than
-    ``DISCARD_SPREAD`` standard deviations allow at the similarity, then the bits do. What survives is verified by counting shared shingles.
+    Pairs of sets too different in size are no links. One less the similarity is a metric, so a pair whose distances to any one pivot differ by more than one less ``similarity`` is no link
+    either: the pivot tables discard it, whatever the size of its sets. Of large sets, whose fingerprints are even, pairs go that differ in more bits than
+    ``DISCARD_SPREAD`` standard deviations allow at the similarity. What survives is verified by counting shared shingles.
     """
-    sizes = np.array([len(x) for x in sets], np.int64)
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    mark = np.zeros(len(codes) + 1, bool)
-    table, far = pivot_table(fps, WIDE_PIVOTS), similarity_radius(similarity)
+    group = ShingleSets(sets)
+    sizes, (known, table) = group.sizes, group.pivots(similarity)
+    far, bits = 1 - similarity + 1e-6, similarity_radius(similarity)
     edges, unseen = [], np.arange(len(sets))
     while len(unseen) > 1:
         frontier, unseen = [unseen[0]], unseen[1:]
         while frontier and len(unseen):
-            x = frontier.pop()
-            least, most = np.minimum(sizes[unseen], sizes[x]), np.maximum(sizes[unseen], sizes[x])
-            may = np.flatnonzero(least >= similarity * most - 1e-9)
-            large = least[may] >= LARGE_SET
-            apart = np.zeros(len(may), bool)
-            apart[large] = (np.abs(table[unseen[may[large]]] - table[x]) > far).any(axis=1)
-            large &= ~apart
-            apart[large] = distances(fps[unseen[may[large]]], fps[x]) > far
-            mark[codes[bounds[x] : bounds[x + 1]]] = True
-            hit = [k for k in may[~apart].tolist() if reaches(int(mark[codes[bounds[unseen[k]] : bounds[unseen[k] + 1]]].sum()), int(sizes[unseen[k]] + sizes[x]), similarity)]
-            mark[codes[bounds[x] : bounds[x + 1]]] = False
-            if hit:
+            x = int(frontier.pop())
+            if x in known:
+                may, shared = np.arange(len(unseen)), known[x][unseen]
+            else:
+                may = np.flatnonzero(np.minimum(sizes[unseen], sizes[x]) >= similarity * np.maximum(sizes[unseen], sizes[x]) - 1e-9)
+                may = may[(np.abs(table[unseen[may]] - table[x]) <= far).all(axis=1)]
+                small = np.minimum(sizes[unseen[may]], sizes[x]) < LARGE_SET
+                may = may[small | (distances(fps[unseen[may]], fps[x]) <= bits)]
+                shared = group.shared(x, unseen[may])
+            hit = may[shared >= similarity * (sizes[unseen[may]] + sizes[x] - shared) - 1e-9]
+            if len(hit):
                 edges += [(y, x) for y in unseen[hit].tolist()]
                 frontier += unseen[hit].tolist()
                 unseen = np.delete(unseen, hit)
     return edges
 
 
-def reaches(shared: int, both: int, similarity: float) -> bool:
-    return shared >= similarity * (both - shared) - 1e-9
-
-
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle_words: int = 5, tile: int = TILE
 ) -> DataFrame:

@@ -597,6 +597,42 @@ def test_short_similar_texts_are_linked(spark):
     assert all(c in (d, d - 1) for d, c in comp.items())
 
 
+def test_pivot_tables_discard_pairs(monkeypatch):
+    """Families around a core that all share, with fingerprints that tell nothing: the tables alone spare most counts, and lose no link."""
+    rng, fresh, counts = np.random.default_rng(13), iter(range(1000, 10**6)), []
+    sets, count = [np.empty(0, np.uint64)] * 2, simhash.ShingleSets.shared
+    for _ in range(5):
+        base = [*range(15), *(next(fresh) for _ in range(35))]
+        for _ in range(30):
+            own = list(base)
+            for _ in range(rng.integers(0, 4)):
+                own[rng.integers(len(own))] = next(fresh)
+            sets.append(np.array(sorted(set(own)), np.uint64))
+    order = rng.permutation(len(sets))
+    sets = [sets[k] for k in order]
+    monkeypatch.setattr(simhash.ShingleSets, "shared", lambda self, x, others: counts.append(len(others)) or count(self, x, others))
+
+    def components():
+        """The component of each set, and how many pairs were counted."""
+        counts.clear()
+        comp = list(range(len(sets)))
+        for a, b in simhash.walk_sets(np.zeros((len(sets), 8), np.uint64), sets, 0.8):
+            old, new = max(comp[a], comp[b]), min(comp[a], comp[b])
+            comp = [new if c == old else c for c in comp]
+        return comp, sum(counts)
+
+    with_tables = components()
+    whole = [set(x.tolist()) for x in sets]
+    near = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in whole] for a in whole])
+    want = np.arange(len(sets))
+    for _ in sets:
+        want = np.where(near, want, len(sets)).min(axis=1)
+    assert with_tables[0] == want.tolist() and len(set(with_tables[0])) >= 6
+    monkeypatch.setattr(simhash.ShingleSets, "pivots", lambda self, similarity: ({}, np.empty((len(self.sizes), 0))))
+    without = components()
+    assert without[0] == with_tables[0] and with_tables[1] < without[1] / 2
+
+
 def test_keep_one_tells_rows_apart_by_text(spark):
     """Different texts without id, or under one id, all stay; of copies one does, with an id if any has."""
     texts = [prose(900 + i, 40) for i in range(8)]
