@@ -11,9 +11,10 @@ The number of blocks follows the number of fingerprints, so that buckets of unre
 fingerprints (a dense group of near copies) is split into tiles, every pair of which meets in a task of its own: bounded
 memory, no pair lost.
 
-``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Documents that share a band of
-min-hashes, directly or through others, form a cluster; inside it tables of the distances to pivots, which are some of its sets, discard pairs, 512-bit fingerprints discard further ones of large sets, and shared shingles, counted exactly,
-decide on the rest: no pair below the similarity is a link, and one at it is missed only if no chain of shared bands joins it (2 of 10,000 share none).
+``similar_documents`` is the form for links by similarity (five-word shingles, 0.8 or more). Documents that share a window of
+shingles that follow each other in the order of their hashes, directly or through others, form a cluster: no link is lost (see ``window_sizes``). Inside a cluster tables of the
+distances to pivots, which are some of its sets, discard pairs, counts of shingles by the range of their hash discard further ones, both by bounds that hold for every pair, and shared
+shingles, counted exactly, decide on the rest: the links are all pairs at the similarity or more, and no others.
 
 Null and empty texts have fingerprint zero and are linked like any other. A null id never becomes a component id unless
 the component has no other; repeated rows give repeated results; a text of any length is shingled whole, in parts of bounded memory; an empty table gives an empty result; other
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -44,15 +46,11 @@ SMALL = 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Reference fingerprints from a fixed seed.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, (16, 1), dtype=np.uint64)
-#: Links by similarity: bits of a fingerprint, and min-hash keys by rows. Of pairs at 0.8, (1 - 0.8**4)**16 = 0.0002 share no key.
-WIDE_BITS, BANDS, BAND_ROWS = 512, 16, 4
-#: Sets of fewer shingles are compared without a look at the fingerprints, whose majority bits are uneven in small sets.
-LARGE_SET = 64
+#: Links by similarity: ranges of hashes in which the shingles of a set are counted, and windows that a task sends on together, about.
+RANGES, WINDOWS_AT_ONCE = 64, 250_000
 #: Sets of a group that serve as pivots, at most, and shingles that a count looks at together, about.
 SET_PIVOTS, SHINGLES_AT_ONCE = 16, 250_000
-#: Pairs further apart than at the similarity by so many standard deviations are discarded without a count.
-DISCARD_SPREAD = 9.0
-_ODD = np.random.default_rng(21).integers(0, 2**63, WIDE_BITS // 64 + BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(21).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Tables of oversized buckets of at most this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_BUCKETS = 20_000
 
@@ -224,30 +222,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def mixed(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
-    """One further hash of each hash per multiplier."""
-    x = (hashes ^ (hashes >> np.uint64(32)))[:, None] * odd
-    return x ^ (x >> np.uint64(29))
+@lru_cache(maxsize=100_000)
+def window_sizes(n: int, similarity: float) -> list[tuple[int, int]]:
+    """Window sizes of a set of ``n`` elements, each with the number of windows that it shares at least with any set that is its link by that size.
 
+    Of two links of S elements together, o >= s S / (1 + s) are common and d = S - 2 o are not. In the order of all elements the d leave d + 1 gaps for the o, so one gap holds
+    o / (d + 1) of them or more, which follow each other in both sets; over all gaps at least o - (w - 1) (d + 1) windows of w elements are common. For links of 0.8 that is four elements, less in small sets. Both
+    sets of a pair work out the same size, as it depends on S only.
+    """
+    m = np.arange(max(1, math.ceil(similarity * n - 1e-6)), math.floor(n / similarity + 1e-6) + 1)
+    total = n + m
+    common = np.maximum(1, np.ceil(similarity * total / (1 + similarity) - 1e-6).astype(np.int64))
+    gaps = total - 2 * common + 1
+    met = (common <= np.minimum(n, m)) & ((m != n) | (gaps > 1))  # equal sets are one
+    most = min(len(_ODD), math.ceil(similarity / max(1 - similarity, 1e-6) - 1e-6))  # larger windows are never needed
+    size = np.minimum(-(-common // np.maximum(gaps, 1)), most)
+    least = np.maximum(1, common - (size - 1) * gaps)
+    return [(w, int(least[met & (size == w)].min())) for w in np.unique(size[met]).tolist()]
+
+
+def windows(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """Keys of which any two links share one: per window size the windows with the smallest keys, less those that can be spared as links share several."""
+    out = [np.empty(0, np.uint64)]
+    for size, least in window_sizes(len(hashes), similarity):
+        n = len(hashes) - size + 1
+        keys = np.full(n, size, np.uint64)
+        for k in range(size):
+            keys = (keys ^ hashes[k : k + n]) * _ODD[k]
+            keys ^= keys >> np.uint64(29)
+        out.append(np.sort(keys)[: n - least + 1])
+    return np.concatenate(out)
 
-def signature(hashes: np.ndarray) -> tuple[bytes, list[int]]:
-    """The wide fingerprint of a set of shingle hashes, and a key per band of min-hashes; all zero if there are none."""
-    words = WIDE_BITS // 64
-    set_bits, least = np.zeros(WIDE_BITS, np.int64), np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
-    for part in range(0, len(hashes), 1024):
-        own = mixed(hashes[part : part + 1024], _ODD)
-        bits = np.unpackbits(np.ascontiguousarray(own[:, :words]).astype("<u8", copy=False).view(np.uint8), bitorder="little")
-        set_bits += bits.reshape(-1, WIDE_BITS).sum(axis=0, dtype=np.uint16)
-        least = np.minimum(least, own[:, words:].min(axis=0))
-    fp = np.packbits(set_bits * 2 > len(hashes), bitorder="little").tobytes()
-    bands = least.astype("<u8").reshape(BANDS, BAND_ROWS)
-    return fp, [xxhash.xxh64_intdigest(b.tobytes()) - (1 << 63) for b in bands]
 
+def set_node(hashes: np.ndarray) -> int:
+    """What stands for a set of shingle hashes."""
+    return xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 23) - (1 << 63)
 
-def similarity_radius(similarity: float, spread: float = DISCARD_SPREAD) -> int:
-    """Bits in which pairs at ``similarity`` differ at most, but for ``spread`` standard deviations: sets have a cosine of 2s / (1 + s) or more, and a bit differs with probability angle / pi."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(WIDE_BITS * p + spread * math.sqrt(WIDE_BITS * p * (1 - p)))
+
+def profile(hashes: np.ndarray) -> np.ndarray:
+    """Shingles in each of ``RANGES`` ranges of hashes: two sets have at least as many elements that are not common as their profiles differ."""
+    return np.bincount((hashes // np.uint64(2**64 // RANGES)).astype(np.int64), minlength=RANGES)
 
 
 def _row_key(docs: DataFrame, id_col: str, text_col: str) -> dict:
@@ -256,27 +270,62 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> dict:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """Per row ``id``, its ``key`` and ``sha``, ``node`` (of the set of shingles), ``fp``, ``bands`` and ``n_shingles``."""
+    """Per row ``id``, its ``key`` and ``sha``, ``node`` (of the set of shingles) and ``n_shingles``."""
 
     def run(texts: list[str | None]):
-        rows = []
-        for t in texts:
-            hashes = np.unique(shingle_hashes(t, shingle_words))
-            rows.append((xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 23) - (1 << 63), *signature(hashes), len(hashes)))
-        return None, list(zip(*rows, strict=True)) or [[]] * 4
+        sets = [np.unique(shingle_hashes(t, shingle_words)) for t in texts]
+        return None, [list(map(set_node, sets)), list(map(len, sets))]
 
-    columns = [("node", "long", pa.int64()), ("fp", "binary", pa.binary()), ("bands", "array<long>", pa.list_(pa.int64())), ("n_shingles", "long", pa.int64())]
     who = F.struct(F.col(id_col).alias("id"), *[c.alias(k) for k, c in _row_key(docs, id_col, text_col).items()])
-    rows = map_texts(docs.select(who.alias("_who"), F.col(text_col).alias("_body")), "_who", "_body", columns, run, "who")
-    return staged(rows.select("who.*", "node", "fp", "bands", "n_shingles"), "signatures")
+    rows = map_texts(docs.select(who.alias("_who"), F.col(text_col).alias("_body")), "_who", "_body", [("node", "long", pa.int64()), ("n_shingles", "long", pa.int64())], run, "who")
+    return staged(rows.select("who.*", "node", "n_shingles"), "signatures")
+
+
+def neighbours(docs: DataFrame, text_col: str, similarity: float, shingle_words: int) -> DataFrame:
+    """Edges ``u, v`` that connect all nodes which share a window, and so all links.
+
+    A task sends the windows of a set once, however many rows have it. The nodes of a window are chained in their order as they stream by, so no task holds a window's nodes.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, nodes, keys, n = set(), [], [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                hashes = np.unique(shingle_hashes(value.as_py(), shingle_words))
+                if (node := set_node(hashes)) in seen:
+                    continue
+                seen.add(node)
+                keys.append(windows(hashes, similarity))
+                nodes.append(np.full(len(keys[-1]), node))
+                n += len(keys[-1])
+                if n >= WINDOWS_AT_ONCE:
+                    yield sent(nodes, keys)
+                    nodes, keys, n = [], [], 0
+        if n:
+            yield sent(nodes, keys)
+
+    def sent(nodes: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = [np.empty(0, np.int64)] * 2
+        for batch in batches:
+            key, node = (np.concatenate((x, c.to_numpy())) for x, c in zip(last, batch.columns, strict=True))
+            same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
+            pairs = np.unique(np.stack((node[:-1][same], node[1:][same]), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["u", "v"])
+            last = [key[-1:], node[-1:]]
+
+    keyed = docs.select(F.col(text_col).alias("_text")).mapInArrow(cut, "key long, node long")
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(chain, "u long, v long")
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """Add ``shingles`` (sorted 64-bit hashes) to ``members`` (``cluster, node, fp, key, sha``), from the texts of these rows only."""
+    """Add ``shingles`` (sorted 64-bit hashes) to ``members`` (``cluster, node, key, sha``), from the texts of these rows only."""
     own = members.withColumnsRenamed({"key": "_key", "sha": "_sha"})
     texts = docs.select(F.col(text_col).alias("_body"), *[c.alias(k) for k, c in _row_key(docs, id_col, text_col).items()])
     met = texts.join(own, (F.col("key") == F.col("_key")) & (F.col("sha") == F.col("_sha")))
-    who = F.struct("cluster", "node", "fp").alias("_who")
+    who = F.struct("cluster", "node").alias("_who")
 
     def run(texts: list[str | None]):
         return None, [[np.unique(shingle_hashes(t, shingle_words)).astype("<u8").tobytes() for t in texts]]
@@ -286,18 +335,14 @@ def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
 
 
 def similar_edges(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, similarity: float, shingle_words: int, tile: int = TILE) -> DataFrame:
-    """Edges ``u, v`` that connect all nodes whose sets are links (see ``walk_sets``), among those that bands connect.
+    """Edges ``u, v`` that connect all nodes whose sets are links (see ``walk_sets``).
 
-    ``rows``: the ``signatures`` of ``docs``. Nodes that share bands, directly or through others, form a cluster; nodes that share none are done. A
+    ``rows``: the ``signatures`` of ``docs``. Nodes that share windows, directly or through others, form a cluster; nodes that share none are done. A
     set goes once to its cluster; a cluster above ``tile`` sets (or 512 shingles a set) is split into tiles, every pair of which meets.
     """
-    keyed = rows.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.posexplode("bands").alias("table", "band"))
-    heads = staged(keyed.groupBy("table", "band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "heads")
-    total = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    met = attach_group(keyed, heads, ["band", "table"], "n", ["head"], F.col("node"), total)
-    clusters = connected_components(met.filter("head IS NOT NULL").select(F.col("node").alias("u"), F.col("head").alias("v")))
+    clusters = connected_components(neighbours(docs, text_col, similarity, shingle_words))
     clusters = clusters.select(F.col("node").alias("_node"), F.col("root").alias("cluster"))
-    one = rows.groupBy("node").agg(F.min(F.struct("key", "sha", "fp", "n_shingles")).alias("r"))  # equal sets: any row stands for its node
+    one = rows.groupBy("node").agg(F.min(F.struct("key", "sha", "n_shingles")).alias("r"))  # equal sets: any row stands for its node
     members = staged(one.join(clusters, F.col("node") == F.col("_node")).select("cluster", "node", "r.*"), "members")
     large = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n_shingles") / (512 * tile))).cast("int").alias("tiles"))
     large = staged(large.filter("tiles > 1").withColumnRenamed("cluster", "_c"), "clusters")
@@ -305,7 +350,7 @@ def similar_edges(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     sets = shingle_sets(docs, members, id_col, text_col, shingle_words)
     sets = sets.join(side, F.col("cluster") == F.col("_c"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     sets = sets.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    sets = sets.select("cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "fp", "shingles")
+    sets = sets.select("cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "shingles")
     dealt = sets.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -322,7 +367,8 @@ def similar_edges(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
 
     def edges_of(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
-        found = walk_sets(np.frombuffer(b"".join(pdf["fp"]), "<u8").reshape(len(pdf), -1), [np.frombuffer(x, "<u8") for x in pdf["shingles"]], similarity)
+        sets = [np.frombuffer(x, "<u8") for x in pdf["shingles"]]
+        found = walk_sets(np.array([profile(x) for x in sets], np.int32), sets, similarity)
         return pd.DataFrame({"u": node[[x for x, _ in found]], "v": node[[y for _, y in found]]}, dtype=np.int64)
 
     return dealt.mapInPandas(run, "u long, v long")
@@ -370,16 +416,16 @@ class ShingleSets:
         return shared, table
 
 
-def walk_sets(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def walk_sets(profiles: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Edges that connect each component of sets, whose links are the pairs that share shingles enough for ``similarity``.
 
     Pairs of sets too different in size are no links. One less the similarity is a metric, so a pair whose distances to any one pivot differ by more than one less ``similarity`` is no link
-    either: the pivot tables discard it, whatever the size of its sets. Of large sets, whose fingerprints are even, pairs go that differ in more bits than
-    ``DISCARD_SPREAD`` standard deviations allow at the similarity. What survives is verified by counting shared shingles.
+    either: the pivot tables discard it, whatever the size of its sets. So does a pair whose ``profiles`` differ by more elements than links have that are not common.
+    What survives is verified by counting shared shingles.
     """
     group = ShingleSets(sets)
     sizes, (known, table) = group.sizes, group.pivots(similarity)
-    far, bits = 1 - similarity + 1e-6, similarity_radius(similarity)
+    far, apart = 1 - similarity + 1e-6, (1 - similarity) / (1 + similarity)
     edges, unseen = [], np.arange(len(sets))
     while len(unseen) > 1:
         frontier, unseen = [unseen[0]], unseen[1:]
@@ -390,8 +436,8 @@ def walk_sets(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> lis
             else:
                 may = np.flatnonzero(np.minimum(sizes[unseen], sizes[x]) >= similarity * np.maximum(sizes[unseen], sizes[x]) - 1e-9)
                 may = may[(np.abs(table[unseen[may]] - table[x]) <= far).all(axis=1)]
-                small = np.minimum(sizes[unseen[may]], sizes[x]) < LARGE_SET
-                may = may[small | (distances(fps[unseen[may]], fps[x]) <= bits)]
+                other = np.abs(profiles[unseen[may]] - profiles[x]).sum(axis=1)
+                may = may[other <= apart * (sizes[unseen[may]] + sizes[x]) + 1e-6]
                 shared = group.shared(x, unseen[may])
             hit = may[shared >= similarity * (sizes[unseen[may]] + sizes[x] - shared) - 1e-9]
             if len(hit):

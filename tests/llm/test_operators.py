@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on texts with nulls, empties, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -597,6 +598,35 @@ def test_short_similar_texts_are_linked(spark):
     assert all(c in (d, d - 1) for d, c in comp.items())
 
 
+def test_links_that_share_no_min_hash_are_found(spark):
+    """Pairs at 0.8 (four of five shingles) none of whose 16 bands of four min-hashes agree, by which candidates were found before: one of each pair stays."""
+    table = []
+    for i in (1300, 15278, 15954, 17622, 26067, 32689, 34542, 37841, 38227, 41342, 48842, 58660):
+        w = [f"w{i}x{k}" for k in range(9)]
+        table += [(2 * i, " ".join(w[:8])), (2 * i + 1, " ".join(w))]
+    kept = simhash.keep_one(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [d for d, _ in table if d % 2 == 0]
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.9])
+def test_any_two_links_share_a_window(similarity):
+    """Sets of all sizes at the least similarity that makes a link, their differences at random places or evenly spread; and profiles differ by no more than the sets do."""
+    rng = np.random.default_rng(14)
+    for n in (*range(1, 60), 100, 333, 1000):
+        for m in {n, n + 1, math.floor(n / similarity + 1e-9), rng.integers(n, math.floor(n / similarity + 1e-9) + 1)}:
+            common = math.ceil(similarity * (n + m) / (1 + similarity) - 1e-9)
+            if common > n or m > n / similarity + 1e-9 or (n == m == common):
+                continue
+            for k in range(20):
+                every = np.sort(rng.integers(0, 2**64, n + m - common, dtype=np.uint64))
+                odd = np.linspace(0, len(every) - 1, n + m - 2 * common).astype(int) if k == 0 else rng.permutation(len(every))[: n + m - 2 * common]
+                odd = odd if k % 2 else rng.permutation(odd)
+                a, b = np.delete(every, odd[: m - common]), np.delete(every, odd[m - common :])
+                assert (len(a), len(b)) == (n, m)
+                assert len(np.intersect1d(simhash.windows(a, similarity), simhash.windows(b, similarity)))
+                assert np.abs(simhash.profile(a) - simhash.profile(b)).sum() <= n + m - 2 * common
+
+
 def test_pivot_tables_discard_pairs(monkeypatch):
     """Families around a core that all share, with fingerprints that tell nothing: the tables alone spare most counts, and lose no link."""
     rng, fresh, counts = np.random.default_rng(13), iter(range(1000, 10**6)), []
