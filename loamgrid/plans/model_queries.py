@@ -271,8 +271,8 @@ def _(spark, sf):
 
 
 def share_model(tensor):
-    """A scorer whose probabilities are the bands' shares of their sum, the k-th with 1 + k / 10 added."""
-    up = np.nan_to_num(tensor) + 1.0 + 0.1 * np.arange(1, len(tensor) + 1)[:, None, None]
+    """A scorer whose probabilities are the bands' shares of their sum, the k-th with 1 + k / 10 added; of one patch or of many."""
+    up = np.nan_to_num(tensor) + 1.0 + 0.1 * np.arange(1, len(tensor) + 1).reshape(-1, *[1] * (tensor.ndim - 1))
     return up / up.sum(axis=0)
 
 
@@ -285,8 +285,7 @@ SELECT layer_id, "row", "col", class::INT AS class, round(p, 6) AS confidence, C
 def _(spark, sf):
     """Patches of every layer cut, scored as arrays by a model, and blended."""
     cells = dated_stack(spark, sf, {"b1": "cast(count(*) as double)", "b2": "cast(sum(l_linenumber) % 7 as double)", "b3": "cast(sum(l_orderkey) % 5 as double)"}).withColumnRenamed("year", "layer_id")
-    scored = K.score_patches(K.cut_patches(cells, layer_sizes(spark, sf), 8, 4), share_model, 8, ["b1", "b2", "b3"], [1, 2, 3], ["layer_id"])
-    return rounded(K.blend_predictions(scored, 8, 0.47, ["layer_id"]), confidence=6)
+    return rounded(K.predict_layers(cells, layer_sizes(spark, sf), share_model, 8, 4, ["b1", "b2", "b3"], [1, 2, 3], 0.47), confidence=6)
 
 
 @query("f22_blended_prediction", W + """p AS (SELECT o_orderkey % 40 AS pr, o_custkey % 40 AS pc, (o_orderkey // 40) % 8 AS i, (o_custkey // 40) % 8 AS j, 1 + o_orderkey % 3 AS class, avg(o_totalprice) / 600000 AS p FROM orders GROUP BY ALL),

@@ -17,6 +17,7 @@ from loamgrid.operators import ranking as RK
 from loamgrid.operators import regrid as R
 from loamgrid.operators import score as SC
 from loamgrid.operators import stats as ST
+from loamgrid.plans import registry
 from loamgrid.sources import tables as T
 
 
@@ -290,6 +291,41 @@ def test_patches_of_one_block_stay_apart(spark, monkeypatch):
     assert len(got) == cut.count() and all(r["p"] == want[r["patch_row"], r["patch_col"]] for r in got)
 
 
+def test_layers_predicted_in_one_pass(spark, monkeypatch):
+    """Blocks of a few cells, patches over their edges and those of the layers, a model that looks at whole patches: as cutting, scoring and blending one after the other."""
+    r = np.random.default_rng(15)
+    sizes = [("a", 23, 40), ("b", 3, 9), ("c", 8, 8), ("d", 50, 17)]
+    cells = [(n, i, j, float(r.integers(0, 9)), float(r.random())) for n, h, w in sizes for i in range(h) for j in range(w) if r.random() < 0.4] + [("b", 30, 2, 1.0, 1.0), ("e", 1, 1, 1.0, 1.0)]
+    cells = spark.createDataFrame(cells, "layer_id string, row int, col int, u double, v double").repartition(3)
+    layers = spark.createDataFrame(sizes, "layer_id string, height int, width int")
+
+    def model(tensor):  # bands first, the patch's rows and columns last, patches between if there are many
+        seen, filled = ~np.isnan(tensor[0]), np.nan_to_num(tensor)
+        whole = (filled[1].sum(axis=(-2, -1)) / seen.sum(axis=(-2, -1)))[..., None, None]
+        p = np.stack([filled[0] + 1, 4 * filled[1] + 2, 6 * whole + 0 * filled[0]])
+        return p / p.sum(axis=0)
+
+    for patch, stride, block in ((8, 4, 11), (5, 3, 16), (4, 6, 9), (7, 1, 256)):
+        monkeypatch.setattr(K, "BLOCK", block)
+        one = K.blend_predictions(K.score_patches(K.cut_patches(cells, layers, patch, stride), model, patch, ["u", "v"], [2, 5, 7], ["layer_id"]), patch, 0.5, ["layer_id"])
+        want = {(x["layer_id"], x["row"], x["col"]): x for x in one.collect()}
+        out = K.predict_layers(cells, layers, model, patch, stride, ["u", "v"], [2, 5, 7], 0.5)
+        assert out.dtypes == one.dtypes and out.columns == one.columns
+        got = {(x["layer_id"], x["row"], x["col"]): x for x in out.collect()}
+        assert got.keys() == want.keys() and len(got) == out.count()
+        assert all(got[k]["class"] == want[k]["class"] and math.isclose(got[k]["confidence"], want[k]["confidence"]) and got[k]["low_confidence"] == want[k]["low_confidence"] for k in want)
+        assert out._jdf.queryExecution().toString().count("RepartitionByExpression") <= 3 and "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert K.predict_layers(cells.filter("false"), layers, model, 8, 4, ["u", "v"], [2, 5, 7], 0.5).count() == 0
+    with pytest.raises(Exception, match="the scorer gave"):
+        K.predict_layers(cells, layers, lambda t: t, 8, 4, ["u", "v"], [2, 5, 7], 0.5).collect()
+
+
+def test_scored_patches_go_to_no_second_shuffle(spark):
+    """After the cells are made, one shuffle, and no aggregate over cells times patches times classes."""
+    plan = registry.queries()["f22_scored_patches"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == 1 and plan.count("Aggregate") <= 3
+
+
 def test_distance_over_a_grid(spark):
     r = np.random.default_rng(8)
     src = sorted({(int(a), int(b), int(c)) for a, b, c in zip(r.integers(0, 2, 60), r.integers(0, 50, 60), r.integers(0, 20, 60), strict=True)} | {(2, 3, 1)})
