@@ -99,11 +99,12 @@ UNITS_SQL = """units AS (SELECT l_suppkey AS unit_id, r_name AS scenario, sum(l_
 EXACT_UNITS_SQL = UNITS_SQL.replace("sum(l_extendedprice) AS carbon", "round(sum(l_extendedprice), 2) AS carbon").replace("avg(l_discount)", "round(sum(l_discount), 2) / count(*)")
 
 
-def units(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per supplier: three services, and its region as scenario. Sums of amounts to the cent are rounded to it, so no order of addition shows."""
-    li = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("unit_id")).agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("carbon"), F.avg("l_quantity").alias("water"), (F.round(F.sum("l_discount"), 2) / F.count("l_discount")).alias("habitat")
-    )
+def units(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
+    """One row per supplier: three services, and its region as scenario. If ``exact``, as ``EXACT_UNITS_SQL``: sums of amounts to the cent are rounded to it, so no order of addition shows; else as ``UNITS_SQL``."""
+    carbon, habitat = F.sum("l_extendedprice"), F.avg("l_discount")
+    if exact:
+        carbon, habitat = F.round(carbon, 2), F.round(F.sum("l_discount"), 2) / F.count("l_discount")
+    li = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("unit_id")).agg(carbon.alias("carbon"), F.avg("l_quantity").alias("water"), habitat.alias("habitat"))
     place = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     s = table(spark, sf, "supplier").join(F.broadcast(place), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
     return li.join(s, F.col("unit_id") == F.col("s_suppkey")).select("unit_id", F.col("r_name").alias("scenario"), "carbon", "water", "habitat")
